@@ -110,14 +110,20 @@ def _orders_base(spark: SparkSession, d: str) -> DataFrame:
                     F.col("o_orderdate").cast("date").alias("order_date"))
 
 
-def _build_fact(spark: SparkSession, d: str, *, customers: DataFrame | None = None,
-                with_lines: bool = True, require: list[str] | None = None,
-                keep_natural: bool = False) -> DataFrame:
+def retail_dims(spark: SparkSession, d: str, customers: DataFrame | None = None) -> dict:
+    """Region, nation, customer and order-date dimensions."""
     regions = dim_region(spark, d)
     nations = dim_nation(spark, d, regions)
-    custs = dim_customer(spark, d, nations, customers)
-    orders = read_table(spark, d, "orders", ["o_orderdate"])
-    dates = dim_order_date(orders)
+    return {
+        "region": regions,
+        "nation": nations,
+        "customer": dim_customer(spark, d, nations, customers),
+        "date": dim_order_date(read_table(spark, d, "orders", ["o_orderdate"])),
+    }
+
+
+def _build_fact(spark: SparkSession, d: str, dims: dict, *, with_lines: bool = True,
+                require: list[str] | None = None, keep_natural: bool = False) -> DataFrame:
     base = _orders_base(spark, d)
     enrichments = []
     if with_lines:
@@ -130,12 +136,14 @@ def _build_fact(spark: SparkSession, d: str, *, customers: DataFrame | None = No
         base,
         enrichments=enrichments,
         lookups=[
-            Lookup(custs, {"o_custkey": "c_custkey"}, {"cust_key": "cust_key", "nation_key": "nation_key"}),
+            Lookup(dims["customer"], {"o_custkey": "c_custkey"},
+                   {"cust_key": "cust_key", "nation_key": "nation_key"}),
             # transitive: nation and region keys reach the fact through the
             # customer dimension, and resolve only if those rows exist.
-            Lookup(nations, {"nation_key": "nation_key"}, {"nation_key": "nation_key", "region_key": "region_key"}),
-            Lookup(regions, {"region_key": "region_key"}, {"region_key": "region_key"}),
-            Lookup(dates, {"order_date": "full_date"}, {"date_key": "date_key"}),
+            Lookup(dims["nation"], {"nation_key": "nation_key"},
+                   {"nation_key": "nation_key", "region_key": "region_key"}),
+            Lookup(dims["region"], {"region_key": "region_key"}, {"region_key": "region_key"}),
+            Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}),
         ],
         require=require)
     if not with_lines:
@@ -154,15 +162,383 @@ def _build_fact(spark: SparkSession, d: str, *, customers: DataFrame | None = No
 def star_fact(spark: SparkSession, d: str) -> DataFrame:
     """Every order with customer/nation/region/date keys and its lineitem
     roll-up (count 0 when it has no lines)."""
-    return _build_fact(spark, d)
+    return _build_fact(spark, d, retail_dims(spark, d))
 
 
 def star_fact_required(spark: SparkSession, d: str) -> DataFrame:
     """Only orders that have a roll-up (the required-measure filter)."""
-    return _build_fact(spark, d, require=["total_qty"])
+    return _build_fact(spark, d, retail_dims(spark, d), require=["total_qty"])
+
+
+
+
+# The market segment whose customers a targeted reload replaces.
+RELOAD_SEGMENT = "BUILDING"
+
+
+def star_fact_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Targeted reload: an older fact built before lineitems arrived (no
+    roll-up) gets the orders of the chosen customers replaced by freshly
+    assembled rows; all other rows are kept as they were."""
+    dims = retail_dims(spark, d)
+    old = _build_fact(spark, d, dims, with_lines=False, keep_natural=True)
+    new = _build_fact(spark, d, dims, keep_natural=True)
+    chosen = (read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"])
+              .where(F.col("c_mktsegment") == RELOAD_SEGMENT)
+              .select(F.col("c_custkey").alias("o_custkey")))
+    return replace_keys(old, new, ["o_custkey"], chosen).select(*FACT_COLUMNS)
+
+
+FACT_KEYS = ["cust_key", "nation_key", "region_key", "date_key"]
+
+
+def fact_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Fact rows whose keys do not resolve, against a customer dimension that
+    holds only customers with a non-negative balance; each row names the
+    unresolved key columns."""
+    partial = (read_table(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey",
+                                                 "c_mktsegment", "c_acctbal"])
+               .where(F.col("c_acctbal") >= 0).drop("c_acctbal"))
+    fact = _build_fact(spark, d, retail_dims(spark, d, partial), keep_natural=True)
+    _, bad = quarantine(fact, FACT_KEYS)
+    return bad.select("o_orderkey", "o_custkey", "unresolved")
+
+
+def child_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem per (order, supplier): count, quantity sum, decimal mean
+    stored as DECIMAL(8,1), price sum."""
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice"])
+    return rollup_children(
+        li, ["l_orderkey", "l_suppkey"], F.floor("l_quantity").cast("int"),
+        count_name="line_count", sum_name="total_qty", sum_type="bigint",
+        avg_name="avg_qty", avg_input_type="decimal(10,0)", avg_type="decimal(8,1)",
+        extra=[F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(18,2)")
+               .alias("total_price")])
+
+
+# --------------------------------------------------------------------------
+# calendar
+# --------------------------------------------------------------------------
+
+def calendar(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar dimension of the distinct order dates."""
+    return dim_order_date(read_table(spark, d, "orders", ["o_orderdate"]))
+
+
+def calendar_new_only(spark: SparkSession, d: str) -> DataFrame:
+    """Order-date calendar rows not yet in a calendar built from ship dates
+    (insert-if-absent)."""
+    existing = calendar_dimension(
+        read_table(spark, d, "lineitem", ["l_shipdate"])
+        .select(F.col("l_shipdate").cast("date").alias("full_date")))
+    return insert_if_absent(calendar(spark, d), existing, ["date_key"])
+
+
+# How an order date is rendered as text, by order priority.
+# The last layout is not an accepted one, so it parses to NULL.
+DATE_RENDERING = {
+    "1-URGENT": "yyyy-MM-dd",
+    "2-HIGH": "dd-MM-yyyy",
+    "3-MEDIUM": "dd/MM/yyyy",
+    "4-NOT SPECIFIED": "MM/dd/yyyy",
+    "5-LOW": "yyyy.MM.dd",
+}
+
+
+def _rendered_dates(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"])
+    dt = F.col("o_orderdate").cast("date")
+    text = None
+    for prio, fmt in DATE_RENDERING.items():
+        branch = F.date_format(dt, fmt)
+        text = (F.when(F.col("o_orderpriority") == prio, branch) if text is None
+                else text.when(F.col("o_orderpriority") == prio, branch))
+    return o.select("o_orderkey", "o_custkey", "o_orderpriority", text.alias("date_text"))
+
+
+def date_normalise(spark: SparkSession, d: str) -> DataFrame:
+    """Mixed-format date text back to DATE (first accepted layout wins)."""
+    r = _rendered_dates(spark, d)
+    return r.select("o_orderkey", "o_orderpriority", "date_text",
+                    parse_date_any("date_text").alias("parsed_date"))
+
+
+def race_style_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Rows keyed like a race load: customer key by natural key, date key by
+    joining the calendar on the date parsed from text (parsed once, used as
+    both the stored date and the join key)."""
+    dims = retail_dims(spark, d)
+    r = _rendered_dates(spark, d).withColumn("order_date", parse_date_any("date_text"))
+    out = assemble_fact(r, lookups=[
+        Lookup(dims["customer"], {"o_custkey": "c_custkey"}, {"cust_key": "cust_key"}),
+        Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}),
+    ])
+    return out.select("o_orderkey", "cust_key", "order_date", "date_key")
+
+
+# --------------------------------------------------------------------------
+# SCD1 merge
+# --------------------------------------------------------------------------
+
+# Segments defining the merge fixture.  Customers of the first
+# are new (absent from the existing dimension); customers of the second are no
+# longer delivered (absent from the source); the third has a stale balance.
+NEW_SEGMENT = "MACHINERY"
+DROPPED_SEGMENT = "HOUSEHOLD"
+STALE_SEGMENT = "AUTOMOBILE"
+CUSTOMER_ATTRS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _merge_fixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    c = read_table(spark, d, "customer", ["c_custkey"] + CUSTOMER_ATTRS)
+    bal = F.col("c_acctbal").cast("decimal(12,2)")
+    target = c.where(F.col("c_mktsegment") != NEW_SEGMENT).select(
+        (F.col("c_custkey") + 1).cast("bigint").alias("cust_key"),
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(F.col("c_mktsegment") == STALE_SEGMENT, bal - 100).otherwise(bal)
+        .cast("decimal(12,2)").alias("c_acctbal"),
+        "c_mktsegment",
+        _ts(PREVIOUS_LOAD_TS).alias("dw_inserted_at"),
+        F.lit(None).cast("timestamp_ntz").alias("dw_updated_at"))
+    source = c.where(F.col("c_mktsegment") != DROPPED_SEGMENT).select(
+        "c_custkey", "c_name", "c_nationkey", bal.alias("c_acctbal"),
+        # a source NULL must overwrite the target value
+        F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("c_mktsegment"))
+    return target, source
+
+
+def _merge(target: DataFrame, source: DataFrame, **kw) -> DataFrame:
+    return scd1_merge(target, source, ["c_custkey"], surrogate_key="cust_key",
+                      update_cols=CUSTOMER_ATTRS, load_ts=_ts(LOAD_TS), **kw)
+
+
+def scd1_customer(spark: SparkSession, d: str) -> DataFrame:
+    target, source = _merge_fixture(spark, d)
+    return _merge(target, source)
+
+
+def scd1_changed_only(spark: SparkSession, d: str) -> DataFrame:
+    target, source = _merge_fixture(spark, d)
+    return _merge(target, source, only_changed=True, action_col="merge_action")
+
+
+def scd1_idempotent(spark: SparkSession, d: str) -> DataFrame:
+    """The same source merged twice: no duplicate rows, no key changes;
+    the second pass only touches the stamp of rows the first one inserted."""
+    target, source = _merge_fixture(spark, d)
+    return _merge(_merge(target, source), source)
+
+
+def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Existing key map = parts shipped before 1998, keyed in part-key order;
+    every other part gets max(existing) + its rank among the new parts."""
+    shipped = (read_table(spark, d, "lineitem", ["l_partkey", "l_shipdate"])
+               .where(F.col("l_shipdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+               .select(F.col("l_partkey").alias("p_partkey")).distinct())
+    existing = assign_surrogate_keys(shipped, ["p_partkey"], "part_key")
+    parts = read_table(spark, d, "part", ["p_partkey"])
+    new = parts.join(existing.select("p_partkey"), "p_partkey", "left_anti")
+    keyed = assign_surrogate_keys(new, ["p_partkey"], "part_key",
+                                  start=max_key(existing, "part_key"))
+    return existing.unionByName(keyed)
+
+
+# --------------------------------------------------------------------------
+# column functions over text derived from the tables
+# --------------------------------------------------------------------------
+
+def _lap_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Lap-time text rendered from l_extendedprice (as milliseconds), in a
+    variant chosen by line number and return flag (see LAP_VARIANTS)."""
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"])
+    ms = F.floor("l_extendedprice")
+    m = F.floor(ms / 60000).cast("string")
+    s_num = F.floor(ms / 1000) % 60
+    ss = F.lpad(s_num.cast("string"), 2, "0")
+    fff = F.lpad((ms % 1000).cast("string"), 3, "0")
+    canonical = F.concat(m, F.lit(":"), ss, F.lit("."), fff)
+    ln = F.col("l_linenumber")
+    returned = F.col("l_returnflag") == "R"
+    text = (
+        F.when(~returned & (ln == 1), canonical)
+        .when(~returned & (ln == 2), F.concat(F.lit("  "), canonical, F.lit(" ")))
+        .when(~returned & (ln == 3), F.concat(m, F.lit(":"), ss, F.lit("."), F.substring(fff, 1, 1)))
+        .when(~returned & (ln == 4), F.concat(m, F.lit(":"), ss))
+        .when(~returned & (ln == 5), F.floor(ms / 1000).cast("string"))
+        .when(~returned & (ln == 6), F.lit("\\N"))
+        .when(~returned & (ln == 7), F.lit(""))
+        .when(returned & (ln == 1), F.lit(None).cast("string"))
+        .when(returned & (ln == 2), F.concat(ss, F.lit("."), fff))
+        .when(returned & (ln == 3), F.concat(m, F.lit(":")))
+        .when(returned & (ln == 4), F.concat(F.lit("1:"), F.lpad(m, 2, "0"), F.lit(":"), ss,
+                                             F.lit("."), F.substring(fff, 1, 1)))
+        .when(returned & (ln == 5), F.concat(canonical, F.lit("0")))
+        .when(returned & (ln == 6), F.concat(m, F.lit(":"), (s_num + 60).cast("string"),
+                                             F.lit("."), fff))
+        .when(returned & (ln == 7), F.concat(F.lit("\t"), canonical))
+        .otherwise(canonical))
+    return li.select("l_orderkey", "l_linenumber", text.alias("lap_text"))
+
+
+def lap_times(spark: SparkSession, d: str) -> DataFrame:
+    t = _lap_texts(spark, d)
+    return t.select("l_orderkey", "l_linenumber", "lap_text",
+                    lap_time_ms("lap_text", missing="zero").alias("qual_ms"),
+                    lap_time_ms("lap_text", missing="null").alias("fastest_ms"))
+
+
+def best_of_three(spark: SparkSession, d: str) -> DataFrame:
+    """Three session times per order (lines 1-3, pivoted by a grouped
+    conditional min) and the best strictly positive one."""
+    t = _lap_texts(spark, d).withColumn("q", lap_time_ms("lap_text", missing="zero"))
+    ln = F.col("l_linenumber")
+    per = t.groupBy("l_orderkey").agg(*[
+        F.min(F.when(ln == k, F.col("q"))).alias(f"q{k}_ms") for k in (1, 2, 3)])
+    return per.withColumn("best_ms", least_positive("q1_ms", "q2_ms", "q3_ms"))
+
+
+def positions_gained(spark: SparkSession, d: str) -> DataFrame:
+    """grid = p_size (0 for open N-flag lines), finish = text of l_quantity
+    with '0', '\\N', 'R' and out-of-range values injected by line number."""
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                           "l_returnflag", "l_linestatus"])
+    p = broadcast_if_small(read_table(spark, d, "part", ["p_partkey", "p_size"]))
+    j = li.join(p, li["l_partkey"] == p["p_partkey"], "left")
+    grid = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(0)) \
+        .otherwise(F.col("p_size"))
+    q = F.floor("l_quantity").cast("int")
+    ln = F.col("l_linenumber")
+    finish = (F.when(ln == 4, (q * 10).cast("string"))
+              .when(ln == 5, F.lit("0"))
+              .when(ln == 6, F.lit("\\N"))
+              .when(ln == 7, F.lit("R"))
+              .otherwise(q.cast("string")))
+    out = j.select("l_orderkey", "l_linenumber", grid.alias("grid"), finish.alias("finish_text"))
+    out = out.withColumn("finish_position", safe_cast("finish_text", "tinyint"))
+    return out.withColumn("positions_gained", positions_gained_col("grid", "finish_position"))
+
+
+def try_cast_suite(spark: SparkSession, d: str) -> DataFrame:
+    c = read_table(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    bal = F.col("c_acctbal").cast("decimal(12,2)")
+    return c.select(
+        "c_custkey",
+        bal.cast("string").alias("acct_text"),
+        safe_cast(bal.cast("string"), "decimal(7,3)").alias("bal_dec73"),
+        safe_cast((bal * 10).cast("string"), "decimal(7,3)").alias("bal10_dec73"),
+        safe_cast(F.col("c_custkey").cast("string"), "tinyint").alias("key_tiny"),
+        F.col("c_nationkey").cast("tinyint").alias("nation_tiny"),
+        safe_cast("c_mktsegment", "tinyint").alias("segment_tiny"))
+
+
+def clean_names(spark: SparkSession, d: str) -> DataFrame:
+    """Padded name parts trimmed, blank codes to NULL, full name NULL when a
+    part is missing."""
+    c = read_table(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    first = F.concat(F.lit("  "), F.split_part("c_name", F.lit("#"), F.lit(1)), F.lit(" "))
+    last = F.when(F.col("c_nationkey") != 0,
+                  F.concat(F.lit(" "), F.split_part("c_name", F.lit("#"), F.lit(2)), F.lit("  ")))
+    code = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.substring("c_mktsegment", 1, 3))
+    return c.select("c_custkey", trimmed(first).alias("forename"), trimmed(last).alias("surname"),
+                    blank_to_null(code).alias("code"), full_name(first, last).alias("full_name"))
+
+
+# --------------------------------------------------------------------------
+# analyses
+# --------------------------------------------------------------------------
+
+def _customer_nations(spark: SparkSession, d: str) -> DataFrame:
+    return broadcast_if_small(read_table(spark, d, "customer", ["c_custkey", "c_nationkey"]))
+
+
+def leader_by_decade(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly order value per nation; the year's leader(s) (rank 1, ties
+    kept); years led per nation and decade."""
+    o = read_table(spark, d, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
+    c = _customer_nations(spark, d)
+    rev = (o.join(c, o["o_custkey"] == c["c_custkey"])
+           .groupBy("c_nationkey", F.year("o_orderdate").alias("year"))
+           .agg(F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("decimal(18,2)").alias("revenue")))
+    leaders = period_leaders(rev, ["c_nationkey"], ["year"], "revenue")
+    counts = count_by_bucket(leaders, ["c_nationkey"], (F.floor(F.col("year") / 10) * 10).cast("int"),
+                             "decade", "years_led")
+    n = F.broadcast(read_table(spark, d, "nation", ["n_nationkey", "n_name"]))
+    return (counts.join(n, counts["c_nationkey"] == n["n_nationkey"])
+            .select("decade", "n_nationkey", "n_name", "years_led"))
+
+
+# Event types counted per user, with their output names.
+EVENT_COUNTS = {"purchase": "purchases", "click": "clicks", "view": "views",
+                "error": "errors", "signup": "signups"}
+
+
+def entity_records(spark: SparkSession, d: str) -> DataFrame:
+    """Top 20 users by purchases (user id breaks ties) with their counts per
+    event type and value total."""
+    ev = read_table(spark, d, "events", ["user_id", "event_type", "value"])
+    return entity_records_op(ev, "user_id", "event_type", EVENT_COUNTS,
+                             value_col="value", value_name="total_value",
+                             rank_by=["purchases"], top_k=20)
+
+
+def _order_values(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
+    value = F.col("l_extendedprice").cast("decimal(15,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    per = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("line_count"),
+                                       F.sum(value).cast("decimal(18,4)").alias("order_value"))
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    return per.join(o, per["l_orderkey"] == o["o_orderkey"]).select(
+        "o_orderkey", "o_custkey", "line_count", "order_value")
+
+
+def deep_dive(spark: SparkSession, d: str) -> DataFrame:
+    """Each order's value beside its customer's mean order value."""
+    return compare_to_group_mean(_order_values(spark, d), ["o_custkey"], "order_value",
+                                 mean_name="cust_mean_value", delta_name="vs_cust_mean") \
+        .select("o_orderkey", "o_custkey", "line_count", "order_value", "cust_mean_value", "vs_cust_mean")
+
+
+def deep_dive_by_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Mean order value by number of lines (the pit-stop-count view)."""
+    return mean_by_bucket(_order_values(spark, d), "line_count", "order_value",
+                          count_name="orders", mean_name="mean_order_value")
+
+
+def share_of_group(spark: SparkSession, d: str) -> DataFrame:
+    """Each customer's share of its nation's yearly order value, beside the
+    nation's rank that year."""
+    o = read_table(spark, d, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
+    c = _customer_nations(spark, d)
+    vals = (o.join(c, o["o_custkey"] == c["c_custkey"])
+            .groupBy("o_custkey", "c_nationkey", F.year("o_orderdate").alias("year"))
+            .agg(F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("decimal(18,2)").alias("cust_value")))
+    out = share_of_group_op(vals, ["o_custkey"], ["c_nationkey"], ["year"], "cust_value",
+                            group_total_name="nation_value", share_name="share", rank_name="nation_rank")
+    return out.select("o_custkey", "c_nationkey", "year", "cust_value", "nation_value", "share", "nation_rank")
 
 
 QUERIES = {
     "star_fact": star_fact,
     "star_fact_required": star_fact_required,
+    "star_fact_reload": star_fact_reload,
+    "fact_quarantine": fact_quarantine,
+    "child_rollup": child_rollup,
+    "calendar": calendar,
+    "calendar_new_only": calendar_new_only,
+    "date_normalise": date_normalise,
+    "race_style_lookup": race_style_lookup,
+    "scd1_customer": scd1_customer,
+    "scd1_changed_only": scd1_changed_only,
+    "scd1_idempotent": scd1_idempotent,
+    "surrogate_keys": surrogate_keys,
+    "lap_time_ms": lap_times,
+    "best_of_three": best_of_three,
+    "positions_gained": positions_gained,
+    "try_cast_suite": try_cast_suite,
+    "clean_names": clean_names,
+    "leader_by_decade": leader_by_decade,
+    "entity_records": entity_records,
+    "deep_dive": deep_dive,
+    "deep_dive_by_lines": deep_dive_by_lines,
+    "share_of_group": share_of_group,
 }
