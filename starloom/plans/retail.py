@@ -44,6 +44,9 @@ from starloom.operators import (
     scd1_merge,
     share_of_group as share_of_group_op,
 )
+from starloom.session import scratch_dir
+from starloom.sinks.storage import export
+from starloom.sources.landing import CONTROL_SCHEMA, ingest
 from starloom.sources.tables import read_table
 
 # Load timestamps used by the dimension loads, so reruns are
@@ -517,6 +520,61 @@ def share_of_group(spark: SparkSession, d: str) -> DataFrame:
     return out.select("o_custkey", "c_nationkey", "year", "cust_value", "nation_value", "share", "nation_rank")
 
 
+# --------------------------------------------------------------------------
+# ingestion and export
+# --------------------------------------------------------------------------
+
+# The control table of the ingestion fixture.  The region file is
+# landed under a mixed-case name and '|'-delimited; no supplier file is landed.
+INGEST_CONTROL = [
+    ("region", "CSV", "bronze_region", "|"),
+    ("Nation", "csv", "bronze_nation", ","),
+    ("supplier", "csv", "bronze_supplier", ","),
+]
+
+
+def _land_and_ingest(spark: SparkSession, d: str, runs: int = 1):
+    root = scratch_dir(spark, "ingest")
+    landing = f"{root}/landing"
+    export(read_table(spark, d, "region"), f"{landing}/Region.csv", sep="|")
+    export(read_table(spark, d, "nation"), f"{landing}/nation.csv", sep=",")
+    control = spark.createDataFrame(INGEST_CONTROL, CONTROL_SCHEMA)
+    results = [ingest(spark, control, landing, f"{root}/bronze", ledger=f"{root}/ledger")
+               for _ in range(runs)]
+    return root, results
+
+
+def ingest_csv(spark: SparkSession, d: str) -> DataFrame:
+    """region and nation landed as delimited files, ingested through the
+    control table (schema inferred, as the bronze load does), and read back
+    from bronze: nation with its region name."""
+    root, _ = _land_and_ingest(spark, d)
+    n = spark.read.parquet(f"{root}/bronze/bronze_nation")
+    r = spark.read.parquet(f"{root}/bronze/bronze_region")
+    return (n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left")
+            .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
+
+
+def ingest_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Audit rows of two consecutive runs over the same landing folder: the
+    second run finds everything already loaded."""
+    _, results = _land_and_ingest(spark, d, runs=2)
+    out = None
+    for i, res in enumerate(results, start=1):
+        a = res.audit.select(F.lit(i).alias("run"), "*")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+def export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """supplier exported as CSV with a header, then read back with the
+    table's declared schema."""
+    s = read_table(spark, d, "supplier")
+    path = f"{scratch_dir(spark, 'export')}/supplier"
+    export(s, path, fmt="csv", header=True)
+    return spark.read.schema(s.schema).option("header", "true").csv(path)
+
+
 QUERIES = {
     "star_fact": star_fact,
     "star_fact_required": star_fact_required,
@@ -541,4 +599,7 @@ QUERIES = {
     "deep_dive": deep_dive,
     "deep_dive_by_lines": deep_dive_by_lines,
     "share_of_group": share_of_group,
+    "ingest_csv": ingest_csv,
+    "ingest_audit": ingest_audit,
+    "export_roundtrip": export_roundtrip,
 }

@@ -367,7 +367,32 @@ SELECT v.o_custkey, v.c_nationkey, v."year", v.cust_value, r.nation_value,
 FROM v LEFT JOIN r ON r.c_nationkey = v.c_nationkey AND r."year" = v."year"
 """
 
+INGEST_CSV = """
+SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_name
+FROM nation n LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+"""
+
+INGEST_AUDIT = """
+SELECT 1 AS run, 'region.csv' AS file_name, 'bronze_region' AS target_table, 'loaded' AS status,
+       CAST(NULL AS VARCHAR) AS detail, (SELECT COUNT(*) FROM region) AS rows_loaded, 2 AS columns
+UNION ALL
+SELECT 1, 'nation.csv', 'bronze_nation', 'loaded', NULL, (SELECT COUNT(*) FROM nation), 3
+UNION ALL
+SELECT 1, 'supplier.csv', 'bronze_supplier', 'skipped', 'no file', NULL, NULL
+UNION ALL
+SELECT 2, 'region.csv', 'bronze_region', 'skipped', 'already loaded', NULL, NULL
+UNION ALL
+SELECT 2, 'nation.csv', 'bronze_nation', 'skipped', 'already loaded', NULL, NULL
+UNION ALL
+SELECT 2, 'supplier.csv', 'bronze_supplier', 'skipped', 'no file', NULL, NULL
+"""
+
+EXPORT_ROUNDTRIP = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
+
 SQL: dict[str, str] = {
+    "ingest_csv": INGEST_CSV,
+    "ingest_audit": INGEST_AUDIT,
+    "export_roundtrip": EXPORT_ROUNDTRIP,
     "star_fact": STAR_FACT,
     "star_fact_required": STAR_FACT_REQUIRED,
     "star_fact_reload": STAR_FACT_RELOAD,
