@@ -36,9 +36,33 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def row_bound(df: DataFrame) -> int | None:
+    """A proven upper bound on the rows of ``df``, if one was recorded."""
+    return getattr(df, "_starloom_row_bound", None)
+
+
+def with_row_bound(df: DataFrame, bound: int) -> DataFrame:
+    """Record that ``df`` has at most ``bound`` rows (set where it was
+    proven, e.g. by ``row_count_at_most``), so later size checks of the same
+    DataFrame need no extra job."""
+    df._starloom_row_bound = bound  # type: ignore[attr-defined]
+    return df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       bound_of: DataFrame | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only if its row count is proven small.
+
+    ``bound_of`` names a DataFrame whose recorded row bound also bounds
+    ``df`` (``df`` is a projection of it); otherwise the bound is checked
+    with a bounded count.
+    """
+    known = row_bound(bound_of if bound_of is not None else df)
+    if known is not None and known <= max_rows:
+        return F.broadcast(df)
+    if row_count_at_most(df, max_rows):
+        return with_row_bound(F.broadcast(df), max_rows)
+    return df
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "input") -> None:
@@ -75,7 +99,9 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], key_name: str,
     spark = df.sparkSession
     if row_count_at_most(df, small_rows):
         w = Window.orderBy(*order)
-        return df.withColumn(key_name, (F.lit(start) + F.row_number().over(w)).cast("bigint"))
+        return with_row_bound(
+            df.withColumn(key_name, (F.lit(start) + F.row_number().over(w)).cast("bigint")),
+            small_rows)
 
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
@@ -120,6 +146,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     broadcast only when their size is proven small.
     """
     out = fact
+    bound = row_bound(fact)
     for i, lk in enumerate(lookups):
         tag = f"_lk{i}_"
         dim_cols = {d: f"{tag}{d}" for d in lk.on.values()}
@@ -128,7 +155,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             *[F.col(src).alias(f"{tag}take_{dst}") for src, dst in lk.take.items()],
         )
         if lk.broadcast_max_rows is not None:
-            right = broadcast_if_small(right, lk.broadcast_max_rows)
+            right = broadcast_if_small(right, lk.broadcast_max_rows, bound_of=lk.dim)
         cond = None
         for fcol, dcol in lk.on.items():
             c = out[fcol] == right[dim_cols[dcol]]
@@ -143,7 +170,8 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         for dst in lk.take.values():
             joined = joined.withColumnRenamed(f"{tag}take_{dst}", dst)
         out = joined
-    return out
+    # dimension keys are unique, so each lookup keeps the row count
+    return with_row_bound(out, bound) if bound is not None else out
 
 
 def quarantine(fact: DataFrame, required: Sequence[str],

@@ -35,6 +35,7 @@ from starloom.operators import (
     count_by_bucket,
     entity_records as entity_records_op,
     insert_if_absent,
+    lookup_keys,
     max_key,
     mean_by_bucket,
     period_leaders,
@@ -69,19 +70,21 @@ def dim_region(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_nation(spark: SparkSession, d: str, regions: DataFrame) -> DataFrame:
+    """Nation dimension; its region key is looked up at load time (as a
+    race row gets its circuit key)."""
     n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    n = assemble_fact(n, lookups=[Lookup(regions, {"n_regionkey": "r_regionkey"},
-                                         {"region_key": "region_key"})])
-    return assign_surrogate_keys(n, ["n_nationkey"], "nation_key")
+    n = assign_surrogate_keys(n, ["n_nationkey"], "nation_key")
+    return lookup_keys(n, [Lookup(regions, {"n_regionkey": "r_regionkey"},
+                                  {"region_key": "region_key"})])
 
 
 def dim_customer(spark: SparkSession, d: str, nations: DataFrame,
                  customers: DataFrame | None = None) -> DataFrame:
     c = customers if customers is not None else read_table(
         spark, d, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    c = assemble_fact(c, lookups=[Lookup(nations, {"c_nationkey": "n_nationkey"},
-                                         {"nation_key": "nation_key"})])
-    return assign_surrogate_keys(c, ["c_custkey"], "cust_key")
+    c = assign_surrogate_keys(c, ["c_custkey"], "cust_key")
+    return lookup_keys(c, [Lookup(nations, {"c_nationkey": "n_nationkey"},
+                                  {"nation_key": "nation_key"})])
 
 
 def dim_order_date(orders: DataFrame) -> DataFrame:
