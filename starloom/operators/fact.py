@@ -122,6 +122,6 @@ def replace_keys(old: DataFrame, new: DataFrame, key_cols: Sequence[str],
     key_cols = list(key_cols)
     k = (keys if keys is not None else new).select(*key_cols).distinct()
     k = broadcast_if_small(k, broadcast_max_rows)
-    kept = old.join(k, key_cols, "left_anti")
-    fresh = new.join(k, key_cols, "left_semi")
-    return kept.unionByName(fresh.select(*old.columns))
+    kept = old.join(k, key_cols, "left_anti").select(*old.columns)
+    fresh = new.join(k, key_cols, "left_semi").select(*old.columns)
+    return kept.unionByName(fresh)
