@@ -40,7 +40,7 @@ from starloom.operators import (
     scd1_merge,
 )
 from starloom.plans.racing_schemas import target_schema
-from starloom.sinks.storage import project_to_schema
+from starloom.sinks.storage import project_to_schema, read_current, write_version
 
 # Date layouts accepted for a driver's date of birth (the race
 # date accepts the four of DEFAULT_DATE_FORMATS).
@@ -285,25 +285,42 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
 # --------------------------------------------------------------------------
 
 def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None,
-            load_ts=None, require_measure: str | None = "best_qualifying_time_ms") -> dict[str, DataFrame]:
+            load_ts=None, require_measure: str | None = "best_qualifying_time_ms",
+            store: str | None = None) -> dict[str, DataFrame]:
     """Dependency order: date, circuit, driver, constructor -> race -> fact.
-    ``silver`` holds the current dimension tables (empty ones when absent)."""
+
+    ``silver`` holds the current dimension tables (empty ones when absent).
+    With ``store`` (a folder on shared storage), every load is written as a
+    new version of its table under ``store/<name>`` and read back before the
+    next load uses it: downstream loads then start from stored tables rather
+    than re-running the upstream merges, and a failed load leaves the
+    previous version current.
+    """
     spark = next(iter(bronze.values())).sparkSession
     silver = dict(silver or {})
     cur = {name: silver.get(name) if silver.get(name) is not None else empty_target(spark, name)
            for name in ("dim_date", "dim_circuit", "dim_driver", "dim_constructor", "dim_race")}
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        if store is None:
+            return df
+        base = f"{store.rstrip('/')}/{name}"
+        write_version(df, base)
+        return read_current(spark, base)
+
     out: dict[str, DataFrame] = {}
-    out["dim_date"] = load_dim_date(bronze["races"], cur["dim_date"], load_ts)
-    out["dim_circuit"] = load_dim_circuit(bronze["circuits"], cur["dim_circuit"], load_ts)
-    out["dim_driver"] = load_dim_driver(bronze["drivers"], cur["dim_driver"], load_ts)
-    out["dim_constructor"] = load_dim_constructor(bronze["constructors"], cur["dim_constructor"], load_ts)
-    out["dim_race"] = load_dim_race(bronze["races"], out["dim_circuit"], out["dim_date"],
-                                    cur["dim_race"], load_ts)
+    out["dim_date"] = keep("dim_date", load_dim_date(bronze["races"], cur["dim_date"], load_ts))
+    out["dim_circuit"] = keep("dim_circuit", load_dim_circuit(bronze["circuits"], cur["dim_circuit"], load_ts))
+    out["dim_driver"] = keep("dim_driver", load_dim_driver(bronze["drivers"], cur["dim_driver"], load_ts))
+    out["dim_constructor"] = keep("dim_constructor", load_dim_constructor(
+        bronze["constructors"], cur["dim_constructor"], load_ts))
+    out["dim_race"] = keep("dim_race", load_dim_race(bronze["races"], out["dim_circuit"], out["dim_date"],
+                                                     cur["dim_race"], load_ts))
     fact, bad = load_fact_race_result(
         bronze["results"], bronze["qualifying"], bronze["pit_stops"], bronze["driver_standings"],
         bronze["constructors_results"], bronze["status"], out["dim_race"], out["dim_driver"],
         out["dim_constructor"], out["dim_circuit"], out["dim_date"], load_ts=load_ts,
         require_measure=require_measure)
-    out["fact_race_result"] = fact
-    out["fact_quarantine"] = bad
+    out["fact_race_result"] = keep("fact_race_result", fact)
+    out["fact_quarantine"] = keep("fact_quarantine", bad)
     return out

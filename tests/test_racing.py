@@ -57,8 +57,8 @@ def by(df, key):
     return {r[key]: r for r in df.collect()}
 
 
-def test_racing_job(spark, bronze):
-    out = racing.run_all(bronze, load_ts=TS)
+def test_racing_job(spark, bronze, tmp_dir):
+    out = racing.run_all(bronze, load_ts=TS, store=f"{tmp_dir}/silver")
     circ = by(out["dim_circuit"], "circuit_id")
     assert set(circ) == {1, 2}
     assert circ[2]["altitude_m"] == 19 and circ[1]["latitude"] == Decimal("-37.849700")
@@ -106,10 +106,13 @@ def test_racing_keep_all_results(spark, bronze):
     assert set(fact) == {1, 2, 3, 4} and fact[4]["q1_time_ms"] is None
 
 
-def test_racing_rerun_is_idempotent_and_reload_targets_races(spark, bronze):
-    first = racing.run_all(bronze, load_ts=TS)
+def test_racing_rerun_is_idempotent_and_reload_targets_races(spark, bronze, tmp_dir):
+    store = f"{tmp_dir}/silver"
+    first = racing.run_all(bronze, load_ts=TS, store=store)
     silver = {k: v for k, v in first.items() if k.startswith("dim_")}
-    second = racing.run_all(bronze, silver=silver, load_ts="2024-02-01 00:00:00")
+    second = racing.run_all(bronze, silver=silver, load_ts="2024-02-01 00:00:00", store=store)
+    # the first run's versions are still readable next to the second's
+    assert first["dim_driver"].count() == second["dim_driver"].count() == 3
     for name in ("dim_circuit", "dim_driver", "dim_constructor"):
         a = sorted(tuple(r) for r in first[name].drop("dw_updated_at").collect())
         b = sorted(tuple(r) for r in second[name].drop("dw_updated_at").collect())
