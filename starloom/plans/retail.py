@@ -49,6 +49,7 @@ from starloom.session import scratch_dir
 from starloom.sinks.storage import export
 from starloom.sources.landing import CONTROL_SCHEMA, ingest
 from starloom.sources.tables import read_table
+from starloom.streaming import stream_landing
 
 # Load timestamps used by the dimension loads, so reruns are
 # repeatable (the timestamp is an argument of the load, not the wall clock).
@@ -578,6 +579,24 @@ def export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(s.schema).option("header", "true").csv(path)
 
 
+def ingest_stream(spark: SparkSession, d: str) -> DataFrame:
+    """nation delivered to a landing folder in two drops (the nations of
+    regions below 3, then the rest) and picked up by three incremental
+    streaming runs; the third finds nothing new.  The bronze table ends up
+    holding every nation exactly once."""
+    root = scratch_dir(spark, "stream")
+    nation = read_table(spark, d, "nation")
+    first = F.col("n_regionkey") < 3
+    sink, ckpt = f"{root}/bronze_nation", f"{root}/_checkpoint"
+    glob = f"{root}/landing/*/*.csv"
+    export(nation.where(first), f"{root}/landing/drop1")
+    stream_landing(spark, glob, nation.schema, sink, ckpt)
+    export(nation.where(~first | F.col("n_regionkey").isNull()), f"{root}/landing/drop2")
+    stream_landing(spark, glob, nation.schema, sink, ckpt)
+    stream_landing(spark, glob, nation.schema, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
 QUERIES = {
     "star_fact": star_fact,
     "star_fact_required": star_fact_required,
@@ -605,4 +624,5 @@ QUERIES = {
     "ingest_csv": ingest_csv,
     "ingest_audit": ingest_audit,
     "export_roundtrip": export_roundtrip,
+    "ingest_stream": ingest_stream,
 }

@@ -389,7 +389,10 @@ SELECT 2, 'supplier.csv', 'bronze_supplier', 'skipped', 'no file', NULL, NULL
 
 EXPORT_ROUNDTRIP = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 
+INGEST_STREAM = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+
 SQL: dict[str, str] = {
+    "ingest_stream": INGEST_STREAM,
     "ingest_csv": INGEST_CSV,
     "ingest_audit": INGEST_AUDIT,
     "export_roundtrip": EXPORT_ROUNDTRIP,

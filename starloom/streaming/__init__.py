@@ -1,0 +1,5 @@
+"""Structured Streaming forms of the ingestion operators."""
+
+from starloom.streaming.landing_stream import stream_landing
+
+__all__ = ["stream_landing"]

@@ -102,3 +102,15 @@ def test_export_single_file_only_when_small(spark, tmp_dir):
     assert len(files) > 1
     back = spark.read.option("header", "true").schema("k long, v long").csv(f"{tmp_dir}/small")
     assert back.count() == 100
+
+
+def test_stream_landing_processes_each_file_once(spark, tmp_dir):
+    from starloom.streaming import stream_landing
+    df = spark.range(10).selectExpr("id AS k", "id * 3 AS v")
+    glob, sink, ckpt = f"{tmp_dir}/landing/*/*.csv", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    export(df.where("k < 4"), f"{tmp_dir}/landing/a")
+    assert stream_landing(spark, glob, df.schema, sink, ckpt) == 4
+    export(df.where("k >= 4"), f"{tmp_dir}/landing/b")
+    assert stream_landing(spark, glob, df.schema, sink, ckpt) == 6
+    assert stream_landing(spark, glob, df.schema, sink, ckpt) == 0
+    assert sorted(r["k"] for r in spark.read.parquet(sink).collect()) == list(range(10))
