@@ -31,9 +31,14 @@ SMALL_KEYSET_ROWS = 200_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Cost is bounded: the
-    scan stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Cost is bounded by ``max_rows``, not by the table: ``offset(n)`` followed
+    by ``isEmpty`` runs as an incremental collect-limit that scans partitions
+    only until ``max_rows + 1`` (column-less) rows are seen -- unlike
+    ``limit(n).count()``, which runs a local limit in every partition.
+    """
+    return df.offset(max_rows).isEmpty()
 
 
 def row_bound(df: DataFrame) -> int | None:

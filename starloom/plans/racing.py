@@ -39,8 +39,14 @@ from starloom.operators import (
     rollup_children,
     scd1_merge,
 )
-from starloom.plans.racing_schemas import target_schema
-from starloom.sinks.storage import project_to_schema, read_current, write_version
+from starloom.plans.racing_schemas import BRONZE_TABLES, TARGETS, target_schema
+from starloom.sinks.storage import (
+    create_table,
+    project_to_schema,
+    read_current,
+    truncate,
+    write_version,
+)
 
 # Date layouts accepted for a driver's date of birth (the race
 # date accepts the four of DEFAULT_DATE_FORMATS).
@@ -61,6 +67,26 @@ def empty_target(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], target_schema(name))
 
 
+def create_silver_tables(spark: SparkSession, base: str, replace: bool = False) -> None:
+    """Empty silver tables with their declared columns under ``base``."""
+    for name in TARGETS:
+        create_table(spark, f"{base.rstrip('/')}/{name}", target_schema(name), replace=replace)
+
+
+def clean_bronze(spark: SparkSession, bronze: str, tables: Sequence[str] = BRONZE_TABLES) -> list[str]:
+    """Empty every landed bronze table that exists, keeping its schema.
+    Returns the tables emptied."""
+    done = []
+    for t in tables:
+        target = f"{bronze.rstrip('/')}/{t}" if ("/" in bronze or ":" in bronze) else f"{bronze}.{t}"
+        try:
+            truncate(spark, target)
+        except Exception:  # noqa: BLE001 -- a table never landed has nothing to empty
+            continue
+        done.append(t)
+    return done
+
+
 # --------------------------------------------------------------------------
 # dimension loads (SCD1)
 # --------------------------------------------------------------------------

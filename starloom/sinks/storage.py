@@ -41,6 +41,20 @@ def write_table(df: DataFrame, target: str, *, mode: str = "overwrite", fmt: str
         w.saveAsTable(target)
 
 
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """CREATE DATABASE IF NOT EXISTS (idempotent)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
+def create_table(spark: SparkSession, target: str, schema: StructType, *, replace: bool = False,
+                 fmt: str = "parquet") -> None:
+    """Create an empty table with declared columns at a path or catalog name.
+    Without ``replace`` an existing table is an error (CREATE TABLE); with it,
+    the table is replaced (CREATE OR REPLACE TABLE)."""
+    mode = "overwrite" if replace else "errorifexists"
+    write_table(spark.createDataFrame([], schema), target, mode=mode, fmt=fmt)
+
+
 def project_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """INSERT with a column list: columns of ``schema`` missing from ``df``
     become typed NULLs, present ones are cast to the declared type, and the

@@ -35,7 +35,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from starloom.sinks.storage import write_table
+from starloom.sinks.storage import ensure_database, write_table
 
 CONTROL_SCHEMA = StructType([
     StructField("file_name", StringType()),
@@ -136,6 +136,9 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
     schema inference (an extra pass over the file).  A failing source does
     not stop the others and is reported as ``failed``.
     """
+    to_path = "/" in bronze or ":" in bronze
+    if not to_path:
+        ensure_database(spark, bronze)
     ctrl = read_control(control)
     listing = list_landing(spark, landing_dir)
     done = _read_ledger(spark, ledger)
@@ -171,7 +174,7 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
             df = reader.csv(f"{base}/{r['entry']}")
             obs = Observation(f"ingest_{target}")
             counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            dest = f"{bronze.rstrip('/')}/{target}" if ("/" in bronze or ":" in bronze) else f"{bronze}.{target}"
+            dest = f"{bronze.rstrip('/')}/{target}" if to_path else f"{bronze}.{target}"
             write_table(counted, dest, mode="overwrite", fmt=fmt)
             n = int(obs.get["rows"])
             audit.append((expected, target, LOADED, None, n, len(df.columns)))

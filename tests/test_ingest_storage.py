@@ -114,3 +114,18 @@ def test_stream_landing_processes_each_file_once(spark, tmp_dir):
     assert stream_landing(spark, glob, df.schema, sink, ckpt) == 6
     assert stream_landing(spark, glob, df.schema, sink, ckpt) == 0
     assert sorted(r["k"] for r in spark.read.parquet(sink).collect()) == list(range(10))
+
+
+def test_create_tables_and_clean_bronze(spark, tmp_dir):
+    import pytest
+    from starloom.plans import racing
+    racing.create_silver_tables(spark, f"{tmp_dir}/silver")
+    fact = spark.read.parquet(f"{tmp_dir}/silver/fact_race_result")
+    assert fact.count() == 0 and len(fact.columns) == 36
+    with pytest.raises(Exception):
+        racing.create_silver_tables(spark, f"{tmp_dir}/silver")
+    racing.create_silver_tables(spark, f"{tmp_dir}/silver", replace=True)
+    spark.createDataFrame([(1, "x")], "statusId int, status string").write.parquet(f"{tmp_dir}/bronze/status")
+    assert racing.clean_bronze(spark, f"{tmp_dir}/bronze") == ["status"]
+    st = spark.read.parquet(f"{tmp_dir}/bronze/status")
+    assert st.count() == 0 and st.columns == ["statusId", "status"]
