@@ -20,6 +20,7 @@ name is the first path element below the landing folder.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -125,16 +126,47 @@ def _read_ledger(spark: SparkSession, ledger: str | None) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
+def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
+              schemas: dict[str, StructType], fmt: str, header: bool):
+    """Read one landed source and overwrite its bronze table in one pass,
+    counting rows during the write.  Returns (audit row, ledger row|None)."""
+    expected, target = r["expected"], r["target_table"]
+    if r["entry"] is None:
+        return (expected, target, SKIPPED, NO_FILE, None, None), None
+    if r["_done"]:
+        return (expected, target, SKIPPED, ALREADY_LOADED, None, None), None
+    try:
+        reader = (spark.read.option("header", str(header).lower())
+                  .option("sep", r["file_delimiter"] or ",")
+                  .option("mode", "FAILFAST"))
+        if target in schemas:
+            reader = reader.schema(schemas[target])
+        else:
+            reader = reader.option("inferSchema", "true")
+        df = reader.csv(f"{base}/{r['entry']}")
+        obs = Observation(f"ingest_{target}")
+        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        dest = f"{bronze.rstrip('/')}/{target}" if to_path else f"{bronze}.{target}"
+        write_table(counted, dest, mode="overwrite", fmt=fmt)
+        n = int(obs.get["rows"])
+        return ((expected, target, LOADED, None, n, len(df.columns)),
+                (expected, r["entry"], r["modified"], r["bytes"], target, n))
+    except Exception as e:  # noqa: BLE001 -- isolate one source's failure
+        return (expected, target, FAILED, f"{type(e).__name__}: {str(e)[:300]}", None, None), None
+
+
 def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: str, *,
            ledger: str | None = None, schemas: dict[str, StructType] | None = None,
-           fmt: str = "parquet", header: bool = True) -> IngestResult:
+           fmt: str = "parquet", header: bool = True, parallel: int = 4) -> IngestResult:
     """Load every control entry whose file is in the landing folder.
 
     ``bronze`` is a folder (each target becomes ``bronze/<target_table>``) or
     a catalog database name (``<db>.<target_table>``).  ``schemas`` gives
     declared schemas per target table; a target without one is read with
     schema inference (an extra pass over the file).  A failing source does
-    not stop the others and is reported as ``failed``.
+    not stop the others and is reported as ``failed``.  Up to ``parallel``
+    sources are loaded at once (concurrent Spark jobs from driver threads),
+    so many small sources do not leave the cluster idle.
     """
     to_path = "/" in bronze or ":" in bronze
     if not to_path:
@@ -148,42 +180,16 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
                   ["expected", "modified", "bytes"], "left"))
     # one row per control entry: the control table is small by nature.
     rows = plan.collect()
-
-    audit, ledger_rows = [], []
-    loaded, skipped, failed = [], [], []
-    schemas = schemas or {}
     base = landing_dir.rstrip("/")
-    for r in rows:
-        expected, target = r["expected"], r["target_table"]
-        if r["entry"] is None:
-            audit.append((expected, target, SKIPPED, NO_FILE, None, None))
-            skipped.append(expected)
-            continue
-        if r["_done"]:
-            audit.append((expected, target, SKIPPED, ALREADY_LOADED, None, None))
-            skipped.append(expected)
-            continue
-        try:
-            reader = (spark.read.option("header", str(header).lower())
-                      .option("sep", r["file_delimiter"] or ",")
-                      .option("mode", "FAILFAST"))
-            if target in schemas:
-                reader = reader.schema(schemas[target])
-            else:
-                reader = reader.option("inferSchema", "true")
-            df = reader.csv(f"{base}/{r['entry']}")
-            obs = Observation(f"ingest_{target}")
-            counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            dest = f"{bronze.rstrip('/')}/{target}" if to_path else f"{bronze}.{target}"
-            write_table(counted, dest, mode="overwrite", fmt=fmt)
-            n = int(obs.get["rows"])
-            audit.append((expected, target, LOADED, None, n, len(df.columns)))
-            ledger_rows.append((expected, r["entry"], r["modified"], r["bytes"], target, n))
-            loaded.append(expected)
-        except Exception as e:  # noqa: BLE001 -- isolate one source's failure
-            audit.append((expected, target, FAILED, f"{type(e).__name__}: {str(e)[:300]}", None, None))
-            failed.append(expected)
+    schemas = schemas or {}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        results = list(pool.map(
+            lambda r: _load_one(spark, r, base, bronze, to_path, schemas, fmt, header), rows))
+    audit = [a for a, _ in results]
+    ledger_rows = [lr for _, lr in results if lr is not None]
     if ledger and ledger_rows:
         spark.createDataFrame(ledger_rows, LEDGER_SCHEMA).coalesce(1) \
             .write.mode("append").parquet(ledger)
-    return IngestResult(spark.createDataFrame(audit, AUDIT_SCHEMA), loaded, skipped, failed)
+    by_status = {s: [a[0] for a in audit if a[2] == s] for s in (LOADED, SKIPPED, FAILED)}
+    return IngestResult(spark.createDataFrame(audit, AUDIT_SCHEMA), by_status[LOADED],
+                        by_status[SKIPPED], by_status[FAILED])
