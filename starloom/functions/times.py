@@ -23,12 +23,13 @@ def lap_time_ms(text: Column | str, missing: str = "zero") -> Column:
         raise ValueError("missing must be 'zero' or 'null'")
     c = F.col(text) if isinstance(text, str) else text
     s = F.trim(c)
-    parts = F.split(s, r"[:.]")
-    frac = F.rpad(F.coalesce(F.get(parts, 2), F.lit("")), 3, "0")
+    # Once the layout is validated the fields sit at fixed places around the
+    # single colon, so plain substring functions (no second regex) cut them.
+    rest = F.substring_index(s, ":", -1)          # "SS" or "SS.f{1,3}"
     ms = (
-        parts.getItem(0).cast("bigint") * 60000
-        + parts.getItem(1).cast("bigint") * 1000
-        + frac.cast("bigint")
+        F.substring_index(s, ":", 1).cast("bigint") * 60000
+        + F.substring(rest, 1, 2).cast("bigint") * 1000
+        + F.rpad(F.substring(rest, 4, 3), 3, "0").cast("bigint")
     )
     # CASE evaluates the branch only for rows that matched the layout, so the
     # casts above never see malformed text.
