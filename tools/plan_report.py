@@ -40,8 +40,9 @@ def main() -> None:
         "reuse identical exchanges, e.g. a dimension that appears twice in the",
         "tree is computed once).  `shuffles` counts",
         "`Exchange hashpartitioning/rangepartitioning` nodes; `broadcasts` counts",
-        "`BroadcastExchange` nodes (every one behind a row-count check or over an",
-        "aggregate of bounded size); `1-part windows` counts single-partition",
+        "`BroadcastExchange` nodes (ours only after a row-count check; Spark's own",
+        "only below `spark.sql.autoBroadcastJoinThreshold` by size estimate, which",
+        "at full scale turns fact-to-fact joins into shuffle joins); `1-part windows` counts single-partition",
         "exchanges: each feeds a ROW_NUMBER for surrogate keys over an input proven",
         "to hold at most 200 000 rows (larger key sets use the range-partitioned,",
         "checkpointed path), or the per-partition offset table of that path.",
