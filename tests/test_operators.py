@@ -193,3 +193,13 @@ def test_share_and_group_mean_and_topk(spark):
                                "u int, t string")
     top = entity_records(ev, "u", "t", {"buy": "buys", "view": "views"}, rank_by=["buys"], top_k=2)
     assert [(r["u"], r["buys"]) for r in top.collect()] == [(2, 2), (1, 1)]
+
+
+def test_surrogate_keys_distributed_path_on_table_data(spark):
+    from conftest import SF_ORACLE
+    c = spark.read.parquet(f"{SF_ORACLE}/customer.parquet").select("c_custkey", "c_mktsegment")
+    dist = assign_surrogate_keys(c, ["c_mktsegment", "c_custkey"], "k", start=10, small_rows=0,
+                                 num_partitions=6)
+    ref = c.withColumn("k", 10 + F.row_number().over(Window.orderBy("c_mktsegment", "c_custkey")))
+    assert dist.count() == c.count()
+    assert sorted(map(tuple, dist.collect())) == sorted(map(tuple, ref.collect()))
