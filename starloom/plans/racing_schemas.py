@@ -14,6 +14,9 @@ def _schema(ddl: str) -> str:
     return ddl
 
 
+# Source column names (as the landed files name them) and the
+# silver table layouts (column names and types), which downstream readers
+# depend on.
 SOURCES: dict[str, str] = {
     "circuits": _schema(
         "circuitId INT, circuitRef STRING, name STRING, location STRING, country STRING, "

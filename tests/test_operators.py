@@ -127,13 +127,13 @@ def test_scd1_into_empty_target(spark):
 def test_calendar_dimension_columns(spark):
     df = spark.createDataFrame([(dt.date(2021, 3, 28), 2021), (dt.date(2021, 3, 28), 2020),
                                 (dt.date(2021, 3, 29), 2021), (None, 1999)], "d date, yr int")
-    cal = calendar_dimension(df, "d", season_col="yr", season_name="f1_season")
+    cal = calendar_dimension(df, "d", season_col="yr", season_name="season")
     rows = {r["date_key"]: r for r in cal.collect()}
     assert set(rows) == {20210328, 20210329}                  # one row per date, NULL left out
     sun = rows[20210328]
     assert (sun["month_name"], sun["day_of_week_name"], sun["day_of_week_num"]) == ("March", "Sunday", 1)
     assert sun["is_weekend"] is True and rows[20210329]["is_weekend"] is False
-    assert sun["f1_season"] == 2020 and sun["quarter"] == 1
+    assert sun["season"] == 2020 and sun["quarter"] == 1
     existing = cal.where(F.col("date_key") == 20210328)
     assert [r["date_key"] for r in insert_if_absent(cal, existing).collect()] == [20210329]
 
