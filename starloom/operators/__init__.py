@@ -4,6 +4,7 @@ from starloom.operators.analyses import (
     compare_to_group_mean,
     count_by_bucket,
     entity_records,
+    join_group_values,
     mean_by_bucket,
     period_leaders,
     share_of_group,
@@ -31,7 +32,7 @@ from starloom.operators.scd1 import scd1_merge
 __all__ = [
     "Enrichment", "Lookup", "assemble_fact", "assert_unique", "assign_surrogate_keys",
     "broadcast_if_small", "calendar_dimension", "compare_to_group_mean", "count_by_bucket",
-    "enrich", "entity_records", "insert_if_absent", "lookup_keys", "max_key",
+    "enrich", "entity_records", "insert_if_absent", "join_group_values", "lookup_keys", "max_key",
     "mean_by_bucket", "period_leaders", "quarantine", "replace_keys", "rollup_children",
     "row_count_at_most", "scd1_merge", "share_of_group",
 ]

@@ -20,6 +20,31 @@ def _cols(xs: Sequence[str]) -> list[str]:
     return list(xs)
 
 
+def join_group_values(units: DataFrame, groups: DataFrame, keys: Sequence[str], *,
+                      how: str = "left", salt_buckets: int | None = None,
+                      salt_from: Sequence[str] | None = None,
+                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Attach per-group values (one row per group key) to every unit row.
+
+    * group table proven small -> broadcast join, no shuffle of ``units``;
+    * otherwise, with ``salt_buckets`` -> salted shuffle join: each unit gets a
+      deterministic salt ``pmod(xxhash64(salt_from), k)`` (its own columns,
+      so a recomputed task reproduces it) and every group row is replicated
+      for the k salts with ``explode(sequence(0, k-1))``; a group holding a
+      third of all units is then spread over k tasks;
+    * otherwise a plain shuffle join, whose hot partitions AQE's skew-join
+      handling splits at run time.
+    """
+    keys = _cols(keys)
+    small = broadcast_if_small(groups, broadcast_max_rows)
+    if small is not groups or not salt_buckets:
+        return units.join(small, keys, how)
+    cols = _cols(salt_from) if salt_from else [c for c in units.columns if c not in keys]
+    salted_units = units.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
+    salted_groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted_units.join(salted_groups, keys + ["_salt"], how).drop("_salt")
+
+
 def period_leaders(values: DataFrame, entity: Sequence[str], period: Sequence[str],
                    measure: str) -> DataFrame:
     """Rows of ``values`` (one per entity and period) holding the period's
@@ -63,19 +88,20 @@ def entity_records(events: DataFrame, entity: str, category_col: str,
 
 def compare_to_group_mean(units: DataFrame, group: Sequence[str], value: str, *,
                           mean_name: str = "group_mean", delta_name: str = "vs_group_mean",
-                          exact_sum_type: str = "decimal(18,4)") -> DataFrame:
+                          exact_sum_type: str = "decimal(18,4)",
+                          salt_buckets: int | None = None) -> DataFrame:
     """Each unit beside its group's mean value and its distance from it.
 
     The mean is ``CAST(SUM(value) AS DOUBLE) / COUNT(*)`` over an exact
     decimal sum, from a grouped aggregate joined back on the group key (a hot
     group is combined map-side; the join back is broadcast when the group
-    table is proven small, otherwise a shuffle join that AQE may split).
+    table is proven small, otherwise salted with ``salt_buckets`` or left to
+    AQE's skew split -- see ``join_group_values``).
     """
     group = _cols(group)
     means = units.groupBy(*group).agg(
         (F.sum(value).cast(exact_sum_type).cast("double") / F.count(F.lit(1))).alias(mean_name))
-    means = broadcast_if_small(means)
-    return (units.join(means, group, "left")
+    return (join_group_values(units, means, group, salt_buckets=salt_buckets)
             .withColumn(delta_name, F.col(value).cast("double") - F.col(mean_name)))
 
 
@@ -91,14 +117,16 @@ def mean_by_bucket(units: DataFrame, bucket: str, value: str, *,
 def share_of_group(values: DataFrame, member: Sequence[str], group: Sequence[str],
                    period: Sequence[str], measure: str, *,
                    group_total_name: str = "group_value", share_name: str = "share",
-                   rank_name: str = "group_rank", total_type: str = "decimal(18,2)") -> DataFrame:
+                   rank_name: str = "group_rank", total_type: str = "decimal(18,2)",
+                   salt_buckets: int | None = None) -> DataFrame:
     """Each member's share of its group's total per period, beside the
     group's rank (1 = largest total) among groups in that period.
 
     ``values`` holds one row per (member, group, period).  Group totals are a
     grouped aggregate; the rank window runs over that aggregate, where a
     period partition holds one row per group.  The totals are joined back on
-    (group, period) -- broadcast when proven small.
+    (group, period) with ``join_group_values`` (broadcast when proven small,
+    otherwise salted or left to AQE).
     """
     member, group, period = _cols(member), _cols(group), _cols(period)
     totals = values.groupBy(*group, *period).agg(
@@ -106,7 +134,6 @@ def share_of_group(values: DataFrame, member: Sequence[str], group: Sequence[str
     ranked = totals.withColumn(
         rank_name,
         F.rank().over(Window.partitionBy(*period).orderBy(F.col(group_total_name).desc())).cast("int"))
-    ranked = broadcast_if_small(ranked, BROADCAST_MAX_ROWS)
-    out = values.join(ranked, group + period, "left")
+    out = join_group_values(values, ranked, group + period, salt_buckets=salt_buckets)
     return out.withColumn(
         share_name, F.col(measure).cast("double") / F.col(group_total_name).cast("double"))

@@ -454,6 +454,10 @@ def clean_names(spark: SparkSession, d: str) -> DataFrame:
 # analyses
 # --------------------------------------------------------------------------
 
+# Hot-group spreading for join-backs that are too large to broadcast.
+SALT_BUCKETS = 16
+
+
 def _customer_nations(spark: SparkSession, d: str) -> DataFrame:
     return broadcast_if_small(read_table(spark, d, "customer", ["c_custkey", "c_nationkey"]))
 
@@ -511,7 +515,8 @@ def _order_values(spark: SparkSession, d: str) -> DataFrame:
 def deep_dive(spark: SparkSession, d: str) -> DataFrame:
     """Each order's value beside its customer's mean order value."""
     return compare_to_group_mean(_order_values(spark, d), ["o_custkey"], "order_value",
-                                 mean_name="cust_mean_value", delta_name="vs_cust_mean") \
+                                 mean_name="cust_mean_value", delta_name="vs_cust_mean",
+                                 salt_buckets=SALT_BUCKETS) \
         .select("o_orderkey", "o_custkey", "line_count", "order_value", "cust_mean_value", "vs_cust_mean")
 
 
@@ -526,7 +531,8 @@ def share_of_group(spark: SparkSession, d: str) -> DataFrame:
     nation's rank that year."""
     vals = _customer_year_values(spark, d)
     out = share_of_group_op(vals, ["o_custkey"], ["c_nationkey"], ["year"], "cust_value",
-                            group_total_name="nation_value", share_name="share", rank_name="nation_rank")
+                            group_total_name="nation_value", share_name="share", rank_name="nation_rank",
+                            salt_buckets=SALT_BUCKETS)
     return out.select("o_custkey", "c_nationkey", "year", "cust_value", "nation_value", "share", "nation_rank")
 
 

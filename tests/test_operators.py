@@ -203,3 +203,19 @@ def test_surrogate_keys_distributed_path_on_table_data(spark):
     ref = c.withColumn("k", 10 + F.row_number().over(Window.orderBy("c_mktsegment", "c_custkey")))
     assert dist.count() == c.count()
     assert sorted(map(tuple, dist.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_salted_join_back_equals_plain_join(spark):
+    from starloom.operators import join_group_values
+    # one hot group holding most rows, many cold ones
+    units = spark.range(0, 3000).select(
+        F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
+        F.col("id").alias("u"), (F.col("id") % 13).cast("decimal(12,2)").alias("val"))
+    c_plain = compare_to_group_mean(units, ["g"], "val")
+    # broadcast threshold 0 forces the salted shuffle path
+    means = units.groupBy("g").agg(F.avg("val").alias("m"))
+    salted = join_group_values(units, means, ["g"], salt_buckets=8, broadcast_max_rows=0)
+    plain = units.join(means, ["g"], "left")
+    assert sorted(map(tuple, salted.select("g", "u", "m").collect())) == \
+        sorted(map(tuple, plain.select("g", "u", "m").collect()))
+    assert c_plain.count() == 3000
