@@ -46,14 +46,13 @@ def join_group_values(units: DataFrame, groups: DataFrame, keys: Sequence[str],
 
 
 def period_leaders(values: DataFrame, entity: Sequence[str], period: Sequence[str],
-                   measure: str) -> DataFrame:
+                   measure: str, *, salt_buckets: int | None = None) -> DataFrame:
     """Rows of ``values`` (one per entity and period) holding the period's
     largest ``measure`` -- RANK() = 1, ties included -- computed as a grouped
     max joined back on (period, max)."""
     period = _cols(period)
     best = values.groupBy(*period).agg(F.max(measure).alias("_best"))
-    best = broadcast_if_small(best)
-    j = values.join(best, period, "inner")
+    j = join_group_values(values, best, period, how="inner", salt_buckets=salt_buckets)
     return j.where(F.col(measure) == F.col("_best")).drop("_best")
 
 
