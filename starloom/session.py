@@ -33,6 +33,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, *, executors: int = 1000, cores_per_executor: int = 8,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a job reading ``input_bytes`` on a large cluster.
+
+    Shuffle partitions start from input size / target partition size (AQE
+    then coalesces small ones and splits skewed ones), never fewer than two
+    waves of the cluster's task slots; scans use large splits so a 100 TB
+    input is ~400k tasks rather than millions; broadcasts stay small enough
+    to ship to a thousand executors.
+    """
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -112,3 +112,11 @@ def test_functions_stay_in_codegen(spark, capsys):
     plan = capsys.readouterr().out
     assert "WholeStageCodegen" in plan or "*(" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_scale_conf_partitions():
+    from starloom.session import scale_conf
+    conf = scale_conf(100 * (1 << 40), executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
