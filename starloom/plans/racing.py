@@ -39,14 +39,16 @@ from starloom.operators import (
     rollup_children,
     scd1_merge,
 )
-from starloom.plans.racing_schemas import BRONZE_TABLES, TARGETS, target_schema
+from starloom.plans.racing_schemas import BRONZE_TABLES, SOURCES, TARGETS, source_schema, target_schema
 from starloom.sinks.storage import (
     create_table,
+    export,
     project_to_schema,
     read_current,
     truncate,
     write_version,
 )
+from starloom.sources.landing import IngestResult, ingest
 
 # Date layouts accepted for a driver's date of birth (the race
 # date accepts the four of DEFAULT_DATE_FORMATS).
@@ -350,3 +352,34 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
     out["fact_race_result"] = keep("fact_race_result", fact)
     out["fact_quarantine"] = keep("fact_quarantine", bad)
     return out
+
+
+def _read_or_none(fn):
+    try:
+        return fn()
+    except Exception:  # noqa: BLE001 -- table not created yet
+        return None
+
+
+def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bronze_dir: str,
+                     silver_store: str, *, export_dir: str | None = None, load_ts=None,
+                     require_measure: str | None = "best_qualifying_time_ms",
+                     export_single_file_rows: int = 1_000_000) -> tuple[IngestResult, dict[str, DataFrame]]:
+    """The whole job: ingest landed files into bronze (declared schemas,
+    ledger), load the silver star schema as new table versions, and export
+    every silver table as CSV.  Returns the ingest audit and the silver
+    tables as loaded."""
+    res = ingest(spark, control, landing, bronze_dir, ledger=f"{bronze_dir.rstrip('/')}/_ledger",
+                 schemas={name: source_schema(name) for name in SOURCES})
+    bronze = {}
+    for name in SOURCES:
+        df = _read_or_none(lambda n=name: spark.read.schema(source_schema(n))
+                           .parquet(f"{bronze_dir.rstrip('/')}/{n}"))
+        bronze[name] = df if df is not None else spark.createDataFrame([], source_schema(name))
+    silver = {name: _read_or_none(lambda n=name: read_current(spark, f"{silver_store.rstrip('/')}/{n}"))
+              for name in TARGETS if name.startswith("dim_")}
+    out = run_all(bronze, silver, load_ts=load_ts, require_measure=require_measure, store=silver_store)
+    if export_dir:
+        for name, df in out.items():
+            export(df, f"{export_dir.rstrip('/')}/{name}", single_file_max_rows=export_single_file_rows)
+    return res, out

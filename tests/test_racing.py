@@ -134,3 +134,27 @@ def test_racing_rerun_is_idempotent_and_reload_targets_races(spark, bronze, tmp_
     assert rows[3]["pit_stop_count"] == 1 and rows[1]["pit_stop_count"] == 2
     assert rows[1]["result_key"] == by(old, "src_result_id")[1]["result_key"]
     assert len({r["result_key"] for r in rows.values()}) == 3
+
+
+def test_run_from_landing_end_to_end(spark, bronze, tmp_dir):
+    import os
+    from starloom.sinks.storage import export
+    from starloom.sources.landing import CONTROL_SCHEMA
+    landing = f"{tmp_dir}/landing"
+    for name, df in bronze.items():
+        export(df, f"{landing}/{name}.csv", single_file_max_rows=100)
+    control = spark.createDataFrame([(n, "csv", n, ",") for n in bronze] + [("seasons", "csv", "seasons", ",")],
+                                    CONTROL_SCHEMA)
+    res, out = racing.run_from_landing(spark, control, landing, f"{tmp_dir}/bronze", f"{tmp_dir}/silver",
+                                       export_dir=f"{tmp_dir}/export", load_ts=TS)
+    assert sorted(res.loaded) == sorted(f"{n}.csv" for n in bronze) and res.skipped == ["seasons.csv"]
+    assert sorted(r["src_result_id"] for r in out["fact_race_result"].collect()) == [1, 2, 3]
+    assert os.path.isdir(f"{tmp_dir}/export/fact_race_result")
+    back = spark.read.option("header", "true").csv(f"{tmp_dir}/export/dim_driver")
+    assert back.count() == 3
+    # second run: nothing new landed, silver taken from the store, same fact
+    res2, out2 = racing.run_from_landing(spark, control, landing, f"{tmp_dir}/bronze", f"{tmp_dir}/silver",
+                                         load_ts=TS)
+    assert res2.loaded == []
+    assert sorted(r["result_key"] for r in out2["fact_race_result"].collect()) == [1, 2, 3]
+    assert out2["dim_driver"].count() == 3
