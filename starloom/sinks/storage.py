@@ -55,6 +55,19 @@ def create_table(spark: SparkSession, target: str, schema: StructType, *, replac
     write_table(spark.createDataFrame([], schema), target, mode=mode, fmt=fmt)
 
 
+def materialise(df: DataFrame, view_name: str | None = None, *, persist: bool = False) -> DataFrame:
+    """CREATE TEMP TABLE ... AS SELECT: register ``df`` as a temp view and,
+    when it is read more than once, keep it with ``persist`` (memory and
+    disk; a lost executor's blocks are recomputed from lineage).  The caller
+    unpersists it after its last use."""
+    from pyspark import StorageLevel
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if view_name:
+        df.createOrReplaceTempView(view_name)
+    return df
+
+
 def project_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """INSERT with a column list: columns of ``schema`` missing from ``df``
     become typed NULLs, present ones are cast to the declared type, and the

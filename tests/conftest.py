@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="starloom-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

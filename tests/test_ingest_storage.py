@@ -129,3 +129,23 @@ def test_create_tables_and_clean_bronze(spark, tmp_dir):
     assert racing.clean_bronze(spark, f"{tmp_dir}/bronze") == ["status"]
     st = spark.read.parquet(f"{tmp_dir}/bronze/status")
     assert st.count() == 0 and st.columns == ["statusId", "status"]
+
+
+def test_materialise_registers_view(spark):
+    from starloom.sinks.storage import materialise
+    df = materialise(spark.range(5), "starloom_source_view", persist=True)
+    assert spark.sql("SELECT count(*) AS n FROM starloom_source_view").first()["n"] == 5
+    assert df.is_cached
+    df.unpersist()
+
+
+def test_ingest_into_catalog_database(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    _land(spark, landing)
+    control = spark.createDataFrame([("status", "csv", "status", ",")], CONTROL_SCHEMA)
+    res = ingest(spark, control, landing, "bronze_catalog_test")
+    assert res.loaded == ["status.csv"]
+    assert spark.table("bronze_catalog_test.status").count() == 2
+    # overwrite replaces the table on the next load
+    res2 = ingest(spark, control, landing, "bronze_catalog_test")
+    assert spark.table("bronze_catalog_test.status").count() == 2 and res2.loaded == ["status.csv"]
