@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import BROADCAST_MAX_ROWS, broadcast_if_small
+from starloom.operators.ranking import rank_within
 
 
 def _cols(xs: Sequence[str]) -> list[str]:
@@ -122,17 +123,16 @@ def share_of_group(values: DataFrame, member: Sequence[str], group: Sequence[str
     group's rank (1 = largest total) among groups in that period.
 
     ``values`` holds one row per (member, group, period).  Group totals are a
-    grouped aggregate; the rank window runs over that aggregate, where a
-    period partition holds one row per group.  The totals are joined back on
+    grouped aggregate; the rank is ``rank_within`` over that aggregate (a
+    window when it is proven small, prefix sums over range partitions
+    otherwise).  The totals are joined back on
     (group, period) with ``join_group_values`` (broadcast when proven small,
     otherwise salted or left to AQE).
     """
     member, group, period = _cols(member), _cols(group), _cols(period)
     totals = values.groupBy(*group, *period).agg(
         F.sum(measure).cast(total_type).alias(group_total_name))
-    ranked = totals.withColumn(
-        rank_name,
-        F.rank().over(Window.partitionBy(*period).orderBy(F.col(group_total_name).desc())).cast("int"))
+    ranked = rank_within(totals, period, group_total_name, rank_name)
     out = join_group_values(values, ranked, group + period, salt_buckets=salt_buckets)
     return out.withColumn(
         share_name, F.col(measure).cast("double") / F.col(group_total_name).cast("double"))

@@ -219,3 +219,21 @@ def test_salted_join_back_equals_plain_join(spark):
     assert sorted(map(tuple, salted.select("g", "u", "m").collect())) == \
         sorted(map(tuple, plain.select("g", "u", "m").collect()))
     assert c_plain.count() == 3000
+
+
+def test_rank_within_distributed_equals_window_rank(spark):
+    from starloom.operators import rank_within
+    df = spark.range(0, 4000).select(
+        (F.col("id") % 3).alias("p"),
+        F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise((F.col("id") * 7919) % 211).alias("v"),
+        F.col("id").alias("row"))
+    ref = df.withColumn("r", F.rank().over(Window.partitionBy("p").orderBy(F.col("v").desc())).cast("int"))
+    dist = rank_within(df, ["p"], "v", "r", small_rows=0, num_partitions=7)
+    assert dist.count() == 4000
+
+    def rows(d):
+        return sorted(((r["row"], r["r"]) for r in d.collect()))
+    assert rows(dist) == rows(ref)
+    asc = rank_within(df, ["p"], "v", "r", descending=False, small_rows=0, num_partitions=5)
+    ref_asc = df.withColumn("r", F.rank().over(Window.partitionBy("p").orderBy(F.col("v").asc_nulls_last())).cast("int"))
+    assert rows(asc) == rows(ref_asc)
