@@ -10,9 +10,37 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_cast(c: Column | str, to: str) -> Column:
-    """TRY_CAST: NULL on unparseable text *or* overflow, never an error."""
-    return _col(c).try_cast(to)
+# Ranges of the narrow integer types.
+_INT_RANGES = {
+    "tinyint": (-128, 127), "byte": (-128, 127),
+    "smallint": (-32768, 32767), "short": (-32768, 32767),
+    "int": (-2147483648, 2147483647), "integer": (-2147483648, 2147483647),
+}
+
+
+def safe_cast(c: Column | str, to: str, *, text: bool = True) -> Column:
+    """TRY_CAST: NULL on unparseable text *or* overflow, never an error.
+
+    Same results as ``try_cast``, on a faster path for raw text:
+
+    * text without a digit of any script (``\\N``, ``R``, empty) can be no
+      integer or decimal, so it is answered NULL before the cast -- a failing
+      TRY_CAST is far slower than a successful one;
+    * narrow integer targets go through BIGINT plus a range check, because a
+      direct TRY_CAST to TINYINT is slow for every out-of-range value.
+
+    Pass ``text=False`` when the input is already numeric.
+    """
+    col = _col(c)
+    target = to.strip().lower()
+    rng = _INT_RANGES.get(target)
+    exact_numeric = rng is not None or target in ("bigint", "long") or target.startswith("decimal")
+    if text and exact_numeric:
+        col = F.when(col.cast("string").rlike(r"\p{Nd}"), col)
+    if rng is None:
+        return col.try_cast(to)
+    wide = col.try_cast("bigint")
+    return F.when(wide.between(*rng), wide.cast(to))
 
 
 def strict_cast(c: Column | str, to: str) -> Column:

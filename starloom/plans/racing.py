@@ -104,7 +104,7 @@ def load_dim_circuit(circuits: DataFrame, target: DataFrame, load_ts=None) -> Da
         safe_cast(null_tokens_to_null(trimmed("lat")), "decimal(9,6)").alias("latitude"),
         safe_cast(null_tokens_to_null(trimmed("lng")), "decimal(9,6)").alias("longitude"),
         safe_cast(F.round(safe_cast(null_tokens_to_null(trimmed("alt")), "decimal(12,3)"), 0),
-                  "smallint").alias("altitude_m"),
+                  "smallint", text=False).alias("altitude_m"),
         F.col("url").alias("wikipedia_url"))
     return scd1_merge(target, src, ["circuit_id"], surrogate_key="circuit_key",
                       load_ts=_stamp(load_ts))
@@ -173,8 +173,8 @@ def load_dim_race(races: DataFrame, dim_circuit: DataFrame, dim_date: DataFrame,
         Lookup(dim_date, {"_race_date": "full_date"}, {"date_key": "date_key"}),
     ]).select(
         F.col("raceId").cast("int").alias("race_id"),
-        safe_cast("year", "smallint").alias("season_year"),
-        safe_cast("round", "tinyint").alias("round_number"),
+        safe_cast("year", "smallint", text=False).alias("season_year"),
+        safe_cast("round", "tinyint", text=False).alias("round_number"),
         F.col("name").alias("race_name"),
         F.col("_race_date").alias("race_date"),
         null_tokens_to_null("time").alias("race_time"),
@@ -284,7 +284,7 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
         lap_time_ms("fastestLapTime", missing="null").alias("fastest_lap_time_ms"),
         safe_cast("fastestLapSpeed", "decimal(7,3)").alias("fastest_lap_speed_kph"),
         default_zero("pit_stop_count").cast("tinyint").alias("pit_stop_count"),
-        safe_cast("total_pit_time_ms", "int").alias("total_pit_time_ms"),
+        safe_cast("total_pit_time_ms", "int", text=False).alias("total_pit_time_ms"),
         "avg_pit_time_ms",
         F.col("driver_champ_points").cast("decimal(6,2)").alias("driver_champ_points"),
         F.col("driver_champ_position").cast("tinyint").alias("driver_champ_position"),

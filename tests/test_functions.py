@@ -120,3 +120,25 @@ def test_scale_conf_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     small = scale_conf(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_date_precheck_never_changes_results(spark):
+    from starloom.functions.dates import DEFAULT_DATE_FORMATS
+    texts = ["2021-03-28", "12021-03-28", "+12021-03-28", " 2021-03-28", "2021-03-28 ", "2021-3-28",
+             "28-3-2021", "28/03/21", "2021/03/28", "2021-02-30", "31/12/1999", "12/31/1999",
+             "2021-03-28T10:00", "0001-01-01", "99-99-9999", "", None, "\\N", "28.03.2021"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    raw = F.coalesce(*[F.try_to_date("t", f) for f in DEFAULT_DATE_FORMATS])
+    rows = df.select("t", parse_date_any("t").eqNullSafe(raw).alias("same"),
+                     raw.isNotNull().alias("parsed")).collect()
+    assert all(r["same"] for r in rows), [r["t"] for r in rows if not r["same"]]
+    assert sum(r["parsed"] for r in rows) >= 5
+
+
+def test_safe_cast_precheck_never_changes_results(spark):
+    texts = ["12", " 12 ", "+7", "-128", "-129", "127", "128", "1.0", "1e3", "abc", "", None, "\\N",
+             "R", "99999999999999999999", "0x10", "١٢"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for to in ("tinyint", "smallint", "int", "bigint", "decimal(7,3)"):
+        rows = df.select(safe_cast("t", to).alias("a"), F.col("t").try_cast(to).alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in rows), (to, [(t, r["a"], r["b"]) for t, r in zip(texts, rows)])
