@@ -4,6 +4,7 @@ Spark SQL expressions, so they stay inside whole-stage codegen."""
 from starloom.functions.dates import DEFAULT_DATE_FORMATS, date_key, parse_date_any
 from starloom.functions.numeric import (
     default_zero,
+    exact_sum,
     least_positive,
     positions_gained,
     safe_cast,
@@ -17,6 +18,7 @@ __all__ = [
     "blank_to_null",
     "date_key",
     "default_zero",
+    "exact_sum",
     "full_name",
     "lap_time_ms",
     "least_positive",

@@ -71,3 +71,16 @@ def default_zero(c: Column | str, out_type: str | None = None) -> Column:
     """COALESCE(c, 0) -- e.g. a child count after a left join."""
     out = F.coalesce(_col(c), F.lit(0))
     return out.cast(out_type) if out_type else out
+
+
+def exact_sum(c: Column | str, scale: int, out_type: str | None = None) -> Column:
+    """SUM of a DECIMAL value with ``scale`` fraction digits, accumulated as
+    BIGINT units of 10^-scale: the same exact total as a decimal sum, but on
+    fixed-width arithmetic instead of arbitrary-precision decimals (Spark
+    only does this itself for precisions up to 8).  A group total beyond
+    9.2e18 units overflows, which raises under ANSI mode rather than
+    wrapping.  Returns ``out_type`` (default ``decimal(18, scale)``).
+    """
+    units = (_col(c) * F.lit(10 ** scale)).cast("bigint")
+    total = F.sum(units).cast("decimal(38,0)") / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")
+    return total.cast(out_type or f"decimal(18,{scale})")

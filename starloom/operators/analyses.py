@@ -8,11 +8,13 @@ per-partition size is one row per member of the group.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.numeric import exact_sum
 from starloom.operators.keys import BROADCAST_MAX_ROWS, broadcast_if_small
 from starloom.operators.ranking import rank_within
 
@@ -21,6 +23,14 @@ def _cols(xs: Sequence[str]) -> list[str]:
     return list(xs)
 
 
+def _decimal_sum(col: Column, in_type: str, out_type: str) -> Column:
+    """Exact SUM; decimal inputs are summed as BIGINT units (``exact_sum``)."""
+    m = re.fullmatch(r"decimal\((\d+),(\d+)\)", in_type.replace(" ", ""))
+    if m:
+        return exact_sum(col, int(m.group(2)), out_type)
+    return F.sum(col).cast(out_type)
+
+
 def join_group_values(units: DataFrame, groups: DataFrame, keys: Sequence[str], *,
                       how: str = "left", salt_buckets: int | None = None,
                       salt_from: Sequence[str] | None = None,
@@ -78,7 +88,8 @@ def entity_records(events: DataFrame, entity: str, category_col: str,
     aggs = [F.sum(F.when(F.col(category_col) == F.lit(v), 1).otherwise(0)).cast("bigint").alias(name)
             for v, name in categories.items()]
     if value_col:
-        aggs.append(F.sum(F.col(value_col).cast(value_type)).cast(total_type).alias(value_name or "total_value"))
+        scale = F.col(value_col).cast(value_type)
+        aggs.append(_decimal_sum(scale, value_type, total_type).alias(value_name or "total_value"))
     per = events.groupBy(entity).agg(*aggs)
     if top_k is None:
         return per
@@ -99,8 +110,9 @@ def compare_to_group_mean(units: DataFrame, group: Sequence[str], value: str, *,
     AQE's skew split -- see ``join_group_values``).
     """
     group = _cols(group)
+    total = _decimal_sum(F.col(value), dict(units.dtypes)[value], exact_sum_type)
     means = units.groupBy(*group).agg(
-        (F.sum(value).cast(exact_sum_type).cast("double") / F.count(F.lit(1))).alias(mean_name))
+        (total.cast("double") / F.count(F.lit(1))).alias(mean_name))
     return (join_group_values(units, means, group, salt_buckets=salt_buckets)
             .withColumn(delta_name, F.col(value).cast("double") - F.col(mean_name)))
 
@@ -109,9 +121,10 @@ def mean_by_bucket(units: DataFrame, bucket: str, value: str, *,
                    count_name: str = "units", mean_name: str = "mean_value",
                    exact_sum_type: str = "decimal(18,4)") -> DataFrame:
     """Mean value per bucket (e.g. mean order value by line count)."""
+    total = _decimal_sum(F.col(value), dict(units.dtypes)[value], exact_sum_type)
     return units.groupBy(bucket).agg(
         F.count(F.lit(1)).alias(count_name),
-        (F.sum(value).cast(exact_sum_type).cast("double") / F.count(F.lit(1))).alias(mean_name))
+        (total.cast("double") / F.count(F.lit(1))).alias(mean_name))
 
 
 def share_of_group(values: DataFrame, member: Sequence[str], group: Sequence[str],
@@ -130,8 +143,9 @@ def share_of_group(values: DataFrame, member: Sequence[str], group: Sequence[str
     otherwise salted or left to AQE).
     """
     member, group, period = _cols(member), _cols(group), _cols(period)
+    mtype = dict(values.dtypes)[measure]
     totals = values.groupBy(*group, *period).agg(
-        F.sum(measure).cast(total_type).alias(group_total_name))
+        _decimal_sum(F.col(measure), mtype, total_type).alias(group_total_name))
     ranked = rank_within(totals, period, group_total_name, rank_name)
     out = join_group_values(values, ranked, group + period, salt_buckets=salt_buckets)
     return out.withColumn(

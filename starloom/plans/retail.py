@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from starloom.functions import (
     blank_to_null,
     date_key,
+    exact_sum,
     full_name,
     lap_time_ms,
     least_positive,
@@ -101,7 +102,7 @@ def lineitem_rollup(spark: SparkSession, d: str) -> DataFrame:
         count_name="line_count", sum_name="total_qty", sum_type="bigint",
         avg_name=None,
         extra=[F.avg(F.col("l_quantity").cast("decimal(10,0)")).cast("decimal(8,1)").alias("avg_qty"),
-               F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(18,2)").alias("total_price")])
+               exact_sum(F.col("l_extendedprice").cast("decimal(15,2)"), 2).alias("total_price")])
 
 
 FACT_COLUMNS = ["o_orderkey", "cust_key", "nation_key", "region_key", "date_key",
@@ -219,8 +220,7 @@ def child_rollup(spark: SparkSession, d: str) -> DataFrame:
         li, ["l_orderkey", "l_suppkey"], F.floor("l_quantity").cast("int"),
         count_name="line_count", sum_name="total_qty", sum_type="bigint",
         avg_name="avg_qty", avg_input_type="decimal(10,0)", avg_type="decimal(8,1)",
-        extra=[F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(18,2)")
-               .alias("total_price")])
+        extra=[exact_sum(F.col("l_extendedprice").cast("decimal(15,2)"), 2).alias("total_price")])
 
 
 # --------------------------------------------------------------------------
@@ -469,7 +469,7 @@ def _customer_year_values(spark: SparkSession, d: str) -> DataFrame:
     handful of rows rather than a skewed partition."""
     o = read_table(spark, d, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     per = (o.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
-           .agg(F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("decimal(18,2)").alias("cust_value")))
+           .agg(exact_sum(F.col("o_totalprice").cast("decimal(15,2)"), 2).alias("cust_value")))
     c = _customer_nations(spark, d)
     return per.join(c, per["o_custkey"] == c["c_custkey"]).drop("c_custkey")
 
@@ -479,7 +479,7 @@ def leader_by_decade(spark: SparkSession, d: str) -> DataFrame:
     kept); years led per nation and decade."""
     rev = (_customer_year_values(spark, d)
            .groupBy("c_nationkey", "year")
-           .agg(F.sum("cust_value").cast("decimal(18,2)").alias("revenue")))
+           .agg(exact_sum("cust_value", 2).alias("revenue")))
     leaders = period_leaders(rev, ["c_nationkey"], ["year"], "revenue")
     counts = count_by_bucket(leaders, ["c_nationkey"], (F.floor(F.col("year") / 10) * 10).cast("int"),
                              "decade", "years_led")
@@ -506,7 +506,7 @@ def _order_values(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
     value = F.col("l_extendedprice").cast("decimal(15,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     per = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("line_count"),
-                                       F.sum(value).cast("decimal(18,4)").alias("order_value"))
+                                       exact_sum(value, 4).alias("order_value"))
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
     return per.join(o, per["l_orderkey"] == o["o_orderkey"]).select(
         "o_orderkey", "o_custkey", "line_count", "order_value")

@@ -142,3 +142,13 @@ def test_safe_cast_precheck_never_changes_results(spark):
     for to in ("tinyint", "smallint", "int", "bigint", "decimal(7,3)"):
         rows = df.select(safe_cast("t", to).alias("a"), F.col("t").try_cast(to).alias("b")).collect()
         assert all(r["a"] == r["b"] for r in rows), (to, [(t, r["a"], r["b"]) for t, r in zip(texts, rows)])
+
+
+def test_exact_sum_equals_decimal_sum(spark):
+    from decimal import Decimal as D
+    from starloom.functions import exact_sum
+    df = spark.createDataFrame([(1, D("0.10")), (1, D("0.20")), (1, None), (2, D("-5.55")), (3, None),
+                                (2, D("99999999.99"))], "g int, v decimal(12,2)")
+    got = {r["g"]: r["s"] for r in df.groupBy("g").agg(exact_sum("v", 2).alias("s")).collect()}
+    ref = {r["g"]: r["s"] for r in df.groupBy("g").agg(F.sum("v").cast("decimal(18,2)").alias("s")).collect()}
+    assert got == ref and got[1] == D("0.30") and got[3] is None
