@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from starloom.functions import (
     blank_to_null,
-    date_key,
     exact_sum,
     full_name,
     lap_time_ms,
