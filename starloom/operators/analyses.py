@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numeric import exact_sum
-from starloom.operators.keys import BROADCAST_MAX_ROWS, broadcast_if_small
+from starloom.operators.keys import broadcast_if_small
 from starloom.operators.ranking import rank_within
 
 
@@ -34,7 +34,7 @@ def _decimal_sum(col: Column, in_type: str, out_type: str) -> Column:
 def join_group_values(units: DataFrame, groups: DataFrame, keys: Sequence[str], *,
                       how: str = "left", salt_buckets: int | None = None,
                       salt_from: Sequence[str] | None = None,
-                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                      broadcast_max_rows: int | None = None) -> DataFrame:
     """Attach per-group values (one row per group key) to every unit row.
 
     * group table proven small -> broadcast join, no shuffle of ``units``;

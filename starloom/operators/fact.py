@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import (
-    BROADCAST_MAX_ROWS,
     Lookup,
     assert_unique,
     broadcast_if_small,
@@ -112,7 +111,7 @@ def assemble_fact(base: DataFrame, *, lookups: Sequence[Lookup] = (),
 
 def replace_keys(old: DataFrame, new: DataFrame, key_cols: Sequence[str],
                  keys: DataFrame | None = None,
-                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_rows: int | None = None) -> DataFrame:
     """Targeted reload: rows of ``old`` whose key is in ``keys`` are replaced
     by the rows of ``new`` with those keys; all other rows of ``old`` stay.
 

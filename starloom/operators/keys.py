@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from starloom.session import checkpoint_dir
 
 # Row bound under which a side may be broadcast / numbered in one window.
+# Read at call time (parameters default to None), so a deployment -- or a
+# test forcing the distributed paths -- can change them in one place.
 BROADCAST_MAX_ROWS = 1_000_000
 SMALL_KEYSET_ROWS = 200_000
 
@@ -54,7 +56,7 @@ def with_row_bound(df: DataFrame, bound: int) -> DataFrame:
     return df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
                        bound_of: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only if its row count is proven small.
 
@@ -62,6 +64,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     ``df`` (``df`` is a projection of it); otherwise the bound is checked
     with a bounded count.
     """
+    if max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
     known = row_bound(bound_of if bound_of is not None else df)
     if known is not None and known <= max_rows:
         return F.broadcast(df)
@@ -93,7 +97,7 @@ def max_key(df: DataFrame, key: str) -> int:
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], key_name: str,
                           start: int = 0, num_partitions: int | None = None,
-                          small_rows: int = SMALL_KEYSET_ROWS) -> DataFrame:
+                          small_rows: int | None = None) -> DataFrame:
     """Add ``key_name`` = ``start + ROW_NUMBER() OVER (ORDER BY keys)``.
 
     ``df`` must hold each natural key once (new keys only).  The result is
@@ -102,7 +106,9 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], key_name: str,
     keys = list(keys)
     order = [F.col(k).asc_nulls_last() for k in keys]
     spark = df.sparkSession
-    if row_count_at_most(df, small_rows):
+    if small_rows is None:
+        small_rows = SMALL_KEYSET_ROWS
+    if small_rows > 0 and row_count_at_most(df, small_rows):
         w = Window.orderBy(*order)
         return with_row_bound(
             df.withColumn(key_name, (F.lit(start) + F.row_number().over(w)).cast("bigint")),
@@ -140,7 +146,8 @@ class Lookup:
     dim: DataFrame
     on: dict[str, str]
     take: dict[str, str] = field(default_factory=dict)
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS
+    broadcast: bool = True          # broadcast the dimension when proven small
+    broadcast_max_rows: int | None = None  # None: BROADCAST_MAX_ROWS
     replace: bool = True  # take-columns replace same-named fact columns
 
 
@@ -159,7 +166,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             *[F.col(d).alias(a) for d, a in dim_cols.items()],
             *[F.col(src).alias(f"{tag}take_{dst}") for src, dst in lk.take.items()],
         )
-        if lk.broadcast_max_rows is not None:
+        if lk.broadcast:
             right = broadcast_if_small(right, lk.broadcast_max_rows, bound_of=lk.dim)
         cond = None
         for fcol, dcol in lk.on.items():

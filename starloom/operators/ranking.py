@@ -24,18 +24,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import SMALL_KEYSET_ROWS, row_count_at_most
+from starloom.operators import keys as _keys
+from starloom.operators.keys import row_count_at_most
 from starloom.session import checkpoint_dir
 
 
 def rank_within(df: DataFrame, by: Sequence[str], value: str, rank_name: str = "rank", *,
-                descending: bool = True, small_rows: int = SMALL_KEYSET_ROWS,
+                descending: bool = True, small_rows: int | None = None,
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_name`` = RANK() OVER (PARTITION BY by ORDER BY value [DESC])
     as INT.  NULL values rank last, as in Spark's default descending order."""
     by = list(by)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    if row_count_at_most(df, small_rows):
+    if small_rows is None:
+        small_rows = _keys.SMALL_KEYSET_ROWS
+    if small_rows > 0 and row_count_at_most(df, small_rows):
         return df.withColumn(rank_name, F.rank().over(Window.partitionBy(*by).orderBy(order)).cast("int"))
 
     spark = df.sparkSession

@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import (
-    BROADCAST_MAX_ROWS,
     assert_unique,
     assign_surrogate_keys,
     broadcast_if_small,
@@ -60,7 +59,8 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                compare_cols: Sequence[str] | None = None,
                action_col: str | None = None,
                check_unique: bool = True,
-               broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_source: bool = True,
+               broadcast_max_rows: int | None = None) -> DataFrame:
     """Return the dimension after upserting ``source`` into ``target``.
 
     ``target`` has the dimension's full schema; ``source`` carries the natural
@@ -99,7 +99,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     s_pref = {c: f"_src_{c}" for c in src.columns}
     s = src.select(*[F.col(c).alias(a) for c, a in s_pref.items()],
                    F.lit(True).alias("_src_present"))
-    if broadcast_max_rows is not None:
+    if broadcast_source:
         s = broadcast_if_small(s, broadcast_max_rows)
     cond = None
     for k in keys:

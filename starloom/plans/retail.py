@@ -566,7 +566,8 @@ def ingest_csv(spark: SparkSession, d: str) -> DataFrame:
     root, _ = _land_and_ingest(spark, d)
     n = spark.read.parquet(f"{root}/bronze/bronze_nation")
     r = spark.read.parquet(f"{root}/bronze/bronze_region")
-    return (n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left")
+    r = broadcast_if_small(r)
+    return (n.join(r, n["n_regionkey"] == r["r_regionkey"], "left")
             .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
 
 
