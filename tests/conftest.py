@@ -34,3 +34,22 @@ def tmp_dir():
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture()
+def distributed_paths(spark, monkeypatch):
+    """Force the paths a full-scale run takes: no broadcasts (ours or
+    Spark's), no single-window shortcuts for keys and ranks."""
+    from starloom.operators import keys as K
+    monkeypatch.setattr(K, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(K, "SMALL_KEYSET_ROWS", 0)
+    confs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k in confs:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)

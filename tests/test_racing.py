@@ -158,3 +158,16 @@ def test_run_from_landing_end_to_end(spark, bronze, tmp_dir):
     assert res2.loaded == []
     assert sorted(r["result_key"] for r in out2["fact_race_result"].collect()) == [1, 2, 3]
     assert out2["dim_driver"].count() == 3
+
+
+def test_racing_job_on_full_scale_paths(spark, bronze, tmp_dir, distributed_paths):
+    """Same results when every join shuffles and keys come from the
+    checkpointed range-partition path."""
+    out = racing.run_all(bronze, load_ts=TS, store=f"{tmp_dir}/silver")
+    fact = by(out["fact_race_result"], "src_result_id")
+    assert set(fact) == {1, 2, 3}
+    assert sorted(r["result_key"] for r in fact.values()) == [1, 2, 3]
+    assert fact[1]["avg_pit_time_ms"] == Decimal("22500.5") and fact[3]["best_qualifying_time_ms"] == 95500
+    races = by(out["dim_race"], "race_id")
+    assert [races[i]["race_key"] for i in (18, 19, 20, 21, 22)] == [1, 2, 3, 4, 5]
+    assert [(r["src_result_id"], r["unresolved"]) for r in out["fact_quarantine"].collect()] == [(5, "driver_key")]
