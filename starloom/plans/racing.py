@@ -43,6 +43,7 @@ from starloom.plans.racing_schemas import BRONZE_TABLES, SOURCES, TARGETS, sourc
 from starloom.sinks.storage import (
     create_table,
     export,
+    overwrite_partitions,
     project_to_schema,
     read_current,
     truncate,
@@ -308,6 +309,29 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
     return keyed, bad
 
 
+def reload_races(results: DataFrame, qualifying: DataFrame, pit_stops: DataFrame,
+                 driver_standings: DataFrame, constructors_results: DataFrame, status: DataFrame,
+                 dim_race: DataFrame, dim_driver: DataFrame, dim_constructor: DataFrame,
+                 dim_circuit: DataFrame, dim_date: DataFrame, *, fact_path: str,
+                 race_ids: DataFrame | Sequence[int], load_ts=None,
+                 require_measure: str | None = "best_qualifying_time_ms") -> DataFrame:
+    """Targeted reload against a fact stored partitioned by ``src_race_id``:
+    the chosen races are rebuilt and only their partitions are overwritten;
+    new rows get keys above the stored maximum.  Returns the quarantined rows
+    of the reloaded races."""
+    spark = results.sparkSession
+    stored = spark.read.parquet(fact_path)
+    fresh, bad = load_fact_race_result(
+        results, qualifying, pit_stops, driver_standings, constructors_results, status,
+        dim_race, dim_driver, dim_constructor, dim_circuit, dim_date, load_ts=load_ts,
+        require_measure=require_measure, race_ids=race_ids)
+    start = max_key(stored, "result_key")
+    fresh = assign_surrogate_keys(fresh.drop("result_key"), ["src_result_id"], "result_key", start=start)
+    fresh = project_to_schema(fresh, target_schema("fact_race_result"))
+    overwrite_partitions(fresh, fact_path, ["src_race_id"])
+    return bad
+
+
 # --------------------------------------------------------------------------
 # run order
 # --------------------------------------------------------------------------

@@ -78,6 +78,18 @@ def project_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
         for f in schema.fields])
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], *,
+                         fmt: str = "parquet") -> None:
+    """Replace only the partitions of ``path`` that ``df`` has rows for
+    (dynamic partition overwrite); all other partitions stay as they are.
+    A targeted reload of a few races rewrites those races' files, not the
+    whole fact."""
+    (df.write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by)
+     .save(path))
+
+
 def append_rows(df: DataFrame, target: str, schema: StructType, fmt: str = "parquet") -> None:
     write_table(project_to_schema(df, schema), target, mode="append", fmt=fmt)
 

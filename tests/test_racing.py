@@ -171,3 +171,23 @@ def test_racing_job_on_full_scale_paths(spark, bronze, tmp_dir, distributed_path
     races = by(out["dim_race"], "race_id")
     assert [races[i]["race_key"] for i in (18, 19, 20, 21, 22)] == [1, 2, 3, 4, 5]
     assert [(r["src_result_id"], r["unresolved"]) for r in out["fact_quarantine"].collect()] == [(5, "driver_key")]
+
+
+def test_reload_races_overwrites_only_their_partitions(spark, bronze, tmp_dir):
+    import os
+    from starloom.sinks.storage import overwrite_partitions
+    first = racing.run_all(bronze, load_ts=TS, store=f"{tmp_dir}/silver")
+    path = f"{tmp_dir}/fact_by_race"
+    overwrite_partitions(first["fact_race_result"], path, ["src_race_id"])
+    before_18 = sorted(os.listdir(f"{path}/src_race_id=18"))
+    more_pits = bronze["pit_stops"].union(
+        spark.createDataFrame([(19, 1, 30000)], bronze["pit_stops"].schema))
+    racing.reload_races(bronze["results"], bronze["qualifying"], more_pits, bronze["driver_standings"],
+                        bronze["constructors_results"], bronze["status"], first["dim_race"],
+                        first["dim_driver"], first["dim_constructor"], first["dim_circuit"],
+                        first["dim_date"], fact_path=path, race_ids=[19], load_ts=TS)
+    assert sorted(os.listdir(f"{path}/src_race_id=18")) == before_18      # untouched
+    rows = {r["src_result_id"]: r for r in spark.read.parquet(path).collect()}
+    assert set(rows) == {1, 2, 3}
+    assert rows[3]["pit_stop_count"] == 1 and rows[1]["pit_stop_count"] == 2
+    assert rows[3]["result_key"] == 4                                      # above the stored max
