@@ -20,6 +20,7 @@ name is the first path element below the landing folder.
 from __future__ import annotations
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import urlparse
@@ -144,7 +145,7 @@ def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
         else:
             reader = reader.option("inferSchema", "true")
         df = reader.csv(f"{base}/{r['entry']}")
-        obs = Observation(f"ingest_{target}")
+        obs = Observation(f"ingest_{target}_{uuid.uuid4().hex[:8]}")
         counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         dest = f"{bronze.rstrip('/')}/{target}" if to_path else f"{bronze}.{target}"
         write_table(counted, dest, mode="overwrite", fmt=fmt)
