@@ -30,6 +30,7 @@ from starloom.operators import (
     Enrichment,
     Lookup,
     assemble_fact,
+    broadcast_if_small,
     assign_surrogate_keys,
     calendar_dimension,
     insert_if_absent,
@@ -225,14 +226,19 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
     rows; all other races stay as they were.
     """
     spark = results.sparkSession
-    base = results
     ids_df = None
     if race_ids is not None:
         ids_df = (race_ids if isinstance(race_ids, DataFrame)
                   else spark.createDataFrame([(int(r),) for r in race_ids], "raceId int"))
         ids_df = ids_df.select(F.col(ids_df.columns[0]).cast("int").alias("raceId")).distinct()
-        base = base.join(F.broadcast(ids_df) if not isinstance(race_ids, DataFrame) else ids_df,
-                         "raceId", "left_semi")
+        # a list of ids is bounded by construction; a DataFrame is checked
+        chosen = F.broadcast(ids_df) if not isinstance(race_ids, DataFrame) else broadcast_if_small(ids_df)
+        # every race-keyed input is cut to the chosen races before any
+        # aggregate or join, so a reload of a few races reads only their rows
+        results, qualifying, pit_stops, driver_standings, constructors_results = (
+            t.join(chosen, "raceId", "left_semi")
+            for t in (results, qualifying, pit_stops, driver_standings, constructors_results))
+    base = results
 
     rk = {"raceId": "raceId", "driverId": "driverId"}
     fact = assemble_fact(

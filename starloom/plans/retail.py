@@ -95,7 +95,11 @@ def dim_order_date(orders: DataFrame) -> DataFrame:
 def lineitem_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Child roll-up of lineitem per order: count, quantity total and
     decimal mean, price total."""
-    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_quantity", "l_extendedprice"])
+    return _lineitem_rollup_of(
+        read_table(spark, d, "lineitem", ["l_orderkey", "l_quantity", "l_extendedprice"]))
+
+
+def _lineitem_rollup_of(li: DataFrame) -> DataFrame:
     return rollup_children(
         li, ["l_orderkey"], F.floor("l_quantity").cast("int"),
         count_name="line_count", sum_name="total_qty", sum_type="bigint",
@@ -130,12 +134,24 @@ def retail_dims(spark: SparkSession, d: str, customers: DataFrame | None = None)
 
 
 def _build_fact(spark: SparkSession, d: str, dims: dict, *, with_lines: bool = True,
-                require: list[str] | None = None, keep_natural: bool = False) -> DataFrame:
+                require: list[str] | None = None, keep_natural: bool = False,
+                only_customers: DataFrame | None = None) -> DataFrame:
+    """Assemble the order fact.  ``only_customers`` (one column ``o_custkey``)
+    restricts the build to those customers' orders *and* their lineitems
+    before the roll-up, as a targeted reload should."""
     base = _orders_base(spark, d)
+    rollup = lineitem_rollup(spark, d) if with_lines else None
+    if only_customers is not None:
+        chosen = broadcast_if_small(only_customers.distinct())
+        base = base.join(chosen, "o_custkey", "left_semi")
+        if with_lines:
+            orders_of = base.select(F.col("o_orderkey").alias("l_orderkey"))
+            li = read_table(spark, d, "lineitem", ["l_orderkey", "l_quantity", "l_extendedprice"])
+            rollup = _lineitem_rollup_of(li.join(orders_of, "l_orderkey", "left_semi"))
     enrichments = []
     if with_lines:
         enrichments.append(Enrichment(
-            lineitem_rollup(spark, d), {"o_orderkey": "l_orderkey"},
+            rollup, {"o_orderkey": "l_orderkey"},
             {"line_count": "line_count", "total_qty": "total_qty",
              "total_price": "total_price", "avg_qty": "avg_qty"},
             defaults={"line_count": 0}, unique=True))
@@ -189,10 +205,10 @@ def star_fact_reload(spark: SparkSession, d: str) -> DataFrame:
     assembled rows; all other rows are kept as they were."""
     dims = retail_dims(spark, d)
     old = _build_fact(spark, d, dims, with_lines=False, keep_natural=True)
-    new = _build_fact(spark, d, dims, keep_natural=True)
     chosen = (read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"])
               .where(F.col("c_mktsegment") == RELOAD_SEGMENT)
               .select(F.col("c_custkey").alias("o_custkey")))
+    new = _build_fact(spark, d, dims, keep_natural=True, only_customers=chosen)
     return replace_keys(old, new, ["o_custkey"], chosen).select(*FACT_COLUMNS)
 
 
