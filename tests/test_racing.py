@@ -191,3 +191,21 @@ def test_reload_races_overwrites_only_their_partitions(spark, bronze, tmp_dir):
     assert set(rows) == {1, 2, 3}
     assert rows[3]["pit_stop_count"] == 1 and rows[1]["pit_stop_count"] == 2
     assert rows[3]["result_key"] == 4                                      # above the stored max
+
+
+def test_command_line_job(spark, bronze, tmp_dir, capsys):
+    from starloom.__main__ import main
+    from starloom.sinks.storage import export
+    landing = f"{tmp_dir}/landing"
+    for name, df in bronze.items():
+        export(df, f"{landing}/{name}.csv", single_file_max_rows=100)
+    with open(f"{tmp_dir}/control.csv", "w") as f:
+        f.write("file_name,file_type,target_table,file_delimiter\n")
+        for name in bronze:
+            f.write(f"{name},csv,{name},\",\"\n")
+    rc = main(["racing", "--control", f"{tmp_dir}/control.csv", "--landing", landing,
+               "--bronze", f"{tmp_dir}/bronze", "--silver", f"{tmp_dir}/silver",
+               "--export", f"{tmp_dir}/export", "--load-ts", TS])
+    assert rc == 0
+    assert "failed=[]" in capsys.readouterr().out
+    assert spark.read.option("header", "true").csv(f"{tmp_dir}/export/fact_race_result").count() == 3
