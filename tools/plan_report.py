@@ -28,6 +28,23 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
+def table(spark, sf: str) -> list[str]:
+    rows = []
+    for name, fn in entry.queries().items():
+        plan = plan_text(fn(spark, sf))
+        shuffles = len(re.findall(r"Arguments: (hashpartitioning|rangepartitioning)", plan))
+        bcast = len(re.findall(r"BroadcastExchange \(\d+\)", plan))
+        joins = sorted(set(re.findall(r"\b(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|"
+                                      r"BroadcastNestedLoopJoin|CartesianProduct) (\w+)", plan)))
+        single = len(re.findall(r"Arguments: SinglePartition", plan))
+        scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/(\w+)\.parquet\]"
+                           r"(?:\nPushedFilters: \[([^\]]*)\])?", plan)
+        scan_txt = "; ".join(f"{t}" + (f" ({p[:60]})" if p else "") for t, p in scans)
+        join_txt = ", ".join(f"{a} {b}" for a, b in joins) or "-"
+        rows.append(f"| `{name}` | {shuffles} | {bcast} | {join_txt} | {single} | {scan_txt} |")
+    return rows
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
@@ -50,18 +67,30 @@ def main() -> None:
         "| query | shuffles | broadcasts | joins | 1-part windows | scans (pushed filters) |",
         "|---|---|---|---|---|---|",
     ]
-    for name, fn in entry.queries().items():
-        plan = plan_text(fn(spark, sf))
-        shuffles = len(re.findall(r"Arguments: (hashpartitioning|rangepartitioning)", plan))
-        bcast = len(re.findall(r"BroadcastExchange \(\d+\)", plan))
-        joins = sorted(set(re.findall(r"\b(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|"
-                                      r"BroadcastNestedLoopJoin|CartesianProduct) (\w+)", plan)))
-        single = len(re.findall(r"Arguments: SinglePartition", plan))
-        scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*/(\w+)\.parquet\]"
-                           r"(?:\nPushedFilters: \[([^\]]*)\])?", plan)
-        scan_txt = "; ".join(f"{t}" + (f" ({p[:60]})" if p else "") for t, p in scans)
-        join_txt = ", ".join(f"{a} {b}" for a, b in joins) or "-"
-        lines.append(f"| `{name}` | {shuffles} | {bcast} | {join_txt} | {single} | {scan_txt} |")
+    lines += table(spark, sf)
+    # the same queries on the paths a full-scale run takes
+    from starloom.operators import keys as K
+    K.BROADCAST_MAX_ROWS, K.SMALL_KEYSET_ROWS = 0, 0
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    lines += [
+        "",
+        "## Full-scale paths",
+        "",
+        "The same queries with the broadcast bound and the single-window bound set to 0 and Spark's",
+        "broadcast thresholds disabled -- what the plans become when no dimension is small:",
+        "every join shuffles, surrogate keys and ranks take the checkpointed range-partition",
+        "paths (checkpointed relations show up as extra scans of existing RDDs), and group",
+        "join-backs are salted.  Remaining broadcasts are the per-range-partition offset tables.",
+        "Shuffle counts include every repetition of a dimension subtree (the star-fact queries",
+        "build region, nation and customer dimensions from raw tables and reference some twice);",
+        "identical exchanges are computed once at run time, and in production the fact load",
+        "reads the stored dimension versions instead of rebuilding them.",
+        "",
+        "| query | shuffles | broadcasts | joins | 1-part windows | scans (pushed filters) |",
+        "|---|---|---|---|---|---|",
+    ]
+    lines += table(spark, sf)
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
     print("\n".join(lines))
