@@ -19,6 +19,7 @@ name is the first path element below the landing folder.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -77,12 +78,23 @@ LOADED, SKIPPED, FAILED = "loaded", "skipped", "failed"
 NO_FILE, ALREADY_LOADED = "no file", "already loaded"
 
 
+def _absolute(path: str) -> str:
+    """Relative local paths resolved against this process's working folder
+    (the JVM would resolve them against its own)."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    return os.path.abspath(path)
+
+
 def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
     """One row per landing entry: name as listed, lower-cased name, newest
     modification time, total bytes, number of files.  A folder that cannot be
     listed counts as empty."""
-    root = urlparse(landing_dir).path.rstrip("/") if "://" in landing_dir else landing_dir.rstrip("/")
-    root = root.replace("file:", "", 1)
+    landing_dir = _absolute(landing_dir)
+    if "://" in landing_dir:
+        root = urlparse(landing_dir).path.rstrip("/")
+    else:
+        root = landing_dir.replace("file:", "", 1).rstrip("/")
     try:
         files = (spark.read.format("binaryFile")
                  .option("recursiveFileLookup", "true")
@@ -122,6 +134,7 @@ class IngestResult:
 def _read_ledger(spark: SparkSession, ledger: str | None) -> DataFrame:
     if not ledger:
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    ledger = _absolute(ledger)
     # first use creates an empty ledger; an existing one is left as it is
     spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(ledger)
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
@@ -170,7 +183,9 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
     so many small sources do not leave the cluster idle.
     """
     to_path = "/" in bronze or ":" in bronze
-    if not to_path:
+    if to_path:
+        bronze = _absolute(bronze)
+    else:
         ensure_database(spark, bronze)
     ctrl = read_control(control)
     listing = list_landing(spark, landing_dir)
@@ -181,7 +196,7 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
                   ["expected", "modified", "bytes"], "left"))
     # one row per control entry: the control table is small by nature.
     rows = plan.collect()
-    base = landing_dir.rstrip("/")
+    base = _absolute(landing_dir).rstrip("/")
     schemas = schemas or {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(
@@ -189,6 +204,7 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
     audit = [a for a, _ in results]
     ledger_rows = [lr for _, lr in results if lr is not None]
     if ledger and ledger_rows:
+        ledger = _absolute(ledger)
         spark.createDataFrame(ledger_rows, LEDGER_SCHEMA).coalesce(1) \
             .write.mode("append").parquet(ledger)
     by_status = {s: [a[0] for a in audit if a[2] == s] for s in (LOADED, SKIPPED, FAILED)}

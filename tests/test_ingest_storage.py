@@ -149,3 +149,10 @@ def test_ingest_into_catalog_database(spark, tmp_dir):
     # overwrite replaces the table on the next load
     res2 = ingest(spark, control, landing, "bronze_catalog_test")
     assert spark.table("bronze_catalog_test.status").count() == 2 and res2.loaded == ["status.csv"]
+
+
+def test_listing_relative_landing_folder(spark, tmp_dir, monkeypatch):
+    _land(spark, f"{tmp_dir}/landing")
+    monkeypatch.chdir(tmp_dir)
+    names = {r["expected"] for r in list_landing(spark, "landing").collect()}
+    assert {"circuits.csv", "status.csv", "parts.csv"} <= names
