@@ -6,9 +6,11 @@ from starloom.functions.numeric import (
     default_zero,
     exact_sum,
     least_positive,
+    money_units,
     positions_gained,
     safe_cast,
     strict_cast,
+    units_sum,
 )
 from starloom.functions.text import blank_to_null, full_name, null_tokens_to_null, trimmed
 from starloom.functions.times import lap_time_ms
@@ -22,10 +24,12 @@ __all__ = [
     "full_name",
     "lap_time_ms",
     "least_positive",
+    "money_units",
     "null_tokens_to_null",
     "parse_date_any",
     "positions_gained",
     "safe_cast",
     "strict_cast",
+    "units_sum",
     "trimmed",
 ]

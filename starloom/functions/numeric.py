@@ -73,14 +73,28 @@ def default_zero(c: Column | str, out_type: str | None = None) -> Column:
     return out.cast(out_type) if out_type else out
 
 
-def exact_sum(c: Column | str, scale: int, out_type: str | None = None) -> Column:
-    """SUM of a DECIMAL value with ``scale`` fraction digits, accumulated as
-    BIGINT units of 10^-scale: the same exact total as a decimal sum, but on
-    fixed-width arithmetic instead of arbitrary-precision decimals (Spark
-    only does this itself for precisions up to 8).  A group total beyond
-    9.2e18 units overflows, which raises under ANSI mode rather than
-    wrapping.  Returns ``out_type`` (default ``decimal(18, scale)``).
-    """
-    units = (_col(c) * F.lit(10 ** scale)).cast("bigint")
-    total = F.sum(units).cast("decimal(38,0)") / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")
+def units_sum(units: Column | str, scale: int, out_type: str | None = None) -> Column:
+    """SUM of BIGINT amounts counted in units of 10^-scale, returned as an
+    exact DECIMAL (``out_type``, default ``decimal(18, scale)``).  Fixed-width
+    arithmetic throughout; a group total beyond 9.2e18 units overflows,
+    which raises under ANSI mode rather than wrapping."""
+    total = F.sum(_col(units)).cast("decimal(38,0)") / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")
     return total.cast(out_type or f"decimal(18,{scale})")
+
+
+def exact_sum(c: Column | str, scale: int, out_type: str | None = None) -> Column:
+    """SUM of a DECIMAL value with ``scale`` fraction digits: the same exact
+    total as a decimal sum, accumulated as BIGINT units of 10^-scale instead
+    of arbitrary-precision decimals (Spark only does this itself for
+    precisions up to 8)."""
+    return units_sum((_col(c) * F.lit(10 ** scale)).cast("bigint"), scale, out_type)
+
+
+def money_units(c: Column | str, scale: int = 2) -> Column:
+    """A DOUBLE amount with at most ``scale`` decimals (a price, a balance) as
+    BIGINT units of 10^-scale, rounded to the nearest unit -- the same value
+    a cast to DECIMAL(p, scale) gives for such amounts, at a fraction of the
+    cost.  (It can differ from Spark's binary-exact cast only for doubles
+    within ~1e-14 of a half unit, which amounts with ``scale`` decimals never
+    are.)"""
+    return F.round(_col(c) * F.lit(10 ** scale)).cast("bigint")

@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 from starloom.functions import (
     blank_to_null,
-    exact_sum,
     full_name,
     lap_time_ms,
+    exact_sum,
     least_positive,
+    money_units,
     parse_date_any,
     positions_gained as positions_gained_col,
     safe_cast,
     trimmed,
+    units_sum,
 )
 from starloom.operators import (
     Enrichment,
@@ -105,7 +107,7 @@ def _lineitem_rollup_of(li: DataFrame) -> DataFrame:
         count_name="line_count", sum_name="total_qty", sum_type="bigint",
         avg_name=None,
         extra=[F.avg(F.col("l_quantity").cast("decimal(10,0)")).cast("decimal(8,1)").alias("avg_qty"),
-               exact_sum(F.col("l_extendedprice").cast("decimal(15,2)"), 2).alias("total_price")])
+               units_sum(money_units("l_extendedprice"), 2).alias("total_price")])
 
 
 FACT_COLUMNS = ["o_orderkey", "cust_key", "nation_key", "region_key", "date_key",
@@ -235,7 +237,7 @@ def child_rollup(spark: SparkSession, d: str) -> DataFrame:
         li, ["l_orderkey", "l_suppkey"], F.floor("l_quantity").cast("int"),
         count_name="line_count", sum_name="total_qty", sum_type="bigint",
         avg_name="avg_qty", avg_input_type="decimal(10,0)", avg_type="decimal(8,1)",
-        extra=[exact_sum(F.col("l_extendedprice").cast("decimal(15,2)"), 2).alias("total_price")])
+        extra=[units_sum(money_units("l_extendedprice"), 2).alias("total_price")])
 
 
 # --------------------------------------------------------------------------
@@ -484,7 +486,7 @@ def _customer_year_values(spark: SparkSession, d: str) -> DataFrame:
     handful of rows rather than a skewed partition."""
     o = read_table(spark, d, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     per = (o.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
-           .agg(exact_sum(F.col("o_totalprice").cast("decimal(15,2)"), 2).alias("cust_value")))
+           .agg(units_sum(money_units("o_totalprice"), 2).alias("cust_value")))
     c = _customer_nations(spark, d)
     return per.join(c, per["o_custkey"] == c["c_custkey"]).drop("c_custkey")
 
@@ -519,9 +521,10 @@ def entity_records(spark: SparkSession, d: str) -> DataFrame:
 
 def _order_values(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
-    value = F.col("l_extendedprice").cast("decimal(15,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    # price x (1 - discount) in units of 10^-4: cents x (100 - discount in hundredths)
+    value_units = money_units("l_extendedprice") * (F.lit(100) - money_units("l_discount"))
     per = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("line_count"),
-                                       exact_sum(value, 4).alias("order_value"))
+                                       units_sum(value_units, 4).alias("order_value"))
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
     return per.join(o, per["l_orderkey"] == o["o_orderkey"]).select(
         "o_orderkey", "o_custkey", "line_count", "order_value")
