@@ -62,8 +62,18 @@ def scale_conf(input_bytes: int, *, executors: int = 1000, cores_per_executor: i
     }
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (no driver-side context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Connect sessions raise here
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return str(master).startswith("local")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -72,13 +82,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` (or a folder already set on the context).
     Only when none is configured is one set here: a temp folder in local mode
     (tests), otherwise a folder under the warehouse directory, which is shared
-    storage on a cluster.
+    storage on a cluster.  Under Spark Connect the server's setting is used
+    as it is.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must be set on the server")
+        return conf_dir
     if not conf_dir:
         if _is_local(spark):
             conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-")
