@@ -373,9 +373,9 @@ def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
 
 def _lap_texts(spark: SparkSession, d: str) -> DataFrame:
     """Lap-time text rendered from l_extendedprice (as milliseconds), in a
-    variant chosen by line number and return flag.  Fixed values: lines 1-7
-    of open/normal lines give the canonical text, padded text, a one-digit
-    fraction, no fraction, bare seconds, ``\\N`` and an empty string; lines
+    variant chosen by line number and return flag.  Fixed values: line numbers 1-7
+    of lines not returned (flag other than R) give the canonical text, padded text, a one-digit
+    fraction, no fraction, bare seconds, ``\\N`` and an empty string; line numbers
     1-7 of returned lines give NULL, no colon, a trailing colon, an hour
     prefix, a four-digit fraction, seconds over 59 and a leading tab."""
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"])
