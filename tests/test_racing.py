@@ -209,3 +209,24 @@ def test_command_line_job(spark, bronze, tmp_dir, capsys):
     assert rc == 0
     assert "failed=[]" in capsys.readouterr().out
     assert spark.read.option("header", "true").csv(f"{tmp_dir}/export/fact_race_result").count() == 3
+
+
+def test_racing_analyses(spark, bronze, tmp_dir):
+    from starloom.plans import racing_analyses as ra
+    out = racing.run_all(bronze, load_ts=TS, store=f"{tmp_dir}/silver", require_measure=None)
+    fact, races = out["fact_race_result"], out["dim_race"]
+    dom = ra.constructor_dominance(fact, races, out["dim_constructor"]).collect()
+    # 2008: McLaren 10+6, Ferrari 0+8 -> McLaren leads the 2000s once
+    assert [(r["decade"], r["constructor_name"], r["seasons_led"]) for r in dom] == [(2000, "McLaren", 1)]
+    rec = {r["full_name"]: r for r in ra.driver_records(fact, out["dim_driver"]).collect()}
+    assert rec["Lewis Hamilton"]["wins"] == 1 and rec["Lewis Hamilton"]["poles"] == 1
+    assert rec["Lewis Hamilton"]["fastest_laps"] == 1
+    dive = {(r["race_key"], r["driver_key"]): r for r in ra.race_deep_dive(fact).collect()}
+    assert len(dive) == 4
+    ham18 = dive[(races.where("race_id = 18").first()["race_key"], 1)]
+    assert ham18["positions_gained"] == 0 and ham18["pace_delta_ms"] == 87452 - 85187
+    pits = {r["pit_stop_count"]: r for r in ra.gain_by_pit_stops(fact).collect()}
+    assert pits[2]["results"] == 1
+    share = {(r["driver_key"], r["season"]): r for r in ra.driver_or_car(fact, races).collect()}
+    ham = share[(1, 2008)]
+    assert ham["share_of_constructor"] == 1.0 and ham["constructor_rank"] == 1
