@@ -303,16 +303,27 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
         fact = fact.where(F.col(require_measure).isNotNull())
 
     good, bad = quarantine(fact, FACT_KEYS)
-    start = 0
     if existing is not None and ids_df is not None:
-        kept = existing.join(ids_df.withColumnRenamed("raceId", "src_race_id"), "src_race_id", "left_anti")
-        start = max_key(kept, "result_key")
-    keyed = assign_surrogate_keys(good, ["src_result_id"], "result_key", start=start)
-    keyed = project_to_schema(keyed, target_schema("fact_race_result"))
-    if existing is not None and ids_df is not None:
-        keyed = replace_keys(existing, keyed, ["src_race_id"],
-                             ids_df.withColumnRenamed("raceId", "src_race_id"))
-    return keyed, bad
+        race_keys = ids_df.withColumnRenamed("raceId", "src_race_id")
+        keyed = _result_keys(good, existing, race_keys)
+        keyed = project_to_schema(keyed, target_schema("fact_race_result"))
+        return replace_keys(existing, keyed, ["src_race_id"], race_keys), bad
+    keyed = assign_surrogate_keys(good, ["src_result_id"], "result_key")
+    return project_to_schema(keyed, target_schema("fact_race_result")), bad
+
+
+def _result_keys(rows: DataFrame, existing: DataFrame, race_keys: DataFrame) -> DataFrame:
+    """Surrogate keys for rebuilt results: a result already in the fact keeps
+    its key (looked up by ``src_result_id`` among the rebuilt races only);
+    a new result gets one above the fact's largest key."""
+    previous = (existing.join(broadcast_if_small(race_keys), "src_race_id", "left_semi")
+                .select("src_result_id", "result_key"))
+    rows = rows.drop("result_key") if "result_key" in rows.columns else rows
+    known = rows.join(previous, "src_result_id", "inner")
+    fresh = rows.join(previous.select("src_result_id"), "src_result_id", "left_anti")
+    fresh = assign_surrogate_keys(fresh, ["src_result_id"], "result_key",
+                                  start=max_key(existing, "result_key"))
+    return known.unionByName(fresh)
 
 
 def reload_races(results: DataFrame, qualifying: DataFrame, pit_stops: DataFrame,
@@ -323,17 +334,21 @@ def reload_races(results: DataFrame, qualifying: DataFrame, pit_stops: DataFrame
                  require_measure: str | None = "best_qualifying_time_ms") -> DataFrame:
     """Targeted reload against a fact stored partitioned by ``src_race_id``:
     the chosen races are rebuilt and only their partitions are overwritten;
-    new rows get keys above the stored maximum.  Returns the quarantined rows
-    of the reloaded races."""
+    results already in the fact keep their keys, new ones get keys above the
+    stored maximum.  Returns the quarantined rows of the reloaded races."""
     spark = results.sparkSession
     stored = spark.read.parquet(fact_path)
     fresh, bad = load_fact_race_result(
         results, qualifying, pit_stops, driver_standings, constructors_results, status,
         dim_race, dim_driver, dim_constructor, dim_circuit, dim_date, load_ts=load_ts,
         require_measure=require_measure, race_ids=race_ids)
-    start = max_key(stored, "result_key")
-    fresh = assign_surrogate_keys(fresh.drop("result_key"), ["src_result_id"], "result_key", start=start)
-    fresh = project_to_schema(fresh, target_schema("fact_race_result"))
+    ids = fresh.select("src_race_id").distinct()
+    if not isinstance(race_ids, DataFrame):
+        ids = spark.createDataFrame([(int(r),) for r in race_ids], "src_race_id int")
+    fresh = project_to_schema(_result_keys(fresh, stored, ids), target_schema("fact_race_result"))
+    # the rows are computed from the stored fact (key lookup): materialise
+    # them before overwriting any of its partitions
+    fresh = fresh.checkpoint(eager=True)
     overwrite_partitions(fresh, fact_path, ["src_race_id"])
     return bad
 

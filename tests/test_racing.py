@@ -132,8 +132,8 @@ def test_racing_rerun_is_idempotent_and_reload_targets_races(spark, bronze, tmp_
     rows = by(new, "src_result_id")
     assert set(rows) == {1, 2, 3}
     assert rows[3]["pit_stop_count"] == 1 and rows[1]["pit_stop_count"] == 2
-    assert rows[1]["result_key"] == by(old, "src_result_id")[1]["result_key"]
-    assert len({r["result_key"] for r in rows.values()}) == 3
+    olds = by(old, "src_result_id")
+    assert all(rows[i]["result_key"] == olds[i]["result_key"] for i in (1, 2, 3))
 
 
 def test_run_from_landing_end_to_end(spark, bronze, tmp_dir):
@@ -182,15 +182,22 @@ def test_reload_races_overwrites_only_their_partitions(spark, bronze, tmp_dir):
     before_18 = sorted(os.listdir(f"{path}/src_race_id=18"))
     more_pits = bronze["pit_stops"].union(
         spark.createDataFrame([(19, 1, 30000)], bronze["pit_stops"].schema))
-    racing.reload_races(bronze["results"], bronze["qualifying"], more_pits, bronze["driver_standings"],
+    # a result that was not there before: Alonso classified in race 19
+    more_results = bronze["results"].union(spark.createDataFrame(
+        [(6, 19, 2, 2, 1, 6, "4", "4", 4, "5", 56, "5800000", "20", "6", "1:37.000", "190.0")],
+        bronze["results"].schema))
+    more_quali = bronze["qualifying"].union(spark.createDataFrame(
+        [(19, 2, 2, 6, "1:36.900", None, None)], bronze["qualifying"].schema))
+    racing.reload_races(more_results, more_quali, more_pits, bronze["driver_standings"],
                         bronze["constructors_results"], bronze["status"], first["dim_race"],
                         first["dim_driver"], first["dim_constructor"], first["dim_circuit"],
                         first["dim_date"], fact_path=path, race_ids=[19], load_ts=TS)
     assert sorted(os.listdir(f"{path}/src_race_id=18")) == before_18      # untouched
     rows = {r["src_result_id"]: r for r in spark.read.parquet(path).collect()}
-    assert set(rows) == {1, 2, 3}
+    assert set(rows) == {1, 2, 3, 6}
     assert rows[3]["pit_stop_count"] == 1 and rows[1]["pit_stop_count"] == 2
-    assert rows[3]["result_key"] == 4                                      # above the stored max
+    assert rows[3]["result_key"] == 3          # an existing result keeps its key
+    assert rows[6]["result_key"] == 4          # a new one goes above the stored max
 
 
 def test_command_line_job(spark, bronze, tmp_dir, capsys):
