@@ -215,7 +215,8 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
                           dim_date: DataFrame, *, load_ts=None,
                           require_measure: str | None = "best_qualifying_time_ms",
                           race_ids: DataFrame | Sequence[int] | None = None,
-                          existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                          existing: DataFrame | None = None,
+                          previous: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Assemble the race-result fact.
 
     Returns ``(fact, quarantined)``: rows whose five dimension keys all
@@ -223,7 +224,9 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
     NULL keys).  ``require_measure`` keeps only rows with a best qualifying
     time (``None`` keeps every result row).  With ``race_ids`` and an
     ``existing`` fact, only those races are rebuilt and replace their old
-    rows; all other races stay as they were.
+    rows; all other races stay as they were.  ``previous`` (an earlier
+    version of the fact) keeps result keys stable across full reloads:
+    results already keyed keep their key, new ones are numbered above it.
     """
     spark = results.sparkSession
     ids_df = None
@@ -308,16 +311,23 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
         keyed = _result_keys(good, existing, race_keys)
         keyed = project_to_schema(keyed, target_schema("fact_race_result"))
         return replace_keys(existing, keyed, ["src_race_id"], race_keys), bad
-    keyed = assign_surrogate_keys(good, ["src_result_id"], "result_key")
+    if previous is not None:
+        keyed = _result_keys(good, previous)
+    else:
+        keyed = assign_surrogate_keys(good, ["src_result_id"], "result_key")
     return project_to_schema(keyed, target_schema("fact_race_result")), bad
 
 
-def _result_keys(rows: DataFrame, existing: DataFrame, race_keys: DataFrame) -> DataFrame:
+def _result_keys(rows: DataFrame, existing: DataFrame,
+                 race_keys: DataFrame | None = None) -> DataFrame:
     """Surrogate keys for rebuilt results: a result already in the fact keeps
-    its key (looked up by ``src_result_id`` among the rebuilt races only);
-    a new result gets one above the fact's largest key."""
-    previous = (existing.join(broadcast_if_small(race_keys), "src_race_id", "left_semi")
-                .select("src_result_id", "result_key"))
+    its key (looked up by ``src_result_id``, among the rebuilt races only when
+    ``race_keys`` is given); a new result gets one above the fact's largest
+    key."""
+    previous = existing
+    if race_keys is not None:
+        previous = previous.join(broadcast_if_small(race_keys), "src_race_id", "left_semi")
+    previous = previous.select("src_result_id", "result_key")
     rows = rows.drop("result_key") if "result_key" in rows.columns else rows
     known = rows.join(previous, "src_result_id", "inner")
     fresh = rows.join(previous.select("src_result_id"), "src_result_id", "left_anti")
@@ -357,6 +367,13 @@ def reload_races(results: DataFrame, qualifying: DataFrame, pit_stops: DataFrame
 # run order
 # --------------------------------------------------------------------------
 
+def _read_or_none(fn):
+    try:
+        return fn()
+    except Exception:  # noqa: BLE001 -- table not created yet
+        return None
+
+
 def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None,
             load_ts=None, require_measure: str | None = "best_qualifying_time_ms",
             store: str | None = None) -> dict[str, DataFrame]:
@@ -389,23 +406,20 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
         bronze["constructors"], cur["dim_constructor"], load_ts))
     out["dim_race"] = keep("dim_race", load_dim_race(bronze["races"], out["dim_circuit"], out["dim_date"],
                                                      cur["dim_race"], load_ts))
+    previous_fact = None
+    if store is not None:
+        previous_fact = _read_or_none(
+            lambda: read_current(spark, f"{store.rstrip('/')}/fact_race_result"))
     fact, bad = load_fact_race_result(
         bronze["results"], bronze["qualifying"], bronze["pit_stops"], bronze["driver_standings"],
         bronze["constructors_results"], bronze["status"], out["dim_race"], out["dim_driver"],
         out["dim_constructor"], out["dim_circuit"], out["dim_date"], load_ts=load_ts,
-        require_measure=require_measure)
+        require_measure=require_measure, previous=previous_fact)
     out["fact_race_result"] = keep("fact_race_result", fact)
     out["fact_quarantine"] = keep("fact_quarantine", bad)
     return out
 
 
-def _read_or_none(fn):
-    try:
-        return fn()
-    except Exception:  # noqa: BLE001 -- table not created yet
-        return None
-
-
 def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bronze_dir: str,
                      silver_store: str, *, export_dir: str | None = None, load_ts=None,
                      require_measure: str | None = "best_qualifying_time_ms",

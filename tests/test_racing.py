@@ -113,6 +113,18 @@ def test_racing_rerun_is_idempotent_and_reload_targets_races(spark, bronze, tmp_
     second = racing.run_all(bronze, silver=silver, load_ts="2024-02-01 00:00:00", store=store)
     # the first run's versions are still readable next to the second's
     assert first["dim_driver"].count() == second["dim_driver"].count() == 3
+    # a result that arrives later with a lower id does not shift existing keys
+    late = dict(bronze)
+    late["results"] = bronze["results"].union(spark.createDataFrame(
+        [(0, 18, 3, 2, 1, 9, "6", "6", 6, "1", 58, "5900000", "25", "7", "1:29.000", "205.0")],
+        bronze["results"].schema))
+    late["qualifying"] = bronze["qualifying"].union(spark.createDataFrame(
+        [(18, 3, 2, 15, "1:31.000", None, None)], bronze["qualifying"].schema))
+    third = racing.run_all(late, silver={k: v for k, v in second.items() if k.startswith("dim_")},
+                           load_ts=TS, store=store)
+    before = {r["src_result_id"]: r["result_key"] for r in first["fact_race_result"].collect()}
+    after = {r["src_result_id"]: r["result_key"] for r in third["fact_race_result"].collect()}
+    assert all(after[i] == k for i, k in before.items()) and after[0] == max(before.values()) + 1
     for name in ("dim_circuit", "dim_driver", "dim_constructor"):
         a = sorted(tuple(r) for r in first[name].drop("dw_updated_at").collect())
         b = sorted(tuple(r) for r in second[name].drop("dw_updated_at").collect())
