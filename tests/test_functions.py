@@ -152,3 +152,10 @@ def test_exact_sum_equals_decimal_sum(spark):
     got = {r["g"]: r["s"] for r in df.groupBy("g").agg(exact_sum("v", 2).alias("s")).collect()}
     ref = {r["g"]: r["s"] for r in df.groupBy("g").agg(F.sum("v").cast("decimal(18,2)").alias("s")).collect()}
     assert got == ref and got[1] == D("0.30") and got[3] is None
+
+
+def test_scale_conf_keys_are_known_spark_settings(spark):
+    from starloom.session import scale_conf
+    known = {r["key"] for r in spark.sql("SET -v").collect()}
+    unknown = [k for k in scale_conf(1 << 40) if k not in known]
+    assert unknown == []
