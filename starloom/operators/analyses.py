@@ -47,13 +47,27 @@ def join_group_values(units: DataFrame, groups: DataFrame, keys: Sequence[str],
       handling splits at run time.
     """
     keys = _cols(keys)
-    small = broadcast_if_small(groups, broadcast_max_rows)
-    if small is not groups or not salt_buckets:
-        return units.join(small, keys, how)
-    cols = _cols(salt_from) if salt_from else [c for c in units.columns if c not in keys]
-    salted_units = units.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
-    salted_groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted_units.join(salted_groups, keys + ["_salt"], how).drop("_salt")
+    # NULL is a group of its own (as in PARTITION BY): match keys null-safely
+    right = groups.select(*[F.col(k).alias(f"_jg_{k}") for k in keys],
+                          *[c for c in groups.columns if c not in keys])
+    small = broadcast_if_small(right, broadcast_max_rows)
+    if small is not right or not salt_buckets:
+        left, rhs, extra = units, small, []
+    else:
+        cols = _cols(salt_from) if salt_from else [c for c in units.columns if c not in keys]
+        left = units.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
+        rhs = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        extra = ["_salt"]
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(rhs[f"_jg_{k}"])
+        cond = c if cond is None else cond & c
+    for k in extra:
+        cond = cond & (left[k] == rhs[k])
+    out = left.join(rhs, cond, how).drop(*[f"_jg_{k}" for k in keys])
+    for k in extra:
+        out = out.drop(left[k]).drop(rhs[k])
+    return out
 
 
 def period_leaders(values: DataFrame, entity: Sequence[str], period: Sequence[str],

@@ -57,7 +57,11 @@ def rank_within(df: DataFrame, by: Sequence[str], value: str, rank_name: str = "
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rk_off"))
     within = (Window.partitionBy("_rk_part", *by).orderBy(order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = (ranged.join(before, ["_rk_part", *by])
+    # NULL is a key of its own in PARTITION BY: join the offsets null-safely
+    on = ranged["_rk_part"] == before["_rk_part"]
+    for b in by:
+        on = on & ranged[b].eqNullSafe(before[b])
+    ranks = (ranged.join(before, on).select(ranged["*"], before["_rk_off"])
              .select(*by, value,
                      (F.lit(1) + F.col("_rk_off")
                       + F.coalesce(F.sum("_rk_n").over(within), F.lit(0))).cast("int").alias(rank_name)))

@@ -237,3 +237,12 @@ def test_rank_within_distributed_equals_window_rank(spark):
     asc = rank_within(df, ["p"], "v", "r", descending=False, small_rows=0, num_partitions=5)
     ref_asc = df.withColumn("r", F.rank().over(Window.partitionBy("p").orderBy(F.col("v").asc_nulls_last())).cast("int"))
     assert rows(asc) == rows(ref_asc)
+
+
+def test_group_values_attach_to_null_group(spark):
+    from starloom.operators import join_group_values
+    units = spark.createDataFrame([(1, None, 2), (2, None, 4), (3, "x", 10)], "u int, g string, v int")
+    means = units.groupBy("g").agg(F.avg("v").alias("m"))
+    for kw in ({}, {"salt_buckets": 4, "broadcast_max_rows": 0}):
+        got = {r["u"]: r["m"] for r in join_group_values(units, means, ["g"], **kw).collect()}
+        assert got == {1: 3.0, 2: 3.0, 3: 10.0}, kw
