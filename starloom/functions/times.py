@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # Fixed value: the accepted lap-time layout.  Minutes (1-6 digits), a colon,
 # two-digit seconds 00-59, and an optional fraction of 1-3 digits that is
-# right-padded to milliseconds ("1:26.5" is 86 500 ms).
-LAP_TIME_PATTERN = r"^(\d{1,6}):([0-5]\d)(\.\d{1,3})?$"
+# right-padded to milliseconds ("1:26.5" is 86 500 ms).  The end anchor is
+# \z: Java's $ would also accept a trailing line break.
+LAP_TIME_PATTERN = r"^(\d{1,6}):([0-5]\d)(\.\d{1,3})?\z"
 
 
 def lap_time_ms(text: Column | str, missing: str = "zero") -> Column:

@@ -36,6 +36,8 @@ LAP_CASES = [
     ("1:26.5721", None),
     ("\t1:26.572", None),
     ("a:bc.def", None),
+    ("1:26.572\n", None),
+    ("1:26.572\r\n", None),
 ]
 
 

@@ -110,3 +110,28 @@ def test_distributed_keys_equal_row_number(spark, keys, parts, start):
     ref = df.withColumn("sk", F.lit(start) + F.row_number().over(Window.orderBy("k")))
     got = assign_surrogate_keys(df, ["k"], "sk", start=start, small_rows=0, num_partitions=parts)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def _lap_reference(t):
+    """The layout rule stated directly: optional surrounding spaces, then
+    1-6 digit minutes, a colon, seconds 00-59, an optional 1-3 digit
+    fraction -- and nothing else."""
+    import re
+    if t is None:
+        return None
+    m = re.fullmatch(r"([0-9]{1,6}):([0-5][0-9])(\.[0-9]{1,3})?", t.strip(" "))
+    if not m:
+        return None
+    v = int(m.group(1)) * 60000 + int(m.group(2)) * 1000 + int((m.group(3) or ".")[1:].ljust(3, "0"))
+    return v if v <= 2147483647 else None
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789:. \n\r\t-a", max_size=12),
+                          st.sampled_from(["1:26.572\n", " 0:59.9 ", "12:00\r\n", "999999:59.999"])),
+                min_size=1, max_size=300))
+def test_lap_time_matches_the_stated_rule(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["v"] for r in df.select("i", lap_time_ms("t", "null").alias("v")).collect()}
+    assert all(got[i] == _lap_reference(t) for i, t in enumerate(texts)), \
+        [(t, got[i], _lap_reference(t)) for i, t in enumerate(texts) if got[i] != _lap_reference(t)][:5]
