@@ -135,3 +135,20 @@ def test_lap_time_matches_the_stated_rule(spark, texts):
     got = {r["i"]: r["v"] for r in df.select("i", lap_time_ms("t", "null").alias("v")).collect()}
     assert all(got[i] == _lap_reference(t) for i, t in enumerate(texts)), \
         [(t, got[i], _lap_reference(t)) for i, t in enumerate(texts) if got[i] != _lap_reference(t)][:5]
+
+
+@SETTINGS
+@given(key_sets, key_sets)
+def test_scd1_merge_invariants_on_full_scale_paths(spark, distributed_paths, target_keys, source_keys):
+    target = spark.createDataFrame(
+        [(k * 10, k, f"t{k}", None, None) for k in sorted(target_keys)],
+        "sk bigint, nk int, attr string, dw_inserted_at timestamp_ntz, dw_updated_at timestamp_ntz")
+    source = spark.createDataFrame([(k, f"s{k}") for k in sorted(source_keys)], "nk int, attr string")
+    out = {r["nk"]: r for r in scd1_merge(target, source, ["nk"], surrogate_key="sk",
+                                          load_ts="2024-01-01 00:00:00").collect()}
+    assert set(out) == target_keys | source_keys
+    old_max = max((k * 10 for k in target_keys), default=0)
+    new = sorted(k for k in source_keys if k not in target_keys)
+    # new keys: old max + rank of the natural key among the new ones
+    assert [out[k]["sk"] for k in new] == [old_max + i + 1 for i in range(len(new))]
+    assert all(out[k]["sk"] == k * 10 for k in target_keys)
