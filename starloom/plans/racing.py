@@ -9,6 +9,7 @@ caller's step, so a load never overwrites the table it reads.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -379,7 +380,7 @@ def _read_or_none(fn):
 def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None,
             load_ts=None, require_measure: str | None = "best_qualifying_time_ms",
             store: str | None = None) -> dict[str, DataFrame]:
-    """Dependency order: date, circuit, driver, constructor -> race -> fact.
+    """Dependency order: {date, circuit, driver, constructor} -> race -> fact.
 
     ``silver`` holds the current dimension tables (empty ones when absent).
     With ``store`` (a folder on shared storage), every load is written as a
@@ -400,12 +401,21 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
         write_version(df, base)
         return read_current(spark, base)
 
+    # date, circuit, driver and constructor do not depend on each other: with
+    # a store they are loaded concurrently (one Spark job stream per thread)
+    independent = {
+        "dim_date": lambda: load_dim_date(bronze["races"], cur["dim_date"], load_ts),
+        "dim_circuit": lambda: load_dim_circuit(bronze["circuits"], cur["dim_circuit"], load_ts),
+        "dim_driver": lambda: load_dim_driver(bronze["drivers"], cur["dim_driver"], load_ts),
+        "dim_constructor": lambda: load_dim_constructor(bronze["constructors"], cur["dim_constructor"],
+                                                        load_ts),
+    }
     out: dict[str, DataFrame] = {}
-    out["dim_date"] = keep("dim_date", load_dim_date(bronze["races"], cur["dim_date"], load_ts))
-    out["dim_circuit"] = keep("dim_circuit", load_dim_circuit(bronze["circuits"], cur["dim_circuit"], load_ts))
-    out["dim_driver"] = keep("dim_driver", load_dim_driver(bronze["drivers"], cur["dim_driver"], load_ts))
-    out["dim_constructor"] = keep("dim_constructor", load_dim_constructor(
-        bronze["constructors"], cur["dim_constructor"], load_ts))
+    with ThreadPoolExecutor(max_workers=len(independent) if store is not None else 1) as pool:
+        done = {name: pool.submit(lambda n=name, f=fn: keep(n, f())) for name, fn in independent.items()}
+        for name, fut in done.items():
+            out[name] = fut.result()
+    # race needs circuit and date; the fact needs all five
     out["dim_race"] = keep("dim_race", load_dim_race(bronze["races"], out["dim_circuit"], out["dim_date"],
                                                      cur["dim_race"], load_ts))
     previous_fact = None
