@@ -195,9 +195,14 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
                   .withColumn("_done", F.lit(True)),
                   ["expected", "modified", "bytes"], "left"))
     # one row per control entry: the control table is small by nature.
-    rows = plan.collect()
+    rows = plan.orderBy("target_table", "expected").collect()
     base = _absolute(landing_dir).rstrip("/")
     schemas = schemas or {}
+    targets = [r["target_table"] for r in rows]
+    if len(set(targets)) < len(targets):
+        # two sources for one table: load one after the other, in file-name
+        # order (the later overwrites), never two writers on one path at once
+        parallel = 1
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(
             lambda r: _load_one(spark, r, base, bronze, to_path, schemas, fmt, header), rows))
