@@ -156,3 +156,16 @@ def test_listing_relative_landing_folder(spark, tmp_dir, monkeypatch):
     monkeypatch.chdir(tmp_dir)
     names = {r["expected"] for r in list_landing(spark, "landing").collect()}
     assert {"circuits.csv", "status.csv", "parts.csv"} <= names
+
+
+def test_two_sources_for_one_target_load_in_turn(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    _land(spark, landing)
+    with open(f"{landing}/status2.csv", "w") as f:
+        f.write("statusId,status\n1,Finished\n2,Disqualified\n3,Accident\n")
+    control = spark.createDataFrame([("status2", "csv", "status", ","), ("status", "csv", "status", ",")],
+                                    CONTROL_SCHEMA)
+    res = ingest(spark, control, landing, f"{tmp_dir}/bronze")
+    assert sorted(res.loaded) == ["status.csv", "status2.csv"]
+    # file-name order: status.csv first, then status2.csv overwrites it
+    assert spark.read.parquet(f"{tmp_dir}/bronze/status").count() == 3
