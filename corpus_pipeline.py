@@ -9,8 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact_dedup, simhash, source_mix
-from starloom.llm.common import materialise, table
+from starloom.llm import exact_dedup, quality, sentence_pieces, simhash, source_mix
+from starloom.llm.common import materialise, table, tokenizer_path
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +33,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mix.take_mix(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_ids, ids, decoded_sha256, exact) of each document taken."""
+    return sentence_pieces.round_trip(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
 STAGES = [
+    ("quality", good_documents),
     ("exact_dedup", exact_copies),
     ("simhash_dedup", near_copies),
     ("source_mix", mix),
+    ("sentence_pieces", encode),
 ]
 
-#: No SQL: a trained classifier, XXH64 fingerprints and tokenization aren't expressible.
+#: No SQL: a trained classifier, XXH64 fingerprints and piece ids aren't expressible.
 ORACLE_SQL = None
 
 

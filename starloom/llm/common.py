@@ -64,3 +64,10 @@ def lookup_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_path(name: str) -> str:
+    """Path of a public vocabulary file; every executor has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -202,7 +202,7 @@ def _merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
 def _replicate(blocks: tuple, max_bits: int):
     """Fingerprints to rows (anchor, homes, visitors): packed fingerprints of
     one batch that go to one anchor, and their numbers."""
-    per = max(1, int(1_000_000 / reach(blocks, max_bits)[0]))
+    per = max(1, int(400_000 / reach(blocks, max_bits)[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
