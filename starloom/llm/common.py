@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,3 +74,21 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+_shipped: set[str] = set()
+
+
+def with_package(df: DataFrame) -> DataFrame:
+    """``df``, after sending this package to the executors, so that functions
+    run there whether or not it is installed; once per application."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="starloom-package-")) / "starloom.zip"  # Spark serves it from the driver
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted((root / "starloom").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        sc.addPyFile(str(archive))
+        _shipped.add(sc.applicationId)
+    return df

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, with_package
 
 FEATURE_BITS = 18
 MAX_TRAIN_ROWS = 12_000
@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
                 [b.column(0), b.column(1), pa.array([i.tobytes() for i, _ in made], pa.binary()),
                  pa.array([x.tobytes() for _, x in made], pa.binary())], ["__lid", "y", "ids", "x"])
 
-    sparse = materialise(rows.mapInArrow(
+    sparse = materialise(with_package(rows).mapInArrow(
         extract, f"__lid {chosen.dtypes[0][1]}, y int, ids binary, x binary"), "features")
     sparse = sparse.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS)))).withColumn(
         "o", F.xxhash64(F.col("__lid").cast("string"), "epoch"))
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
     # the bound on the rows makes this one task's work a constant
     one = sparse.repartition(1).sortWithinPartitions("epoch", "o", "__lid", "ids").select("y", "ids", "x")
-    got = one.mapInArrow(learn, "w binary").collect()
+    got = with_package(one).mapInArrow(learn, "w binary").collect()
     w = np.frombuffer(got[0][0], np.float32) if got else np.zeros(1 << FEATURE_BITS, np.float32)
     return w, log_odds(prior)
 
@@ -180,7 +180,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], tex
     # positions, not names, so that columns may clash with ours
     names = [f"__c{i}" for i in range(len(keep))] + ["__score"]
     slim = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col(text_col).alias("__text"))
-    out = slim.mapInArrow(run, ", ".join(f"{n} {t}" for n, (_, t) in zip(names[:-1], slim.dtypes)) + ", __score double")
+    out = with_package(slim).mapInArrow(run, ", ".join(f"{n} {t}" for n, (_, t) in zip(names[:-1], slim.dtypes)) + ", __score double")
     return out.withColumnsRenamed(dict(zip(names, keep)))
 
 

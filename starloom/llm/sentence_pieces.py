@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from .common import with_package
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 #: Segments and joined pairs remembered per Python worker; segments at once.
@@ -259,7 +260,7 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), _lists(encoded)], ["__id", "ids"])
 
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return slim.mapInArrow(run, f"__id {slim.dtypes[0][1]}, ids array<int>").withColumnRenamed("__id", id_col)
+    return with_package(slim).mapInArrow(run, f"__id {slim.dtypes[0][1]}, ids array<int>").withColumnRenamed("__id", id_col)
 
 
 def decode_ids(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -272,7 +273,7 @@ def decode_ids(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["__id", "text"])
 
     slim = encoded.select(F.col(id_col).alias("__id"), F.col(ids_col).alias("ids"))
-    return slim.mapInArrow(run, f"__id {slim.dtypes[0][1]}, text string").withColumnRenamed("__id", id_col)
+    return with_package(slim).mapInArrow(run, f"__id {slim.dtypes[0][1]}, text string").withColumnRenamed("__id", id_col)
 
 
 def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,7 +301,7 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
                 ["__id", "n_ids", "ids", "decoded_sha256", "exact"])
 
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    out = slim.mapInArrow(run, f"__id {slim.dtypes[0][1]}, n_ids long, ids array<int>, decoded_sha256 string, "
+    out = with_package(slim).mapInArrow(run, f"__id {slim.dtypes[0][1]}, n_ids long, ids array<int>, decoded_sha256 string, "
                                "exact boolean")
     return out.withColumnRenamed("__id", id_col)
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_groups, materialise
+from .common import lookup_groups, materialise, with_package
 from .components import components
 
 #: Generator polynomials of the two perfect codes (fixed values).
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["__id", "__fp"])
 
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return slim.mapInArrow(run, f"__id {slim.dtypes[0][1]}, __fp long")
+    return with_package(slim).mapInArrow(run, f"__id {slim.dtypes[0][1]}, __fp long")
 
 
 @functools.cache
@@ -239,7 +239,7 @@ def links(classes: DataFrame, distinct: int, max_bits: int) -> DataFrame:
     """(u, v): edges that connect what fingerprints at ``max_bits`` or fewer
     differing bits connect.  ``classes`` has one row per fingerprint (__fp)."""
     blocks = choose_code(distinct, max_bits)
-    sent = materialise(classes.select("__fp").mapInArrow(
+    sent = materialise(with_package(classes).select("__fp").mapInArrow(
         _replicate(blocks, max_bits),
         "anchor long, homes binary, visitors binary, n_homes long, n_visitors long"), "anchors")
     counts = materialise(sent.groupBy("anchor").agg(
@@ -257,7 +257,7 @@ def links(classes: DataFrame, distinct: int, max_bits: int) -> DataFrame:
         "anchor", F.explode(F.sequence(one, "rows")).alias("i"), F.pmod(slot, "cols").alias("j"),
         no.alias("homes"), "visitors")
     cells = homes.withColumn("i", F.col("i") + 1).unionByName(visitors.withColumn("j", F.col("j") + 1))
-    return cells.groupBy("anchor", "i", "j").applyInArrow(_compare(max_bits), "u long, v long")
+    return with_package(cells).groupBy("anchor", "i", "j").applyInArrow(_compare(max_bits), "u long, v long")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",

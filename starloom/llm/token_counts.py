@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import with_package
+
 #: The pre-token pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space as that pattern understands it (fixed value).
@@ -183,6 +185,6 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     slim = docs.select(F.col(id_col).alias("__id"),
                        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
                        F.col(text_col).alias("__text"))
-    out = slim.mapInArrow(run, f"__id {slim.dtypes[0][1]}, n_bytes long, n_tokens long")
+    out = with_package(slim).mapInArrow(run, f"__id {slim.dtypes[0][1]}, n_bytes long, n_tokens long")
     return out.select(F.col("__id").alias(id_col), "n_bytes", "n_tokens",
                       (F.col("n_tokens") > limit).alias("over_limit"))
