@@ -65,6 +65,13 @@ def lookup_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     return out.select(*rows.columns, *[got[c].alias(c) for c in cols])
 
 
+def positional(df: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns named by position, so that none clashes with an
+    operator's own, and the new names of ``cols``; ``toDF`` undoes it."""
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), [names[df.columns.index(c)] for c in cols]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -79,10 +86,19 @@ def tokenizer_path(name: str) -> str:
 _shipped: set[str] = set()
 
 
+#: Rows of an Arrow batch: whole texts, of which the default of 10,000 rows
+#: would hold hundreds of MB in an executor and its Python workers.
+ARROW_ROWS = 1000
+_ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def with_package(df: DataFrame) -> DataFrame:
     """``df``, after sending this package to the executors, so that functions
-    run there whether or not it is installed; once per application."""
-    sc = df.sparkSession.sparkContext
+    run there whether or not it is installed; once per application.  Arrow
+    batches get ``ARROW_ROWS`` rows unless the session has another setting."""
+    sc, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    if conf.get(_ARROW_CONF) == "10000":
+        conf.set(_ARROW_CONF, str(ARROW_ROWS))
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]
         archive = Path(tempfile.mkdtemp(prefix="starloom-package-")) / "starloom.zip"  # Spark serves it from the driver

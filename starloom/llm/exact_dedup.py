@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_groups, materialise
+from .common import lookup_groups, materialise, positional
 
 BITS_PER_ROW = 16
 MAX_FILTER_BITS = 1 << 26
@@ -105,9 +105,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the largest id stays, among repeated rows of that id the largest by the
     other columns.  Nulls and empty tables as in ``exact_dedup``.
     """
-    cols = docs.columns
-    marked, _ = _marked(docs, text_col, max_filter_bits, cols)
-    order = [c for c, kind in docs.dtypes if c not in (id_col, text_col) and "map<" not in kind]
+    rows, (key, text) = positional(docs, id_col, text_col)
+    marked, _ = _marked(rows, text, max_filter_bits, rows.columns)
+    order = [c for c, kind in rows.dtypes if c not in (key, text) and "map<" not in kind]
     kept = marked.filter("__maybe").groupBy("__sha").agg(
-        F.max_by(F.struct(*cols), F.struct(id_col, *order)).alias("__row"))
-    return marked.filter(~F.col("__maybe")).select(*cols).unionByName(kept.select("__row.*"))
+        F.max_by(F.struct(*rows.columns), F.struct(key, *order)).alias("__row"))
+    alone = marked.filter(~F.col("__maybe")).select(*rows.columns)
+    return alone.unionByName(kept.select("__row.*")).toDF(*docs.columns)

@@ -50,9 +50,9 @@ def read_page(source: str | None) -> Page:
     stack: list[tuple[str, str, bool, bool]] = []  # tag, path, in a container, beside the article
     for m in _TOKEN.finditer(source or ""):
         raw, _, closing, tag, attributes, text = m.groups()
-        if text is not None:
+        if text is not None or tag and tag.lower() == "br":  # a line break is white space
             _, path, inside, aside = stack[-1] if stack else ("", "", False, False)
-            page.texts.append((block, path, html.unescape(text), inside, aside))
+            page.texts.append((block, path, html.unescape(text or " "), inside, aside))
             continue
         if raw or not tag:
             block += bool(raw and raw.lower() in BLOCK)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, with_package
+from .common import materialise, positional, with_package
 
 FEATURE_BITS = 18
 MAX_TRAIN_ROWS = 12_000
@@ -35,7 +35,7 @@ DAMPING = 30.0
 #: FTRL: learning rate, its smoothing, L1 and L2 strength.
 ALPHA, BETA, L1, L2 = 10.0, 1.0, 0.0, 0.0
 #: Words whose hash a Python worker remembers; words hashed at once.
-CACHE_ROWS, BLOCK = 300_000, 1 << 17
+CACHE_ROWS, BLOCK = 100_000, 1 << 17
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MASK = np.uint64((1 << FEATURE_BITS) - 1)
@@ -177,11 +177,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], tex
                 scores.append(logistic(float(x.astype(np.float64) @ w[ids].astype(np.float64)) + bias))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], names)
 
-    # positions, not names, so that columns may clash with ours
-    names = [f"__c{i}" for i in range(len(keep))] + ["__score"]
-    slim = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col(text_col).alias("__text"))
-    out = with_package(slim).mapInArrow(run, ", ".join(f"{n} {t}" for n, (_, t) in zip(names[:-1], slim.dtypes)) + ", __score double")
-    return out.withColumnsRenamed(dict(zip(names, keep)))
+    slim = docs.select(*keep, F.col(text_col).alias("__text"))
+    names = [*keep, "__score"]
+    return with_package(slim).mapInArrow(
+        run, ", ".join(f"`{n}` {t}" for n, t in slim.dtypes[:-1]) + ", __score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id",
@@ -202,5 +201,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col:
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id",
               text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """``docs`` that score ``threshold`` or more, all columns kept; nulls as in ``quality``."""
-    model = train(docs, labels, label_col, id_col, text_col, max_rows)
-    return score(docs, model, docs.columns, text_col).filter(F.col("__score") >= threshold).select(*docs.columns)
+    rows, (key, text) = positional(docs, id_col, text_col)
+    model = train(rows.withColumnRenamed(key, id_col), labels, label_col, id_col, text, max_rows)
+    good = score(rows, model, rows.columns, text).filter(F.col("__score") >= threshold)
+    return good.select(*rows.columns).toDF(*docs.columns)

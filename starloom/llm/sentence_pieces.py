@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from .common import with_package
+
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 #: Segments and joined pairs remembered per Python worker; segments at once.
-CACHE_ROWS, PAIR_ROWS, BLOCK = 300_000, 300_000, 1 << 17
+CACHE_ROWS, PAIR_ROWS, BLOCK = 100_000, 100_000, 1 << 17
 
 
 class Pieces:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_groups, materialise, with_package
+from .common import lookup_groups, materialise, positional, with_package
 from .components import components
 
 #: Generator polynomials of the two perfect codes (fixed values).
@@ -297,6 +297,7 @@ def keep_one_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     All columns stay.  Rows with a null id can't be told apart and stay; so do
     repeated rows of the smallest id.
     """
-    groups = simhash_groups(docs, shingle, max_bits, id_col, text_col)
-    drop = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__drop")).distinct()
-    return docs.join(drop, docs[id_col] == F.col("__drop"), "left_anti")
+    rows, (key, text) = positional(docs, id_col, text_col)
+    groups = simhash_groups(rows, shingle, max_bits, key, text)
+    drop = groups.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__drop")).distinct()
+    return rows.join(drop, F.col(key) == F.col("__drop"), "left_anti").toDF(*docs.columns)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lookup_groups, materialise
+from .common import lookup_groups, materialise, positional
 
 #: Bits per level and levels of the histogram.
 LEVEL_BITS = 10
@@ -152,9 +152,9 @@ def take_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: str
     """``docs`` as the mix takes them: a document taken n times gives n equal
     rows, one never taken gives none.  All columns stay; nulls and empty
     tables as in ``mix_sources``."""
-    _, plan, n = _planned(docs, weights, id_col, text_col, source_col)
-    rows = docs.withColumns({"__key": _key(source_col), "__hash": _hash(id_col)})
-    out = lookup_groups(rows, plan, "__key", "__rows", n, F.col("__hash"))
-    out = out.filter(_copies() > 0).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), _copies())))
-    return out.select(*docs.columns)
+    rows, (key, text, source) = positional(docs, id_col, text_col, source_col)
+    _, plan, n = _planned(rows, weights, key, text, source)
+    keyed = rows.withColumns({"__key": _key(source), "__hash": _hash(key)})
+    out = lookup_groups(keyed, plan, "__key", "__rows", n, F.col("__hash")).filter(_copies() > 0)
+    out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), _copies())))
+    return out.select(*rows.columns).toDF(*docs.columns)

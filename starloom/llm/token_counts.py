@@ -26,10 +26,10 @@ from .common import with_package
 #: The pre-token pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space as that pattern understands it (fixed value).
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "".join(map(chr, (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
 #: Chunks (a word with the space before it) remembered per Python worker, and
 #: chunks handled at once.
-CACHE_ROWS, BLOCK = 300_000, 1 << 17
+CACHE_ROWS, BLOCK = 200_000, 1 << 17
 #: Characters of texts whose chunks are looked up together.
 HOLD = 1 << 20
 NO_PAIR = np.iinfo(np.int64).max
