@@ -1,7 +1,8 @@
 """Command line: run the racing star-schema job on the current cluster.
 
     python -m starloom racing --control control.csv --landing <dir> \\
-        --bronze <dir|database> --silver <dir> [--export <dir>] [--keep-all-results]
+        --bronze <dir|database> --silver <dir> [--export <dir>] [--keep-all-results] \\
+        [--race-ids 18,19]
 
 or on a cluster, ``spark-submit --py-files starloom.zip starloom/__main__.py
 racing ...`` with the same arguments.
@@ -34,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--load-ts")
     r.add_argument("--keep-all-results", action="store_true",
                    help="keep result rows without a qualifying time")
+    r.add_argument("--race-ids", type=lambda v: [int(x) for x in v.split(",")],
+                   help="targeted reload: rebuild only these races in the fact")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("starloom-racing").getOrCreate()
@@ -41,10 +44,13 @@ def main(argv: list[str] | None = None) -> int:
         control = spark.read.schema(CONTROL_SCHEMA).option("header", "true").csv(args.control)
     else:
         control = spark.table(args.control)
-    res, out = racing.run_from_landing(
-        spark, control, args.landing, args.bronze, args.silver, export_dir=args.export,
-        load_ts=args.load_ts,
-        require_measure=None if args.keep_all_results else "best_qualifying_time_ms")
+    try:
+        res, _ = racing.run_from_landing(
+            spark, control, args.landing, args.bronze, args.silver, export_dir=args.export,
+            load_ts=args.load_ts, race_ids=args.race_ids,
+            require_measure=None if args.keep_all_results else "best_qualifying_time_ms")
+    except racing.SourcesFailed as e:
+        res = e.result
     res.audit.show(truncate=False)
     print(f"loaded={res.loaded} skipped={res.skipped} failed={res.failed}")
     return 1 if res.failed else 0

@@ -9,7 +9,6 @@ from starloom.functions.numeric import (
     money_units,
     positions_gained,
     safe_cast,
-    strict_cast,
     units_sum,
 )
 from starloom.functions.text import blank_to_null, full_name, null_tokens_to_null, trimmed
@@ -29,7 +28,6 @@ __all__ = [
     "parse_date_any",
     "positions_gained",
     "safe_cast",
-    "strict_cast",
     "units_sum",
     "trimmed",
 ]

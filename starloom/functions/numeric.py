@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,12 +45,6 @@ def safe_cast(c: Column | str, to: str, *, text: bool = True) -> Column:
     return F.when(wide.between(*rng), wide.cast(to))
 
 
-def strict_cast(c: Column | str, to: str) -> Column:
-    """CAST under ANSI mode: bad input raises.  Use only where the input is
-    already validated (e.g. a declared numeric column)."""
-    return _col(c).cast(to)
-
-
 def least_positive(*cols: Column | str) -> Column:
     """Smallest strictly positive value among the inputs; NULL if none.
 
@@ -75,19 +71,31 @@ def default_zero(c: Column | str, out_type: str | None = None) -> Column:
 
 def units_sum(units: Column | str, scale: int, out_type: str | None = None) -> Column:
     """SUM of BIGINT amounts counted in units of 10^-scale, returned as an
-    exact DECIMAL (``out_type``, default ``decimal(18, scale)``).  Fixed-width
-    arithmetic throughout; a group total beyond 9.2e18 units overflows,
-    which raises under ANSI mode rather than wrapping."""
-    total = F.sum(_col(units)).cast("decimal(38,0)") / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")
-    return total.cast(out_type or f"decimal(18,{scale})")
+    exact DECIMAL (``out_type``, default ``decimal(38, scale)``).
+
+    The amounts are summed in three parts of 21 bits (the highest keeps the
+    sign), each in fixed-width arithmetic that holds 4 x 10^12 rows a group,
+    and put together once per group."""
+    u = _col(units)
+    low = F.lit((1 << 21) - 1).cast("bigint")
+    parts = (u.bitwiseAND(low), F.shiftright(u, 21).bitwiseAND(low), F.shiftright(u, 42))
+    wide = [F.sum(p).cast("decimal(25,0)") for p in parts]
+    total = (wide[2] * F.lit(1 << 21).cast("decimal(8,0)") + wide[1]).cast("decimal(30,0)")
+    total = (total * F.lit(1 << 21).cast("decimal(7,0)") + wide[0]).cast("decimal(38,0)")
+    return _scaled(total, scale, out_type)
+
+
+def _scaled(total: Column, scale: int, out_type: str | None) -> Column:
+    """``total`` units of 10^-scale as a decimal with ``scale`` digits."""
+    unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale + 1},{scale})")
+    return (total.cast(f"decimal({38 - scale},0)") * unit).cast(out_type or f"decimal(38,{scale})")
 
 
 def exact_sum(c: Column | str, scale: int, out_type: str | None = None) -> Column:
-    """SUM of a DECIMAL value with ``scale`` fraction digits: the same exact
-    total as a decimal sum, accumulated as BIGINT units of 10^-scale instead
-    of arbitrary-precision decimals (Spark only does this itself for
-    precisions up to 8)."""
-    return units_sum((_col(c) * F.lit(10 ** scale)).cast("bigint"), scale, out_type)
+    """SUM of a DECIMAL value with ``scale`` fraction digits, accumulated with
+    38 digits, whatever the precision of the input; ``out_type`` defaults to
+    ``decimal(38, scale)``."""
+    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast(out_type or f"decimal(38,{scale})")
 
 
 def money_units(c: Column | str, scale: int = 2) -> Column:

@@ -19,21 +19,19 @@ from starloom.operators.fact import (
 )
 from starloom.operators.keys import (
     Lookup,
-    assert_unique,
     assign_surrogate_keys,
-    broadcast_if_small,
     lookup_keys,
     max_key,
+    one_row_per_key,
     quarantine,
-    row_count_at_most,
 )
 from starloom.operators.ranking import rank_within
 from starloom.operators.scd1 import scd1_merge
 
 __all__ = [
-    "Enrichment", "Lookup", "assemble_fact", "assert_unique", "assign_surrogate_keys",
-    "broadcast_if_small", "calendar_dimension", "compare_to_group_mean", "count_by_bucket",
-    "enrich", "entity_records", "insert_if_absent", "join_group_values", "lookup_keys", "max_key",
+    "Enrichment", "Lookup", "assemble_fact", "assign_surrogate_keys",
+    "calendar_dimension", "compare_to_group_mean", "count_by_bucket",
+    "enrich", "entity_records", "insert_if_absent", "join_group_values", "lookup_keys", "max_key", "one_row_per_key",
     "mean_by_bucket", "period_leaders", "quarantine", "rank_within", "replace_keys", "rollup_children",
-    "row_count_at_most", "scd1_merge", "share_of_group",
+    "scd1_merge", "share_of_group",
 ]

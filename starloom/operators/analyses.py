@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numeric import exact_sum
-from starloom.operators.keys import broadcast_if_small
 from starloom.operators.ranking import rank_within
 
 
@@ -24,7 +23,7 @@ def _cols(xs: Sequence[str]) -> list[str]:
 
 
 def _decimal_sum(col: Column, in_type: str, out_type: str) -> Column:
-    """Exact SUM; decimal inputs are summed as BIGINT units (``exact_sum``)."""
+    """Exact SUM, accumulated with 38 digits for decimal inputs."""
     m = re.fullmatch(r"decimal\((\d+),(\d+)\)", in_type.replace(" ", ""))
     if m:
         return exact_sum(col, int(m.group(2)), out_type)
@@ -32,52 +31,34 @@ def _decimal_sum(col: Column, in_type: str, out_type: str) -> Column:
 
 
 def join_group_values(units: DataFrame, groups: DataFrame, keys: Sequence[str], *,
-                      how: str = "left", salt_buckets: int | None = None,
-                      salt_from: Sequence[str] | None = None,
-                      broadcast_max_rows: int | None = None) -> DataFrame:
+                      how: str = "left") -> DataFrame:
     """Attach per-group values (one row per group key) to every unit row.
 
-    * group table proven small -> broadcast join, no shuffle of ``units``;
-    * otherwise, with ``salt_buckets`` -> salted shuffle join: each unit gets a
-      deterministic salt ``pmod(xxhash64(salt_from), k)`` (its own columns,
-      so a recomputed task reproduces it) and every group row is replicated
-      for the k salts with ``explode(sequence(0, k-1))``; a group holding a
-      third of all units is then spread over k tasks;
-    * otherwise a plain shuffle join, whose hot partitions AQE's skew-join
-      handling splits at run time.
+    The join is an equi-join that Spark plans from bytes: a small group table
+    is broadcast; otherwise both sides shuffle on the (null-safe) key, which
+    differs from the aggregate's own partitioning, so the group side is an
+    exchange of its own and AQE's skew-join handling can split the units of a
+    hot group over many tasks.  Nothing is replicated but that group's row.
     """
     keys = _cols(keys)
     # NULL is a group of its own (as in PARTITION BY): match keys null-safely
     right = groups.select(*[F.col(k).alias(f"_jg_{k}") for k in keys],
                           *[c for c in groups.columns if c not in keys])
-    small = broadcast_if_small(right, broadcast_max_rows)
-    if small is not right or not salt_buckets:
-        left, rhs, extra = units, small, []
-    else:
-        cols = _cols(salt_from) if salt_from else [c for c in units.columns if c not in keys]
-        left = units.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
-        rhs = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        extra = ["_salt"]
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(rhs[f"_jg_{k}"])
+        c = units[k].eqNullSafe(right[f"_jg_{k}"])
         cond = c if cond is None else cond & c
-    for k in extra:
-        cond = cond & (left[k] == rhs[k])
-    out = left.join(rhs, cond, how).drop(*[f"_jg_{k}" for k in keys])
-    for k in extra:
-        out = out.drop(left[k]).drop(rhs[k])
-    return out
+    return units.join(right, cond, how).drop(*[f"_jg_{k}" for k in keys])
 
 
 def period_leaders(values: DataFrame, entity: Sequence[str], period: Sequence[str],
-                   measure: str, *, salt_buckets: int | None = None) -> DataFrame:
+                   measure: str) -> DataFrame:
     """Rows of ``values`` (one per entity and period) holding the period's
     largest ``measure`` -- RANK() = 1, ties included -- computed as a grouped
     max joined back on (period, max)."""
     period = _cols(period)
     best = values.groupBy(*period).agg(F.max(measure).alias("_best"))
-    j = join_group_values(values, best, period, how="inner", salt_buckets=salt_buckets)
+    j = join_group_values(values, best, period, how="inner")
     return j.where(F.col(measure) == F.col("_best")).drop("_best")
 
 
@@ -92,7 +73,7 @@ def count_by_bucket(leaders: DataFrame, entity: Sequence[str], bucket: Column,
 def entity_records(events: DataFrame, entity: str, category_col: str,
                    categories: dict[str, str], *, value_col: str | None = None,
                    value_name: str | None = None, value_type: str = "decimal(12,2)",
-                   total_type: str = "decimal(18,2)",
+                   total_type: str = "decimal(38,2)",
                    rank_by: Sequence[str] = (), top_k: int | None = None) -> DataFrame:
     """Per entity: one count per category (``{category value: output name}``)
     as conditional sums, optionally a value total; then, when ``top_k`` is
@@ -113,27 +94,25 @@ def entity_records(events: DataFrame, entity: str, category_col: str,
 
 def compare_to_group_mean(units: DataFrame, group: Sequence[str], value: str, *,
                           mean_name: str = "group_mean", delta_name: str = "vs_group_mean",
-                          exact_sum_type: str = "decimal(18,4)",
-                          salt_buckets: int | None = None) -> DataFrame:
+                          exact_sum_type: str = "decimal(38,4)") -> DataFrame:
     """Each unit beside its group's mean value and its distance from it.
 
     The mean is ``CAST(SUM(value) AS DOUBLE) / COUNT(*)`` over an exact
     decimal sum, from a grouped aggregate joined back on the group key (a hot
-    group is combined map-side; the join back is broadcast when the group
-    table is proven small, otherwise salted with ``salt_buckets`` or left to
-    AQE's skew split -- see ``join_group_values``).
+    group is combined map-side; see ``join_group_values``).  ``units`` is read
+    twice: store it first if it is expensive.
     """
     group = _cols(group)
     total = _decimal_sum(F.col(value), dict(units.dtypes)[value], exact_sum_type)
     means = units.groupBy(*group).agg(
         (total.cast("double") / F.count(F.lit(1))).alias(mean_name))
-    return (join_group_values(units, means, group, salt_buckets=salt_buckets)
+    return (join_group_values(units, means, group)
             .withColumn(delta_name, F.col(value).cast("double") - F.col(mean_name)))
 
 
 def mean_by_bucket(units: DataFrame, bucket: str, value: str, *,
                    count_name: str = "units", mean_name: str = "mean_value",
-                   exact_sum_type: str = "decimal(18,4)") -> DataFrame:
+                   exact_sum_type: str = "decimal(38,4)") -> DataFrame:
     """Mean value per bucket (e.g. mean order value by line count)."""
     total = _decimal_sum(F.col(value), dict(units.dtypes)[value], exact_sum_type)
     return units.groupBy(bucket).agg(
@@ -144,23 +123,20 @@ def mean_by_bucket(units: DataFrame, bucket: str, value: str, *,
 def share_of_group(values: DataFrame, member: Sequence[str], group: Sequence[str],
                    period: Sequence[str], measure: str, *,
                    group_total_name: str = "group_value", share_name: str = "share",
-                   rank_name: str = "group_rank", total_type: str = "decimal(18,2)",
-                   salt_buckets: int | None = None) -> DataFrame:
+                   rank_name: str = "group_rank", total_type: str = "decimal(38,2)") -> DataFrame:
     """Each member's share of its group's total per period, beside the
     group's rank (1 = largest total) among groups in that period.
 
     ``values`` holds one row per (member, group, period).  Group totals are a
-    grouped aggregate; the rank is ``rank_within`` over that aggregate (a
-    window when it is proven small, prefix sums over range partitions
-    otherwise).  The totals are joined back on
-    (group, period) with ``join_group_values`` (broadcast when proven small,
-    otherwise salted or left to AQE).
+    grouped aggregate; the rank is ``rank_within`` over that aggregate (prefix
+    sums over range partitions).  The totals are joined back on (group,
+    period) with ``join_group_values``.
     """
     member, group, period = _cols(member), _cols(group), _cols(period)
     mtype = dict(values.dtypes)[measure]
     totals = values.groupBy(*group, *period).agg(
         _decimal_sum(F.col(measure), mtype, total_type).alias(group_total_name))
     ranked = rank_within(totals, period, group_total_name, rank_name)
-    out = join_group_values(values, ranked, group + period, salt_buckets=salt_buckets)
+    out = join_group_values(values, ranked, group + period)
     return out.withColumn(
         share_name, F.col(measure).cast("double") / F.col(group_total_name).cast("double"))

@@ -8,12 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import (
-    Lookup,
-    assert_unique,
-    broadcast_if_small,
-    lookup_keys,
-)
+from starloom.operators.keys import Lookup, lookup_keys, one_row_per_key
 
 
 def rollup_children(child: DataFrame, keys: Sequence[str], value_col: str | Column, *,
@@ -48,29 +43,26 @@ class Enrichment:
 
     ``on`` maps fact columns to enrichment columns; ``take`` maps enrichment
     columns to output names; ``defaults`` fills values for fact rows without a
-    match (e.g. a child count of 0).  ``unique=False`` asks for a check that
-    the enrichment holds each key once (a duplicate would fan out the fact);
-    pass ``unique=True`` when that is structural (a grouped roll-up).
+    match (e.g. a child count of 0).  With ``unique=False`` a key that the
+    enrichment holds twice raises (it would fan out the fact); pass
+    ``unique=True`` when that cannot be (a grouped roll-up).
     """
     df: DataFrame
     on: dict[str, str]
     take: dict[str, str]
     defaults: dict[str, object] = field(default_factory=dict)
     unique: bool = False
-    broadcast_max_rows: int | None = None
 
 
 def enrich(fact: DataFrame, enrichments: Sequence[Enrichment]) -> DataFrame:
     out = fact
     for i, en in enumerate(enrichments):
         tag = f"_en{i}_"
-        if not en.unique:
-            assert_unique(en.df, list(en.on.values()), f"enrichment {i}")
         right = en.df.select(
             *[F.col(d).alias(f"{tag}{d}") for d in en.on.values()],
             *[F.col(src).alias(f"{tag}take_{dst}") for src, dst in en.take.items()])
-        if en.broadcast_max_rows is not None:
-            right = broadcast_if_small(right, en.broadcast_max_rows)
+        if not en.unique:
+            right = one_row_per_key(right, [f"{tag}{d}" for d in en.on.values()], f"enrichment {i}")
         cond = None
         for fcol, dcol in en.on.items():
             c = out[fcol] == right[f"{tag}{dcol}"]
@@ -91,8 +83,7 @@ def assemble_fact(base: DataFrame, *, lookups: Sequence[Lookup] = (),
     """Wide fact: base rows, left-joined to enrichments and dimension lookups.
 
     Enrichments that share the base's grain key go first so their exchanges
-    line up on that key; dimension lookups (broadcast when proven small)
-    follow.  ``require`` keeps only rows where those measures are non-NULL
+    line up on that key; dimension lookups follow.  ``require`` keeps only rows where those measures are non-NULL
     (the qualifying-time filter of a race fact); leave it ``None`` to keep
     every base row.
     """
@@ -110,17 +101,15 @@ def assemble_fact(base: DataFrame, *, lookups: Sequence[Lookup] = (),
 
 
 def replace_keys(old: DataFrame, new: DataFrame, key_cols: Sequence[str],
-                 keys: DataFrame | None = None,
-                 broadcast_max_rows: int | None = None) -> DataFrame:
+                 keys: DataFrame | None = None) -> DataFrame:
     """Targeted reload: rows of ``old`` whose key is in ``keys`` are replaced
     by the rows of ``new`` with those keys; all other rows of ``old`` stay.
 
     ``keys`` (a DataFrame with ``key_cols``) defaults to the distinct keys of
-    ``new``.  It is de-duplicated and broadcast only when proven small.
+    ``new``; a key without new rows loses its old ones.
     """
     key_cols = list(key_cols)
     k = (keys if keys is not None else new).select(*key_cols).distinct()
-    k = broadcast_if_small(k, broadcast_max_rows)
     kept = old.join(k, key_cols, "left_anti").select(*old.columns)
     fresh = new.join(k, key_cols, "left_semi").select(*old.columns)
     return kept.unionByName(fresh)

@@ -8,11 +8,12 @@ Scale notes
   partition boundaries), per-partition counts (one row per partition) are
   prefix-summed, and each row gets ``start + offset(partition) +
   row_number within its partition``.  For unique keys this equals the global
-  ``ROW_NUMBER() OVER (ORDER BY key)``, so ids are deterministic.
-* Small inputs (size proven by a bounded ``limit(n+1).count()``) take the
-  direct single-window path, which is cheaper below the threshold.
-* ``broadcast_if_small`` broadcasts only after the same bounded size check;
-  above it the join stays a shuffle join that AQE may still re-plan.
+  ``ROW_NUMBER() OVER (ORDER BY key)``, so ids are deterministic.  The number
+  of range partitions is left to AQE, which merges small ones.
+* No join here is forced: Spark and AQE choose broadcast or shuffle from the
+  bytes they know or have measured.
+* Uniqueness is checked inside the plan that uses it (``one_row_per_key``, the
+  key window), never by a job of its own.
 """
 
 from __future__ import annotations
@@ -20,117 +21,74 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.session import checkpoint_dir
 
-# Row bound under which a side may be broadcast / numbered in one window.
-# Read at call time (parameters default to None), so a deployment -- or a
-# test forcing the distributed paths -- can change them in one place.
-BROADCAST_MAX_ROWS = 1_000_000
-SMALL_KEYSET_ROWS = 200_000
 
+def _duplicate(keys: Sequence[str], what: str) -> Column:
+    """Raises when evaluated, naming the key that occurs twice."""
+    shown = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    return F.raise_error(F.concat(F.lit(f"duplicate key in {what}: "), shown))
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Cost is bounded by ``max_rows``, not by the table: ``offset(n)`` followed
-    by ``isEmpty`` runs as an incremental collect-limit that scans partitions
-    only until ``max_rows + 1`` (column-less) rows are seen -- unlike
-    ``limit(n).count()``, which runs a local limit in every partition.
-    """
-    return df.offset(max_rows).isEmpty()
-
-
-def row_bound(df: DataFrame) -> int | None:
-    """A proven upper bound on the rows of ``df``, if one was recorded."""
-    return getattr(df, "_starloom_row_bound", None)
-
-
-def with_row_bound(df: DataFrame, bound: int) -> DataFrame:
-    """Record that ``df`` has at most ``bound`` rows (set where it was
-    proven, e.g. by ``row_count_at_most``), so later size checks of the same
-    DataFrame need no extra job."""
-    df._starloom_row_bound = bound  # type: ignore[attr-defined]
-    return df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
-                       bound_of: DataFrame | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven small.
-
-    ``bound_of`` names a DataFrame whose recorded row bound also bounds
-    ``df`` (``df`` is a projection of it); otherwise the bound is checked
-    with a bounded count.
-    """
-    if max_rows is None:
-        max_rows = BROADCAST_MAX_ROWS
-    known = row_bound(bound_of if bound_of is not None else df)
-    if known is not None and known <= max_rows:
-        return F.broadcast(df)
-    if row_count_at_most(df, max_rows):
-        return with_row_bound(F.broadcast(df), max_rows)
-    return df
 
+def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "input") -> DataFrame:
+    """The rows of ``df`` with a complete key, grouped by it; a key that occurs
+    twice raises when the plan runs.  The aggregation is partial before the
+    shuffle and leaves the rows partitioned for a join on the same key."""
+    keys = list(keys)
+    complete = df.where(all_not_null(keys))
+    one = complete.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_slk_n"), *[F.any_value(c).alias(c) for c in df.columns if c not in keys])
+    return (one.where(F.when(F.col("_slk_n") == 1, F.lit(True))
+                      .otherwise(_duplicate(keys, what).cast("boolean")))
+            .select(*df.columns))
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "input") -> None:
-    """Raise if any key combination occurs twice.
 
-    Uses a grouped count (partial aggregation before the shuffle, so a hot key
-    costs one row per map task) and stops at the first duplicate found.
-    """
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > 1).limit(1).collect())
-    if dup:
-        row = dup[0].asDict()
-        raise ValueError(f"duplicate key in {what}: "
-                         f"{ {k: row[k] for k in keys} } occurs {row['_n']} times")
+def all_not_null(cols: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
 
 
-def max_key(df: DataFrame, key: str) -> int:
-    """Largest existing surrogate key, 0 for an empty table (one scalar to
-    the driver)."""
-    v = df.agg(F.max(key).alias("m")).collect()[0]["m"]
-    return int(v) if v is not None else 0
+def max_key(df: DataFrame, key: str) -> Column:
+    """Largest existing surrogate key, 0 for an empty table, as a scalar
+    subquery: it is read when the plan that uses it runs."""
+    return F.coalesce(df.agg(F.max(key).cast("bigint")).scalar(), F.lit(0).cast("bigint"))
 
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], key_name: str,
-                          start: int = 0, num_partitions: int | None = None,
-                          small_rows: int | None = None) -> DataFrame:
+                          start: int | Column = 0) -> DataFrame:
     """Add ``key_name`` = ``start + ROW_NUMBER() OVER (ORDER BY keys)``.
 
-    ``df`` must hold each natural key once (new keys only).  The result is
-    deterministic and stable across recomputation.
+    ``df`` must hold each natural key once (new keys only); one that occurs
+    twice raises when the result is read.  The result is deterministic and
+    stable across recomputation.
     """
     keys = list(keys)
     order = [F.col(k).asc_nulls_last() for k in keys]
-    spark = df.sparkSession
-    if small_rows is None:
-        small_rows = SMALL_KEYSET_ROWS
-    if small_rows > 0 and row_count_at_most(df, small_rows):
-        w = Window.orderBy(*order)
-        return with_row_bound(
-            df.withColumn(key_name, (F.lit(start) + F.row_number().over(w)).cast("bigint")),
-            small_rows)
-
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *order)
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(*order)
               .withColumn("_slk_part", F.spark_partition_id())
               .checkpoint(eager=True))
     counts = ranged.groupBy("_slk_part").agg(F.count(F.lit(1)).alias("_slk_n"))
-    # one row per range partition: bounded by ``n``, safe to order globally
-    # and to broadcast.
+    # one row per range partition
     offsets = counts.select(
         "_slk_part",
         F.coalesce(F.sum("_slk_n").over(
             Window.orderBy("_slk_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("_slk_off"))
     within = Window.partitionBy("_slk_part").orderBy(*order)
-    return (ranged.join(F.broadcast(offsets), "_slk_part")
-            .withColumn(key_name, (F.lit(start) + F.col("_slk_off")
-                                   + F.row_number().over(within)).cast("bigint"))
+    natural = F.struct(*[F.col(k) for k in keys])
+    repeated = F.row_number().over(within) > 1
+    repeated = repeated & natural.eqNullSafe(F.lag(natural).over(within))
+    base = start if isinstance(start, Column) else F.lit(start)
+    number = (base + F.col("_slk_off") + F.row_number().over(within)).cast("bigint")
+    return (ranged.join(offsets, "_slk_part")
+            .withColumn(key_name, F.when(repeated, _duplicate(keys, "rows to be keyed").cast("bigint"))
+                        .otherwise(number))
             .drop("_slk_part", "_slk_off"))
 
 
@@ -141,24 +99,24 @@ class Lookup:
     ``on`` maps a column of the fact (or one produced by an earlier lookup,
     for transitive lookups) to a column of ``dim``.  ``take`` lists dimension
     columns to carry over (``{dim_col: out_name}``).  Columns named in ``on``
-    on the dimension side are dropped after the join.
+    on the dimension side are dropped after the join.  ``unique=True`` says
+    that the dimension holds each key once by construction (it was keyed or
+    grouped by it); otherwise a repeated key raises instead of multiplying
+    fact rows.
     """
     dim: DataFrame
     on: dict[str, str]
     take: dict[str, str] = field(default_factory=dict)
-    broadcast: bool = True          # broadcast the dimension when proven small
-    broadcast_max_rows: int | None = None  # None: BROADCAST_MAX_ROWS
     replace: bool = True  # take-columns replace same-named fact columns
+    unique: bool = False
 
 
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Apply lookups in order (left joins; every fact row is kept).
+    """Apply lookups in order (left joins; every fact row is kept once).
 
-    Dimensions are pruned to the join + take columns before the join, and
-    broadcast only when their size is proven small.
+    Dimensions are pruned to the join + take columns before the join.
     """
     out = fact
-    bound = row_bound(fact)
     for i, lk in enumerate(lookups):
         tag = f"_lk{i}_"
         dim_cols = {d: f"{tag}{d}" for d in lk.on.values()}
@@ -166,8 +124,8 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             *[F.col(d).alias(a) for d, a in dim_cols.items()],
             *[F.col(src).alias(f"{tag}take_{dst}") for src, dst in lk.take.items()],
         )
-        if lk.broadcast:
-            right = broadcast_if_small(right, lk.broadcast_max_rows, bound_of=lk.dim)
+        if not lk.unique:
+            right = one_row_per_key(right, list(dim_cols.values()), f"lookup {sorted(lk.on.values())}")
         cond = None
         for fcol, dcol in lk.on.items():
             c = out[fcol] == right[dim_cols[dcol]]
@@ -182,8 +140,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         for dst in lk.take.values():
             joined = joined.withColumnRenamed(f"{tag}take_{dst}", dst)
         out = joined
-    # dimension keys are unique, so each lookup keeps the row count
-    return with_row_bound(out, bound) if bound is not None else out
+    return out
 
 
 def quarantine(fact: DataFrame, required: Sequence[str],

@@ -1,8 +1,7 @@
 """RANK() within a partition key without putting a whole partition into one
 task.
 
-``rank_within`` uses a window when the input is proven small.  Otherwise it
-computes the exact SQL ``RANK() OVER (PARTITION BY by ORDER BY value DESC)``
+``rank_within`` computes the exact SQL ``RANK() OVER (PARTITION BY by ORDER BY value DESC)``
 as prefix sums:
 
 1. distinct ``(by, value)`` pairs with their multiplicity (a grouped count,
@@ -24,28 +23,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators import keys as _keys
-from starloom.operators.keys import row_count_at_most
 from starloom.session import checkpoint_dir
 
 
 def rank_within(df: DataFrame, by: Sequence[str], value: str, rank_name: str = "rank", *,
-                descending: bool = True, small_rows: int | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                descending: bool = True) -> DataFrame:
     """Add ``rank_name`` = RANK() OVER (PARTITION BY by ORDER BY value [DESC])
     as INT.  NULL values rank last, as in Spark's default descending order."""
     by = list(by)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    if small_rows is None:
-        small_rows = _keys.SMALL_KEYSET_ROWS
-    if small_rows > 0 and row_count_at_most(df, small_rows):
-        return df.withColumn(rank_name, F.rank().over(Window.partitionBy(*by).orderBy(order)).cast("int"))
-
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession)
     values = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_rk_n"))
-    ranged = (values.repartitionByRange(n, *[F.col(b) for b in by], order)
+    ranged = (values.repartitionByRange(*[F.col(b) for b in by], order)
               .withColumn("_rk_part", F.spark_partition_id())
               .checkpoint(eager=True))
     per_part = ranged.groupBy("_rk_part", *by).agg(F.sum("_rk_n").alias("_rk_part_n"))

@@ -4,7 +4,7 @@ Semantics kept from a SQL ``MERGE ... WHEN MATCHED THEN UPDATE ... WHEN NOT
 MATCHED BY TARGET THEN INSERT``:
 
 * source rows with a NULL natural key are ignored;
-* a natural key occurring twice in the source is an error;
+* a natural key occurring twice in the source raises when the result is read;
 * matched rows take every update column from the source -- a source NULL
   overwrites -- and keep their surrogate key; the touch column gets the load
   timestamp (``only_changed=True`` restricts updates and touches to rows whose
@@ -14,10 +14,11 @@ MATCHED BY TARGET THEN INSERT``:
   (``max(existing) + ROW_NUMBER() OVER (ORDER BY natural key)``), the insert
   stamp set to the load timestamp and all non-inserted columns NULL.
 
-Plan shape: the matched/kept part is ``target LEFT JOIN source`` (the source
-is broadcast when proven small, otherwise both sides shuffle once on the
-natural key); the insert part is ``source LEFT ANTI target-keys``.  Only new
-rows go through surrogate-key assignment.
+Plan shape: the source is grouped by its natural key (which checks it and
+partitions it for the join); the matched/kept part is ``target LEFT JOIN
+source``, the insert part ``source LEFT ANTI target-keys``.  Only new rows go
+through surrogate-key assignment, whose checkpoint is the only job that
+building the result starts.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import (
-    assert_unique,
+    all_not_null,
     assign_surrogate_keys,
-    broadcast_if_small,
     max_key,
+    one_row_per_key,
 )
 
 ACTION_KEPT = "kept"
@@ -58,9 +59,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                only_changed: bool = False,
                compare_cols: Sequence[str] | None = None,
                action_col: str | None = None,
-               check_unique: bool = True,
-               broadcast_source: bool = True,
-               broadcast_max_rows: int | None = None) -> DataFrame:
+               check_unique: bool = True) -> DataFrame:
     """Return the dimension after upserting ``source`` into ``target``.
 
     ``target`` has the dimension's full schema; ``source`` carries the natural
@@ -83,14 +82,10 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
             raise ValueError(f"source lacks column {c!r}")
 
     # L10: rows without a natural key never reach the merge.
-    not_null = None
-    for k in keys:
-        cond = F.col(k).isNotNull()
-        not_null = cond if not_null is None else not_null & cond
-    src = source.where(not_null).select(
+    src = source.where(all_not_null(keys)).select(
         *[F.col(c).cast(ttypes[c]).alias(c) for c in dict.fromkeys(keys + update_cols + insert_cols)])
     if check_unique:
-        assert_unique(src, keys, "merge source")
+        src = one_row_per_key(src, keys, "merge source")
 
     ts_type = ttypes.get(touch_col) or ttypes.get(insert_stamp_col) or "timestamp"
     stamp = _ts(load_ts if load_ts is not None else F.current_timestamp(), ts_type)
@@ -99,8 +94,6 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     s_pref = {c: f"_src_{c}" for c in src.columns}
     s = src.select(*[F.col(c).alias(a) for c, a in s_pref.items()],
                    F.lit(True).alias("_src_present"))
-    if broadcast_source:
-        s = broadcast_if_small(s, broadcast_max_rows)
     cond = None
     for k in keys:
         c = target[k] == s[s_pref[k]]
@@ -132,8 +125,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     # ---- inserts: source LEFT ANTI target ------------------------------------
     new = src.join(target.select(*keys), keys, "left_anti")
     if surrogate_key:
-        start = max_key(target, surrogate_key)
-        new = assign_surrogate_keys(new, keys, surrogate_key, start=start)
+        new = assign_surrogate_keys(new, keys, surrogate_key, start=max_key(target, surrogate_key))
     ins_cols = []
     for c in tcols:
         if c == surrogate_key:

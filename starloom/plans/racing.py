@@ -31,7 +31,6 @@ from starloom.operators import (
     Enrichment,
     Lookup,
     assemble_fact,
-    broadcast_if_small,
     assign_surrogate_keys,
     calendar_dimension,
     insert_if_absent,
@@ -41,18 +40,25 @@ from starloom.operators import (
     rollup_children,
     scd1_merge,
 )
-from starloom.plans.racing_schemas import BRONZE_TABLES, SOURCES, TARGETS, source_schema, target_schema
+from starloom.plans.racing_schemas import (
+    BRONZE_TABLES,
+    SOURCES,
+    TARGETS,
+    not_null_columns,
+    source_schema,
+    target_schema,
+)
 from starloom.sinks.storage import (
     create_table,
     export,
-    overwrite_partitions,
     project_to_schema,
     read_current,
+    read_current_or_none,
+    require_not_null,
     truncate,
     write_version,
 )
-from starloom.session import checkpoint_dir
-from starloom.sources.landing import IngestResult, ingest
+from starloom.sources.landing import IngestResult, ingest, read_bronze
 
 # Date layouts accepted for a driver's date of birth (the race
 # date accepts the four of DEFAULT_DATE_FORMATS).
@@ -83,12 +89,15 @@ def clean_bronze(spark: SparkSession, bronze: str, tables: Sequence[str] = BRONZ
     """Empty every landed bronze table that exists, keeping its schema.
     Returns the tables emptied."""
     done = []
+    to_path = "/" in bronze or ":" in bronze
     for t in tables:
-        target = f"{bronze.rstrip('/')}/{t}" if ("/" in bronze or ":" in bronze) else f"{bronze}.{t}"
-        try:
-            truncate(spark, target)
-        except Exception:  # noqa: BLE001 -- a table never landed has nothing to empty
+        table = read_bronze(spark, bronze, t)
+        if table is None:  # never landed
             continue
+        if to_path:
+            write_version(spark.createDataFrame([], table.schema), f"{bronze.rstrip('/')}/{t}")
+        else:
+            truncate(spark, f"{bronze}.{t}")
         done.append(t)
     return done
 
@@ -236,12 +245,10 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
         ids_df = (race_ids if isinstance(race_ids, DataFrame)
                   else spark.createDataFrame([(int(r),) for r in race_ids], "raceId int"))
         ids_df = ids_df.select(F.col(ids_df.columns[0]).cast("int").alias("raceId")).distinct()
-        # a list of ids is bounded by construction; a DataFrame is checked
-        chosen = F.broadcast(ids_df) if not isinstance(race_ids, DataFrame) else broadcast_if_small(ids_df)
         # every race-keyed input is cut to the chosen races before any
         # aggregate or join, so a reload of a few races reads only their rows
         results, qualifying, pit_stops, driver_standings, constructors_results = (
-            t.join(chosen, "raceId", "left_semi")
+            t.join(ids_df, "raceId", "left_semi")
             for t in (results, qualifying, pit_stops, driver_standings, constructors_results))
     base = results
 
@@ -328,7 +335,7 @@ def _result_keys(rows: DataFrame, existing: DataFrame,
     key."""
     previous = existing
     if race_keys is not None:
-        previous = previous.join(broadcast_if_small(race_keys), "src_race_id", "left_semi")
+        previous = previous.join(race_keys, "src_race_id", "left_semi")
     previous = previous.select("src_result_id", "result_key")
     rows = rows.drop("result_key") if "result_key" in rows.columns else rows
     known = rows.join(previous, "src_result_id", "inner")
@@ -338,48 +345,21 @@ def _result_keys(rows: DataFrame, existing: DataFrame,
     return known.unionByName(fresh)
 
 
-def reload_races(results: DataFrame, qualifying: DataFrame, pit_stops: DataFrame,
-                 driver_standings: DataFrame, constructors_results: DataFrame, status: DataFrame,
-                 dim_race: DataFrame, dim_driver: DataFrame, dim_constructor: DataFrame,
-                 dim_circuit: DataFrame, dim_date: DataFrame, *, fact_path: str,
-                 race_ids: DataFrame | Sequence[int], load_ts=None,
-                 require_measure: str | None = "best_qualifying_time_ms") -> DataFrame:
-    """Targeted reload against a fact stored partitioned by ``src_race_id``:
-    the chosen races are rebuilt and only their partitions are overwritten;
-    results already in the fact keep their keys, new ones get keys above the
-    stored maximum.  Returns the quarantined rows of the reloaded races."""
-    spark = results.sparkSession
-    stored = spark.read.parquet(fact_path)
-    fresh, bad = load_fact_race_result(
-        results, qualifying, pit_stops, driver_standings, constructors_results, status,
-        dim_race, dim_driver, dim_constructor, dim_circuit, dim_date, load_ts=load_ts,
-        require_measure=require_measure, race_ids=race_ids)
-    ids = fresh.select("src_race_id").distinct()
-    if not isinstance(race_ids, DataFrame):
-        ids = spark.createDataFrame([(int(r),) for r in race_ids], "src_race_id int")
-    fresh = project_to_schema(_result_keys(fresh, stored, ids), target_schema("fact_race_result"))
-    # the rows are computed from the stored fact (key lookup): materialise
-    # them before overwriting any of its partitions
-    checkpoint_dir(spark)
-    fresh = fresh.checkpoint(eager=True)
-    overwrite_partitions(fresh, fact_path, ["src_race_id"])
-    return bad
-
-
 # --------------------------------------------------------------------------
 # run order
 # --------------------------------------------------------------------------
 
-def _read_or_none(fn):
-    try:
-        return fn()
-    except Exception:  # noqa: BLE001 -- table not created yet
-        return None
+class SourcesFailed(RuntimeError):
+    """A source failed to load, so the silver loads did not start."""
+
+    def __init__(self, result: IngestResult):
+        super().__init__(f"sources failed: {', '.join(result.failed)}")
+        self.result = result
 
 
 def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None,
             load_ts=None, require_measure: str | None = "best_qualifying_time_ms",
-            store: str | None = None) -> dict[str, DataFrame]:
+            store: str | None = None, race_ids: Sequence[int] | None = None) -> dict[str, DataFrame]:
     """Dependency order: {date, circuit, driver, constructor} -> race -> fact.
 
     ``silver`` holds the current dimension tables (empty ones when absent).
@@ -388,7 +368,13 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
     next load uses it: downstream loads then start from stored tables rather
     than re-running the upstream merges, and a failed load leaves the
     previous version current.
+
+    ``race_ids`` (with ``store``) is a targeted reload: only those races are
+    rebuilt and replaced in a new version of the fact; one that yields no row
+    any more leaves it.
     """
+    if race_ids is not None and store is None:
+        raise ValueError("a targeted reload needs the stored fact")
     spark = next(iter(bronze.values())).sparkSession
     silver = dict(silver or {})
     cur = {name: silver.get(name) if silver.get(name) is not None else empty_target(spark, name)
@@ -398,6 +384,8 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
         if store is None:
             return df
         base = f"{store.rstrip('/')}/{name}"
+        if name in TARGETS:
+            df = require_not_null(df, not_null_columns(name), name)
         write_version(df, base)
         return read_current(spark, base)
 
@@ -420,37 +408,46 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
                                                      cur["dim_race"], load_ts))
     previous_fact = None
     if store is not None:
-        previous_fact = _read_or_none(
-            lambda: read_current(spark, f"{store.rstrip('/')}/fact_race_result"))
+        previous_fact = read_current_or_none(spark, f"{store.rstrip('/')}/fact_race_result")
+    if race_ids is not None and previous_fact is None:
+        previous_fact = empty_target(spark, "fact_race_result")
     fact, bad = load_fact_race_result(
         bronze["results"], bronze["qualifying"], bronze["pit_stops"], bronze["driver_standings"],
         bronze["constructors_results"], bronze["status"], out["dim_race"], out["dim_driver"],
         out["dim_constructor"], out["dim_circuit"], out["dim_date"], load_ts=load_ts,
-        require_measure=require_measure, previous=previous_fact)
+        require_measure=require_measure, previous=previous_fact, race_ids=race_ids,
+        existing=previous_fact if race_ids is not None else None)
     out["fact_race_result"] = keep("fact_race_result", fact)
     out["fact_quarantine"] = keep("fact_quarantine", bad)
+    out["race_date_quarantine"] = keep("race_date_quarantine", unparsed_race_dates(bronze["races"]))
     return out
 
 
-def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bronze_dir: str,
+def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bronze: str,
                      silver_store: str, *, export_dir: str | None = None, load_ts=None,
                      require_measure: str | None = "best_qualifying_time_ms",
-                     export_single_file_rows: int = 1_000_000) -> tuple[IngestResult, dict[str, DataFrame]]:
-    """The whole job: ingest landed files into bronze (declared schemas,
-    ledger), load the silver star schema as new table versions, and export
-    every silver table as CSV.  Returns the ingest audit and the silver
-    tables as loaded."""
-    res = ingest(spark, control, landing, bronze_dir, ledger=f"{bronze_dir.rstrip('/')}/_ledger",
+                     race_ids: Sequence[int] | None = None) -> tuple[IngestResult, dict[str, DataFrame]]:
+    """The whole job: ingest landed files into bronze (a folder or a catalog
+    database; declared schemas, ledger), load the silver star schema as new
+    table versions, and export every silver table as CSV.  Returns the ingest
+    audit and the silver tables as loaded.  If a source fails, ``SourcesFailed``
+    is raised before any silver table is touched.  ``race_ids`` limits the
+    fact load to those races."""
+    to_path = "/" in bronze or ":" in bronze
+    ledger = f"{(bronze if to_path else silver_store).rstrip('/')}/_ledger"
+    res = ingest(spark, control, landing, bronze, ledger=ledger,
                  schemas={name: source_schema(name) for name in SOURCES})
-    bronze = {}
+    if res.failed:
+        raise SourcesFailed(res)
+    sources = {}
     for name in SOURCES:
-        df = _read_or_none(lambda n=name: spark.read.schema(source_schema(n))
-                           .parquet(f"{bronze_dir.rstrip('/')}/{n}"))
-        bronze[name] = df if df is not None else spark.createDataFrame([], source_schema(name))
-    silver = {name: _read_or_none(lambda n=name: read_current(spark, f"{silver_store.rstrip('/')}/{n}"))
+        df = read_bronze(spark, bronze, name)
+        sources[name] = df if df is not None else spark.createDataFrame([], source_schema(name))
+    silver = {name: read_current_or_none(spark, f"{silver_store.rstrip('/')}/{name}")
               for name in TARGETS if name.startswith("dim_")}
-    out = run_all(bronze, silver, load_ts=load_ts, require_measure=require_measure, store=silver_store)
+    out = run_all(sources, silver, load_ts=load_ts, require_measure=require_measure, store=silver_store,
+                  race_ids=race_ids)
     if export_dir:
         for name, df in out.items():
-            export(df, f"{export_dir.rstrip('/')}/{name}", single_file_max_rows=export_single_file_rows)
+            export(df, f"{export_dir.rstrip('/')}/{name}")
     return res, out

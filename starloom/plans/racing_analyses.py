@@ -11,18 +11,14 @@ from pyspark.sql import functions as F
 from starloom.operators import (
     compare_to_group_mean,
     count_by_bucket,
-    entity_records,
     mean_by_bucket,
     period_leaders,
     share_of_group,
 )
-from starloom.operators.keys import broadcast_if_small
-
-SALT_BUCKETS = 16
 
 
 def _with_season(fact: DataFrame, dim_race: DataFrame) -> DataFrame:
-    races = broadcast_if_small(dim_race.select("race_key", F.col("season_year").alias("season")))
+    races = dim_race.select("race_key", F.col("season_year").alias("season"))
     return fact.join(races, "race_key", "left")
 
 
@@ -35,25 +31,21 @@ def constructor_dominance(fact: DataFrame, dim_race: DataFrame, dim_constructor:
     leaders = period_leaders(pts, ["constructor_key"], ["season"], "season_points")
     per_decade = count_by_bucket(leaders, ["constructor_key"],
                                  (F.floor(F.col("season") / 10) * 10).cast("int"), "decade", "seasons_led")
-    names = broadcast_if_small(dim_constructor.select("constructor_key", "constructor_name"))
+    names = dim_constructor.select("constructor_key", "constructor_name")
     return per_decade.join(names, "constructor_key", "left")
 
 
-def driver_records(fact: DataFrame, dim_driver: DataFrame, top_k: int = 20) -> DataFrame:
-    """Wins, pole positions and fastest laps per driver; the top ``top_k``
-    by wins (then poles, then driver key)."""
-    marks = fact.select(
-        "driver_key",
-        F.when(F.col("finish_position") == 1, "win").alias("w"),
-        F.when(F.col("grid_position") == 1, "pole").alias("p"),
-        F.when(F.col("fastest_lap_rank") == 1, "fastest").alias("f"))
-    events = marks.select("driver_key", F.explode(F.array("w", "p", "f")).alias("kind")) \
-        .where(F.col("kind").isNotNull())
-    per = entity_records(events, "driver_key", "kind",
-                         {"win": "wins", "pole": "poles", "fastest": "fastest_laps"},
-                         rank_by=["wins", "poles"], top_k=top_k)
-    names = broadcast_if_small(dim_driver.select("driver_key", "full_name"))
-    return per.join(names, "driver_key", "left")
+def driver_records(fact: DataFrame, dim_driver: DataFrame, top_k: int | None = None) -> DataFrame:
+    """Wins, pole positions and fastest laps of every driver in the fact, one
+    pass of conditional counts; with ``top_k`` only the first so many by wins
+    (then poles, then driver key)."""
+    per = fact.groupBy("driver_key").agg(
+        F.count(F.when(F.col("finish_position") == 1, 1)).alias("wins"),
+        F.count(F.when(F.col("grid_position") == 1, 1)).alias("poles"),
+        F.count(F.when(F.col("fastest_lap_rank") == 1, 1)).alias("fastest_laps"))
+    if top_k is not None:
+        per = per.orderBy(F.desc("wins"), F.desc("poles"), "driver_key").limit(top_k)
+    return per.join(dim_driver.select("driver_key", "full_name"), "driver_key", "left")
 
 
 def race_deep_dive(fact: DataFrame) -> DataFrame:
@@ -64,7 +56,7 @@ def race_deep_dive(fact: DataFrame) -> DataFrame:
                        (F.col("fastest_lap_time_ms") - F.col("best_qualifying_time_ms")).alias("pace_delta_ms"))
     return compare_to_group_mean(rows.withColumn("gain", F.col("positions_gained").cast("decimal(10,0)")),
                                  ["race_key"], "gain", mean_name="race_mean_gain",
-                                 delta_name="gain_vs_race", salt_buckets=SALT_BUCKETS).drop("gain")
+                                 delta_name="gain_vs_race").drop("gain")
 
 
 def gain_by_pit_stops(fact: DataFrame) -> DataFrame:
@@ -82,4 +74,4 @@ def driver_or_car(fact: DataFrame, dim_race: DataFrame) -> DataFrame:
            .agg(F.sum("points_scored").cast("decimal(12,2)").alias("driver_points")))
     return share_of_group(pts, ["driver_key"], ["constructor_key"], ["season"], "driver_points",
                           group_total_name="constructor_points", share_name="share_of_constructor",
-                          rank_name="constructor_rank", salt_buckets=SALT_BUCKETS)
+                          rank_name="constructor_rank")

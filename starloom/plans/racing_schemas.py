@@ -10,71 +10,54 @@ wrong guesses such as a time of day read as a timestamp).  Kept as DDL text;
 from pyspark.sql.types import StructType
 
 
-def _schema(ddl: str) -> str:
-    return ddl
-
-
 # Source column names (as the landed files name them) and the
 # silver table layouts (column names and types), which downstream readers
 # depend on.
 SOURCES: dict[str, str] = {
-    "circuits": _schema(
-        "circuitId INT, circuitRef STRING, name STRING, location STRING, country STRING, "
+    "circuits": ("circuitId INT, circuitRef STRING, name STRING, location STRING, country STRING, "
         "lat STRING, lng STRING, alt STRING, url STRING"),
-    "constructors": _schema(
-        "constructorId INT, constructorRef STRING, name STRING, nationality STRING, url STRING"),
-    "drivers": _schema(
-        "driverId INT, driverRef STRING, number STRING, code STRING, forename STRING, "
+    "constructors": ("constructorId INT, constructorRef STRING, name STRING, nationality STRING, url STRING"),
+    "drivers": ("driverId INT, driverRef STRING, number STRING, code STRING, forename STRING, "
         "surname STRING, dob STRING, nationality STRING, url STRING"),
-    "races": _schema(
-        "raceId INT, year INT, round INT, circuitId INT, name STRING, date STRING, "
+    "races": ("raceId INT, year INT, round INT, circuitId INT, name STRING, date STRING, "
         "time STRING, url STRING"),
-    "results": _schema(
-        "resultId INT, raceId INT, driverId INT, constructorId INT, statusId INT, grid INT, "
+    "results": ("resultId INT, raceId INT, driverId INT, constructorId INT, statusId INT, grid INT, "
         "position STRING, positionText STRING, positionOrder INT, points STRING, laps INT, "
         "milliseconds STRING, fastestLap STRING, rank STRING, fastestLapTime STRING, "
         "fastestLapSpeed STRING"),
-    "qualifying": _schema(
-        "raceId INT, driverId INT, constructorId INT, position INT, q1 STRING, q2 STRING, "
+    "qualifying": ("raceId INT, driverId INT, constructorId INT, position INT, q1 STRING, q2 STRING, "
         "q3 STRING"),
-    "pit_stops": _schema("raceId INT, driverId INT, milliseconds INT"),
-    "driver_standings": _schema(
-        "raceId INT, driverId INT, points DECIMAL(6,2), position INT, wins INT"),
-    "constructors_results": _schema("raceId INT, constructorId INT, points DECIMAL(5,2)"),
-    "status": _schema("statusId INT, status STRING"),
+    "pit_stops": ("raceId INT, driverId INT, milliseconds INT"),
+    "driver_standings": ("raceId INT, driverId INT, points DECIMAL(6,2), position INT, wins INT"),
+    "constructors_results": ("raceId INT, constructorId INT, points DECIMAL(5,2)"),
+    "status": ("statusId INT, status STRING"),
 }
 
-DIM_DRIVER = _schema(
-    "driver_key BIGINT, driver_id INT, driver_ref STRING, code STRING, full_name STRING, "
+DIM_DRIVER = ("driver_key BIGINT, driver_id INT NOT NULL, driver_ref STRING, code STRING, full_name STRING, "
     "forename STRING, surname STRING, date_of_birth DATE, nationality STRING, "
     "car_number TINYINT, wikipedia_url STRING, dw_inserted_at TIMESTAMP_NTZ, "
     "dw_updated_at TIMESTAMP_NTZ")
 
-DIM_CONSTRUCTOR = _schema(
-    "constructor_key BIGINT, constructor_id INT, constructor_ref STRING, "
+DIM_CONSTRUCTOR = ("constructor_key BIGINT, constructor_id INT NOT NULL, constructor_ref STRING, "
     "constructor_name STRING, nationality STRING, wikipedia_url STRING, "
     "dw_inserted_at TIMESTAMP_NTZ, dw_updated_at TIMESTAMP_NTZ")
 
-DIM_CIRCUIT = _schema(
-    "circuit_key BIGINT, circuit_id INT, circuit_ref STRING, circuit_name STRING, "
+DIM_CIRCUIT = ("circuit_key BIGINT, circuit_id INT NOT NULL, circuit_ref STRING, circuit_name STRING, "
     "location STRING, country STRING, latitude DECIMAL(9,6), longitude DECIMAL(9,6), "
     "altitude_m SMALLINT, wikipedia_url STRING, dw_inserted_at TIMESTAMP_NTZ, "
     "dw_updated_at TIMESTAMP_NTZ")
 
-DIM_DATE = _schema(
-    "date_key INT, full_date DATE, year SMALLINT, quarter TINYINT, month_num TINYINT, "
+DIM_DATE = ("date_key INT NOT NULL, full_date DATE NOT NULL, year SMALLINT, quarter TINYINT, month_num TINYINT, "
     "month_name STRING, day_of_month TINYINT, day_of_week_num TINYINT, "
     "day_of_week_name STRING, is_weekend BOOLEAN, f1_season SMALLINT, "
     "dw_inserted_at TIMESTAMP_NTZ")
 
-DIM_RACE = _schema(
-    "race_key BIGINT, race_id INT, season_year SMALLINT, round_number TINYINT, "
+DIM_RACE = ("race_key BIGINT, race_id INT NOT NULL, season_year SMALLINT, round_number TINYINT, "
     "race_name STRING, race_date DATE, race_time STRING, circuit_key BIGINT, date_key INT, "
     "wikipedia_url STRING, dw_inserted_at TIMESTAMP_NTZ")
 
-FACT_RACE_RESULT = _schema(
-    "result_key BIGINT, race_key BIGINT, driver_key BIGINT, constructor_key BIGINT, "
-    "circuit_key BIGINT, date_key INT, src_result_id INT, src_race_id INT, "
+FACT_RACE_RESULT = ("result_key BIGINT, race_key BIGINT NOT NULL, driver_key BIGINT NOT NULL, "
+    "constructor_key BIGINT NOT NULL, circuit_key BIGINT NOT NULL, date_key INT NOT NULL, src_result_id INT, src_race_id INT, "
     "src_driver_id INT, src_constructor_id INT, qualifying_position TINYINT, "
     "q1_time_ms INT, q2_time_ms INT, q3_time_ms INT, best_qualifying_time_ms INT, "
     "grid_position TINYINT, finish_position TINYINT, position_order TINYINT, "
@@ -110,3 +93,7 @@ def source_schema(name: str) -> StructType:
 
 def target_schema(name: str) -> StructType:
     return StructType.fromDDL(TARGETS[name])
+
+
+def not_null_columns(name: str) -> list[str]:
+    return [f.name for f in target_schema(name).fields if not f.nullable]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom.functions import (
     blank_to_null,
@@ -31,7 +32,6 @@ from starloom.operators import (
     Lookup,
     assemble_fact,
     assign_surrogate_keys,
-    broadcast_if_small,
     calendar_dimension,
     compare_to_group_mean,
     count_by_bucket,
@@ -48,7 +48,7 @@ from starloom.operators import (
     share_of_group as share_of_group_op,
 )
 from starloom.session import scratch_dir
-from starloom.sinks.storage import export
+from starloom.sinks.storage import append_rows, export, read_current, write_table, write_version
 from starloom.sources.landing import CONTROL_SCHEMA, ingest
 from starloom.sources.tables import read_table
 from starloom.streaming import stream_landing
@@ -78,7 +78,7 @@ def dim_nation(spark: SparkSession, d: str, regions: DataFrame) -> DataFrame:
     n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     n = assign_surrogate_keys(n, ["n_nationkey"], "nation_key")
     return lookup_keys(n, [Lookup(regions, {"n_regionkey": "r_regionkey"},
-                                  {"region_key": "region_key"})])
+                                  {"region_key": "region_key"}, unique=True)])
 
 
 def dim_customer(spark: SparkSession, d: str, nations: DataFrame,
@@ -87,7 +87,7 @@ def dim_customer(spark: SparkSession, d: str, nations: DataFrame,
         spark, d, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
     c = assign_surrogate_keys(c, ["c_custkey"], "cust_key")
     return lookup_keys(c, [Lookup(nations, {"c_nationkey": "n_nationkey"},
-                                  {"nation_key": "nation_key"})])
+                                  {"nation_key": "nation_key"}, unique=True)])
 
 
 def dim_order_date(orders: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def _build_fact(spark: SparkSession, d: str, dims: dict, *, with_lines: bool = T
     base = _orders_base(spark, d)
     rollup = lineitem_rollup(spark, d) if with_lines else None
     if only_customers is not None:
-        chosen = broadcast_if_small(only_customers.distinct())
+        chosen = only_customers.distinct()
         base = base.join(chosen, "o_custkey", "left_semi")
         if with_lines:
             orders_of = base.select(F.col("o_orderkey").alias("l_orderkey"))
@@ -162,19 +162,19 @@ def _build_fact(spark: SparkSession, d: str, dims: dict, *, with_lines: bool = T
         enrichments=enrichments,
         lookups=[
             Lookup(dims["customer"], {"o_custkey": "c_custkey"},
-                   {"cust_key": "cust_key", "nation_key": "nation_key"}),
+                   {"cust_key": "cust_key", "nation_key": "nation_key"}, unique=True),
             # transitive: nation and region keys reach the fact through the
             # customer dimension, and resolve only if those rows exist.
             Lookup(dims["nation"], {"nation_key": "nation_key"},
-                   {"nation_key": "nation_key", "region_key": "region_key"}),
-            Lookup(dims["region"], {"region_key": "region_key"}, {"region_key": "region_key"}),
-            Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}),
+                   {"nation_key": "nation_key", "region_key": "region_key"}, unique=True),
+            Lookup(dims["region"], {"region_key": "region_key"}, {"region_key": "region_key"}, unique=True),
+            Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}, unique=True),
         ],
         require=require)
     if not with_lines:
         fact = fact.select("*", F.lit(0).cast("bigint").alias("line_count"),
                            F.lit(None).cast("bigint").alias("total_qty"),
-                           F.lit(None).cast("decimal(18,2)").alias("total_price"),
+                           F.lit(None).cast("decimal(38,2)").alias("total_price"),
                            F.lit(None).cast("decimal(8,1)").alias("avg_qty"))
     cols = FACT_COLUMNS + (["o_custkey"] if keep_natural else [])
     return fact.select(*cols)
@@ -195,22 +195,25 @@ def star_fact_required(spark: SparkSession, d: str) -> DataFrame:
     return _build_fact(spark, d, retail_dims(spark, d), require=["total_qty"])
 
 
-
-
-# The market segment whose customers a targeted reload replaces.
+# The market segment whose customers a targeted reload replaces,
+# and the status of orders that it no longer finds.
 RELOAD_SEGMENT = "BUILDING"
+WITHDRAWN_STATUS = "P"
 
 
 def star_fact_reload(spark: SparkSession, d: str) -> DataFrame:
     """Targeted reload: an older fact built before lineitems arrived (no
     roll-up) gets the orders of the chosen customers replaced by freshly
-    assembled rows; all other rows are kept as they were."""
+    assembled rows; all other rows are kept as they were.  Orders of status
+    P have been withdrawn meanwhile, so a chosen customer with no others has
+    no rows left."""
     dims = retail_dims(spark, d)
     old = _build_fact(spark, d, dims, with_lines=False, keep_natural=True)
     chosen = (read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"])
               .where(F.col("c_mktsegment") == RELOAD_SEGMENT)
               .select(F.col("c_custkey").alias("o_custkey")))
     new = _build_fact(spark, d, dims, keep_natural=True, only_customers=chosen)
+    new = new.where(F.col("o_orderstatus") != WITHDRAWN_STATUS)
     return replace_keys(old, new, ["o_custkey"], chosen).select(*FACT_COLUMNS)
 
 
@@ -294,8 +297,8 @@ def race_style_lookup(spark: SparkSession, d: str) -> DataFrame:
     dims = retail_dims(spark, d)
     r = _rendered_dates(spark, d).withColumn("order_date", parse_date_any("date_text"))
     out = assemble_fact(r, lookups=[
-        Lookup(dims["customer"], {"o_custkey": "c_custkey"}, {"cust_key": "cust_key"}),
-        Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}),
+        Lookup(dims["customer"], {"o_custkey": "c_custkey"}, {"cust_key": "cust_key"}, unique=True),
+        Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}, unique=True),
     ])
     return out.select("o_orderkey", "cust_key", "order_date", "date_key")
 
@@ -430,7 +433,7 @@ def positions_gained(spark: SparkSession, d: str) -> DataFrame:
     with '0', '\\N', 'R' and out-of-range values injected by line number."""
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                                            "l_returnflag", "l_linestatus"])
-    p = broadcast_if_small(read_table(spark, d, "part", ["p_partkey", "p_size"]))
+    p = read_table(spark, d, "part", ["p_partkey", "p_size"])
     j = li.join(p, li["l_partkey"] == p["p_partkey"], "left")
     grid = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(0)) \
         .otherwise(F.col("p_size"))
@@ -475,38 +478,39 @@ def clean_names(spark: SparkSession, d: str) -> DataFrame:
 # analyses
 # --------------------------------------------------------------------------
 
-# Hot-group spreading for join-backs that are too large to broadcast.
-SALT_BUCKETS = 16
-
-
-def _customer_nations(spark: SparkSession, d: str) -> DataFrame:
-    return broadcast_if_small(read_table(spark, d, "customer", ["c_custkey", "c_nationkey"]))
-
-
 def _customer_year_values(spark: SparkSession, d: str) -> DataFrame:
     """Order value per (customer, year), aggregated *before* the customer
     join: the join then moves one row per customer-year instead of one per
     order, and a customer holding a large share of all orders arrives as a
-    handful of rows rather than a skewed partition."""
+    handful of rows rather than a skewed partition.  Value without a known
+    customer stays, under the NULL nation.  Stored once: its users read it
+    more than once."""
     o = read_table(spark, d, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     per = (o.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
            .agg(units_sum(money_units("o_totalprice"), 2).alias("cust_value")))
-    c = _customer_nations(spark, d)
-    return per.join(c, per["o_custkey"] == c["c_custkey"]).drop("c_custkey")
+    c = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    return _stored(per.join(c, per["o_custkey"] == c["c_custkey"], "left").drop("c_custkey"), "customer_years")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the session's shared scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def leader_by_decade(spark: SparkSession, d: str) -> DataFrame:
     """Yearly order value per nation; the year's leader(s) (rank 1, ties
-    kept); years led per nation and decade."""
+    kept); years led per nation (NULL: customers of no known nation) and decade."""
     rev = (_customer_year_values(spark, d)
            .groupBy("c_nationkey", "year")
            .agg(exact_sum("cust_value", 2).alias("revenue")))
     leaders = period_leaders(rev, ["c_nationkey"], ["year"], "revenue")
     counts = count_by_bucket(leaders, ["c_nationkey"], (F.floor(F.col("year") / 10) * 10).cast("int"),
                              "decade", "years_led")
-    n = broadcast_if_small(read_table(spark, d, "nation", ["n_nationkey", "n_name"]))
-    return (counts.join(n, counts["c_nationkey"] == n["n_nationkey"])
-            .select("decade", "n_nationkey", "n_name", "years_led"))
+    n = read_table(spark, d, "nation", ["n_nationkey", "n_name"])
+    return (counts.join(n, counts["c_nationkey"] == n["n_nationkey"], "left")
+            .select("decade", "c_nationkey", "n_name", "years_led"))
 
 
 # Event types counted per user, with their output names.
@@ -530,15 +534,17 @@ def _order_values(spark: SparkSession, d: str) -> DataFrame:
     per = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("line_count"),
                                        units_sum(value_units, 4).alias("order_value"))
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
-    return per.join(o, per["l_orderkey"] == o["o_orderkey"]).select(
-        "o_orderkey", "o_custkey", "line_count", "order_value")
+    # an order without lines has a count and a value of 0, not no row
+    return o.join(per, per["l_orderkey"] == o["o_orderkey"], "left").select(
+        "o_orderkey", "o_custkey", F.coalesce("line_count", F.lit(0).cast("bigint")).alias("line_count"),
+        F.coalesce("order_value", F.lit(0).cast("decimal(38,4)")).alias("order_value"))
 
 
 def deep_dive(spark: SparkSession, d: str) -> DataFrame:
     """Each order's value beside its customer's mean order value."""
-    return compare_to_group_mean(_order_values(spark, d), ["o_custkey"], "order_value",
-                                 mean_name="cust_mean_value", delta_name="vs_cust_mean",
-                                 salt_buckets=SALT_BUCKETS) \
+    values = _stored(_order_values(spark, d), "order_values")  # read for the means and for the rows
+    return compare_to_group_mean(values, ["o_custkey"], "order_value",
+                                 mean_name="cust_mean_value", delta_name="vs_cust_mean") \
         .select("o_orderkey", "o_custkey", "line_count", "order_value", "cust_mean_value", "vs_cust_mean")
 
 
@@ -553,8 +559,7 @@ def share_of_group(spark: SparkSession, d: str) -> DataFrame:
     nation's rank that year."""
     vals = _customer_year_values(spark, d)
     out = share_of_group_op(vals, ["o_custkey"], ["c_nationkey"], ["year"], "cust_value",
-                            group_total_name="nation_value", share_name="share", rank_name="nation_rank",
-                            salt_buckets=SALT_BUCKETS)
+                            group_total_name="nation_value", share_name="share", rank_name="nation_rank")
     return out.select("o_custkey", "c_nationkey", "year", "cust_value", "nation_value", "share", "nation_rank")
 
 
@@ -587,9 +592,8 @@ def ingest_csv(spark: SparkSession, d: str) -> DataFrame:
     control table (schema inferred, as the bronze load does), and read back
     from bronze: nation with its region name."""
     root, _ = _land_and_ingest(spark, d)
-    n = spark.read.parquet(f"{root}/bronze/bronze_nation")
-    r = spark.read.parquet(f"{root}/bronze/bronze_region")
-    r = broadcast_if_small(r)
+    n = read_current(spark, f"{root}/bronze/bronze_nation")
+    r = read_current(spark, f"{root}/bronze/bronze_region")
     return (n.join(r, n["n_regionkey"] == r["r_regionkey"], "left")
             .select("n_nationkey", "n_name", "n_regionkey", "r_name"))
 
@@ -632,6 +636,96 @@ def ingest_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+# --------------------------------------------------------------------------
+# composite keys, merge variants, sinks
+# --------------------------------------------------------------------------
+
+def composite_enrichment(spark: SparkSession, d: str) -> DataFrame:
+    """Every line beside the roll-up of its order's lines from the same
+    supplier (a two-column key), 0 lines where there is no such roll-up."""
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_quantity"])
+    per = rollup_children(li.where(F.col("l_returnflag") != "R"), ["l_orderkey", "l_suppkey"],
+                          F.floor("l_quantity").cast("int"), count_name="kept_lines", sum_name="kept_qty",
+                          sum_type="bigint", avg_name=None)
+    out = assemble_fact(li, enrichments=[Enrichment(
+        per, {"l_orderkey": "l_orderkey", "l_suppkey": "l_suppkey"},
+        {"kept_lines": "kept_lines", "kept_qty": "kept_qty"}, defaults={"kept_lines": 0})])
+    return out.select("l_orderkey", "l_linenumber", "l_suppkey", "kept_lines", "kept_qty")
+
+
+def scd1_no_touch(spark: SparkSession, d: str) -> DataFrame:
+    """The customer merge into a dimension without an update stamp; rows of
+    customers in debt arrive without their natural key and are ignored."""
+    target, source = _merge_fixture(spark, d)
+    source = source.withColumn("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")))
+    return _merge(target.drop("dw_updated_at"), source, touch_col=None)
+
+
+def calendar_season(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar whose season comes from the source: the smallest year, less
+    the number of the customer's region, of the orders on that date."""
+    o = read_table(spark, d, "orders", ["o_custkey", "o_orderdate"])
+    c = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    rows = o.join(c, o["o_custkey"] == c["c_custkey"], "left").select(
+        F.col("o_orderdate").cast("date").alias("full_date"),
+        (F.year("o_orderdate") - F.coalesce("c_nationkey", F.lit(0)) % 5).alias("season_year"))
+    return calendar_dimension(rows, season_col="season_year")
+
+
+def calendar_append(spark: SparkSession, d: str) -> DataFrame:
+    """The ship-date calendar stored, the order dates not yet in it appended
+    (only the new rows are written), and the table read back."""
+    path = scratch_dir(spark, "calendar")
+    existing = calendar_dimension(
+        read_table(spark, d, "lineitem", ["l_shipdate"])
+        .select(F.col("l_shipdate").cast("date").alias("full_date")))
+    write_table(existing, path)
+    stored = spark.read.schema(existing.schema).parquet(path)
+    append_rows(insert_if_absent(calendar(spark, d), stored, ["date_key"]), path, existing.schema)
+    return spark.read.schema(existing.schema).parquet(path)
+
+
+def full_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """supplier stored without balances, then refreshed whole as a new
+    version; readers get the newest one."""
+    base = scratch_dir(spark, "supplier")
+    s = read_table(spark, d, "supplier")
+    write_version(s.select("s_suppkey", "s_name"), base)
+    write_version(s, base)
+    return read_current(spark, base)
+
+
+# A declared layout, and one whose column the landed file lacks.
+DECLARED = {"bronze_customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DECIMAL(12,2)",
+            "bronze_nation": "n_nationkey INT, n_anthem STRING"}
+
+
+def _ingest_declared(spark: SparkSession, d: str):
+    """customer landed with its columns in another order and more of them than
+    declared; nation landed without a declared column."""
+    root = scratch_dir(spark, "declared")
+    landing = f"{root}/landing"
+    c = read_table(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"])
+    export(c.select("c_name", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"), "c_custkey",
+                    "c_nationkey"), f"{landing}/customer.csv")
+    export(read_table(spark, d, "nation"), f"{landing}/nation.csv")
+    control = spark.createDataFrame([("customer", "csv", "bronze_customer", ","),
+                                     ("nation", "csv", "bronze_nation", ",")], CONTROL_SCHEMA)
+    schemas = {name: StructType.fromDDL(ddl) for name, ddl in DECLARED.items()}
+    return root, ingest(spark, control, landing, f"{root}/bronze", schemas=schemas)
+
+
+def ingest_declared(spark: SparkSession, d: str) -> DataFrame:
+    """The declared columns of the reordered, wider file, found by name."""
+    root, _ = _ingest_declared(spark, d)
+    return read_current(spark, f"{root}/bronze/bronze_customer")
+
+
+def ingest_failing(spark: SparkSession, d: str) -> DataFrame:
+    """The audit of that run: one source fails, the other loads."""
+    return _ingest_declared(spark, d)[1].audit
+
+
 QUERIES = {
     "star_fact": star_fact,
     "star_fact_required": star_fact_required,
@@ -660,4 +754,11 @@ QUERIES = {
     "ingest_audit": ingest_audit,
     "export_roundtrip": export_roundtrip,
     "ingest_stream": ingest_stream,
+    "composite_enrichment": composite_enrichment,
+    "scd1_no_touch": scd1_no_touch,
+    "calendar_season": calendar_season,
+    "calendar_append": calendar_append,
+    "full_refresh": full_refresh,
+    "ingest_declared": ingest_declared,
+    "ingest_failing": ingest_failing,
 }

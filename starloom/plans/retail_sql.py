@@ -17,7 +17,7 @@ dim_date AS (
 li AS (
   SELECT l_orderkey, COUNT(*) AS line_count,
          CAST(SUM(CAST(floor(l_quantity) AS INTEGER)) AS BIGINT) AS total_qty,
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total_price,
+         CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS total_price,
          CAST(CAST(AVG(CAST(l_quantity AS DECIMAL(10,0))) AS DECIMAL(14,4)) AS DECIMAL(8,1)) AS avg_qty
   FROM lineitem GROUP BY l_orderkey)
 """
@@ -37,7 +37,7 @@ def _fact_select(with_lines: bool = True, extra: str = "") -> str:
         join = "LEFT JOIN li ON li.l_orderkey = o.o_orderkey"
     else:
         lines = ("CAST(0 AS BIGINT) AS line_count, CAST(NULL AS BIGINT) AS total_qty, "
-                 "CAST(NULL AS DECIMAL(18,2)) AS total_price, CAST(NULL AS DECIMAL(8,1)) AS avg_qty")
+                 "CAST(NULL AS DECIMAL(38,2)) AS total_price, CAST(NULL AS DECIMAL(8,1)) AS avg_qty")
         join = ""
     return f"""
 SELECT o.o_orderkey, dc.cust_key, dn.nation_key, dr.region_key, dd.date_key, o.o_orderstatus,
@@ -67,7 +67,7 @@ FROM old WHERE NOT EXISTS (SELECT 1 FROM chosen WHERE chosen.c_custkey = old.o_c
 UNION ALL
 SELECT o_orderkey, cust_key, nation_key, region_key, date_key, o_orderstatus, order_total,
        line_count, total_qty, total_price, avg_qty
-FROM new WHERE EXISTS (SELECT 1 FROM chosen WHERE chosen.c_custkey = new.o_custkey)
+FROM new WHERE o_orderstatus <> 'P' AND EXISTS (SELECT 1 FROM chosen WHERE chosen.c_custkey = new.o_custkey)
 """)
 
 FACT_QUARANTINE = ("WITH " + _DIMS + "," + _customer_dim("WHERE c.c_acctbal >= 0") + f"""
@@ -85,7 +85,7 @@ CHILD_ROLLUP = """
 SELECT l_orderkey, l_suppkey, COUNT(*) AS line_count,
        CAST(SUM(CAST(floor(l_quantity) AS INTEGER)) AS BIGINT) AS total_qty,
        CAST(CAST(AVG(CAST(CAST(floor(l_quantity) AS INTEGER) AS DECIMAL(10,0))) AS DECIMAL(14,4)) AS DECIMAL(8,1)) AS avg_qty,
-       CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total_price
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS total_price
 FROM lineitem GROUP BY l_orderkey, l_suppkey
 """
 
@@ -306,11 +306,11 @@ LEADER_BY_DECADE = """
 WITH rev AS (
   SELECT c.c_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS yr,
          CAST(SUM(CAST(o.o_totalprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS revenue
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   GROUP BY 1, 2),
 ranked AS (SELECT *, RANK() OVER (PARTITION BY yr ORDER BY revenue DESC) AS rk FROM rev)
-SELECT CAST(floor(yr / 10) * 10 AS INTEGER) AS decade, n.n_nationkey, n.n_name, COUNT(*) AS years_led
-FROM ranked r JOIN nation n ON n.n_nationkey = r.c_nationkey
+SELECT CAST(floor(yr / 10) * 10 AS INTEGER) AS decade, r.c_nationkey, n.n_name, COUNT(*) AS years_led
+FROM ranked r LEFT JOIN nation n ON n.n_nationkey = r.c_nationkey
 WHERE rk = 1
 GROUP BY 1, 2, 3
 """
@@ -322,7 +322,7 @@ SELECT user_id,
        CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS views,
        CAST(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
        CAST(SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS signups,
-       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total_value
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS total_value
 FROM events GROUP BY user_id
 ORDER BY purchases DESC, user_id ASC
 LIMIT 20
@@ -330,12 +330,13 @@ LIMIT 20
 
 _ORDER_VALUES = """
 ov AS (
-  SELECT o.o_orderkey, o.o_custkey, li.line_count, li.order_value
-  FROM (SELECT l_orderkey, COUNT(*) AS line_count,
+  SELECT o.o_orderkey, o.o_custkey, COALESCE(li.line_count, 0) AS line_count,
+         CAST(COALESCE(li.order_value, 0) AS DECIMAL(38,4)) AS order_value
+  FROM orders o LEFT JOIN (SELECT l_orderkey, COUNT(*) AS line_count,
                CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
                     AS DECIMAL(18,4)) AS order_value
         FROM lineitem GROUP BY l_orderkey) li
-  JOIN orders o ON o.o_orderkey = li.l_orderkey)
+  ON o.o_orderkey = li.l_orderkey)
 """
 
 DEEP_DIVE = f"""
@@ -344,7 +345,7 @@ cm AS (SELECT o_custkey, CAST(CAST(SUM(order_value) AS DECIMAL(18,4)) AS DOUBLE)
        FROM ov GROUP BY o_custkey)
 SELECT ov.o_orderkey, ov.o_custkey, ov.line_count, ov.order_value, cm.cust_mean_value,
        CAST(ov.order_value AS DOUBLE) - cm.cust_mean_value AS vs_cust_mean
-FROM ov LEFT JOIN cm ON cm.o_custkey = ov.o_custkey
+FROM ov LEFT JOIN cm ON cm.o_custkey IS NOT DISTINCT FROM ov.o_custkey
 """
 
 DEEP_DIVE_BY_LINES = f"""
@@ -357,14 +358,14 @@ FROM ov GROUP BY line_count
 SHARE_OF_GROUP = """
 WITH v AS (
   SELECT o.o_custkey, c.c_nationkey, CAST(year(o.o_orderdate) AS INTEGER) AS "year",
-         CAST(SUM(CAST(o.o_totalprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS cust_value
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+         CAST(SUM(CAST(o.o_totalprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS cust_value
+  FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
   GROUP BY 1, 2, 3),
-t AS (SELECT c_nationkey, "year", CAST(SUM(cust_value) AS DECIMAL(18,2)) AS nation_value FROM v GROUP BY 1, 2),
+t AS (SELECT c_nationkey, "year", CAST(SUM(cust_value) AS DECIMAL(38,2)) AS nation_value FROM v GROUP BY 1, 2),
 r AS (SELECT *, CAST(RANK() OVER (PARTITION BY "year" ORDER BY nation_value DESC) AS INTEGER) AS nation_rank FROM t)
 SELECT v.o_custkey, v.c_nationkey, v."year", v.cust_value, r.nation_value,
        CAST(v.cust_value AS DOUBLE) / CAST(r.nation_value AS DOUBLE) AS share, r.nation_rank
-FROM v LEFT JOIN r ON r.c_nationkey = v.c_nationkey AND r."year" = v."year"
+FROM v LEFT JOIN r ON r.c_nationkey IS NOT DISTINCT FROM v.c_nationkey AND r."year" IS NOT DISTINCT FROM v."year"
 """
 
 INGEST_CSV = """
@@ -391,7 +392,52 @@ EXPORT_ROUNDTRIP = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM suppli
 
 INGEST_STREAM = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 
+COMPOSITE_ENRICHMENT = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, COALESCE(p.kept_lines, 0) AS kept_lines, p.kept_qty
+FROM lineitem l
+LEFT JOIN (SELECT l_orderkey, l_suppkey, COUNT(*) AS kept_lines,
+                  CAST(SUM(CAST(floor(l_quantity) AS INTEGER)) AS BIGINT) AS kept_qty
+           FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2) p
+ON p.l_orderkey = l.l_orderkey AND p.l_suppkey = l.l_suppkey
+"""
+
+SCD1_NO_TOUCH = ("SELECT * EXCLUDE (dw_updated_at) FROM ("
+                 + _merge_sql().replace("AND c_custkey IS NOT NULL", "AND c_acctbal >= 0") + ") m")
+
+CALENDAR_SEASON = f"""
+SELECT c.* EXCLUDE (season), CAST(s.season AS SMALLINT) AS season
+FROM ({CALENDAR}) c
+JOIN (SELECT CAST(o_orderdate AS DATE) AS d, MIN(year(o_orderdate) - COALESCE(c_nationkey, 0) % 5) AS season
+      FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1) s ON s.d = c.full_date
+"""
+
+CALENDAR_APPEND = _calendar_of(
+    "SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_shipdate IS NOT NULL "
+    "UNION SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate IS NOT NULL")
+
+FULL_REFRESH = "SELECT * FROM supplier"
+
+INGEST_DECLARED = """
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+       CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal
+FROM customer
+"""
+
+INGEST_FAILING = """
+SELECT 'customer.csv' AS file_name, 'bronze_customer' AS target_table, 'loaded' AS status,
+       CAST(NULL AS VARCHAR) AS detail, (SELECT COUNT(*) FROM customer) AS rows_loaded, 3 AS columns
+UNION ALL
+SELECT 'nation.csv', 'bronze_nation', 'failed', 'ValueError: columns not in the header: n_anthem', NULL, NULL
+"""
+
 SQL: dict[str, str] = {
+    "composite_enrichment": COMPOSITE_ENRICHMENT,
+    "scd1_no_touch": SCD1_NO_TOUCH,
+    "calendar_season": CALENDAR_SEASON,
+    "calendar_append": CALENDAR_APPEND,
+    "full_refresh": FULL_REFRESH,
+    "ingest_declared": INGEST_DECLARED,
+    "ingest_failing": INGEST_FAILING,
     "ingest_stream": INGEST_STREAM,
     "ingest_csv": INGEST_CSV,
     "ingest_audit": INGEST_AUDIT,

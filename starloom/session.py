@@ -3,7 +3,6 @@ folders (checkpoints, scratch output) from the session's own settings."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,7 +40,9 @@ def scale_conf(input_bytes: int, *, executors: int = 1000, cores_per_executor: i
     then coalesces small ones and splits skewed ones), never fewer than two
     waves of the cluster's task slots; scans use large splits so a 100 TB
     input is ~400k tasks rather than millions; broadcasts stay small enough
-    to ship to a thousand executors.
+    to ship to a thousand executors.  Launch the job with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints=true`` (a core setting),
+    so that checkpoint files go when nothing refers to them any more.
     """
     slots = executors * cores_per_executor
     partitions = max(2 * slots, input_bytes // target_partition_bytes)
@@ -80,35 +81,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of the session.
 
     Uses ``spark.checkpoint.dir`` (or a folder already set on the context).
-    Only when none is configured is one set here: a temp folder in local mode
-    (tests), otherwise a folder under the warehouse directory, which is shared
-    storage on a cluster.  Under Spark Connect the server's setting is used
-    as it is.
+    On a cluster it must be set, on storage that the driver and all executors
+    share; only a local master, as in tests, gets a folder of its own here.
     """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        if sc is None or not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-")
     if sc is None:
-        if not conf_dir:
-            raise RuntimeError("spark.checkpoint.dir must be set on the server")
         return conf_dir
-    if not conf_dir:
-        if _is_local(spark):
-            conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-")
-        else:
-            wh = spark.conf.get("spark.sql.warehouse.dir")
-            conf_dir = wh.rstrip("/") + "/_starloom_checkpoints"
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh folder for intermediate tables/files, next to the checkpoint
-    folder so it lives on the same shared storage."""
-    base = checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh path for intermediate tables/files, next to the checkpoint
+    folder so it lives on the same shared storage; Spark's writers make it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -13,11 +13,12 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starloom.operators.keys import row_count_at_most
+from starloom.operators.keys import all_not_null
 
 
 def _is_path(target: str) -> bool:
@@ -55,19 +56,6 @@ def create_table(spark: SparkSession, target: str, schema: StructType, *, replac
     write_table(spark.createDataFrame([], schema), target, mode=mode, fmt=fmt)
 
 
-def materialise(df: DataFrame, view_name: str | None = None, *, persist: bool = False) -> DataFrame:
-    """CREATE TEMP TABLE ... AS SELECT: register ``df`` as a temp view and,
-    when it is read more than once, keep it with ``persist`` (memory and
-    disk; a lost executor's blocks are recomputed from lineage).  The caller
-    unpersists it after its last use."""
-    from pyspark import StorageLevel
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if view_name:
-        df.createOrReplaceTempView(view_name)
-    return df
-
-
 def project_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """INSERT with a column list: columns of ``schema`` missing from ``df``
     become typed NULLs, present ones are cast to the declared type, and the
@@ -78,19 +66,18 @@ def project_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
         for f in schema.fields])
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], *,
-                         fmt: str = "parquet") -> None:
-    """Replace only the partitions of ``path`` that ``df`` has rows for
-    (dynamic partition overwrite); all other partitions stay as they are.
-    A targeted reload of a few races rewrites those races' files, not the
-    whole fact."""
-    (df.write.mode("overwrite").format(fmt)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by)
-     .save(path))
+def require_not_null(df: DataFrame, cols: Sequence[str], what: str = "table") -> DataFrame:
+    """``df``; a row with NULL in a NOT NULL column raises when it is written."""
+    if not cols:
+        return df
+    ok = all_not_null(cols)
+    names = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in cols])
+    return df.where(F.when(ok, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit(f"NULL in a NOT NULL column of {what}: "), names)).cast("boolean")))
 
 
 def append_rows(df: DataFrame, target: str, schema: StructType, fmt: str = "parquet") -> None:
+    """INSERT INTO with a column list: only the new rows are written."""
     write_table(project_to_schema(df, schema), target, mode="append", fmt=fmt)
 
 
@@ -118,6 +105,11 @@ def write_version(df: DataFrame, base: str, *, fmt: str = "parquet",
     return path
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether the error says that a path or table does not exist (yet)."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame:
     """The newest committed version of the table at ``base``."""
     row = (spark.read.parquet(f"{base.rstrip('/')}/versions")
@@ -127,13 +119,20 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.format(row[0]["format"]).load(row[0]["path"])
 
 
+def read_current_or_none(spark: SparkSession, base: str) -> DataFrame | None:
+    """The newest version, or None for a table that was never written.  Any
+    other failure (an unreadable log, a missing version) raises."""
+    try:
+        spark.read.parquet(f"{base.rstrip('/')}/versions")
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
+    return read_current(spark, base)
+
+
 def export(df: DataFrame, path: str, *, fmt: str = "csv", header: bool = True, sep: str = ",",
-           partition_by: Sequence[str] | None = None,
-           single_file_max_rows: int | None = None) -> None:
-    """Export for BI tools.  Output stays one file per task; it is coalesced
-    to one file only when the row count is proven below
-    ``single_file_max_rows`` (small dimensions)."""
-    if single_file_max_rows is not None and row_count_at_most(df, single_file_max_rows):
-        df = df.coalesce(1)
+           partition_by: Sequence[str] | None = None) -> None:
+    """Export for BI tools: a folder with one file per task."""
     opts = {"header": str(header).lower(), "sep": sep} if fmt == "csv" else {}
     write_table(df, path, mode="overwrite", fmt=fmt, partition_by=partition_by, options=opts)

@@ -8,7 +8,7 @@ read), matched to the control table on the lower-cased expected name
 pass with its row count observed during the write.
 
 Instead of moving loaded files elsewhere, loads are recorded in a ledger
-(path, modification time, size); a file whose current listing matches the
+(path, modification time, size, target table); a file whose current listing matches the
 ledger is skipped on the next run, and a re-delivered file (new mtime or
 size) is loaded again.
 
@@ -38,7 +38,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from starloom.sinks.storage import ensure_database, write_table
+from starloom.session import scratch_dir
+from starloom.sinks.storage import ensure_database, is_missing, read_current_or_none, write_table, write_version
 
 CONTROL_SCHEMA = StructType([
     StructField("file_name", StringType()),
@@ -88,8 +89,8 @@ def _absolute(path: str) -> str:
 
 def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
     """One row per landing entry: name as listed, lower-cased name, newest
-    modification time, total bytes, number of files.  A folder that cannot be
-    listed counts as empty."""
+    modification time, total bytes, number of files.  A folder that does not
+    exist counts as empty."""
     landing_dir = _absolute(landing_dir)
     if "://" in landing_dir:
         root = urlparse(landing_dir).path.rstrip("/")
@@ -101,7 +102,9 @@ def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
                  .load(landing_dir)
                  .select("path", "modificationTime", "length"))
         files.schema  # noqa: B018 -- resolves the listing now
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return spark.createDataFrame([], LISTING_SCHEMA)
     entry = F.regexp_extract("path", re.escape(root) + r"/([^/]+)", 1)
     return (files.withColumn("entry", entry).where(F.col("entry") != "")
@@ -140,33 +143,65 @@ def _read_ledger(spark: SparkSession, ledger: str | None) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
+def _declared(spark: SparkSession, path: str, sep: str, schema: StructType) -> DataFrame:
+    """The declared columns of a delimited file with a header, found by name
+    (case aside) wherever they stand; a missing one is an error, others are
+    not read.  Every part file must have the same header."""
+    reader = spark.read.option("header", "true").option("sep", sep)
+    names = reader.option("inferSchema", "false").csv(path).columns
+    declared = {f.name.lower(): f for f in schema.fields}
+    absent = sorted(set(declared) - {n.lower() for n in names})
+    if absent:
+        raise ValueError(f"columns not in the header: {', '.join(absent)}")
+    as_landed = StructType([StructField(n, declared[n.lower()].dataType if n.lower() in declared else StringType())
+                            for n in names])
+    df = reader.option("mode", "FAILFAST").option("enforceSchema", "false").schema(as_landed).csv(path)
+    return df.select(*[F.col(f"`{f.name}`").alias(f.name) for f in schema.fields])
+
+
 def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
               schemas: dict[str, StructType], fmt: str, header: bool):
-    """Read one landed source and overwrite its bronze table in one pass,
-    counting rows during the write.  Returns (audit row, ledger row|None)."""
+    """Read one landed source and replace its bronze table in one pass,
+    counting rows during the write.  The old table stays until the new one is
+    written whole.  Returns (audit row, ledger row|None)."""
     expected, target = r["expected"], r["target_table"]
     if r["entry"] is None:
         return (expected, target, SKIPPED, NO_FILE, None, None), None
+    if r["_entries"] > 1:
+        return (expected, target, FAILED, f"{r['_entries']} landed entries differ only in case", None, None), None
     if r["_done"]:
         return (expected, target, SKIPPED, ALREADY_LOADED, None, None), None
     try:
-        reader = (spark.read.option("header", str(header).lower())
-                  .option("sep", r["file_delimiter"] or ",")
-                  .option("mode", "FAILFAST"))
-        if target in schemas:
-            reader = reader.schema(schemas[target])
+        path, sep = f"{base}/{r['entry']}", r["file_delimiter"] or ","
+        if target in schemas and header:
+            df = _declared(spark, path, sep, schemas[target])
         else:
-            reader = reader.option("inferSchema", "true")
-        df = reader.csv(f"{base}/{r['entry']}")
+            reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
+                      .option("mode", "FAILFAST"))
+            reader = reader.schema(schemas[target]) if target in schemas else reader.option("inferSchema", "true")
+            df = reader.csv(path)
         obs = Observation(f"ingest_{target}_{uuid.uuid4().hex[:8]}")
         counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        dest = f"{bronze.rstrip('/')}/{target}" if to_path else f"{bronze}.{target}"
-        write_table(counted, dest, mode="overwrite", fmt=fmt)
+        if to_path:
+            write_version(counted, f"{bronze.rstrip('/')}/{target}", fmt=fmt)
+        else:
+            # parsed whole to a staging folder first: a bad file never reaches the table
+            staged = f"{scratch_dir(spark, 'bronze')}/{target}"
+            write_table(counted, staged)
+            write_table(spark.read.schema(df.schema).parquet(staged), f"{bronze}.{target}", fmt=fmt)
         n = int(obs.get["rows"])
         return ((expected, target, LOADED, None, n, len(df.columns)),
                 (expected, r["entry"], r["modified"], r["bytes"], target, n))
     except Exception as e:  # noqa: BLE001 -- isolate one source's failure
-        return (expected, target, FAILED, f"{type(e).__name__}: {str(e)[:300]}", None, None), None
+        return (expected, target, FAILED, f"{type(e).__name__}: {e}", None, None), None
+
+
+def read_bronze(spark: SparkSession, bronze: str, target: str) -> DataFrame | None:
+    """The bronze table as last loaded, or None if it never was."""
+    if "/" in bronze or ":" in bronze:
+        return read_current_or_none(spark, f"{_absolute(bronze).rstrip('/')}/{target}")
+    name = f"{bronze}.{target}"
+    return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
 def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: str, *,
@@ -174,13 +209,15 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
            fmt: str = "parquet", header: bool = True, parallel: int = 4) -> IngestResult:
     """Load every control entry whose file is in the landing folder.
 
-    ``bronze`` is a folder (each target becomes ``bronze/<target_table>``) or
-    a catalog database name (``<db>.<target_table>``).  ``schemas`` gives
-    declared schemas per target table; a target without one is read with
-    schema inference (an extra pass over the file).  A failing source does
-    not stop the others and is reported as ``failed``.  Up to ``parallel``
-    sources are loaded at once (concurrent Spark jobs from driver threads),
-    so many small sources do not leave the cluster idle.
+    ``bronze`` is a folder (each target becomes a versioned table under
+    ``bronze/<target_table>``, see ``read_bronze``) or a catalog database name
+    (``<db>.<target_table>``).  ``schemas`` gives declared schemas per target
+    table, whose columns are found by header name; a target without one is
+    read with schema inference (an extra pass over the file).  A failing
+    source does not stop the others, leaves its table as it was and is
+    reported as ``failed``.  Up to ``parallel`` sources are loaded at once
+    (concurrent Spark jobs from driver threads), so many small sources do not
+    leave the cluster idle.
     """
     to_path = "/" in bronze or ":" in bronze
     if to_path:
@@ -190,10 +227,14 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
     ctrl = read_control(control)
     listing = list_landing(spark, landing_dir)
     done = _read_ledger(spark, ledger)
+    known = ["expected", "modified", "bytes", "target_table"]
     plan = (ctrl.join(listing, "expected", "left")
-            .join(done.select("expected", "modified", "bytes").distinct()
-                  .withColumn("_done", F.lit(True)),
-                  ["expected", "modified", "bytes"], "left"))
+            .join(done.select(*known).distinct().withColumn("_done", F.lit(True)), known, "left"))
+    # names that differ only in case: one row for all of them
+    plan = plan.groupBy("expected", "target_table", "file_delimiter").agg(
+        F.max_by("entry", "modified").alias("entry"), F.max("modified").alias("modified"),
+        F.max_by("bytes", "modified").alias("bytes"), F.max_by("_done", "modified").alias("_done"),
+        F.countDistinct("entry").alias("_entries"))
     # one row per control entry: the control table is small by nature.
     rows = plan.orderBy("target_table", "expected").collect()
     base = _absolute(landing_dir).rstrip("/")

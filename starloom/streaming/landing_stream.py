@@ -12,19 +12,24 @@ retried after a failure.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from starloom.sinks.storage import is_missing
+
 
 def stream_landing(spark: SparkSession, source_glob: str, schema: StructType, sink_dir: str,
                    checkpoint: str, *, sep: str = ",", header: bool = True,
                    fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
     """Append every not-yet-processed delimited file matching ``source_glob``
-    to ``sink_dir``; returns the number of input rows processed by this run."""
+    to ``sink_dir``; returns the number of rows this run added.  A malformed
+    row fails the run, as in the batch load, and its file stays unprocessed."""
+    before = _rows(spark, sink_dir, schema, fmt)
     reader = (spark.readStream.schema(schema)
               .option("header", str(header).lower())
               .option("sep", sep)
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (reader.csv(source_glob)
@@ -34,4 +39,14 @@ def stream_landing(spark: SparkSession, source_glob: str, schema: StructType, si
          .trigger(availableNow=True)
          .start(sink_dir))
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows(spark, sink_dir, schema, fmt) - before
+
+
+def _rows(spark: SparkSession, sink_dir: str, schema: StructType, fmt: str) -> int:
+    """Rows in the sink (Parquet counts them from its footers)."""
+    try:
+        return spark.read.format(fmt).schema(schema).load(sink_dir).count()
+    except AnalysisException as e:
+        if is_missing(e):
+            return 0
+        raise

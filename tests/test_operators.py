@@ -12,7 +12,6 @@ from starloom.operators import (
     Lookup,
     assemble_fact,
     assign_surrogate_keys,
-    broadcast_if_small,
     calendar_dimension,
     compare_to_group_mean,
     entity_records,
@@ -32,7 +31,7 @@ TS2 = "2024-02-01 00:00:00"
 # ---------------------------------------------------------------- keys
 def test_surrogate_keys_distributed_equals_global_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("k")).distinct()
-    dist = assign_surrogate_keys(df, ["k"], "sk", start=100, small_rows=10, num_partitions=7)
+    dist = assign_surrogate_keys(df, ["k"], "sk", start=100)
     ref = df.withColumn("sk", 100 + F.row_number().over(Window.orderBy("k")))
     assert sorted(map(tuple, dist.collect())) == sorted(map(tuple, ref.collect()))
     # stable on recomputation
@@ -42,7 +41,7 @@ def test_surrogate_keys_distributed_equals_global_row_number(spark):
 def test_surrogate_keys_string_and_composite_keys(spark):
     df = spark.createDataFrame([("b", 2), ("a", 9), ("b", 1), ("c", 0)], "s string, n int")
     small = assign_surrogate_keys(df, ["s", "n"], "sk")
-    big = assign_surrogate_keys(df, ["s", "n"], "sk", small_rows=0, num_partitions=3)
+    big = assign_surrogate_keys(df, ["s", "n"], "sk")
     expect = {("a", 9): 1, ("b", 1): 2, ("b", 2): 3, ("c", 0): 4}
     for out in (small, big):
         assert {(r["s"], r["n"]): r["sk"] for r in out.collect()} == expect
@@ -63,11 +62,55 @@ def test_lookup_and_quarantine(spark):
     assert reasons == {2: "parent_sk", 3: "sk,parent_sk", 4: "sk,parent_sk"}
 
 
-def test_broadcast_if_small_checks_size(spark, capsys):
-    small = spark.range(10)
-    assert broadcast_if_small(small, 100) is not small
-    big = spark.range(1000)
-    assert broadcast_if_small(big, 100) is big
+def test_lookup_and_enrichment_raise_on_repeated_keys(spark):
+    fact = spark.createDataFrame([(1, 10), (2, 20)], "id int, nk int")
+    doubled = spark.createDataFrame([(10, 1), (10, 2), (None, 3), (None, 4)], "nk int, sk bigint")
+    for out in (assemble_fact(fact, lookups=[Lookup(doubled, {"nk": "nk"}, {"sk": "sk"})]),
+                assemble_fact(fact, enrichments=[Enrichment(doubled, {"nk": "nk"}, {"sk": "sk"})])):
+        with pytest.raises(Exception, match="duplicate key"):
+            out.collect()
+    # NULL keys never match, so they may repeat
+    nulls = spark.createDataFrame([(10, 1), (None, 3), (None, 4)], "nk int, sk bigint")
+    out = assemble_fact(fact, lookups=[Lookup(nulls, {"nk": "nk"}, {"sk": "sk"})])
+    assert sorted((r["id"], r["sk"]) for r in out.collect()) == [(1, 1), (2, None)]
+
+
+def test_key_assignment_raises_on_repeated_keys(spark):
+    with pytest.raises(Exception, match="duplicate key"):
+        assign_surrogate_keys(spark.createDataFrame([("a",), ("b",), ("a",)], "k string"), ["k"], "sk").collect()
+
+
+def test_building_a_plan_runs_nothing_but_the_checkpoint(spark):
+    """Joins, merges and ranks decide nothing by counting rows beforehand."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    fact = spark.range(1000).select(F.col("id").cast("int").alias("id"), (F.col("id") % 7).cast("int").alias("nk"))
+    dim = spark.range(7).select(F.col("id").cast("int").alias("nk"), (F.col("id") + 1).alias("sk"))
+
+    def jobs_of(name, build):
+        sc.setJobGroup(name, name)
+        build()
+        sc.setJobGroup("other", "other")
+        return len(tracker.getJobIdsForGroup(name))
+
+    assert jobs_of("lookups", lambda: assemble_fact(
+        fact, lookups=[Lookup(dim, {"nk": "nk"}, {"sk": "sk"})],
+        enrichments=[Enrichment(dim.withColumnRenamed("sk", "x"), {"nk": "nk"}, {"x": "x"})])) == 0
+    assert jobs_of("means", lambda: compare_to_group_mean(fact, ["nk"], "id")) == 0
+    assert jobs_of("replace", lambda: replace_keys(fact, fact, ["nk"])) == 0
+    # the range bounds are sampled, the rows shuffled and stored: no more than that
+    target = spark.createDataFrame([], "sk bigint, nk int, dw_inserted_at timestamp, dw_updated_at timestamp")
+    assert 0 < jobs_of("merge", lambda: scd1_merge(target, dim.select("nk"), ["nk"], surrogate_key="sk")) <= 6
+
+
+def test_group_sums_beyond_bigint(spark):
+    from starloom.functions import units_sum
+    from starloom.operators import mean_by_bucket
+    big = spark.range(100).select(F.lit(1).alias("b"), F.lit("99999999999999.9999").cast("decimal(18,4)").alias("v"))
+    assert mean_by_bucket(big, "b", "v").first()["mean_value"] == pytest.approx(1e14)
+    units = spark.createDataFrame([(9 * 10 ** 18,), (9 * 10 ** 18,), (-5,), (None,)], "u bigint")
+    assert units.agg(units_sum("u", 2).alias("s")).first()["s"] == Decimal("179999999999999999.95")
+    assert spark.range(0).agg(units_sum("id", 2).alias("s")).first()["s"] is None
+
 
 
 # ---------------------------------------------------------------- SCD1
@@ -113,8 +156,8 @@ def test_scd1_only_changed_and_idempotent(spark):
 
 def test_scd1_duplicate_source_key_raises(spark):
     dup = spark.createDataFrame([(2, "b", "y"), (2, "bb", "y")], "nk int, name string, tag string")
-    with pytest.raises(ValueError, match="duplicate key"):
-        scd1_merge(_target(spark), dup, ["nk"], surrogate_key="sk", load_ts=TS1)
+    with pytest.raises(Exception, match="duplicate key"):
+        scd1_merge(_target(spark), dup, ["nk"], surrogate_key="sk", load_ts=TS1).collect()
 
 
 def test_scd1_into_empty_target(spark):
@@ -151,8 +194,9 @@ def test_rollup_children_decimal_average(spark):
 def test_enrichment_fan_out_is_refused(spark):
     base = spark.createDataFrame([(1, 1)], "race int, drv int")
     dup = spark.createDataFrame([(1, 1, 5), (1, 1, 6)], "race int, drv int, pts int")
-    with pytest.raises(ValueError, match="duplicate key"):
-        assemble_fact(base, enrichments=[Enrichment(dup, {"race": "race", "drv": "drv"}, {"pts": "pts"})])
+    with pytest.raises(Exception, match="duplicate key"):
+        assemble_fact(base, enrichments=[
+            Enrichment(dup, {"race": "race", "drv": "drv"}, {"pts": "pts"})]).collect()
 
 
 def test_assemble_keeps_every_base_row_and_required_filter(spark):
@@ -198,27 +242,24 @@ def test_share_and_group_mean_and_topk(spark):
 def test_surrogate_keys_distributed_path_on_table_data(spark):
     from conftest import SF_ORACLE
     c = spark.read.parquet(f"{SF_ORACLE}/customer.parquet").select("c_custkey", "c_mktsegment")
-    dist = assign_surrogate_keys(c, ["c_mktsegment", "c_custkey"], "k", start=10, small_rows=0,
-                                 num_partitions=6)
+    dist = assign_surrogate_keys(c, ["c_mktsegment", "c_custkey"], "k", start=10)
     ref = c.withColumn("k", 10 + F.row_number().over(Window.orderBy("c_mktsegment", "c_custkey")))
     assert dist.count() == c.count()
     assert sorted(map(tuple, dist.collect())) == sorted(map(tuple, ref.collect()))
 
 
-def test_salted_join_back_equals_plain_join(spark):
+def test_join_back_of_a_hot_group_equals_plain_join(spark, distributed_paths):
     from starloom.operators import join_group_values
     # one hot group holding most rows, many cold ones
     units = spark.range(0, 3000).select(
         F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
         F.col("id").alias("u"), (F.col("id") % 13).cast("decimal(12,2)").alias("val"))
-    c_plain = compare_to_group_mean(units, ["g"], "val")
-    # broadcast threshold 0 forces the salted shuffle path
     means = units.groupBy("g").agg(F.avg("val").alias("m"))
-    salted = join_group_values(units, means, ["g"], salt_buckets=8, broadcast_max_rows=0)
+    got = join_group_values(units, means, ["g"])
     plain = units.join(means, ["g"], "left")
-    assert sorted(map(tuple, salted.select("g", "u", "m").collect())) == \
+    assert sorted(map(tuple, got.select("g", "u", "m").collect())) == \
         sorted(map(tuple, plain.select("g", "u", "m").collect()))
-    assert c_plain.count() == 3000
+    assert compare_to_group_mean(units, ["g"], "val").count() == 3000
 
 
 def test_rank_within_distributed_equals_window_rank(spark):
@@ -228,13 +269,13 @@ def test_rank_within_distributed_equals_window_rank(spark):
         F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise((F.col("id") * 7919) % 211).alias("v"),
         F.col("id").alias("row"))
     ref = df.withColumn("r", F.rank().over(Window.partitionBy("p").orderBy(F.col("v").desc())).cast("int"))
-    dist = rank_within(df, ["p"], "v", "r", small_rows=0, num_partitions=7)
+    dist = rank_within(df, ["p"], "v", "r")
     assert dist.count() == 4000
 
     def rows(d):
         return sorted(((r["row"], r["r"]) for r in d.collect()))
     assert rows(dist) == rows(ref)
-    asc = rank_within(df, ["p"], "v", "r", descending=False, small_rows=0, num_partitions=5)
+    asc = rank_within(df, ["p"], "v", "r", descending=False)
     ref_asc = df.withColumn("r", F.rank().over(Window.partitionBy("p").orderBy(F.col("v").asc_nulls_last())).cast("int"))
     assert rows(asc) == rows(ref_asc)
 
@@ -243,6 +284,5 @@ def test_group_values_attach_to_null_group(spark):
     from starloom.operators import join_group_values
     units = spark.createDataFrame([(1, None, 2), (2, None, 4), (3, "x", 10)], "u int, g string, v int")
     means = units.groupBy("g").agg(F.avg("v").alias("m"))
-    for kw in ({}, {"salt_buckets": 4, "broadcast_max_rows": 0}):
-        got = {r["u"]: r["m"] for r in join_group_values(units, means, ["g"], **kw).collect()}
-        assert got == {1: 3.0, 2: 3.0, 3: 10.0}, kw
+    got = {r["u"]: r["m"] for r in join_group_values(units, means, ["g"]).collect()}
+    assert got == {1: 3.0, 2: 3.0, 3: 10.0}

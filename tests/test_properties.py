@@ -89,26 +89,25 @@ def test_fact_keeps_every_base_row_and_quarantines_unresolved(spark, base_keys,
 
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
-                          st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=150),
-       st.integers(1, 9))
-def test_distributed_rank_equals_window_rank(spark, rows, parts):
+                          st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=150))
+def test_distributed_rank_equals_window_rank(spark, rows):
     from pyspark.sql import Window
     from starloom.operators import rank_within
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, g string, v int")
     ref = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("int"))
-    got = rank_within(df, ["g"], "v", "r", small_rows=0, num_partitions=parts)
+    got = rank_within(df, ["g"], "v", "r")
     assert sorted((r["id"], r["r"]) for r in got.collect()) == sorted((r["id"], r["r"]) for r in ref.collect())
 
 
 @SETTINGS
 @given(st.sets(st.text(alphabet="abcxyz", min_size=0, max_size=4), min_size=1, max_size=120),
-       st.integers(1, 9), st.integers(0, 1000))
-def test_distributed_keys_equal_row_number(spark, keys, parts, start):
+       st.integers(0, 1000))
+def test_distributed_keys_equal_row_number(spark, keys, start):
     from pyspark.sql import Window
     from starloom.operators import assign_surrogate_keys
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     ref = df.withColumn("sk", F.lit(start) + F.row_number().over(Window.orderBy("k")))
-    got = assign_surrogate_keys(df, ["k"], "sk", start=start, small_rows=0, num_partitions=parts)
+    got = assign_surrogate_keys(df, ["k"], "sk", start=start)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
 
 

@@ -154,7 +154,7 @@ def test_run_from_landing_end_to_end(spark, bronze, tmp_dir):
     from starloom.sources.landing import CONTROL_SCHEMA
     landing = f"{tmp_dir}/landing"
     for name, df in bronze.items():
-        export(df, f"{landing}/{name}.csv", single_file_max_rows=100)
+        export(df, f"{landing}/{name}.csv")
     control = spark.createDataFrame([(n, "csv", n, ",") for n in bronze] + [("seasons", "csv", "seasons", ",")],
                                     CONTROL_SCHEMA)
     res, out = racing.run_from_landing(spark, control, landing, f"{tmp_dir}/bronze", f"{tmp_dir}/silver",
@@ -185,31 +185,52 @@ def test_racing_job_on_full_scale_paths(spark, bronze, tmp_dir, distributed_path
     assert [(r["src_result_id"], r["unresolved"]) for r in out["fact_quarantine"].collect()] == [(5, "driver_key")]
 
 
-def test_reload_races_overwrites_only_their_partitions(spark, bronze, tmp_dir):
-    import os
-    from starloom.sinks.storage import overwrite_partitions
-    first = racing.run_all(bronze, load_ts=TS, store=f"{tmp_dir}/silver")
-    path = f"{tmp_dir}/fact_by_race"
-    overwrite_partitions(first["fact_race_result"], path, ["src_race_id"])
-    before_18 = sorted(os.listdir(f"{path}/src_race_id=18"))
-    more_pits = bronze["pit_stops"].union(
-        spark.createDataFrame([(19, 1, 30000)], bronze["pit_stops"].schema))
+def test_targeted_reload_of_the_stored_fact(spark, bronze, tmp_dir):
+    store = f"{tmp_dir}/silver"
+    first = racing.run_all(bronze, load_ts=TS, store=store)
+    assert {r["src_race_id"] for r in first["fact_race_result"].collect()} == {18, 19}
+    more = dict(bronze)
     # a result that was not there before: Alonso classified in race 19
-    more_results = bronze["results"].union(spark.createDataFrame(
+    more["results"] = bronze["results"].where("raceId <> 18").union(spark.createDataFrame(
         [(6, 19, 2, 2, 1, 6, "4", "4", 4, "5", 56, "5800000", "20", "6", "1:37.000", "190.0")],
         bronze["results"].schema))
-    more_quali = bronze["qualifying"].union(spark.createDataFrame(
+    more["qualifying"] = bronze["qualifying"].union(spark.createDataFrame(
         [(19, 2, 2, 6, "1:36.900", None, None)], bronze["qualifying"].schema))
-    racing.reload_races(more_results, more_quali, more_pits, bronze["driver_standings"],
-                        bronze["constructors_results"], bronze["status"], first["dim_race"],
-                        first["dim_driver"], first["dim_constructor"], first["dim_circuit"],
-                        first["dim_date"], fact_path=path, race_ids=[19], load_ts=TS)
-    assert sorted(os.listdir(f"{path}/src_race_id=18")) == before_18      # untouched
-    rows = {r["src_result_id"]: r for r in spark.read.parquet(path).collect()}
-    assert set(rows) == {1, 2, 3, 6}
-    assert rows[3]["pit_stop_count"] == 1 and rows[1]["pit_stop_count"] == 2
+    silver = {n: first[n] for n in first if n.startswith("dim_")}
+    only_19 = racing.run_all(more, silver, load_ts=TS, store=store, race_ids=[19])["fact_race_result"]
+    rows = by(only_19, "src_result_id")
+    assert set(rows) == {1, 2, 3, 6}           # race 18 as it was, though withdrawn by now
     assert rows[3]["result_key"] == 3          # an existing result keeps its key
     assert rows[6]["result_key"] == 4          # a new one goes above the stored max
+    # race 18 yields no row any more: its rows leave the fact
+    both = racing.run_all(more, silver, load_ts=TS, store=store, race_ids=[18, 19])["fact_race_result"]
+    assert {r["src_race_id"] for r in both.collect()} == {19}
+    with pytest.raises(ValueError):
+        racing.run_all(bronze, race_ids=[18])
+
+
+def test_doubled_status_raises_instead_of_doubling_results(spark, bronze, tmp_dir):
+    doubled = dict(bronze, status=bronze["status"].union(bronze["status"]))
+    with pytest.raises(Exception, match="duplicate key"):
+        racing.run_all(doubled, load_ts=TS, store=f"{tmp_dir}/silver")
+
+
+def test_failed_source_stops_the_job_and_catalog_equals_path(spark, bronze, tmp_dir):
+    from starloom.sinks.storage import export, read_current_or_none
+    from starloom.sources.landing import CONTROL_SCHEMA
+    landing = f"{tmp_dir}/landing"
+    for name, df in bronze.items():
+        export(df.select(*reversed(df.columns)), f"{landing}/{name}.csv")
+    control = spark.createDataFrame([(n, "csv", n, ",") for n in bronze], CONTROL_SCHEMA)
+    runs = [racing.run_from_landing(spark, control, landing, target, f"{tmp_dir}/silver-{i}", load_ts=TS)[1]
+            for i, target in enumerate((f"{tmp_dir}/bronze", "bronze_racing_test"))]
+    for name in runs[0]:
+        one, two = (sorted(map(str, out[name].collect())) for out in runs)
+        assert one == two, name
+    export(bronze["status"].withColumnRenamed("status", "state"), f"{landing}/status.csv")
+    with pytest.raises(racing.SourcesFailed):
+        racing.run_from_landing(spark, control, landing, f"{tmp_dir}/bronze2", f"{tmp_dir}/silver-9", load_ts=TS)
+    assert read_current_or_none(spark, f"{tmp_dir}/silver-9/dim_date") is None
 
 
 def test_command_line_job(spark, bronze, tmp_dir, capsys):
@@ -217,7 +238,7 @@ def test_command_line_job(spark, bronze, tmp_dir, capsys):
     from starloom.sinks.storage import export
     landing = f"{tmp_dir}/landing"
     for name, df in bronze.items():
-        export(df, f"{landing}/{name}.csv", single_file_max_rows=100)
+        export(df, f"{landing}/{name}.csv")
     with open(f"{tmp_dir}/control.csv", "w") as f:
         f.write("file_name,file_type,target_table,file_delimiter\n")
         for name in bronze:
@@ -240,6 +261,7 @@ def test_racing_analyses(spark, bronze, tmp_dir):
     rec = {r["full_name"]: r for r in ra.driver_records(fact, out["dim_driver"]).collect()}
     assert rec["Lewis Hamilton"]["wins"] == 1 and rec["Lewis Hamilton"]["poles"] == 1
     assert rec["Lewis Hamilton"]["fastest_laps"] == 1
+    assert len(rec) == fact.select("driver_key").distinct().count()  # drivers without any are listed too
     dive = {(r["race_key"], r["driver_key"]): r for r in ra.race_deep_dive(fact).collect()}
     assert len(dive) == 4
     ham18 = dive[(races.where("race_id = 18").first()["race_key"], 1)]

@@ -69,8 +69,6 @@ def main() -> None:
     ]
     lines += table(spark, sf)
     # the same queries on the paths a full-scale run takes
-    from starloom.operators import keys as K
-    K.BROADCAST_MAX_ROWS, K.SMALL_KEYSET_ROWS = 0, 0
     for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(k, "-1")
     lines += [
