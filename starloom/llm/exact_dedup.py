@@ -56,15 +56,11 @@ def mark_candidates(digests: DataFrame, seen_twice: DataFrame, words: int) -> Da
     return p.withColumn("__maybe", F.coalesce(hit, F.lit(False))).select(*digests.columns, "__maybe")
 
 
-def _marked(docs: DataFrame, text_col: str, max_filter_bits: int, keep: list[str]) -> tuple[DataFrame, int]:
-    """``keep`` columns of ``docs`` with ``__sha`` and ``__maybe``; the row count."""
-    digests = materialise(docs.select(text_digest(text_col).alias("__sha")), "digests") if len(keep) > 1 \
-        else materialise(docs.select(*keep, text_digest(text_col).alias("__sha")), "digests")
+def _seen_twice(digests: DataFrame, max_filter_bits: int) -> tuple[DataFrame, int, int]:
+    """(repeated bits, words of the filter, rows) of stored digests."""
     n = digests.count()
     words = filter_words(n, max_filter_bits)
-    seen_twice = materialise(repeated_bits(digests, words), "bloom")
-    rows = docs.select(*keep, text_digest(text_col).alias("__sha")) if len(keep) > 1 else digests
-    return mark_candidates(rows, seen_twice, words), n
+    return materialise(repeated_bits(digests, words), "bloom"), words, n
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -77,8 +73,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of them is kept.  An empty table gives an empty result; other columns of
     ``docs`` are ignored.
     """
-    slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    marked, n = _marked(slim, "__text", max_filter_bits, ["__id"])
+    digests = materialise(docs.select(F.col(id_col).alias("__id"), text_digest(text_col).alias("__sha")), "digests")
+    seen_twice, words, n = _seen_twice(digests, max_filter_bits)
+    marked = mark_candidates(digests, seen_twice, words)
     # copies are counted before they shuffle: a hot text is one row per task and id
     pairs = materialise(marked.filter("__maybe").groupBy("__sha", "__id").agg(F.count("*").alias("__n")),
                         "candidates")
@@ -106,7 +103,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     other columns.  Nulls and empty tables as in ``exact_dedup``.
     """
     rows, (key, text) = positional(docs, id_col, text_col)
-    marked, _ = _marked(rows, text, max_filter_bits, rows.columns)
+    digests = materialise(rows.select(text_digest(text).alias("__sha")), "digests")
+    seen_twice, words, _ = _seen_twice(digests, max_filter_bits)
+    marked = mark_candidates(rows.withColumn("__sha", text_digest(text)), seen_twice, words)
     order = [c for c, kind in rows.dtypes if c not in (key, text) and "map<" not in kind]
     kept = marked.filter("__maybe").groupBy("__sha").agg(
         F.max_by(F.struct(*rows.columns), F.struct(key, *order)).alias("__row"))

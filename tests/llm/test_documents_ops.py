@@ -73,8 +73,10 @@ def test_exact_dedup_is_exact_with_a_saturated_filter(docs):
 
 
 def test_bloom_filter_lets_unique_rows_pass(docs):
-    slim = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    marked, n = exact_dedup._marked(slim, "__text", exact_dedup.MAX_FILTER_BITS, ["__id"])
+    digests = docs.select(exact_dedup.text_digest("text").alias("__sha"))
+    n = docs.count()
+    words = exact_dedup.filter_words(n)
+    marked = exact_dedup.mark_candidates(digests, exact_dedup.repeated_bits(digests, words), words)
     copies = sum(len(x) for x in brute_groups(docs.collect()).values() if len(x) > 1)
     maybe = marked.filter("__maybe").count()
     assert copies <= maybe <= copies + 0.05 * n
