@@ -36,7 +36,9 @@ from .common import with_package
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 #: Segments and joined pairs remembered per Python worker; segments at once.
-CACHE_ROWS, PAIR_ROWS, BLOCK = 100_000, 100_000, 1 << 17
+CACHE_ROWS, PAIR_ROWS, BLOCK = 300_000, 300_000, 1 << 17
+#: Instead of a last piece: the start of a text, a character that is no piece.
+START, OTHER = -2, -1
 
 
 class Pieces:
@@ -59,16 +61,16 @@ class Pieces:
         if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces):
             raise ValueError("user-defined and unused pieces are not supported")
         self.longest = max(map(len, self.ids), default=1)
-        #: every ending of a piece, and whether it is one that merges make
-        self.endings = {p[i:]: False for p in self.ids for i in range(len(p))} if self.kind == BPE else {}
-        self.endings.update((p, True) for p in self.ids if p in self.endings and self.merged(p) == [p])
+        #: every ending of a piece: its id if it is a piece that merges make, else -1
+        self.endings = {p[i:]: -1 for p in self.ids for i in range(len(p))} if self.kind == BPE else {}
+        self.endings.update((p, i) for p, i in self.ids.items() if p in self.endings and self.merged(p) == [p])
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         line = any("\n" in p for p in self.ids)
         if inner or line:  # no boundary is known beforehand
             self.segments = re.compile(r".+", re.S)
         else:
-            self.segments = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
+            self.segments = re.compile(" +[^ \n]*|[^ \n]+|\n+")
         self.known: dict[str, bytes] = {}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.text_of = ["" if p.type == kinds.CONTROL else chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128
@@ -76,7 +78,7 @@ class Pieces:
         self.high = np.array([self.byte_of.get(i, 0) > 127 for i in range(len(self.text_of))])
         self.halves = functools.cache(self._halves)
         self.orderly = functools.cache(self._orderly)
-        self.joins = functools.lru_cache(PAIR_ROWS)(self._joins)
+        self.pairs: dict[int, bool] = {}
 
     # -- encoding
 
@@ -84,11 +86,12 @@ class Pieces:
         """Ids of a text; none for a null or empty one."""
         if not text:
             return np.zeros(0, np.int32)
-        escaped = self.prefix + text.replace(" ", SPACE)
-        if len(escaped) <= BLOCK:
-            out = b"".join(map(self._segment, self.segments.findall(escaped)))
+        # plain spaces for now (the mark itself counts as one): smaller strings to remember
+        text = (" " if self.prefix else "") + text.replace(SPACE, " ")
+        if len(text) <= BLOCK:
+            out = b"".join(map(self._segment, self.segments.findall(text)))
         else:
-            found = (m.group() for m in self.segments.finditer(escaped))
+            found = (m.group() for m in self.segments.finditer(text))
             parts = []
             while block := list(islice(found, BLOCK)):
                 parts.append(b"".join(map(self._segment, block)))
@@ -98,7 +101,7 @@ class Pieces:
     def _segment(self, segment: str) -> bytes:
         known = self.known.get(segment)
         if known is None:
-            known = array("i", self.viterbi(segment)).tobytes()
+            known = array("i", self.viterbi(segment.replace(" ", SPACE))).tobytes()
             if len(segment) <= 64:
                 if len(self.known) >= CACHE_ROWS:
                     self.known.clear()
@@ -107,16 +110,18 @@ class Pieces:
 
     def viterbi(self, text: str) -> Iterator[int]:
         """Ids of the surviving path, given out as soon as they are certain."""
-        back, best = [-1], [0.0]  # of the retained nodes, the first at position done
+        # of the retained nodes, the first at position done: the backpointer,
+        # and what the path carries there (its last piece, or its score)
+        back, state = [-1], [START if self.kind == BPE else 0.0]
         done, step = 0, max(32, 2 * self.longest)
         last_piece = self._last_piece if self.kind == BPE else self._best_piece
         for end in range(1, len(text) + 1):
-            back.append(last_piece(text, end, done, back, best))
+            back.append(last_piece(text, end, done, back, state))
             if end - done >= step and end % self.longest == 0:
                 common = self._converged(back, end, done)
                 if common > done:
                     yield from self._path(text, back, done, common)
-                    del back[:common - done], best[:common - done]
+                    del back[:common - done], state[:common - done]
                     done = common
         yield from self._path(text, back, done, len(text))
 
@@ -151,30 +156,38 @@ class Pieces:
         best.append(score)
         return start
 
-    def _last_piece(self, text: str, end: int, done: int, back: list[int], best: list[float]) -> int:
+    def _last_piece(self, text: str, end: int, done: int, back: list[int], last: list[int]) -> int:
         """BPE: the start of the last piece of the encoding of text[:end]."""
-        starts = []
-        endings, start = self.endings, end - 2
+        endings, found, start = self.endings, [], end - 2
         while start >= done:
-            whole = endings.get(text[start:end])
-            if whole is None:
+            piece = endings.get(text[start:end])
+            if piece is None:
                 break
-            if whole:
-                starts.append(start)
+            if piece >= 0:
+                found.append((start, piece))
             start -= 1
-        for start in reversed(starts):
-            before = back[start - done]
-            if before < 0:
-                if self.joins("", text[:end]):
-                    return start
-            elif self.joins(text[before:start], text[start:end]):
+        for start, piece in reversed(found):  # the longest first
+            left = last[start - done]
+            if left == START:
+                fits = True
+            elif left < 0:
+                fits = self._joins(text[back[start - done]:start], text[start:end])
+            else:
+                fits = self.pairs.get(left << 24 | piece)
+                if fits is None:
+                    if len(self.pairs) >= PAIR_ROWS:
+                        self.pairs.clear()
+                    fits = self.pairs[left << 24 | piece] = self._joins(text[back[start - done]:start], text[start:end])
+            if fits:
+                last.append(piece)
                 return start
+        last.append(self.ids.get(text[end - 1], OTHER))
         return end - 1
 
     def _joins(self, left: str, right: str) -> bool:
         """Whether merging left + right gives just these two pieces."""
-        if not (left and self.orderly(left) and self.orderly(right)):
-            return self.merged(left + right) == ([left, right] if left else [right])
+        if not (self.orderly(left) and self.orderly(right)):
+            return self.merged(left + right) == [left, right]
         # undo the merges of both sides, the latest first: no pair that meets
         # at the boundary may score better than the merge that came instead
         score, limit, from_right = self.score, -float("inf"), False
