@@ -14,7 +14,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from starloom.plans import retail  # noqa: E402
 from starloom.session import build_session  # noqa: E402
 
 
@@ -30,7 +30,7 @@ def plan_text(df) -> str:
 
 def table(spark, sf: str) -> list[str]:
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in retail.QUERIES.items():
         plan = plan_text(fn(spark, sf))
         shuffles = len(re.findall(r"Arguments: (hashpartitioning|rangepartitioning)", plan))
         bcast = len(re.findall(r"BroadcastExchange \(\d+\)", plan))
@@ -57,33 +57,24 @@ def main() -> None:
         "reuse identical exchanges, e.g. a dimension that appears twice in the",
         "tree is computed once).  `shuffles` counts",
         "`Exchange hashpartitioning/rangepartitioning` nodes; `broadcasts` counts",
-        "`BroadcastExchange` nodes (ours only after a row-count check; Spark's own",
-        "only below `spark.sql.autoBroadcastJoinThreshold` by size estimate, which",
-        "at full scale turns fact-to-fact joins into shuffle joins); `1-part windows` counts single-partition",
-        "exchanges: each feeds a ROW_NUMBER for surrogate keys over an input proven",
-        "to hold at most 200 000 rows (larger key sets use the range-partitioned,",
-        "checkpointed path), or the per-partition offset table of that path.",
+        "`BroadcastExchange` nodes (Spark's own, below `spark.sql.autoBroadcastJoinThreshold`",
+        "by size estimate); `1-part windows` counts single-partition exchanges: each",
+        "feeds the offset table of a key or rank, with one row per range partition.",
         "",
         "| query | shuffles | broadcasts | joins | 1-part windows | scans (pushed filters) |",
         "|---|---|---|---|---|---|",
     ]
     lines += table(spark, sf)
-    # the same queries on the paths a full-scale run takes
     for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.set(k, "-1")
     lines += [
         "",
-        "## Full-scale paths",
+        "## Without broadcasts",
         "",
-        "The same queries with the broadcast bound and the single-window bound set to 0 and Spark's",
-        "broadcast thresholds disabled -- what the plans become when no dimension is small:",
-        "every join shuffles, surrogate keys and ranks take the checkpointed range-partition",
-        "paths (checkpointed relations show up as extra scans of existing RDDs), and group",
-        "join-backs are salted.  Remaining broadcasts are the per-range-partition offset tables.",
-        "Shuffle counts include every repetition of a dimension subtree (the star-fact queries",
-        "build region, nation and customer dimensions from raw tables and reference some twice);",
-        "identical exchanges are computed once at run time, and in production the fact load",
-        "reads the stored dimension versions instead of rebuilding them.",
+        "The same queries with Spark's broadcast thresholds disabled -- what the plans become",
+        "when no table is small: every join shuffles.  Checkpointed relations show up as scans",
+        "of existing RDDs.  Shuffle counts include every repetition of a dimension subtree;",
+        "identical exchanges are computed once at run time.",
         "",
         "| query | shuffles | broadcasts | joins | 1-part windows | scans (pushed filters) |",
         "|---|---|---|---|---|---|",
