@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import exact_dedup, quality, sentence_pieces, simhash, source_mix
-from starloom.llm.common import materialise, table, tokenizer_path
+from starloom.llm.common import discard_stored, materialise, stored_tables, table, tokenizer_path
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage applied to the documents table."""
+    """Every stage applied to the documents table.  Once a stage's output is
+    written, its own intermediate tables and its input go."""
     docs = table(spark, sf_dir, "documents")
+    first = stored_tables()
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard_stored(spark, first, stored_tables() - 1)
     return docs

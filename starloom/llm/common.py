@@ -18,6 +18,9 @@ MAX_HEAVY_GROUPS = 8192
 MIN_HEAVY_ROWS = 64
 
 
+_stored: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's checkpoint folder and read
     it back: lineage ends at files that every executor sees, so a lost
@@ -25,9 +28,26 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_tables() -> int:
+    """How many tables this process has stored and not discarded."""
+    return len(_stored)
+
+
+def discard_stored(spark: SparkSession, first: int, last: int) -> None:
+    """Delete the stored tables from number ``first`` up to, not including,
+    ``last``.  Only for a caller that knows that no result reads them any
+    more, as a pipeline does of a stage whose output is written."""
+    sc = spark.sparkContext
+    for path in _stored[first:last]:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    del _stored[first:last]
+
+
 def heavy_threshold(total_rows: int) -> int:
     """Group size from which a group counts as heavy: at most
     ``MAX_HEAVY_GROUPS`` groups can be that large, whatever the data."""
