@@ -21,11 +21,20 @@ MIN_HEAVY_ROWS = 64
 _stored: list[str] = []
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a stored file, where the number of rows is known beforehand.
+FILE_ROWS = 100_000
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the session's checkpoint folder and read
     it back: lineage ends at files that every executor sees, so a lost
-    executor costs no more than its running tasks."""
+    executor costs no more than its running tasks.
+
+    ``rows``, a bound on the rows of a result of cheap last steps, keeps a
+    small table from being written as many tiny files."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(-(-rows // FILE_ROWS) or 1)
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _stored.append(path)

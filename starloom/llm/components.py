@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from .common import lookup_groups, materialise
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, count: int, large: bool) -> DataFrame:
     """One step over stored edges (u > v).  Large star: the larger neighbours
     of a node connect to its smallest one; small star: so do the smaller ones
     and the node itself.  The smallest neighbour is an aggregate of one row a
     node, and heavy nodes are looked up without gathering their edges."""
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     near = edges.unionByName(back) if large else edges
-    low = materialise(near.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg")), "star")
+    low = materialise(near.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg")), "star", 2 * count)
     n = low.agg(F.sum("deg")).first()[0] or 0
     with_low = lookup_groups(near, low, "u", "deg", n, F.col("v"))
     m = F.least("u", "m")
@@ -41,4 +41,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen or state[0] == 0:
             return e.withColumnRenamed("v", "root")
         seen = state
-        e = materialise(_star(materialise(_star(e, True), "large"), False), "small")
+        n = state[0]  # a step gives two edges for each at most
+        e = materialise(_star(e, n, True), "large", 2 * n)
+        e = materialise(_star(e, 2 * n, False), "small", 2 * n)

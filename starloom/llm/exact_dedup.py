@@ -60,7 +60,7 @@ def _seen_twice(digests: DataFrame, max_filter_bits: int) -> tuple[DataFrame, in
     """(repeated bits, words of the filter, rows) of stored digests."""
     n = digests.count()
     words = filter_words(n, max_filter_bits)
-    return materialise(repeated_bits(digests, words), "bloom"), words, n
+    return materialise(repeated_bits(digests, words), "bloom", words), words, n
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -78,9 +78,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = mark_candidates(digests, seen_twice, words)
     # copies are counted before they shuffle: a hot text is one row per task and id
     pairs = materialise(marked.filter("__maybe").groupBy("__sha", "__id").agg(F.count("*").alias("__n")),
-                        "candidates")
+                        "candidates", n)
     groups = materialise(pairs.groupBy("__sha").agg(
-        F.max("__id").alias("__keep"), F.sum("__n").alias("__size")), "groups")
+        F.max("__id").alias("__keep"), F.sum("__n").alias("__size")), "groups", n)
     decided = lookup_groups(pairs, groups, "__sha", "__size", n, F.col("__id"))
     alone = marked.filter(~F.col("__maybe")).select(
         F.col("__id").alias(id_col), F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),

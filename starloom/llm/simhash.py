@@ -42,6 +42,8 @@ HAMMING = (7, 0b1011, 1)
 CODES = ((GOLAY,), (GOLAY, HAMMING), (GOLAY, HAMMING, HAMMING), (GOLAY, GOLAY))
 #: Most homes and most visitors that one task compares at once.
 CELL_HOMES, CELL_VISITORS = 1 << 13, 1 << 15
+#: Fingerprints that one task replicates.
+TASK_FINGERPRINTS = 1 << 14
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -239,12 +241,14 @@ def links(classes: DataFrame, distinct: int, max_bits: int) -> DataFrame:
     """(u, v): edges that connect what fingerprints at ``max_bits`` or fewer
     differing bits connect.  ``classes`` has one row per fingerprint (__fp)."""
     blocks = choose_code(distinct, max_bits)
-    sent = materialise(with_package(classes).select("__fp").mapInArrow(
+    # replicas are many and costly: spread the fingerprints over tasks first
+    spread = with_package(classes).select("__fp").repartition(-(-distinct // TASK_FINGERPRINTS) or 1)
+    sent = materialise(spread.mapInArrow(
         _replicate(blocks, max_bits),
         "anchor long, homes binary, visitors binary, n_homes long, n_visitors long"), "anchors")
     counts = materialise(sent.groupBy("anchor").agg(
         F.ceil(F.sum("n_homes") / CELL_HOMES).alias("rows"), F.ceil(F.sum("n_visitors") / CELL_VISITORS).alias("cols"),
-        F.count("*").alias("pieces")).filter("rows > 0"), "cells")
+        F.count("*").alias("pieces")).filter("rows > 0"), "cells", distinct)
     pieces = lookup_groups(sent, counts, "anchor", "pieces", sent.count(), F.xxhash64("homes", "visitors"))
     pieces = pieces.filter(F.col("rows").isNotNull())
     slot = F.xxhash64("visitors")
@@ -275,16 +279,16 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     fps = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     n = fps.count()
     classes = materialise(fps.groupBy("__fp").agg(F.min("__id").alias("__rep"), F.count("*").alias("__rows")),
-                          "classes")
+                          "classes", n)
     distinct = classes.count()
     roots = components(links(classes, distinct, max_bits))
     classes = classes.join(roots, classes["__fp"] == roots["u"], "left").select(
         "__fp", "__rep", "__rows", F.coalesce("root", "__fp").alias("__root"))
-    classes = materialise(classes, "rooted")
+    classes = materialise(classes, "rooted", distinct)
     least = materialise(classes.groupBy("__root").agg(
-        F.min("__rep").alias("component_id"), F.count("*").alias("__members")), "least")
+        F.min("__rep").alias("component_id"), F.count("*").alias("__members")), "least", distinct)
     named = lookup_groups(classes, least, "__root", "__members", distinct, F.col("__fp"))
-    named = materialise(named.select("__fp", "__rows", "component_id"), "components")
+    named = materialise(named.select("__fp", "__rows", "component_id"), "components", distinct)
     out = lookup_groups(fps, named, "__fp", "__rows", n, F.col("__id"))
     return out.select(F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"),
                       "component_id")

@@ -63,7 +63,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
                     F.least(F.col("__cap"), F.col("__level") * F.col("__w")).alias("target"))
 
 
-def _thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
+def _thresholds(sized: DataFrame, budgets: DataFrame, sources: int) -> DataFrame:
     """(__key, __below): a source's documents with a hash under __below meet its budget.
 
     A level works only on documents under the prefix found so far, so hot
@@ -92,7 +92,7 @@ def _thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
             F.coalesce(F.col("__stop")["__bucket"], F.col("__last") + 1,
                        F.shiftleft("__prefix", LEVEL_BITS)).alias("__prefix"),
             F.col("__stop")["__sum"].alias("__stop_sum"))
-        found = materialise(found, f"mix-level{level}")
+        found = materialise(found, f"mix-level{level}", sources)
     # of the documents on the last bucket's one hash, the nearer choice
     take = F.coalesce(F.col("__budget") * 2 >= F.col("__stop_sum"), F.lit(False))
     return found.select("__key", (F.col("__prefix") + take.cast("long")).alias("__below"))
@@ -105,17 +105,18 @@ def _planned(docs: DataFrame, weights: tuple[int, ...], id_col: str, text_col: s
         _key(source_col).alias("__key"), _hash(id_col).alias("__hash")), "mix-sizes")
     by_source = materialise(sized.groupBy("source", "__key").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("__rows")), "mix-sources")
+    sources = by_source.count()
     targets = source_targets(by_source.select("source", "source_size"), weights)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     targets = targets.select(_key("source").alias("__key"), "source_size", "target",
                              F.least(whole, F.lit(MAX_REPEAT)).cast("long").alias("__whole"))
     targets = materialise(targets.withColumn(
-        "__budget", F.col("target") - F.col("__whole") * F.col("source_size")), "mix-targets")
-    plan = (targets.join(_thresholds(sized, targets), "__key")
+        "__budget", F.col("target") - F.col("__whole") * F.col("source_size")), "mix-targets", sources)
+    plan = (targets.join(_thresholds(sized, targets, sources), "__key")
             .join(by_source.select("__key", "__rows"), "__key")
             .select("__key", "source_size", "target", "__whole", "__below", "__rows"))
     n = by_source.agg(F.sum("__rows")).first()[0] or 0
-    return sized, materialise(plan, "mix-plan"), n
+    return sized, materialise(plan, "mix-plan", sources), n
 
 
 def _key(source: str):
