@@ -36,7 +36,9 @@ from .common import with_package
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 #: Segments and joined pairs remembered per Python worker; segments at once.
-CACHE_ROWS, PAIR_ROWS, BLOCK = 300_000, 300_000, 1 << 17
+CACHE_ROWS, PAIR_ROWS, BLOCK = 600_000, 600_000, 1 << 17
+#: Characters that are searched before paths are compared.
+WINDOW = 32
 #: Instead of a last piece: the start of a text, a character that is no piece.
 START, OTHER = -2, -1
 
@@ -101,19 +103,29 @@ class Pieces:
     def _segment(self, segment: str) -> bytes:
         known = self.known.get(segment)
         if known is None:
-            known = array("i", self.viterbi(segment.replace(" ", SPACE))).tobytes()
+            text = segment.replace(" ", SPACE)
+            ids = self._short(text) if len(text) <= WINDOW else self.viterbi(text)
+            known = array("i", ids).tobytes()
             if len(segment) <= 64:
                 if len(self.known) >= CACHE_ROWS:
                     self.known.clear()
                 self.known[segment] = known
         return known
 
+    def _short(self, text: str) -> list[int]:
+        """As ``viterbi``, for a text that one window holds."""
+        back, state = [-1], [START if self.kind == BPE else 0.0]
+        last_piece = self._last_piece if self.kind == BPE else self._best_piece
+        for end in range(1, len(text) + 1):
+            back.append(last_piece(text, end, 0, back, state))
+        return self._path(text, back, 0, len(text))
+
     def viterbi(self, text: str) -> Iterator[int]:
         """Ids of the surviving path, given out as soon as they are certain."""
         # of the retained nodes, the first at position done: the backpointer,
         # and what the path carries there (its last piece, or its score)
         back, state = [-1], [START if self.kind == BPE else 0.0]
-        done, step = 0, max(32, 2 * self.longest)
+        done, step = 0, max(WINDOW, 2 * self.longest)
         last_piece = self._last_piece if self.kind == BPE else self._best_piece
         for end in range(1, len(text) + 1):
             back.append(last_piece(text, end, done, back, state))
