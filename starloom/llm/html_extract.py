@@ -1,7 +1,8 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its elements, each told apart by the path to it, and the
-texts beside its article.  Over all pages of a host, tokens that occur equally
+Tokens of a page are its elements, each told apart by the path to it, and its
+texts: inside an article whole blocks, so that no sentence is torn, elsewhere
+the text of each element.  Over all pages of a host, tokens that occur equally
 often on every page have the same occurrence vector; such tokens form an
 equivalence class.  A class that is frequent (on ``MIN_PAGES`` pages or more,
 and half of the host's) and holds elements is valid if its elements nest: each
@@ -9,9 +10,12 @@ has its parent in the class or in a valid class that occurs on all its pages.
 Valid classes nest by these paths into the host's template.
 
 What the template holds itself is not content: its texts are boilerplate and
-leave.  Of the remaining slots those under the template's article element make
-the main text, without the parts that are beside it by element, class or role;
-a page without such an element gives all its remaining slots.
+leave every page, those inside the article too.  A class whose texts make up
+more than half of the articles it is in is kept: its pages are copies of one
+article, not one frame around several.  The remaining slots are checked
+against the markup: those under the template's article element make the main
+text, without the parts that are beside it by element, class or role; a page
+without such an element gives all its remaining slots.
 
 Occurrence vectors have as many entries as a host has pages, so only their
 fingerprint is kept: the sum of a hash of (page, count), which aggregates in
@@ -33,32 +37,52 @@ from .url_filter import split_url
 
 #: Fewest pages of a host that make a template.
 MIN_PAGES = 3
-ELEMENT, CONTAINER, TEXT = 0, 1, 2
+#: Share of an article, in thousandths, that is no boilerplate any more.
+MAX_SHARE = 500
+ELEMENT, CONTAINER, TEXT, BLOCK = 0, 1, 2, 3
 
 
 def _token(path: str, text: str = "") -> int:
     return xxhash.xxh64_intdigest(f"{path}\0{text}".encode(), 0) - (1 << 63)
 
 
+def _blocks(texts: list[tuple[int, str, str, bool, bool]]) -> dict[int, tuple[str, str]]:
+    """(path, words) of each block of a page's articles."""
+    parts: dict[int, tuple[str, list[str]]] = {}
+    for n, path, text, inside, aside in texts:
+        if inside and not aside and (n in parts or not text.isspace()):
+            parts.setdefault(n, (path, []))[1].append(text)
+    blocks = ((n, path, " ".join("".join(some).split())) for n, (path, some) in parts.items())
+    return {n: (path, words) for n, path, words in blocks if words}
+
+
 def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages to rows (host, page, token, parent, kind, n), one per token of a page."""
+    """Pages to rows (host, page, token, parent, kind, n, share), one per token
+    of a page; ``share`` is a block's part of the page's articles."""
     for b in batches:
         out: list[tuple] = []
         for number, url, source in zip(*(c.to_pylist() for c in b.columns)):
             page, host = read_page(source), split_url(url)[0]
             for path, n in page.paths.items():
                 kind = CONTAINER if path in page.containers else ELEMENT
-                out.append((host, number, _token(path), _token(path.rpartition(">")[0]), kind, n))
+                out.append((host, number, _token(path), _token(path.rpartition(">")[0]), kind, n, 0))
             seen: dict[int, list] = {}
             for _, path, text, inside, _ in page.texts:
                 if not inside and (words := " ".join(text.split())):
                     token = _token(path, words)
-                    seen.setdefault(token, [host, number, token, _token(path), TEXT, 0])[5] += 1
+                    seen.setdefault(token, [host, number, token, _token(path), TEXT, 0, 0])[5] += 1
+            blocks = _blocks(page.texts)
+            size = sum(len(words) for _, words in blocks.values())
+            for path, words in blocks.values():
+                token = _token(path, words)
+                row = seen.setdefault(token, [host, number, token, _token(path), BLOCK, 0, 0])
+                row[5] += 1
+                row[6] = 1000 * len(words) * row[5] // size
             out += map(tuple, seen.values())
-        cols = list(zip(*out)) or [()] * 6
-        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        cols = list(zip(*out)) or [()] * 7
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                         ["host", "page", "token", "parent", "kind", "n"])
+                                         ["host", "page", "token", "parent", "kind", "n", "share"])
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
@@ -66,23 +90,26 @@ def host_templates(pages: DataFrame) -> DataFrame:
     elements and boilerplate texts as token numbers.  ``pages`` has (__page
     long, __url, __html), with a different __page for each row."""
     tokens = with_package(pages).select("__page", "__url", "__html").mapInArrow(
-        _tokens_of, "host string, page long, token long, parent long, kind int, n long")
+        _tokens_of, "host string, page long, token long, parent long, kind int, n long, share long")
     # occurrence vectors by fingerprint; hot hosts and tokens are summed in each task
     vectors = materialise(tokens.groupBy("host", "token").agg(
         F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"), F.count("*").alias("pages"),
-        F.max("kind").alias("kind"), F.max("parent").alias("parent")), "tokens")
+        F.max("kind").alias("kind"), F.max("parent").alias("parent"), F.sum("share").alias("share")
+    ).filter(F.col("pages") >= MIN_PAGES), "tokens")
     roots = vectors.groupBy("host").agg(F.max("pages").alias("host_pages"))
-    frequent = vectors.join(roots, "host").filter(
-        (F.col("pages") >= MIN_PAGES) & (F.col("pages") * 2 >= F.col("host_pages")))
+    frequent = vectors.join(roots, "host").filter(F.col("pages") * 2 >= F.col("host_pages"))
     # nested: an element's parent is frequent too, on no fewer pages; the outermost has none
     parent = frequent.select("host", F.col("token").alias("parent"), F.col("pages").alias("parent_pages"))
     outermost = F.col("parent") == F.lit(_token(""))
     nested = frequent.join(parent, ["host", "parent"], "left").filter(
         outermost | (F.col("parent_pages") >= F.col("pages")))
     classes = nested.groupBy("host", "vector").agg(
-        F.first("host_pages").alias("host_pages"), F.sum((F.col("kind") != TEXT).cast("int")).alias("elements"),
+        F.first("host_pages").alias("host_pages"), F.sum((F.col("kind") < TEXT).cast("int")).alias("elements"),
         F.collect_list(F.when(F.col("kind") == CONTAINER, F.col("token"))).alias("containers"),
-        F.collect_list(F.when(F.col("kind") == TEXT, F.col("token"))).alias("static"))
+        F.collect_list(F.when(F.col("kind") == TEXT, F.col("token"))).alias("static"),
+        F.collect_list(F.when(F.col("kind") == BLOCK, F.col("token"))).alias("blocks"),
+        (F.sum("share") <= F.max("pages") * MAX_SHARE).alias("frame"))
+    classes = classes.withColumn("static", F.when(F.col("frame"), F.concat("static", "blocks")).otherwise(F.col("static")))
     return classes.filter("elements > 0").groupBy("host").agg(
         F.first("host_pages").alias("pages"), F.flatten(F.collect_list("containers")).alias("containers"),
         F.flatten(F.collect_list("static")).alias("static"))
@@ -91,14 +118,16 @@ def host_templates(pages: DataFrame) -> DataFrame:
 def main_text(source: str | None, containers: set[int], static: set[int]) -> str:
     """The remaining slots of a page, given its host's template."""
     page = read_page(source)
-    slots = [(n, p, t, inside) for n, p, t, inside, aside in page.texts if not aside]
+    common = {n for n, (p, words) in _blocks(page.texts).items() if _token(p, words) in static} if static else set()
+    slots = [(n, p, t, inside) for n, p, t, inside, aside in page.texts if not aside and (
+        n not in common if inside else not static or _token(p, " ".join(t.split())) not in static)]
     if page.containers:
         articles = {p for p in page.containers if _token(p) in containers}
         if articles and articles != page.containers:  # the page has more than the template's
             under = tuple(a + ">" for a in articles)
             slots = [x for x in slots if x[1] in articles or x[1].startswith(under)]
-        return join_blocks([(n, t) for n, _, t, inside in slots if inside])
-    return join_blocks([(n, t) for n, p, t, _ in slots if _token(p, " ".join(t.split())) not in static])
+        slots = [x for x in slots if x[3]]
+    return join_blocks([(n, t) for n, _, t, _ in slots])
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
