@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from dataclasses import dataclass, field
@@ -19,12 +20,20 @@ SCOPE = frozenset("article aside body div dl footer form header html main nav ol
 #: Elements, and words of class, id and role, whose text is not part of an article.
 ASIDE_TAGS = frozenset("nav footer aside form button select head menu dialog".split())
 CONTAINERS = frozenset(("article", "main"))
-_ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|sidebar|menu|nav"
+_ASIDE_WORD = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|sidebar|menu|nav"
     r"|navbar|navigation|breadcrumbs?|footer|masthead|contentinfo|complementary|comments?|replies|respond|disqus"
-    r"|shar(?:e|ing)|social|related|newsletter|subscribe|login|signup|search|popup|modal|toolbar|pagination)"
-    r"(?:$|[\s_-])", re.I)
-_HEADER_WORDS = re.compile(r"(?:^|[\s_-])(?:header|topbar)(?:$|[\s_-])", re.I)
+    r"|shar(?:e|ing)|social|related|newsletter|subscribe|login|signup|search|popup|modal|toolbar|pagination)\Z")
+_HEADER_WORD = re.compile(r"(?:header|topbar)\Z")
+#: Words that a name made of such words may hold besides (ad-slot, site-footer); has-sidebar is no such name.
+_PLACE_WORD = re.compile(
+    r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|lists?|links?|box|block|area|section|container"
+    r"|wrap|wrapper|inner|widgets?|buttons?|bar|slot|unit|items?|form|posts?|articles?|entry|text|message|icons?"
+    r"|[\dx]+)\Z")
+#: Elements that are never beside the article by their class or id.
+_WHOLE = frozenset(("html", "body"))
+#: Why a text is beside the article: a class word, or an element (or that it is hidden).
+BY_WORD, BY_ELEMENT = 1, 2
 _CONTENT_ROLE = re.compile(r"^(?:main|article)$", re.I)
 
 _TOKEN = re.compile(
@@ -43,16 +52,30 @@ class Page:
     texts: list[tuple[int, str, str, bool, bool]] = field(default_factory=list)
 
 
+@dataclass(slots=True)
+class _Open:
+    """An open element.  ``region`` numbers the outermost container around it,
+    ``doubt`` the one that class words put beside the article."""
+
+    tag: str = ""
+    path: str = ""
+    region: int = 0
+    doubt: int = 0
+    aside: int = 0
+
+
 def read_page(source: str | None) -> Page:
     """Elements and texts of a page; a null or empty one has none.  Cut-off
     markup ends with the page, missing end tags are implied."""
-    page, block = Page(), 0
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, in a container, beside the article
+    page, block, regions = Page(), 0, 0
+    stack: list[_Open] = []
+    found: list[tuple[int, str, str, _Open]] = []
+    containers: list[tuple[str, int]] = []  # path, doubt
     for m in _TOKEN.finditer(source or ""):
         raw, _, closing, tag, attributes, text = m.groups()
         if text is not None or tag and tag.lower() == "br":  # a line break is white space
-            _, path, inside, aside = stack[-1] if stack else ("", "", False, False)
-            page.texts.append((block, path, html.unescape(text or " "), inside, aside))
+            at = stack[-1] if stack else _Open()
+            found.append((block, at.path, html.unescape(text or " "), at))
             continue
         if raw or not tag:
             block += bool(raw and raw.lower() in BLOCK)
@@ -61,26 +84,69 @@ def read_page(source: str | None) -> Page:
         block += tag in BLOCK
         if closing:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
+                if stack[i].tag == tag:
                     del stack[i:]
                     break
             continue
         _imply_ends(stack, tag)
-        _, parent, inside, aside = stack[-1] if stack else ("", "", False, False)
+        up = stack[-1] if stack else _Open()
         names, role, hidden = _names(attributes)
-        path = f"{parent}>{tag}" + (f".{names}" if names else "")
+        path = f"{up.path}>{tag}" + (f".{names}" if names else "")
         page.paths[path] = page.paths.get(path, 0) + 1
-        beside = aside or tag in ASIDE_TAGS or hidden or bool(_ASIDE_WORDS.search(f"{names} {role}"))
-        if not inside and (tag == "header" or _HEADER_WORDS.search(names)):
-            beside = True
-        if not beside and (tag in CONTAINERS or _CONTENT_ROLE.match(role)):
-            page.containers.add(path)
-            inside = True
+        region, doubt, aside = up.region, up.doubt, up.aside
+        header, words = _word_kinds(f"{names} {role}") if tag not in _WHOLE else (False, False)
+        if tag in ASIDE_TAGS or hidden or not region and tag == "header":
+            aside = BY_ELEMENT
+        elif words or not region and header:
+            aside = max(aside, BY_WORD)
+        if aside < BY_ELEMENT and (tag in CONTAINERS or _CONTENT_ROLE.match(role)):
+            regions += 1
+            if aside:  # a class word is on it or around it
+                doubt, aside = regions, 0
+            region = region or regions
+            containers.append((path, doubt))
         if tag not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append((tag, path, inside, beside))
+            stack.append(_Open(tag, path, region, doubt, aside))
+    _settle(page, found, containers)
     return page
 
 
+def _settle(page: Page, found: list[tuple[int, str, str, _Open]], containers: list[tuple[str, int]]) -> None:
+    """Whether containers that class words put beside the article are it: one
+    is if it has more text than all that is surely not beside it."""
+    plain = {p for p, doubt in containers if not doubt}
+    sizes, surely = {}, 0
+    if any(doubt for _, doubt in containers):
+        for _, _, text, at in found:
+            if not at.aside:
+                n = len(" ".join(text.split()))
+                if at.doubt:
+                    sizes[at.doubt] = sizes.get(at.doubt, 0) + n
+                elif at.region or not plain:
+                    surely += n
+    taken = {0} | {doubt for doubt, n in sizes.items() if n > surely}
+    page.containers = {p for p, doubt in containers if doubt in taken}
+    page.texts = [(n, path, text, bool(at.region) and (at.doubt in taken), bool(at.aside) or at.doubt not in taken)
+                  for n, path, text, at in found]
+    if not page.containers and not any(text.strip() for _, _, text, _, aside in page.texts if not aside):
+        # no more than the check is left: without it, elements alone decide
+        page.texts = [(n, path, text, False, at.aside == BY_ELEMENT) for n, path, text, at in found]
+
+
+@functools.lru_cache(100_000)
+def _word_kinds(names: str) -> tuple[bool, bool]:
+    """Whether names hold one of a page header, and one of a part beside the
+    article.  A name counts whole: it is such a word, or made of such words
+    and places."""
+    header = beside = False
+    for name in names.lower().split():
+        parts = [x for x in re.split("[_-]+", name) if x]
+        if all(_ASIDE_WORD.match(x) or _HEADER_WORD.match(x) or _PLACE_WORD.match(x) for x in parts):
+            beside = beside or any(_ASIDE_WORD.match(x) for x in parts)
+            header = header or any(_HEADER_WORD.match(x) for x in parts)
+    return header, beside
+
+
 def _names(attributes: str) -> tuple[str, str, bool]:
     """(class and id, role, whether hidden) of a start tag."""
     if not attributes or attributes.isspace():
@@ -90,15 +156,15 @@ def _names(attributes: str) -> tuple[str, str, bool]:
             "hidden" in found or found.get("aria-hidden") == "true")
 
 
-def _imply_ends(stack: list[tuple[str, str, bool, bool]], tag: str) -> None:
+def _imply_ends(stack: list[_Open], tag: str) -> None:
     ends = ENDS.get(tag, {"p"} if tag in BLOCK else None)
     if not ends:
         return
     for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in ends:
+        if stack[i].tag in ends:
             del stack[i:]
             return _imply_ends(stack, tag) if len(ends) > 1 else None
-        if stack[i][0] in SCOPE:
+        if stack[i].tag in SCOPE:
             return
 
 

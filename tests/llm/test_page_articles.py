@@ -20,3 +20,23 @@ def test_template_text_leaves_articles(spark):
 def test_copies_of_one_article_stay_whole(spark):
     bodies = [f"<article><p>{i}</p><p>One long article, three times.</p><p>And its end.</p></article>" for i in range(3)]
     assert texts_of(spark, bodies) == [f"{i}\nOne long article, three times.\nAnd its end." for i in range(3)]
+
+
+def test_class_words_never_take_the_article():
+    def text(body, **attributes):
+        names = "".join(f' {k}="{v}"' for k, v in attributes.items())
+        return html_extract.main_text(f"<html{names}><body{names}>{body}</body></html>", set(), set())
+
+    article = "<p>The whole of it.</p><div class='ad'>buy</div><div class=cookie-notice>yes</div>"
+    for name in ("has-sidebar", "no-comments", "sidebar", "comments", "header", "post category-social"):
+        assert text(f"<main>{article}</main>", **{"class": name}) == "The whole of it."
+        assert text("<p>The whole of it.</p>", id=name) == "The whole of it."
+        for tag in ("article", "main", "div role=main"):
+            assert text(f"<{tag} class='{name}'>{article}</{tag.split()[0]}>") == "The whole of it."
+            assert text(f"<div class='{name}'><div><{tag}>{article}") == "The whole of it."
+            assert text(f"<main><div class='{name}'><{tag}>{article}") == "The whole of it."
+        assert text(f"<div class='{name}'><p>The whole of it.</p></div>") == "The whole of it."
+    comments = "<section class='comments'><article><p>Nice!</p></article><article><p>So so.</p></article></section>"
+    assert text(f"<article>{article}{comments}</article>") == "The whole of it."
+    assert text(f"<article>{article}</article>{comments}<div class=site-footer>me</div>") == "The whole of it."
+    assert text(f"<div>The whole of it.</div>{comments}<div class=comment-list>me</div>") == "The whole of it."
