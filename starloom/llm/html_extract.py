@@ -1,7 +1,7 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its elements, each told apart by the path to it, and its
-texts: inside an article whole blocks, so that no sentence is torn, elsewhere
+Tokens of a page are its elements, each told apart by the path to it (tags, and
+classes without what differs from page to page; no ids), and its texts: inside an article whole blocks, so that no sentence is torn, elsewhere
 the text of each element.  Over all pages of a host, tokens that occur equally
 often on every page have the same occurrence vector; such tokens form an
 equivalence class.  A class that is frequent (on ``MIN_PAGES`` pages or more,
@@ -125,11 +125,18 @@ def main_text(source: str | None, containers: set[int], static: set[int]) -> str
         articles = {p for p in page.containers if _token(p) in containers}
         if articles and articles != page.containers:  # the page has more than the template's
             under = tuple(a + ">" for a in articles)
-            slots = [x for x in slots if x[1] in articles or x[1].startswith(under)]
+            kept = [x for x in slots if x[1] in articles or x[1].startswith(under)]
+            if _largest(slots, page.containers - articles) <= sum(len(x[2].strip()) for x in kept):
+                slots = kept
         slots = [x for x in slots if x[3]]
     return join_blocks([(n, t) for n, _, t, _ in slots])
 
 
+def _largest(slots: list[tuple[int, str, str, bool]], containers: set[str]) -> int:
+    """Characters of the slots under the largest of some containers."""
+    return max(sum(len(t.strip()) for _, p, t, _ in slots if p == c or p.startswith(c + ">")) for c in containers)
+
+
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: (id, url, text, n_chars).
 

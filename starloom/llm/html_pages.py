@@ -30,6 +30,9 @@ _PLACE_WORD = re.compile(
     r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|lists?|links?|box|block|area|section|container"
     r"|wrap|wrapper|inner|widgets?|buttons?|bar|slot|unit|items?|form|posts?|articles?|entry|text|message|icons?"
     r"|[\dx]+)\Z")
+#: Parts of class names that differ from page to page.
+_NUMBERED = re.compile(r"[^\s_-]*\d[^\s_-]*")
+_SUBJECT = re.compile(r"(?:category|cat|tag|tags|topic|subject|author|term|lang|slug|keyword)[_-]", re.I)
 #: Elements that are never beside the article by their class or id.
 _WHOLE = frozenset(("html", "body"))
 #: Why a text is beside the article: a class word, or an element (or that it is hidden).
@@ -90,8 +93,10 @@ def read_page(source: str | None) -> Page:
             continue
         _imply_ends(stack, tag)
         up = stack[-1] if stack else _Open()
-        names, role, hidden = _names(attributes)
-        path = f"{up.path}>{tag}" + (f".{names}" if names else "")
+        classes, names, role, hidden = _names(attributes)
+        holds = tag in CONTAINERS or bool(_CONTENT_ROLE.match(role))
+        general = "" if holds or tag in _WHOLE else _path_names(classes)
+        path = f"{up.path}>{tag}" + (f".{general}" if general else "")
         page.paths[path] = page.paths.get(path, 0) + 1
         region, doubt, aside = up.region, up.doubt, up.aside
         header, words = _word_kinds(f"{names} {role}") if tag not in _WHOLE else (False, False)
@@ -99,7 +104,7 @@ def read_page(source: str | None) -> Page:
             aside = BY_ELEMENT
         elif words or not region and header:
             aside = max(aside, BY_WORD)
-        if aside < BY_ELEMENT and (tag in CONTAINERS or _CONTENT_ROLE.match(role)):
+        if aside < BY_ELEMENT and holds:
             regions += 1
             if aside:  # a class word is on it or around it
                 doubt, aside = regions, 0
@@ -147,12 +152,21 @@ def _word_kinds(names: str) -> tuple[bool, bool]:
     return header, beside
 
 
-def _names(attributes: str) -> tuple[str, str, bool]:
-    """(class and id, role, whether hidden) of a start tag."""
+@functools.lru_cache(100_000)
+def _path_names(classes: str) -> str:
+    """What a path keeps of a class attribute: names that say what an element
+    is, in order, without the numbers and subjects of single pages."""
+    names = {_NUMBERED.sub("#", x) for x in classes.split() if not _SUBJECT.match(x)}
+    return ".".join(sorted(names))
+
+
+def _names(attributes: str) -> tuple[str, str, str, bool]:
+    """(class, class and id, role, whether hidden) of a start tag."""
     if not attributes or attributes.isspace():
-        return "", "", False
+        return "", "", "", False
     found = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(attributes)}
-    return (" ".join(x for x in (found.get("class"), found.get("id")) if x), found.get("role", ""),
+    classes = found.get("class", "")
+    return (classes, " ".join(x for x in (classes, found.get("id")) if x), found.get("role", ""),
             "hidden" in found or found.get("aria-hidden") == "true")
 
 

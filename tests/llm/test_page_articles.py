@@ -1,5 +1,5 @@
 """Articles of web pages: templates inside them, class words, paths, raw elements."""
-from starloom.llm import html_extract
+from starloom.llm import html_extract, html_pages
 
 
 def texts_of(spark, bodies, host="h.org"):
@@ -40,3 +40,21 @@ def test_class_words_never_take_the_article():
     assert text(f"<article>{article}{comments}</article>") == "The whole of it."
     assert text(f"<article>{article}</article>{comments}<div class=site-footer>me</div>") == "The whole of it."
     assert text(f"<div>The whole of it.</div>{comments}<div class=comment-list>me</div>") == "The whole of it."
+
+
+def test_articles_named_by_page_stay(spark):
+    words = ["ash", "oak", "elm", "fir"]
+    teaser = "<section><article class=teaser><p>Read {}</p></article></section>"
+    for tag in ("<article id='post-{0}' class='post-{0} category-{1}'>", "<div id=p{0}><article class='{1}'>",
+                "<div class='{1}'><article>"):
+        bodies = [tag.format(i, w) + f"<p>The {w} is a tall tree.</p></article>" + teaser.format(w)
+                  for i, w in enumerate(words)]
+        got = texts_of(spark, bodies)
+        assert all(f"The {w} is a tall tree." in t.split("\n") for w, t in zip(words, got))
+
+
+def test_paths_without_ids_and_numbers():
+    pages = [html_pages.read_page(f"<body id=b{i} class='page-{i}'><article id=a{i} class='post-{i} tag-{i}x'>"
+                                  f"<p class='wide css-{i}x9 tag-{'abc'[i]}' id=p{i}>x") for i in range(3)]
+    assert pages[0].paths == pages[1].paths == pages[2].paths
+    assert list(pages[0].paths) == [">body", ">body>article", ">body>article>p.css-#.wide"]
