@@ -40,7 +40,7 @@ BY_WORD, BY_ELEMENT = 1, 2
 _CONTENT_ROLE = re.compile(r"^(?:main|article)$", re.I)
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>(.*?)(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/])[^>]*/>|<({RAW})(?=[\s/>])[^>]*>(.*?)(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-z][^>]*(?:>|\Z)|([^<]+|<)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([a-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 

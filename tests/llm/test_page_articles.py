@@ -58,3 +58,10 @@ def test_paths_without_ids_and_numbers():
                                   f"<p class='wide css-{i}x9 tag-{'abc'[i]}' id=p{i}>x") for i in range(3)]
     assert pages[0].paths == pages[1].paths == pages[2].paths
     assert list(pages[0].paths) == [">body", ">body>article", ">body>article>p.css-#.wide"]
+
+
+def test_raw_elements_by_whole_name():
+    for mark in ("<svg class=i />", "<svg/>", "<SVG viewBox='0 0 1 1' />", "<svg><path d='M0' /><text>no</text></svg >",
+                 "<title-bar></title-bar>", "<svg-icon name=a>", "<script-x>", "<script>no</script x>"):
+        assert html_extract.main_text(f"<article>{mark}<p>All of it.</p></article>", set(), set()) == "All of it."
+    assert html_extract.main_text("<article><script src=a /><p>no</p></script>yes", set(), set()) == "yes"
