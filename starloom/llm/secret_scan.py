@@ -1,10 +1,12 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
 A byte-pair vocabulary spells ordinary words in few tokens and random strings
-in many.  A run of key characters whose characters per token fall below
-``max_ratio`` is reported, unless it is a digest or an identifier of a known
-form (MD5, SHA-1, SHA-256 and SHA-512 in hex, UUIDs, numbers, ULIDs) or a
-pattern reported it already.
+in many.  A run of ``MIN_CHARS`` key characters or more, letters only or not,
+whose characters per token fall below ``max_ratio`` is reported, unless it is a
+digest or an identifier of a known form (MD5, SHA-1, SHA-256 and SHA-512 in
+hex, UUIDs, numbers, ULIDs) or a pattern reported it already.  Slashes and
+equals signs belong to a run; words around it that they set off, as in a path
+or an assignment, don't.
 """
 
 from __future__ import annotations
@@ -30,8 +32,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
-#: Strings that the token test looks at: runs of key characters.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{20,}={0,2}(?![A-Za-z0-9+_-])")
+#: Fewest characters of a string that the token test looks at, and runs of key characters.
+MIN_CHARS = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
+PART = re.compile(r"[^/=]+")
+#: Words in regular case, as paths and names hold them.
+WORDS = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,2}(?:[_-]+(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,2}|\d+))*[_-]*\Z")
 #: Digests in hex and identifiers, which are no secrets.
 KNOWN_FORM = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{64}|[0-9a-fA-F]{128}"
@@ -59,15 +65,42 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def random_spans(text: str, enc: tiktoken.Encoding, taken: list[tuple[int, int, int]],
                  max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of strings that the vocabulary spells badly."""
+    def badly_spelled(part: str) -> bool:
+        return len(part) >= MIN_CHARS and not KNOWN_FORM.match(part) and len(part) < max_ratio * _tokens(part, enc)
+
+    def harmless(part: str) -> bool:
+        return not part or bool(KNOWN_FORM.match(part)) or bool(WORDS.match(part)) and not badly_spelled(part)
+
+    def apart(part: str) -> bool:
+        return harmless(part) and len(part) > 3 and (bool(KNOWN_FORM.match(part)) or len(part) >= 3 * _tokens(part, enc))
+
+    def ends(parts: list[tuple[int, int, bool]]) -> int:
+        """How many first parts, harmless ones up to a plain word, are not of the string."""
+        count = 0
+        for i, (a, b, ok) in enumerate(parts):
+            if not ok:
+                break
+            if apart(text[a:b]):
+                count = i + 1
+        return count
+
+    def free(a: int, b: int) -> bool:
+        return not any(x < b and a < y for x, _, y in taken)
+
     out = []
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or KNOWN_FORM.match(s):
-            continue
-        if any(a < m.end() and m.start() < b for a, _, b in taken):
+        parts = [(m.start() + p.start(), m.start() + p.end(), harmless(p[0])) for p in PART.finditer(m[0])]
+        if all(ok for _, _, ok in parts):
             continue
-        if len(s) < max_ratio * _tokens(s, enc):
-            out.append((m.start(), 3, m.end()))
+        # plain words and identifiers at both ends, set off by / or =, are not of the string
+        first, last = ends(parts), len(parts) - ends(parts[::-1])
+        start = parts[first][0] if first else m.end() - len(m[0].lstrip("="))
+        bare = m.start() + len(m[0].rstrip("="))
+        end = parts[last - 1][1] if last < len(parts) else min(m.end(), bare + 2)  # with its padding
+        if free(start, end) and badly_spelled(text[start:end]):
+            out.append((start, 3, end))
+        else:
+            out += [(a, 3, b) for a, b, _ in parts[first:last] if free(a, b) and badly_spelled(text[a:b])]
     return out
 
 
