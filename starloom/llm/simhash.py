@@ -298,10 +298,17 @@ def keep_one_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
                   text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id.
 
-    All columns stay.  Rows with a null id can't be told apart and stay; so do
-    repeated rows of the smallest id.
+    All columns stay.  A row is known by its id and text, so rows that share an
+    id leave only with their own group.  Among texts of the smallest id, and in
+    groups of null ids only, the smallest hash of the text stays; null ids are
+    never the smallest.  Rows equal in id and text can't be told apart and stay
+    or leave together.
     """
     rows, (key, text) = positional(docs, id_col, text_col)
-    groups = simhash_groups(rows, shingle, max_bits, key, text)
-    drop = groups.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("__drop")).distinct()
-    return rows.join(drop, F.col(key) == F.col("__drop"), "left_anti").toDF(*docs.columns)
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    known = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), digest.alias("text"))
+    groups = simhash_groups(rows.select(known.alias("known"), F.col(text).alias("text")), shingle, max_bits, "known", "text")
+    drop = groups.filter(F.col("known") != F.col("component_id")).select(
+        F.col("known.id").alias("__drop"), F.col("known.text").alias("__digest")).distinct()
+    return rows.join(drop, (digest == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__drop")),
+                     "left_anti").toDF(*docs.columns)
