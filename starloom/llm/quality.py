@@ -124,11 +124,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     outside the test fold.
 
     Labels other than 0 and 1 and null ids are left out; no rows at all give
-    zero weights and even odds.  About ``max_rows`` labels are used, all if
+    zero weights and even odds.  An id counts once: with the label that most of
+    its labels have (1 of as many), and the largest of its texts.  About ``max_rows`` labels are used, all if
     there are no more; which ones and in what order depends on their id only.
     """
     known = labels.select(F.col(id_col).alias("__lid"), F.col(label_col).cast("int").alias("__y")).filter(
         ~in_test_fold("__lid") & F.col("__lid").isNotNull() & F.col("__y").isin(0, 1))
+    known = known.groupBy("__lid").agg(F.round(F.avg("__y")).cast("int").alias("__y"))
     share = min(1.0, max_rows / max(1, known.count()))
     order = F.pmod(F.xxhash64(F.col("__lid").cast("string")), F.lit(1 << 30))
     chosen = materialise(known.filter(order < int(share * (1 << 30))), "labels")
@@ -136,6 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     prior = 0.5 if prior is None else prior
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     rows = slim.join(F.broadcast(chosen), F.col("__id") == F.col("__lid")).select("__lid", "__y", "__text")
+    rows = rows.groupBy("__lid").agg(F.first("__y").alias("__y"), F.max("__text").alias("__text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -40,27 +40,36 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     Sources by code point, null last, weigh ``weights`` in turn and share the
     sum of all sizes.  A target stops at ``MAX_REPEAT`` times its source's
     size; what is over goes to the others by weight, until none is above.
-    That fixed point gives every source ``least(cap, level * weight)``: taken
-    by rising cap / weight, the sources up to some place are capped, and the
-    level is what they leave over the weights of the rest.
+    That fixed point gives every source ``least(cap, level * weight)``, and the
+    level is what the capped sources leave over the weights of the rest.
+
+    No task sees all sources: their places by name are counts of range
+    partitions, and the level is raised by grouped sums.  What is over and the
+    weight of the rest shrink by a factor of four or more together from sum to
+    sum, so that a few dozen are the most for any number of sources.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    k = (F.row_number().over(by_name) - 1) % len(weights)
+    ranged = materialise(sizes.repartitionByRange(F.col("source").asc_nulls_last())
+                         .withColumn("__part", F.spark_partition_id()), "mix-ranges")
+    # one row per range partition
+    parts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    by_name = Window.partitionBy("__part").orderBy(F.col("source").asc_nulls_last())
+    s = ranged.join(F.broadcast(parts), "__part")
+    k = (F.col("__before") + F.row_number().over(by_name) - 1) % len(weights)
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (k + 1).cast("int"))
-    s = sizes.withColumn("__w", w).withColumn("__cap", F.col("source_size") * float(MAX_REPEAT))
-    s = s.withColumn("__ratio", F.col("__cap") / F.col("__w"))
-    whole = Window.partitionBy()
-    rising = Window.orderBy("__ratio", F.col("source").asc_nulls_last())
-    before = rising.rowsBetween(Window.unboundedPreceding, -1)
-    s = (s.withColumn("__total", F.sum("source_size").over(whole).cast("double"))
-         .withColumn("__capped", F.coalesce(F.sum("__cap").over(before), F.lit(0.0)))
-         .withColumn("__left_w", F.sum("__w").over(whole) - F.coalesce(F.sum("__w").over(before), F.lit(0.0)))
-         .withColumn("__level", (F.col("__total") - F.col("__capped")) / F.col("__left_w")))
-    # the first source that its own level does not cap sets the level of all
-    level = F.min(F.when(F.col("__ratio") >= F.col("__level"), F.struct("__ratio", "__level"))).over(whole)
-    s = s.withColumn("__level", F.coalesce(level["__level"], F.lit(0.0)))
-    return s.select("source", "source_size",
-                    F.least(F.col("__cap"), F.col("__level") * F.col("__w")).alias("target"))
+    s = s.select("source", "source_size", w.alias("__w"), (F.col("source_size") * float(MAX_REPEAT)).alias("__cap"))
+    s = materialise(s, "mix-weights")
+    total = float(s.agg(F.sum("source_size")).first()[0] or 0)
+    level, capped = 0.0, -1
+    while True:
+        over = F.col("__cap") < F.col("__w") * level
+        n, caps, free = s.agg(F.count(F.when(over, 1)), F.sum(F.when(over, F.col("__cap"))),
+                              F.sum(F.when(~over, F.col("__w")))).first()
+        if n <= capped or not free:
+            break
+        level, capped = (total - (caps or 0.0)) / free, n
+    return s.select("source", "source_size", F.least(F.col("__cap"), F.lit(level) * F.col("__w")).alias("target"))
 
 
 def _thresholds(sized: DataFrame, budgets: DataFrame, sources: int) -> DataFrame:
@@ -92,7 +101,8 @@ def _thresholds(sized: DataFrame, budgets: DataFrame, sources: int) -> DataFrame
             F.coalesce(F.col("__stop")["__bucket"], F.col("__last") + 1,
                        F.shiftleft("__prefix", LEVEL_BITS)).alias("__prefix"),
             F.col("__stop")["__sum"].alias("__stop_sum"))
-        found = materialise(found, f"mix-level{level}", sources)
+        # the sums are sorted in these tasks, so they count, not the sources
+        found = materialise(found, f"mix-level{level}", sources << LEVEL_BITS)
     # of the documents on the last bucket's one hash, the nearer choice
     take = F.coalesce(F.col("__budget") * 2 >= F.col("__stop_sum"), F.lit(False))
     return found.select("__key", (F.col("__prefix") + take.cast("long")).alias("__below"))
