@@ -31,10 +31,6 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="starloom-test-")
 
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
-
 @pytest.fixture()
 def distributed_paths(spark):
     """No broadcasts, as on tables that are too large for them."""

@@ -240,7 +240,7 @@ def test_share_and_group_mean_and_topk(spark):
 
 
 def test_surrogate_keys_distributed_path_on_table_data(spark):
-    from conftest import SF_ORACLE
+    from sf_dirs import SF_ORACLE
     c = spark.read.parquet(f"{SF_ORACLE}/customer.parquet").select("c_custkey", "c_mktsegment")
     dist = assign_surrogate_keys(c, ["c_mktsegment", "c_custkey"], "k", start=10)
     ref = c.withColumn("k", 10 + F.row_number().over(Window.orderBy("c_mktsegment", "c_custkey")))

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from starloom.plans import retail
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
