@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, html_extract, neighbours, quality, secret_scan, sentence_pieces, simhash, source_mix,
-               token_counts, url_filter)
+from . import (exact_dedup, html_extract, importance, infill, neighbours, quality, secret_scan, sentence_pieces,
+               simhash, source_mix, token_counts, toxicity, url_filter)
 from .common import table, tokenizer_path
 
 
@@ -50,6 +50,18 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_source_mix": op2_source_mix,
@@ -61,6 +73,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_neighbours": op10_neighbours,
+    "op11_toxicity": op11_toxicity,
+    "op12_infill": op12_infill,
+    "op13_importance": op13_importance,
 }
 
 SQL = {
@@ -70,4 +85,5 @@ SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op12_infill": infill.sql(),
 }
