@@ -2,13 +2,13 @@
 from the generic operators, plus the run order.
 
 Every load is a function from DataFrames to DataFrames; persisting the result
-(a new table version, see ``starloom.sinks.storage.write_version``) is the
+(a new table version, see ``starloom.sinks.versions.write_version``) is the
 caller's step, so a load never overwrites the table it reads.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,14 +48,14 @@ from starloom.plans.racing_schemas import (
     source_schema,
     target_schema,
 )
-from starloom.sinks.storage import (
-    create_table,
-    export,
-    project_to_schema,
+from starloom.sinks.run_ledger import RunLedger
+from starloom.sinks.storage import export, project_to_schema, require_not_null, truncate
+from starloom.sinks.versions import (
+    append_version,
+    current_version,
     read_current,
     read_current_or_none,
-    require_not_null,
-    truncate,
+    replace_partitions,
     write_version,
 )
 from starloom.sources.landing import IngestResult, ingest, read_bronze
@@ -65,6 +65,8 @@ from starloom.sources.landing import IngestResult, ingest, read_bronze
 DOB_FORMATS = ("yyyy-MM-dd", "dd-MM-yyyy", "dd/MM/yyyy")
 
 FACT_KEYS = ("race_key", "driver_key", "constructor_key", "circuit_key", "date_key")
+#: Stored tables whose partitions are replaced one by one, and their columns.
+PARTITIONED = {"fact_race_result": "src_race_id"}
 
 
 def _stamp(load_ts) -> Column:
@@ -80,9 +82,14 @@ def empty_target(spark: SparkSession, name: str) -> DataFrame:
 
 
 def create_silver_tables(spark: SparkSession, base: str, replace: bool = False) -> None:
-    """Empty silver tables with their declared columns under ``base``."""
+    """Empty silver tables with their declared columns under ``base``, which
+    the loads then read and write.  One that is there already raises unless
+    ``replace`` is given, which empties it."""
     for name in TARGETS:
-        create_table(spark, f"{base.rstrip('/')}/{name}", target_schema(name), replace=replace)
+        path = f"{base.rstrip('/')}/{name}"
+        if not replace and current_version(spark, path):
+            raise FileExistsError(f"table exists: {path}")
+        write_version(empty_target(spark, name), path, partition_by=PARTITIONED.get(name))
 
 
 def clean_bronze(spark: SparkSession, bronze: str, tables: Sequence[str] = BRONZE_TABLES) -> list[str]:
@@ -161,15 +168,19 @@ def _race_source(races: DataFrame) -> DataFrame:
         "_race_date", parse_date_any("date", DEFAULT_DATE_FORMATS))
 
 
-def load_dim_date(races: DataFrame, target: DataFrame, load_ts=None) -> DataFrame:
-    """Append a calendar row for every race date not yet in the dimension;
-    one row per date, season = the smallest race year on that date.  Races
-    whose date text does not parse get no row (see ``unparsed_race_dates``)."""
+def new_dim_dates(races: DataFrame, target: DataFrame, load_ts=None) -> DataFrame:
+    """A calendar row for every race date not yet in the dimension; one row
+    per date, season = the smallest race year on that date.  Races whose date
+    text does not parse get no row (see ``unparsed_race_dates``)."""
     new = calendar_dimension(_race_source(races).select(F.col("_race_date").alias("full_date"), "year"),
                              season_col="year", season_name="f1_season",
                              load_ts=_stamp(load_ts), stamp_col="dw_inserted_at")
-    fresh = insert_if_absent(new, target, ["date_key"])
-    return target.unionByName(project_to_schema(fresh, target.schema))
+    return project_to_schema(insert_if_absent(new, target, ["date_key"]), target.schema)
+
+
+def load_dim_date(races: DataFrame, target: DataFrame, load_ts=None) -> DataFrame:
+    """The calendar with ``new_dim_dates`` appended."""
+    return target.unionByName(new_dim_dates(races, target, load_ts))
 
 
 def unparsed_race_dates(races: DataFrame) -> DataFrame:
@@ -227,7 +238,8 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
                           require_measure: str | None = "best_qualifying_time_ms",
                           race_ids: DataFrame | Sequence[int] | None = None,
                           existing: DataFrame | None = None,
-                          previous: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                          previous: DataFrame | None = None,
+                          only_touched: bool = False) -> tuple[DataFrame, ...]:
     """Assemble the race-result fact.
 
     Returns ``(fact, quarantined)``: rows whose five dimension keys all
@@ -235,7 +247,9 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
     NULL keys).  ``require_measure`` keeps only rows with a best qualifying
     time (``None`` keeps every result row).  With ``race_ids`` and an
     ``existing`` fact, only those races are rebuilt and replace their old
-    rows; all other races stay as they were.  ``previous`` (an earlier
+    rows; all other races stay as they were, but for results that moved into
+    the named ones; ``only_touched`` returns ``(rows, quarantined, races)`` of
+    the races that change instead (see ``reload_races``).  ``previous`` (an earlier
     version of the fact) keeps result keys stable across full reloads:
     results already keyed keep their key, new ones are numbered above it.
     """
@@ -316,10 +330,10 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
 
     good, bad = quarantine(fact, FACT_KEYS)
     if existing is not None and ids_df is not None:
-        race_keys = ids_df.withColumnRenamed("raceId", "src_race_id")
-        keyed = _result_keys(good, existing, race_keys)
-        keyed = project_to_schema(keyed, target_schema("fact_race_result"))
-        return replace_keys(existing, keyed, ["src_race_id"], race_keys), bad
+        fresh, touched = reload_races(existing, good, ids_df.withColumnRenamed("raceId", "src_race_id"))
+        if only_touched:
+            return fresh, bad, touched
+        return replace_keys(existing, fresh, ["src_race_id"], touched), bad
     if previous is not None:
         keyed = _result_keys(good, previous)
     else:
@@ -327,16 +341,27 @@ def load_fact_race_result(results: DataFrame, qualifying: DataFrame, pit_stops:
     return project_to_schema(keyed, target_schema("fact_race_result")), bad
 
 
-def _result_keys(rows: DataFrame, existing: DataFrame,
-                 race_keys: DataFrame | None = None) -> DataFrame:
-    """Surrogate keys for rebuilt results: a result already in the fact keeps
-    its key (looked up by ``src_result_id``, among the rebuilt races only when
-    ``race_keys`` is given); a new result gets one above the fact's largest
-    key."""
-    previous = existing
-    if race_keys is not None:
-        previous = previous.join(race_keys, "src_race_id", "left_semi")
-    previous = previous.select("src_result_id", "result_key")
+def reload_races(existing: DataFrame, good: DataFrame,
+                 race_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rows, races)`` of a targeted reload: the races whose rows change, and
+    all their new rows.  Besides the named races those are the ones that a
+    result was moved from (results keep their key wherever they move): their
+    other rows stay, the moved result leaves."""
+    result = good.select("src_result_id").distinct()
+    known = existing.join(result, "src_result_id", "left_semi").select("src_race_id")
+    touched = race_keys.select("src_race_id").unionByName(known).distinct()
+    losing = touched.join(race_keys, "src_race_id", "left_anti")
+    staying = (existing.join(losing, "src_race_id", "left_semi")
+               .join(result, "src_result_id", "left_anti").select(*existing.columns))
+    keyed = project_to_schema(_result_keys(good, existing), target_schema("fact_race_result"))
+    return keyed.unionByName(staying), touched
+
+
+def _result_keys(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """Surrogate keys for rebuilt results: a result already in the fact, in
+    whichever race, keeps its key (looked up by ``src_result_id``); a new
+    result gets one above the fact's largest key."""
+    previous = existing.select("src_result_id", "result_key")
     rows = rows.drop("result_key") if "result_key" in rows.columns else rows
     known = rows.join(previous, "src_result_id", "inner")
     fresh = rows.join(previous.select("src_result_id"), "src_result_id", "left_anti")
@@ -359,67 +384,120 @@ class SourcesFailed(RuntimeError):
 
 def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None,
             load_ts=None, require_measure: str | None = "best_qualifying_time_ms",
-            store: str | None = None, race_ids: Sequence[int] | None = None) -> dict[str, DataFrame]:
+            store: str | None = None, race_ids: Sequence[int] | None = None,
+            input_versions: dict[str, int] | None = None,
+            ledger: RunLedger | None = None) -> dict[str, DataFrame]:
     """Dependency order: {date, circuit, driver, constructor} -> race -> fact.
 
-    ``silver`` holds the current dimension tables (empty ones when absent).
-    With ``store`` (a folder on shared storage), every load is written as a
-    new version of its table under ``store/<name>`` and read back before the
-    next load uses it: downstream loads then start from stored tables rather
-    than re-running the upstream merges, and a failed load leaves the
-    previous version current.
+    ``silver`` holds the current dimension tables (those in ``store``, or empty
+    ones, when absent).  With ``store`` (a folder on shared storage), every load
+    is written as a new version of its table under ``store/<name>`` and read
+    back before the next load uses it: downstream loads then start from stored
+    tables rather than re-running the upstream merges, and a failed load leaves
+    the previous version current.  The calendar only gets its new rows, and the
+    fact is partitioned by race.
+
+    ``race_ids`` (with ``store``) is a targeted reload: only the partitions of
+    those races (and of races that lose a result to them) are written; one that
+    yields no row any more leaves the fact.
 
-    ``race_ids`` (with ``store``) is a targeted reload: only those races are
-    rebuilt and replaced in a new version of the fact; one that yields no row
-    any more leaves it.
+    ``input_versions`` gives the versions of the bronze tables.  With it and a
+    ``ledger``, a step that finished for the same inputs is not run again.
     """
     if race_ids is not None and store is None:
         raise ValueError("a targeted reload needs the stored fact")
     spark = next(iter(bronze.values())).sparkSession
-    silver = dict(silver or {})
-    cur = {name: silver.get(name) if silver.get(name) is not None else empty_target(spark, name)
-           for name in ("dim_date", "dim_circuit", "dim_driver", "dim_constructor", "dim_race")}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        if store is None:
-            return df
-        base = f"{store.rstrip('/')}/{name}"
+    dims = ("dim_date", "dim_circuit", "dim_driver", "dim_constructor", "dim_race")
+    cur = dict(silver or {})
+    for name in dims:
+        if cur.get(name) is None and store is not None:
+            cur[name] = read_current_or_none(spark, f"{store.rstrip('/')}/{name}")
+        if cur.get(name) is None:
+            cur[name] = empty_target(spark, name)
+    if ledger is None and store is not None:
+        ledger = RunLedger(spark, f"{store.rstrip('/')}/_runs", store)
+
+    def inputs(tables: Sequence[str], upstream: Sequence[str] = (), **params) -> dict | None:
+        if input_versions is None or any(t not in input_versions for t in tables):
+            return None
+        return {**{t: input_versions[t] for t in tables}, **{u: ledger.version(u) for u in upstream}, **params}
+
+    def whole(name: str, df: DataFrame) -> None:
         if name in TARGETS:
             df = require_not_null(df, not_null_columns(name), name)
-        write_version(df, base)
-        return read_current(spark, base)
+        write_version(df, f"{store.rstrip('/')}/{name}", partition_by=PARTITIONED.get(name))
+
+    def keep(name: str, build: Callable[[], DataFrame], told: Callable[[], dict | None]) -> DataFrame:
+        if store is None:
+            return build()
+        return ledger.step(name, told(), lambda: whole(name, build()))
+
+    def store_dates() -> None:
+        base = f"{store.rstrip('/')}/dim_date"
+        stored = read_current_or_none(spark, base)
+        if stored is None:
+            return whole("dim_date", load_dim_date(bronze["races"], cur["dim_date"], load_ts))
+        fresh = new_dim_dates(bronze["races"], stored, load_ts)
+        append_version(require_not_null(fresh, not_null_columns("dim_date"), "dim_date"), base)
+
+    def dates() -> DataFrame:
+        if store is None:
+            return load_dim_date(bronze["races"], cur["dim_date"], load_ts)
+        return ledger.step("dim_date", inputs(["races"]), store_dates)
 
     # date, circuit, driver and constructor do not depend on each other: with
     # a store they are loaded concurrently (one Spark job stream per thread)
     independent = {
-        "dim_date": lambda: load_dim_date(bronze["races"], cur["dim_date"], load_ts),
-        "dim_circuit": lambda: load_dim_circuit(bronze["circuits"], cur["dim_circuit"], load_ts),
-        "dim_driver": lambda: load_dim_driver(bronze["drivers"], cur["dim_driver"], load_ts),
-        "dim_constructor": lambda: load_dim_constructor(bronze["constructors"], cur["dim_constructor"],
-                                                        load_ts),
+        "dim_date": dates,
+        "dim_circuit": lambda: keep("dim_circuit", lambda: load_dim_circuit(
+            bronze["circuits"], cur["dim_circuit"], load_ts), lambda: inputs(["circuits"])),
+        "dim_driver": lambda: keep("dim_driver", lambda: load_dim_driver(
+            bronze["drivers"], cur["dim_driver"], load_ts), lambda: inputs(["drivers"])),
+        "dim_constructor": lambda: keep("dim_constructor", lambda: load_dim_constructor(
+            bronze["constructors"], cur["dim_constructor"], load_ts), lambda: inputs(["constructors"])),
     }
     out: dict[str, DataFrame] = {}
     with ThreadPoolExecutor(max_workers=len(independent) if store is not None else 1) as pool:
-        done = {name: pool.submit(lambda n=name, f=fn: keep(n, f())) for name, fn in independent.items()}
+        done = {name: pool.submit(fn) for name, fn in independent.items()}
         for name, fut in done.items():
             out[name] = fut.result()
     # race needs circuit and date; the fact needs all five
-    out["dim_race"] = keep("dim_race", load_dim_race(bronze["races"], out["dim_circuit"], out["dim_date"],
-                                                     cur["dim_race"], load_ts))
-    previous_fact = None
-    if store is not None:
-        previous_fact = read_current_or_none(spark, f"{store.rstrip('/')}/fact_race_result")
-    if race_ids is not None and previous_fact is None:
-        previous_fact = empty_target(spark, "fact_race_result")
-    fact, bad = load_fact_race_result(
-        bronze["results"], bronze["qualifying"], bronze["pit_stops"], bronze["driver_standings"],
-        bronze["constructors_results"], bronze["status"], out["dim_race"], out["dim_driver"],
-        out["dim_constructor"], out["dim_circuit"], out["dim_date"], load_ts=load_ts,
-        require_measure=require_measure, previous=previous_fact, race_ids=race_ids,
-        existing=previous_fact if race_ids is not None else None)
-    out["fact_race_result"] = keep("fact_race_result", fact)
-    out["fact_quarantine"] = keep("fact_quarantine", bad)
-    out["race_date_quarantine"] = keep("race_date_quarantine", unparsed_race_dates(bronze["races"]))
+    out["dim_race"] = keep("dim_race", lambda: load_dim_race(
+        bronze["races"], out["dim_circuit"], out["dim_date"], cur["dim_race"], load_ts),
+        lambda: inputs(["races"], ["dim_circuit", "dim_date"]))
+
+    def fact(**kw) -> tuple[DataFrame, ...]:
+        return load_fact_race_result(
+            bronze["results"], bronze["qualifying"], bronze["pit_stops"], bronze["driver_standings"],
+            bronze["constructors_results"], bronze["status"], out["dim_race"], out["dim_driver"],
+            out["dim_constructor"], out["dim_circuit"], out["dim_date"], load_ts=load_ts,
+            require_measure=require_measure, **kw)
+
+    if store is None:
+        out["fact_race_result"], out["fact_quarantine"] = fact()
+        out["race_date_quarantine"] = unparsed_race_dates(bronze["races"])
+        return out
+
+    def store_fact() -> None:
+        base = f"{store.rstrip('/')}/fact_race_result"
+        stored = read_current_or_none(spark, base)
+        if race_ids is None:
+            rows, bad = fact(previous=stored)
+            # the rejected rows go first: once the fact is current, the step is as good as done
+            whole("fact_quarantine", bad)
+            return whole("fact_race_result", rows)
+        existing = stored if stored is not None else empty_target(spark, "fact_race_result")
+        rows, bad, touched = fact(existing=existing, race_ids=race_ids, only_touched=True)
+        whole("fact_quarantine", bad)
+        rows = require_not_null(rows, not_null_columns("fact_race_result"), "fact_race_result")
+        replace_partitions(rows, base, PARTITIONED["fact_race_result"], touched)
+
+    told = inputs(["results", "qualifying", "pit_stops", "driver_standings", "constructors_results", "status"],
+                  dims, require_measure=require_measure, race_ids=sorted(race_ids) if race_ids is not None else None)
+    out["fact_race_result"] = ledger.step("fact_race_result", told, store_fact)
+    out["fact_quarantine"] = read_current(spark, f"{store.rstrip('/')}/fact_quarantine")
+    out["race_date_quarantine"] = keep("race_date_quarantine", lambda: unparsed_race_dates(bronze["races"]),
+                                       lambda: inputs(["races"]))
     return out
 
 
@@ -432,7 +510,9 @@ def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bron
     table versions, and export every silver table as CSV.  Returns the ingest
     audit and the silver tables as loaded.  If a source fails, ``SourcesFailed``
     is raised before any silver table is touched.  ``race_ids`` limits the
-    fact load to those races."""
+    fact load to those races.  With bronze in a folder, a job started again
+    after a failure runs only the steps that have not finished for the bronze
+    versions at hand."""
     to_path = "/" in bronze or ":" in bronze
     ledger = f"{(bronze if to_path else silver_store).rstrip('/')}/_ledger"
     res = ingest(spark, control, landing, bronze, ledger=ledger,
@@ -443,10 +523,9 @@ def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bron
     for name in SOURCES:
         df = read_bronze(spark, bronze, name)
         sources[name] = df if df is not None else spark.createDataFrame([], source_schema(name))
-    silver = {name: read_current_or_none(spark, f"{silver_store.rstrip('/')}/{name}")
-              for name in TARGETS if name.startswith("dim_")}
-    out = run_all(sources, silver, load_ts=load_ts, require_measure=require_measure, store=silver_store,
-                  race_ids=race_ids)
+    versions = {n: current_version(spark, f"{bronze.rstrip('/')}/{n}") for n in SOURCES} if to_path else None
+    out = run_all(sources, load_ts=load_ts, require_measure=require_measure, store=silver_store,
+                  race_ids=race_ids, input_versions=versions)
     if export_dir:
         for name, df in out.items():
             export(df, f"{export_dir.rstrip('/')}/{name}")

@@ -48,7 +48,8 @@ from starloom.operators import (
     share_of_group as share_of_group_op,
 )
 from starloom.session import scratch_dir
-from starloom.sinks.storage import append_rows, export, read_current, write_table, write_version
+from starloom.sinks.storage import append_rows, export, write_table
+from starloom.sinks.versions import read_current, write_version
 from starloom.sources.landing import CONTROL_SCHEMA, ingest
 from starloom.sources.tables import read_table
 from starloom.streaming import stream_landing

@@ -1,16 +1,8 @@
-"""Writing tables: overwrite, append with a column list, truncate, versioned
-replace, and file export.
-
-Plain Parquet offers no atomic replace and Spark refuses to overwrite a path
-that the same plan reads.  ``write_version`` therefore writes every load to a
-new version folder and only then appends a row to the table's version log;
-readers take the newest logged version.  A failed load leaves the previous
-version current (the fact of a truncate-reload is never seen empty).
-"""
+"""Writing tables: overwrite, append with a column list, truncate, file export.
+Tables that are replaced while they are read are versioned, see ``versions``."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -92,45 +84,11 @@ def truncate(spark: SparkSession, target: str, schema: StructType | None = None,
     write_table(spark.createDataFrame([], schema), target, mode="overwrite", fmt=fmt)
 
 
-def write_version(df: DataFrame, base: str, *, fmt: str = "parquet",
-                  partition_by: Sequence[str] | None = None) -> str:
-    """Write ``df`` as a new version of the table at ``base`` and make it
-    current by appending to the version log.  Returns the version path."""
-    spark = df.sparkSession
-    version = time.time_ns()
-    path = f"{base.rstrip('/')}/data/v{version}"
-    write_table(df, path, mode="errorifexists", fmt=fmt, partition_by=partition_by)
-    log = spark.createDataFrame([(version, path, fmt)], "version long, path string, format string")
-    log.coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/versions")
-    return path
-
-
 def is_missing(error: AnalysisException) -> bool:
     """Whether the error says that a path or table does not exist (yet)."""
     return error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """The newest committed version of the table at ``base``."""
-    row = (spark.read.parquet(f"{base.rstrip('/')}/versions")
-           .orderBy(F.col("version").desc()).limit(1).collect())
-    if not row:
-        raise FileNotFoundError(f"no committed version under {base}")
-    return spark.read.format(row[0]["format"]).load(row[0]["path"])
-
-
-def read_current_or_none(spark: SparkSession, base: str) -> DataFrame | None:
-    """The newest version, or None for a table that was never written.  Any
-    other failure (an unreadable log, a missing version) raises."""
-    try:
-        spark.read.parquet(f"{base.rstrip('/')}/versions")
-    except AnalysisException as e:
-        if is_missing(e):
-            return None
-        raise
-    return read_current(spark, base)
-
-
 def export(df: DataFrame, path: str, *, fmt: str = "csv", header: bool = True, sep: str = ",",
            partition_by: Sequence[str] | None = None) -> None:
     """Export for BI tools: a folder with one file per task."""

@@ -12,6 +12,10 @@ Instead of moving loaded files elsewhere, loads are recorded in a ledger
 ledger is skipped on the next run, and a re-delivered file (new mtime or
 size) is loaded again.
 
+Lines that do not parse fail their source, or, with a reject table, go there:
+one pass over the source writes good and bad lines side by side, and a source
+fails only if more of them are bad than a limit allows.
+
 A landing entry may be a single file (``circuits.csv``) or a folder of part
 files written by another Spark job (``circuits.csv/part-*.csv``); the entry
 name is the first path element below the landing folder.
@@ -39,7 +43,8 @@ from pyspark.sql.types import (
 )
 
 from starloom.session import scratch_dir
-from starloom.sinks.storage import ensure_database, is_missing, read_current_or_none, write_table, write_version
+from starloom.sinks.storage import ensure_database, is_missing, write_table
+from starloom.sinks.versions import commit_folder, drop_folder, new_folder, read_current_or_none, write_version
 
 CONTROL_SCHEMA = StructType([
     StructField("file_name", StringType()),
@@ -74,6 +79,16 @@ AUDIT_SCHEMA = StructType([
     StructField("columns", IntegerType()),
 ])
 
+REJECT_SCHEMA = StructType([
+    StructField("target_table", StringType()),
+    StructField("file_path", StringType()),
+    StructField("line", StringType()),
+    StructField("load", StringType()),
+])
+
+# Columns of a reject-tolerant read, besides those of the source.
+_LINE, _FILE, _BAD = "_rejected_line", "_source_file", "_rejected"
+
 # Audit statuses and skip reasons.
 LOADED, SKIPPED, FAILED = "loaded", "skipped", "failed"
 NO_FILE, ALREADY_LOADED = "no file", "already loaded"
@@ -143,10 +158,34 @@ def _read_ledger(spark: SparkSession, ledger: str | None) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
-def _declared(spark: SparkSession, path: str, sep: str, schema: StructType) -> DataFrame:
+@dataclass(frozen=True)
+class Rejects:
+    """Where bad lines go (``path``: a folder, one Parquet table for all
+    sources) and how many a source may have: ``max_rows``, and ``max_share`` of
+    its lines."""
+    path: str
+    max_rows: int | None = None
+    max_share: float = 1.0
+
+    def allows(self, bad: int, lines: int) -> bool:
+        return (self.max_rows is None or bad <= self.max_rows) and bad <= self.max_share * lines
+
+
+def read_rejects(spark: SparkSession, rejects: Rejects) -> DataFrame:
+    """(target_table, file_path, line, load): the bad lines of all loads."""
+    try:
+        return spark.read.schema(REJECT_SCHEMA).parquet(_absolute(rejects.path)).select(*REJECT_SCHEMA.names)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return spark.createDataFrame([], REJECT_SCHEMA)
+
+
+def _declared(spark: SparkSession, path: str, sep: str, schema: StructType, tolerant: bool = False) -> DataFrame:
     """The declared columns of a delimited file with a header, found by name
     (case aside) wherever they stand; a missing one is an error, others are
-    not read.  Every part file must have the same header."""
+    not read.  Every part file must have the same header.  ``tolerant`` adds
+    the text and file of lines that do not parse."""
     reader = spark.read.option("header", "true").option("sep", sep)
     names = reader.option("inferSchema", "false").csv(path).columns
     declared = {f.name.lower(): f for f in schema.fields}
@@ -155,12 +194,21 @@ def _declared(spark: SparkSession, path: str, sep: str, schema: StructType) -> D
         raise ValueError(f"columns not in the header: {', '.join(absent)}")
     as_landed = StructType([StructField(n, declared[n.lower()].dataType if n.lower() in declared else StringType())
                             for n in names])
-    df = reader.option("mode", "FAILFAST").option("enforceSchema", "false").schema(as_landed).csv(path)
-    return df.select(*[F.col(f"`{f.name}`").alias(f.name) for f in schema.fields])
+    reader = reader.option("enforceSchema", "false")
+    df = _tolerant(reader, as_landed, path) if tolerant else reader.option("mode", "FAILFAST").schema(as_landed).csv(path)
+    return df.select(*[F.col(f"`{f.name}`").alias(f.name) for f in schema.fields],
+                     *([_LINE, _FILE] if tolerant else []))
+
+
+def _tolerant(reader, schema: StructType, path: str) -> DataFrame:
+    """Rows of all lines; one that does not parse has its text in ``_LINE``."""
+    with_line = StructType([*schema.fields, StructField(_LINE, StringType())])
+    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).schema(with_line).csv(path)
+    return df.withColumn(_FILE, F.col("_metadata.file_path"))
 
 
 def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
-              schemas: dict[str, StructType], fmt: str, header: bool):
+              schemas: dict[str, StructType], fmt: str, header: bool, rejects: Rejects | None):
     """Read one landed source and replace its bronze table in one pass,
     counting rows during the write.  The old table stays until the new one is
     written whole.  Returns (audit row, ledger row|None)."""
@@ -173,29 +221,82 @@ def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
         return (expected, target, SKIPPED, ALREADY_LOADED, None, None), None
     try:
         path, sep = f"{base}/{r['entry']}", r["file_delimiter"] or ","
+        tolerant = rejects is not None
         if target in schemas and header:
-            df = _declared(spark, path, sep, schemas[target])
+            df = _declared(spark, path, sep, schemas[target], tolerant)
         else:
-            reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
-                      .option("mode", "FAILFAST"))
-            reader = reader.schema(schemas[target]) if target in schemas else reader.option("inferSchema", "true")
-            df = reader.csv(path)
-        obs = Observation(f"ingest_{target}_{uuid.uuid4().hex[:8]}")
-        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if to_path:
-            write_version(counted, f"{bronze.rstrip('/')}/{target}", fmt=fmt)
+            reader = spark.read.option("header", str(header).lower()).option("sep", sep)
+            if target in schemas:
+                found = schemas[target]
+            else:
+                found = reader.option("inferSchema", "true").csv(path).schema
+            df = (_tolerant(reader, found, path) if tolerant
+                  else reader.option("mode", "FAILFAST").schema(found).csv(path))
+        if tolerant:
+            n, bad, columns = _load_tolerant(spark, df, target, bronze, to_path, fmt, rejects)
+            detail = f"{bad} lines rejected" if bad else None
         else:
-            # parsed whole to a staging folder first: a bad file never reaches the table
-            staged = f"{scratch_dir(spark, 'bronze')}/{target}"
-            write_table(counted, staged)
-            write_table(spark.read.schema(df.schema).parquet(staged), f"{bronze}.{target}", fmt=fmt)
-        n = int(obs.get["rows"])
-        return ((expected, target, LOADED, None, n, len(df.columns)),
+            n, detail, columns = _load_strict(spark, df, target, bronze, to_path, fmt), None, len(df.columns)
+        return ((expected, target, LOADED, detail, n, columns),
                 (expected, r["entry"], r["modified"], r["bytes"], target, n))
     except Exception as e:  # noqa: BLE001 -- isolate one source's failure
         return (expected, target, FAILED, f"{type(e).__name__}: {e}", None, None), None
 
 
+def _load_strict(spark: SparkSession, df: DataFrame, target: str, bronze: str, to_path: bool, fmt: str) -> int:
+    """Replace the bronze table by ``df``, whose first bad line raises."""
+    obs = Observation(f"ingest_{target}_{uuid.uuid4().hex[:8]}")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if to_path:
+        write_version(counted, f"{bronze.rstrip('/')}/{target}", fmt=fmt)
+    else:
+        # parsed whole to a staging folder first: a bad file never reaches the table
+        staged = f"{scratch_dir(spark, 'bronze')}/{target}"
+        write_table(counted, staged)
+        write_table(spark.read.schema(df.schema).parquet(staged), f"{bronze}.{target}", fmt=fmt)
+        drop_folder(spark, staged)
+    return int(obs.get["rows"])
+
+
+def _load_tolerant(spark: SparkSession, df: DataFrame, target: str, bronze: str, to_path: bool, fmt: str,
+                   rejects: Rejects) -> tuple[int, int, int]:
+    """Good lines replace the bronze table, bad ones go to the reject table:
+    one pass over the source writes both, as two partitions of one folder.
+    For a bronze folder the good partition is the table's new version.  Raises,
+    with bronze as it was, if the limit does not allow that many; the bad lines
+    are kept then too.  Returns (rows, bad lines, columns)."""
+    obs = Observation(f"ingest_{target}_{uuid.uuid4().hex[:8]}")
+    bad = F.col(_LINE).isNotNull()
+    names = [c for c in df.columns if c not in (_LINE, _FILE)]
+    # a good line needs no file name, a bad one no parsed columns
+    both = df.select(*[F.when(~bad, F.col(f"`{c}`")).alias(c) for c in names], _LINE,
+                     F.when(bad, F.col(_FILE)).alias(_FILE), bad.cast("int").alias(_BAD))
+    both = both.observe(obs, F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(_BAD), F.lit(0)).alias("bad"))
+    base = f"{bronze.rstrip('/')}/{target}"
+    folder = new_folder(spark, base) if to_path else f"{scratch_dir(spark, 'landed')}/{target}"
+    write_table(both, folder, fmt=fmt if to_path else "parquet", partition_by=[_BAD])
+    lines, n_bad = int(obs.get["lines"]), int(obs.get["bad"])
+    good_schema = StructType([f for f in both.schema.fields if f.name in names])
+    reader = spark.read.format(fmt if to_path else "parquet")
+    if n_bad:
+        (reader.schema(both.schema).load(f"{folder}/{_BAD}=1")
+         .select(F.col(_FILE).alias("file_path"), F.col(_LINE).alias("line"), F.lit(uuid.uuid4().hex).alias("load"))
+         # sources load side by side, so each has a folder of its own
+         .write.mode("append").parquet(f"{_absolute(rejects.path).rstrip('/')}/target_table={target}"))
+        drop_folder(spark, f"{folder}/{_BAD}=1")
+    if not rejects.allows(n_bad, lines):
+        drop_folder(spark, folder)
+        raise ValueError(f"{n_bad} of {lines} lines rejected, more than the limit allows")
+    good = f"{folder}/{_BAD}=0" if lines > n_bad else None
+    if to_path:
+        commit_folder(spark, base, good, good_schema, fmt)
+    else:
+        rows = reader.schema(good_schema).load(good) if good else spark.createDataFrame([], good_schema)
+        write_table(rows, f"{bronze}.{target}", fmt=fmt)
+        drop_folder(spark, folder)
+    return lines - n_bad, n_bad, len(names)
+
+
 def read_bronze(spark: SparkSession, bronze: str, target: str) -> DataFrame | None:
     """The bronze table as last loaded, or None if it never was."""
     if "/" in bronze or ":" in bronze:
@@ -206,7 +307,8 @@ def read_bronze(spark: SparkSession, bronze: str, target: str) -> DataFrame | No
 
 def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: str, *,
            ledger: str | None = None, schemas: dict[str, StructType] | None = None,
-           fmt: str = "parquet", header: bool = True, parallel: int = 4) -> IngestResult:
+           fmt: str = "parquet", header: bool = True, parallel: int = 4,
+           rejects: Rejects | None = None) -> IngestResult:
     """Load every control entry whose file is in the landing folder.
 
     ``bronze`` is a folder (each target becomes a versioned table under
@@ -215,7 +317,8 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
     table, whose columns are found by header name; a target without one is
     read with schema inference (an extra pass over the file).  A failing
     source does not stop the others, leaves its table as it was and is
-    reported as ``failed``.  Up to ``parallel`` sources are loaded at once
+    reported as ``failed``; a bad line fails its source, unless ``rejects`` says
+    where bad lines go and how many are allowed.  Up to ``parallel`` sources are loaded at once
     (concurrent Spark jobs from driver threads), so many small sources do not
     leave the cluster idle.
     """
@@ -246,7 +349,7 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
         parallel = 1
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(
-            lambda r: _load_one(spark, r, base, bronze, to_path, schemas, fmt, header), rows))
+            lambda r: _load_one(spark, r, base, bronze, to_path, schemas, fmt, header, rejects), rows))
     audit = [a for a, _ in results]
     ledger_rows = [lr for _, lr in results if lr is not None]
     if ledger and ledger_rows:

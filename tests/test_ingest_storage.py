@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from starloom.sinks.storage import (
     export,
     project_to_schema,
-    read_current,
     truncate,
-    write_version,
 )
+from starloom.sinks.versions import read_current, write_version
 from starloom.sources.landing import CONTROL_SCHEMA, ingest, list_landing
 
 
@@ -122,7 +121,7 @@ def test_stream_landing_processes_each_file_once(spark, tmp_dir):
 def test_create_tables_and_clean_bronze(spark, tmp_dir):
     from starloom.plans import racing
     racing.create_silver_tables(spark, f"{tmp_dir}/silver")
-    fact = spark.read.parquet(f"{tmp_dir}/silver/fact_race_result")
+    fact = read_current(spark, f"{tmp_dir}/silver/fact_race_result")
     assert fact.count() == 0 and len(fact.columns) == 36
     with pytest.raises(Exception):
         racing.create_silver_tables(spark, f"{tmp_dir}/silver")
@@ -220,7 +219,7 @@ def test_names_that_differ_only_in_case_are_reported(spark, tmp_dir):
 
 
 def test_unreadable_version_log_raises(spark, tmp_dir):
-    from starloom.sinks.storage import read_current_or_none
+    from starloom.sinks.versions import read_current_or_none
     assert read_current_or_none(spark, f"{tmp_dir}/none") is None
     _write(f"{tmp_dir}/tbl/versions/part-0.parquet", "not parquet")
     with pytest.raises(Exception):

@@ -216,7 +216,8 @@ def test_doubled_status_raises_instead_of_doubling_results(spark, bronze, tmp_di
 
 
 def test_failed_source_stops_the_job_and_catalog_equals_path(spark, bronze, tmp_dir):
-    from starloom.sinks.storage import export, read_current_or_none
+    from starloom.sinks.storage import export
+    from starloom.sinks.versions import read_current_or_none
     from starloom.sources.landing import CONTROL_SCHEMA
     landing = f"{tmp_dir}/landing"
     for name, df in bronze.items():
