@@ -111,10 +111,11 @@ class Lookup:
     unique: bool = False
 
 
-def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup], broadcast: bool = False) -> DataFrame:
     """Apply lookups in order (left joins; every fact row is kept once).
 
     Dimensions are pruned to the join + take columns before the join.
+    ``broadcast`` is for dimensions whose rows the caller has bounded.
     """
     out = fact
     for i, lk in enumerate(lookups):
@@ -130,7 +131,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         for fcol, dcol in lk.on.items():
             c = out[fcol] == right[dim_cols[dcol]]
             cond = c if cond is None else cond & c
-        joined = out.join(right, cond, "left")
+        joined = out.join(F.broadcast(right) if broadcast else right, cond, "left")
         for dst in lk.take.values():
             if dst in out.columns:
                 if not lk.replace:

@@ -34,9 +34,11 @@ def write_table(df: DataFrame, target: str, *, mode: str = "overwrite", fmt: str
         w.saveAsTable(target)
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    """CREATE DATABASE IF NOT EXISTS (idempotent)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """CREATE DATABASE IF NOT EXISTS (idempotent), in the warehouse unless a
+    folder is given."""
+    where = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
 def create_table(spark: SparkSession, target: str, schema: StructType, *, replace: bool = False,

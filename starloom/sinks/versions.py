@@ -32,7 +32,8 @@ from pyspark.sql.types import DateType, IntegralType, StringType, StructField, S
 
 from starloom.sinks.storage import is_missing, write_table
 
-LOG_SCHEMA = ("version long, path string, format string, partition string, schema string, written_at long")
+LOG_SCHEMA = ("version long, path string, format string, partition string, schema string, written_at long, "
+              "note string")
 READER_SCHEMA = "reader string, version long, until long"
 #: The column that a partition folder's version is read as; never in a result.
 _VERSION_DIR = "_version"
@@ -75,8 +76,16 @@ def _commit(rows: DataFrame, base: str) -> None:
     rows.coalesce(1).write.mode("append").parquet(f"{_root(base)}/versions")
 
 
-def _entry(spark: SparkSession, version: int, path: str | None, fmt: str, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([(version, path, fmt, None, schema.json(), time.time_ns())], LOG_SCHEMA)
+def _entry(spark: SparkSession, version: int, path: str | None, fmt: str, schema: StructType,
+           note: str | None = None) -> DataFrame:
+    return spark.createDataFrame([(version, path, fmt, None, schema.json(), time.time_ns(), note)], LOG_SCHEMA)
+
+
+def has_note(spark: SparkSession, base: str, note: str) -> bool:
+    """Whether a version of the table was written with ``note``: the name of
+    the delivery that it holds, recorded in the same commit."""
+    log = _log_or_none(spark, base)
+    return log is not None and log.where(F.col("note") == note).limit(1).count() > 0
 
 
 def _new_folder(base: str, version: int) -> str:
@@ -84,17 +93,19 @@ def _new_folder(base: str, version: int) -> str:
     return f"{_root(base)}/data/{_VERSION_DIR}={version}-{uuid.uuid4().hex[:8]}"
 
 
-def write_version(df: DataFrame, base: str, *, fmt: str = "parquet", partition_by: str | None = None) -> str:
+def write_version(df: DataFrame, base: str, *, fmt: str = "parquet", partition_by: str | None = None,
+                  note: str | None = None) -> str:
     """Write ``df`` as a new version of the table at ``base`` and make it
     current.  ``partition_by`` names one integral, date or text column whose
-    partitions ``replace_partitions`` can replace.  Returns the version's folder."""
+    partitions ``replace_partitions`` can replace.  ``note`` is for ``has_note``.
+    Returns the version's folder."""
     spark, version = df.sparkSession, current_version(df.sparkSession, base) + 1
     path = _new_folder(base, version)
     if partition_by is None:
         write_table(df, path, mode="errorifexists", fmt=fmt)
-        _commit(_entry(spark, version, path, fmt, df.schema), base)
+        _commit(_entry(spark, version, path, fmt, df.schema, note), base)
     else:
-        _commit(_written_partitions(df, path, version, partition_by, fmt), base)
+        _commit(_written_partitions(df, path, version, partition_by, fmt, note), base)
     return path
 
 
@@ -124,8 +135,8 @@ def append_version(df: DataFrame, base: str, *, fmt: str = "parquet") -> str:
     df = df.select(*read_current(spark, base).columns)
     path = _new_folder(base, version)
     write_table(df, path, mode="errorifexists", fmt=fmt)
-    _commit(held.withColumns({"version": F.lit(version).cast("long"), "written_at": F.lit(time.time_ns())})
-            .unionByName(_entry(spark, version, path, fmt, df.schema)), base)
+    held = held.withColumns({"version": F.lit(version).cast("long"), "note": F.lit(None).cast("string")})
+    _commit(held.unionByName(_entry(spark, version, path, fmt, df.schema)), base)
     return path
 
 
@@ -134,7 +145,8 @@ def _partition_name(by: str, value) -> F.Column:
     return F.concat(F.lit(f"{by}="), F.coalesce(value.cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
 
 
-def _written_partitions(df: DataFrame, path: str, version: int, by: str, fmt: str) -> DataFrame:
+def _written_partitions(df: DataFrame, path: str, version: int, by: str, fmt: str,
+                        note: str | None = None) -> DataFrame:
     """Write ``df`` by partition and return the log rows of its folders, with
     one row without a path if there are none."""
     spark, schema = df.sparkSession, df.schema
@@ -147,12 +159,12 @@ def _written_partitions(df: DataFrame, path: str, version: int, by: str, fmt: st
     rows = rows.select(_partition_name(by, F.col(by)).alias("partition"))
     rows = rows.select(F.lit(version).cast("long").alias("version"), F.concat(F.lit(f"{path}/"), "partition").alias("path"),
                        F.lit(fmt).alias("format"), "partition", F.lit(schema.json()).alias("schema"),
-                       F.lit(time.time_ns()).alias("written_at"))
-    return rows.unionByName(_entry(spark, version, None, fmt, schema))
+                       F.lit(time.time_ns()).alias("written_at"), F.lit(None).cast("string").alias("note"))
+    return rows.unionByName(_entry(spark, version, None, fmt, schema, note))
 
 
 def replace_partitions(df: DataFrame, base: str, by: str, keys: DataFrame | None = None, *,
-                       fmt: str = "parquet") -> str:
+                       fmt: str = "parquet", note: str | None = None) -> str:
     """A version in which the partitions named by ``keys`` (a DataFrame with
     column ``by``; default: those of ``df``) hold the rows of ``df`` and all
     others are as before.  Only the named partitions are written; one without
@@ -161,7 +173,7 @@ def replace_partitions(df: DataFrame, base: str, by: str, keys: DataFrame | None
     spark = df.sparkSession
     log = _log_or_none(spark, base)
     if log is None:
-        return write_version(df, base, fmt=fmt, partition_by=by)
+        return write_version(df, base, fmt=fmt, partition_by=by, note=note)
     version = current_version(spark, base) + 1
     old = _at(log).where("path IS NOT NULL")
     if old.where("partition IS NULL").limit(1).count():
@@ -174,12 +186,13 @@ def replace_partitions(df: DataFrame, base: str, by: str, keys: DataFrame | None
             F.lit(f"row of a partition that is not replaced: {by}="), F.coalesce(df[by].cast("string"), F.lit("NULL")))))
         df = named.where(said.cast("boolean")).select(*[df[c] for c in df.columns])
     path = _new_folder(base, version)
-    fresh = _written_partitions(df, path, version, by, fmt)
+    fresh = _written_partitions(df, path, version, by, fmt, note)
     gone = fresh.where("partition IS NOT NULL").select("partition")
     if keys is not None:
         gone = gone.unionByName(keys.select(_partition_name(by, F.col(by)).alias("partition"))).distinct()
     kept = old.join(gone, "partition", "left_anti").select(*old.columns)
-    _commit(kept.withColumn("version", F.lit(version).cast("long")).unionByName(fresh), base)
+    kept = kept.withColumns({"version": F.lit(version).cast("long"), "note": F.lit(None).cast("string")})
+    _commit(kept.unionByName(fresh), base)
     return path
 
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import urlparse
@@ -43,6 +44,7 @@ from pyspark.sql.types import (
 )
 
 from starloom.session import scratch_dir
+from starloom.sinks.drift import ADDED, reconcile
 from starloom.sinks.storage import ensure_database, is_missing, write_table
 from starloom.sinks.versions import commit_folder, drop_folder, new_folder, read_current_or_none, write_version
 
@@ -208,7 +210,8 @@ def _tolerant(reader, schema: StructType, path: str) -> DataFrame:
 
 
 def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
-              schemas: dict[str, StructType], fmt: str, header: bool, rejects: Rejects | None):
+              schemas: dict[str, StructType], fmt: str, header: bool, rejects: Rejects | None,
+              allow_drift: Sequence[str] | None):
     """Read one landed source and replace its bronze table in one pass,
     counting rows during the write.  The old table stays until the new one is
     written whole.  Returns (audit row, ledger row|None)."""
@@ -222,6 +225,7 @@ def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
     try:
         path, sep = f"{base}/{r['entry']}", r["file_delimiter"] or ","
         tolerant = rejects is not None
+        stored = read_bronze(spark, bronze, target) if allow_drift is not None else None
         if target in schemas and header:
             df = _declared(spark, path, sep, schemas[target], tolerant)
         else:
@@ -232,11 +236,18 @@ def _load_one(spark: SparkSession, r, base: str, bronze: str, to_path: bool,
                 found = reader.option("inferSchema", "true").csv(path).schema
             df = (_tolerant(reader, found, path) if tolerant
                   else reader.option("mode", "FAILFAST").schema(found).csv(path))
+        changes: list = []
+        if stored is not None:
+            kept = StructType([f for f in df.schema.fields if f.name not in (_LINE, _FILE)])
+            # the checks look at schemas only; the bad lines' columns go along
+            shaped, changes = reconcile(df.select(*[F.col(f"`{n}`") for n in kept.names]), stored.schema, allow_drift)
+            df = shaped if not tolerant else reconcile(df, stored.schema, (*allow_drift, ADDED))[0]
         if tolerant:
             n, bad, columns = _load_tolerant(spark, df, target, bronze, to_path, fmt, rejects)
-            detail = f"{bad} lines rejected" if bad else None
+            details = [f"{bad} lines rejected"] if bad else []
         else:
-            n, detail, columns = _load_strict(spark, df, target, bronze, to_path, fmt), None, len(df.columns)
+            n, details, columns = _load_strict(spark, df, target, bronze, to_path, fmt), [], len(df.columns)
+        detail = "; ".join(details + [str(c) for c in changes]) or None
         return ((expected, target, LOADED, detail, n, columns),
                 (expected, r["entry"], r["modified"], r["bytes"], target, n))
     except Exception as e:  # noqa: BLE001 -- isolate one source's failure
@@ -308,7 +319,7 @@ def read_bronze(spark: SparkSession, bronze: str, target: str) -> DataFrame | No
 def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: str, *,
            ledger: str | None = None, schemas: dict[str, StructType] | None = None,
            fmt: str = "parquet", header: bool = True, parallel: int = 4,
-           rejects: Rejects | None = None) -> IngestResult:
+           rejects: Rejects | None = None, allow_drift: Sequence[str] | None = None) -> IngestResult:
     """Load every control entry whose file is in the landing folder.
 
     ``bronze`` is a folder (each target becomes a versioned table under
@@ -318,7 +329,10 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
     read with schema inference (an extra pass over the file).  A failing
     source does not stop the others, leaves its table as it was and is
     reported as ``failed``; a bad line fails its source, unless ``rejects`` says
-    where bad lines go and how many are allowed.  Up to ``parallel`` sources are loaded at once
+    where bad lines go and how many are allowed.  ``allow_drift`` lists the kinds
+    of schema change (see ``starloom.sinks.drift``) that a source may bring to a
+    bronze table that is there; any other fails the source by name.  Without it
+    the new schema replaces the old one.  Up to ``parallel`` sources are loaded at once
     (concurrent Spark jobs from driver threads), so many small sources do not
     leave the cluster idle.
     """
@@ -349,7 +363,8 @@ def ingest(spark: SparkSession, control: DataFrame, landing_dir: str, bronze: st
         parallel = 1
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         results = list(pool.map(
-            lambda r: _load_one(spark, r, base, bronze, to_path, schemas, fmt, header, rejects), rows))
+            lambda r: _load_one(spark, r, base, bronze, to_path, schemas, fmt, header, rejects,
+                                allow_drift), rows))
     audit = [a for a, _ in results]
     ledger_rows = [lr for _, lr in results if lr is not None]
     if ledger and ledger_rows:

@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from starloom.plans import retail
+from starloom.plans import loads, retail
 from sf_dirs import SF_SMALL
 
+STAR_QUERIES = sorted({**retail.QUERIES, **loads.QUERIES})
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -42,7 +43,7 @@ def test_every_query_has_an_oracle():
     assert len(entry.queries()) >= 25
 
 
-@pytest.mark.parametrize("name", sorted(retail.QUERIES))
+@pytest.mark.parametrize("name", STAR_QUERIES)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = _rows([tuple(r) for r in df.collect()], df.columns)
@@ -60,7 +61,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(retail.QUERIES))
+@pytest.mark.parametrize("name", STAR_QUERIES)
 def test_plans_have_no_cartesian_product_or_python(spark, capsys, name):
     entry.queries()[name](spark, SF_SMALL).explain("formatted")
     plan = capsys.readouterr().out
@@ -75,7 +76,7 @@ def test_scans_are_pruned(spark, capsys):
     assert read and all("l_comment" not in ln and "l_tax" not in ln for ln in read)
 
 
-@pytest.mark.parametrize("name", sorted(retail.QUERIES))
+@pytest.mark.parametrize("name", STAR_QUERIES)
 def test_query_on_full_scale_paths_matches_oracle(spark, duck, distributed_paths, capsys, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = _rows([tuple(r) for r in df.collect()], df.columns)
