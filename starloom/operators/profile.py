@@ -23,7 +23,9 @@ SKETCH_BITS = 12
 def _hashable(field) -> F.Column:
     """A value as text that is equal for equal values."""
     c = F.col(f"`{field.name}`")
-    return F.to_json(F.struct(c)) if isinstance(field.dataType, (ArrayType, MapType, StructType)) else c.cast("string")
+    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    return c.cast("string")
 
 
 def profiled_write(df: DataFrame, load: str, write: Callable[[DataFrame], object]) -> DataFrame:

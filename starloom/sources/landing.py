@@ -205,7 +205,9 @@ def _declared(spark: SparkSession, path: str, sep: str, schema: StructType, tole
 def _tolerant(reader, schema: StructType, path: str) -> DataFrame:
     """Rows of all lines; one that does not parse has its text in ``_LINE``."""
     with_line = StructType([*schema.fields, StructField(_LINE, StringType())])
-    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).schema(with_line).csv(path)
+    # a parser that skips the columns not asked for doesn't see that a line has too few or too many
+    df = (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE)
+          .option("columnPruning", "false").schema(with_line).csv(path))
     return df.withColumn(_FILE, F.col("_metadata.file_path"))
 
 
