@@ -10,9 +10,12 @@ has its parent in the class or in a valid class that occurs on all its pages.
 Valid classes nest by these paths into the host's template.
 
 What the template holds itself is not content: its texts are boilerplate and
-leave every page, those inside the article too.  A class whose texts make up
-more than half of the articles it is in is kept: its pages are copies of one
-article, not one frame around several.  The remaining slots are checked
+leave every page.  Inside an article only those around its own content leave,
+before its first slot or after its last: what stands between slots (the
+heading "Method" of every recipe), or is a heading right before one, belongs to
+them.  A class whose texts make up more than half of the articles it is in is
+kept: its pages are copies of one article, not one frame around several; so is
+an article without any slot.  The remaining slots are checked
 against the markup: those under the template's article element make the main
 text, without the parts that are beside it by element, class or role; a page
 without such an element gives all its remaining slots.
@@ -24,6 +27,7 @@ each task before anything shuffles.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lookup_groups, materialise, with_package
-from .html_pages import join_blocks, read_page
+from .html_pages import Page, join_blocks, read_page
 from .url_filter import split_url
 
 #: Fewest pages of a host that make a template.
@@ -115,12 +119,46 @@ def host_templates(pages: DataFrame) -> DataFrame:
         F.flatten(F.collect_list("static")).alias("static"))
 
 
+_HEADING = re.compile(r">h[1-6](?![^.>])")
+
+
+def _frame(blocks: dict[int, tuple[str, str]], static: set[int]) -> set[int]:
+    """The numbers of an article's blocks that are the template's: those before
+    and after its own ones, but for headings that lead up to these."""
+    order = sorted(blocks)
+    own = [i for i, n in enumerate(order) if _token(*blocks[n]) not in static]
+    if not own:
+        return set()
+    first, last = own[0], own[-1]
+    while first and _HEADING.search(blocks[order[first - 1]][0]):
+        first -= 1
+    return set(order[:first] + order[last + 1:])
+
+
+def _outer_frame(page: Page, static: set[int]) -> set[int]:
+    """The places in ``page.texts`` of the template's texts outside articles;
+    a heading right before a text of the page's own is none."""
+    out, after_own = set(), False
+    for i in range(len(page.texts) - 1, -1, -1):
+        _, path, text, inside, aside = page.texts[i]
+        words = " ".join(text.split())
+        if inside or aside or not words:
+            continue
+        if _token(path, words) not in static:
+            after_own = True
+        elif not (after_own and _HEADING.search(path)):
+            out.add(i)
+            after_own = False
+    return out
+
+
 def main_text(source: str | None, containers: set[int], static: set[int]) -> str:
     """The remaining slots of a page, given its host's template."""
     page = read_page(source)
-    common = {n for n, (p, words) in _blocks(page.texts).items() if _token(p, words) in static} if static else set()
-    slots = [(n, p, t, inside) for n, p, t, inside, aside in page.texts if not aside and (
-        n not in common if inside else not static or _token(p, " ".join(t.split())) not in static)]
+    inner = _frame(_blocks(page.texts), static) if static else set()
+    outer = _outer_frame(page, static) if static else set()
+    slots = [(n, p, t, inside) for i, (n, p, t, inside, aside) in enumerate(page.texts) if not aside and (
+        n not in inner if inside else i not in outer)]
     if page.containers:
         articles = {p for p in page.containers if _token(p) in containers}
         if articles and articles != page.containers:  # the page has more than the template's
@@ -144,7 +182,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     with a null URL, or one without a host, count as one host.  Hosts of fewer
     than three pages have no template; their pages are cut by their own
     elements.  Character references are decoded; cut-off markup is read as far
-    as it goes.  Null ids and repeated rows each give a row; an empty table
+    as it goes; pages of any length are read whole.  Null ids and repeated rows each give a row; an empty table
     an empty result; other columns are ignored.
     """
     rows = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"), F.col(html_col).alias("__html"))

@@ -18,10 +18,10 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("article aside body div dl footer form header html main nav ol section table td th ul".split())
 #: Elements, and words of class, id and role, whose text is not part of an article.
-ASIDE_TAGS = frozenset("nav footer aside form button select head menu dialog".split())
+ASIDE_TAGS = frozenset("nav footer aside form button select head menu dialog video audio canvas object".split())
 CONTAINERS = frozenset(("article", "main"))
 _ASIDE_WORD = re.compile(
-    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|sidebar|menu|nav"
+    r"(?:ads?|adsbygoogle|adsense|taboola|outbrain|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|sidebar|menu|nav"
     r"|navbar|navigation|breadcrumbs?|footer|masthead|contentinfo|complementary|comments?|replies|respond|disqus"
     r"|shar(?:e|ing)|social|related|newsletter|subscribe|login|signup|search|popup|modal|toolbar|pagination)\Z")
 _HEADER_WORD = re.compile(r"(?:header|topbar)\Z")
@@ -29,7 +29,9 @@ _HEADER_WORD = re.compile(r"(?:header|topbar)\Z")
 _PLACE_WORD = re.compile(
     r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|lists?|links?|box|block|area|section|container"
     r"|wrap|wrapper|inner|widgets?|buttons?|bar|slot|unit|items?|form|posts?|articles?|entry|text|message|icons?"
-    r"|[\dx]+)\Z")
+    r"|google|users?|readers?|visitors?|customers?|body|[\dx]+)\Z")
+_REMARK_WORD = re.compile(r"(?:comments?|replies|respond|disqus)\Z")
+_UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 #: Parts of class names that differ from page to page.
 _NUMBERED = re.compile(r"[^\s_-]*\d[^\s_-]*")
 _SUBJECT = re.compile(r"(?:category|cat|tag|tags|topic|subject|author|term|lang|slug|keyword)[_-]", re.I)
@@ -58,13 +60,15 @@ class Page:
 @dataclass(slots=True)
 class _Open:
     """An open element.  ``region`` numbers the outermost container around it,
-    ``doubt`` the one that class words put beside the article."""
+    ``doubt`` the one that class words put beside the article; ``remark`` tells
+    whether it is among reader comments by a class word."""
 
     tag: str = ""
     path: str = ""
     region: int = 0
     doubt: int = 0
     aside: int = 0
+    remark: bool = False
 
 
 def read_page(source: str | None) -> Page:
@@ -74,6 +78,7 @@ def read_page(source: str | None) -> Page:
     stack: list[_Open] = []
     found: list[tuple[int, str, str, _Open]] = []
     containers: list[tuple[str, int]] = []  # path, doubt
+    inner: set[int] = set()  # doubted containers that are never the article if there is another text
     for m in _TOKEN.finditer(source or ""):
         raw, _, closing, tag, attributes, text = m.groups()
         if text is not None or tag and tag.lower() == "br":  # a line break is white space
@@ -99,7 +104,8 @@ def read_page(source: str | None) -> Page:
         path = f"{up.path}>{tag}" + (f".{general}" if general else "")
         page.paths[path] = page.paths.get(path, 0) + 1
         region, doubt, aside = up.region, up.doubt, up.aside
-        header, words = _word_kinds(f"{names} {role}") if tag not in _WHOLE else (False, False)
+        header, words, remark = _word_kinds(f"{names} {role}") if tag not in _WHOLE else (False, False, False)
+        remark = remark or up.remark
         if tag in ASIDE_TAGS or hidden or not region and tag == "header":
             aside = BY_ELEMENT
         elif words or not region and header:
@@ -107,18 +113,22 @@ def read_page(source: str | None) -> Page:
         if aside < BY_ELEMENT and holds:
             regions += 1
             if aside:  # a class word is on it or around it
+                if remark or region and not doubt:
+                    inner.add(regions)
                 doubt, aside = regions, 0
             region = region or regions
             containers.append((path, doubt))
         if tag not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append(_Open(tag, path, region, doubt, aside))
-    _settle(page, found, containers)
+            stack.append(_Open(tag, path, region, doubt, aside, remark))
+    _settle(page, found, containers, inner)
     return page
 
 
-def _settle(page: Page, found: list[tuple[int, str, str, _Open]], containers: list[tuple[str, int]]) -> None:
+def _settle(page: Page, found: list[tuple[int, str, str, _Open]], containers: list[tuple[str, int]],
+            inner: set[int]) -> None:
     """Whether containers that class words put beside the article are it: one
-    is if it has more text than all that is surely not beside it."""
+    is if it has more text than all that is surely not beside it.  One among
+    reader comments, or inside a plain container, is only if there is no such text."""
     plain = {p for p, doubt in containers if not doubt}
     sizes, surely = {}, 0
     if any(doubt for _, doubt in containers):
@@ -129,7 +139,7 @@ def _settle(page: Page, found: list[tuple[int, str, str, _Open]], containers: li
                     sizes[at.doubt] = sizes.get(at.doubt, 0) + n
                 elif at.region or not plain:
                     surely += n
-    taken = {0} | {doubt for doubt, n in sizes.items() if n > surely}
+    taken = {0} | {doubt for doubt, n in sizes.items() if n > (surely if doubt not in inner or not surely else n)}
     page.containers = {p for p, doubt in containers if doubt in taken}
     page.texts = [(n, path, text, bool(at.region) and (at.doubt in taken), bool(at.aside) or at.doubt not in taken)
                   for n, path, text, at in found]
@@ -139,17 +149,18 @@ def _settle(page: Page, found: list[tuple[int, str, str, _Open]], containers: li
 
 
 @functools.lru_cache(100_000)
-def _word_kinds(names: str) -> tuple[bool, bool]:
-    """Whether names hold one of a page header, and one of a part beside the
-    article.  A name counts whole: it is such a word, or made of such words
-    and places."""
-    header = beside = False
+def _word_kinds(names: str) -> tuple[bool, bool, bool]:
+    """Whether names hold one of a page header, one of a part beside the
+    article, and one of reader comments.  A name counts whole: it is such a
+    word, or made of such words and places."""
+    header = beside = remark = False
     for name in names.lower().split():
         parts = [x for x in re.split("[_-]+", name) if x]
         if all(_ASIDE_WORD.match(x) or _HEADER_WORD.match(x) or _PLACE_WORD.match(x) for x in parts):
             beside = beside or any(_ASIDE_WORD.match(x) for x in parts)
             header = header or any(_HEADER_WORD.match(x) for x in parts)
-    return header, beside
+            remark = remark or any(_REMARK_WORD.match(x) for x in parts)
+    return header, beside, remark
 
 
 @functools.lru_cache(100_000)
@@ -167,7 +178,7 @@ def _names(attributes: str) -> tuple[str, str, str, bool]:
     found = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(attributes)}
     classes = found.get("class", "")
     return (classes, " ".join(x for x in (classes, found.get("id")) if x), found.get("role", ""),
-            "hidden" in found or found.get("aria-hidden") == "true")
+            "hidden" in found or found.get("aria-hidden") == "true" or bool(_UNSEEN.search(found.get("style") or "")))
 
 
 def _imply_ends(stack: list[_Open], tag: str) -> None:
