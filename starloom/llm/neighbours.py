@@ -2,14 +2,14 @@
 
 Vectors are cut into blocks of bounded size.  A block keeps one sorted array
 per projection.  A query looks, in every array, at the window centred on its
-own projection; virtual rehashing doubles all windows from level to level, so
-only their new ends are read.  A vector that falls into the windows of
-``THRESHOLD`` of the projections has collided often enough and is verified:
-its inner product is computed on the original vectors.  A query is done with a
+own projection; virtual rehashing widens all windows from level to level.  Of
+an array only what the window newly takes in is read, or, once it holds most of
+the block, what it still leaves out.  A vector that falls into the windows of
+``THRESHOLD`` of the projections has collided often enough and is verified: its
+inner product is computed on the original vectors.  A query is done with a
 block when its k-th verified vector is so near that nearer ones would have
-collided at this level almost surely; if that never happens, or if further
-windows hold more than the block's vectors themselves, everything in the block
-is verified.
+collided at this level almost surely; only if that never happens, as in blocks
+of a few hundred vectors, the rest of the block is verified too.
 
 Largest inner product becomes smallest distance by one extra coordinate, which
 gives all vectors of a block the length of its longest.
@@ -17,6 +17,8 @@ gives all vectors of a block the length of its longest.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -26,17 +28,18 @@ from .common import materialise, with_package
 
 #: Vectors of a block and queries that a task holds at once.
 BLOCK_ROWS, CHUNK_QUERIES = 8192, 4096
-#: Projections; share of them that must collide; half widths of the first and
-#: further windows, in block lengths; distance, in half widths, within which a
-#: vector collides often enough almost surely.
-PROJECTIONS, THRESHOLD = 64, 0.78
-FIRST_WIDTH, GROWTH, LEVELS = 0.4, 2.0, 4
-SURE = 1 / 1.6
-#: Work of counting a collision, in products of a verification.
-COUNTING = 8
-
-
-def projections(dim: int, count: int = PROJECTIONS, seed: int = 7) -> np.ndarray:
+#: Projections, and the share of them that must collide.
+PROJECTIONS, THRESHOLD = 128, 0.85
+#: Half width of a window in which vectors collide often enough almost surely,
+#: as a multiple of their distance; the multiple that a query goes on to while
+#: no more than that share of the block has been verified.
+REACH, FAR_REACH, FEW = 1.55, 1.7, 0.04
+#: Vectors of a block from whose k-th distances its windows are made, and the
+#: quantiles of these that the windows reach from level to level.
+SAMPLE, QUANTILES = 64, (0.5, 0.9, 1.0)
+
+
+def projections(dim: int, count: int, seed: int = 7) -> np.ndarray:
     """(dim, count) projection vectors: stacked random orthogonal bases, scaled
     so that a projected difference is as long as the difference on average."""
     rng = np.random.default_rng(seed)
@@ -44,6 +47,19 @@ def projections(dim: int, count: int = PROJECTIONS, seed: int = 7) -> np.ndarray
     return np.concatenate(bases, axis=1)[:, :count] * np.sqrt(dim)
 
 
+@dataclass(slots=True)
+class _Search:
+    """A query's state in a block: collisions of each vector, which are not
+    verified, the windows counted so far, the k best places and their products."""
+
+    hits: np.ndarray
+    open: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    at: np.ndarray
+    score: np.ndarray
+
+
 class Block:
     """The sorted arrays of a block of vectors."""
 
@@ -53,46 +69,82 @@ class Block:
         norms = np.sqrt((self.vectors ** 2).sum(axis=1))
         self.length = norms.max()
         extra = np.sqrt(np.maximum(self.length ** 2 - norms ** 2, 0))
-        self.axes = projections(vectors.shape[1] + 1)
+        self.axes = projections(vectors.shape[1] + 1, PROJECTIONS)
         seen = np.column_stack((self.vectors, extra)) @ self.axes / self.length
-        self.order = np.argsort(seen, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(seen, self.order.T, axis=0).T.copy()
+        order = np.argsort(seen, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(seen, order, axis=0).T.copy()
+        self.order = order.T.astype(np.uint16 if len(self.ids) <= 1 << 16 else np.int64) 
+
+    def widths(self, k: int) -> np.ndarray:
+        """Half widths of the windows, in block lengths, from level to level:
+        what the k-th distances of a few of the block's vectors call for."""
+        some = np.unique(np.linspace(0, len(self.ids) - 1, SAMPLE).astype(np.int64))
+        products = self.vectors[some] @ self.vectors.T
+        products[np.arange(len(some)), some] = -np.inf
+        k = min(k, len(self.ids) - 1)
+        if not k:
+            return np.array([2.0 * REACH])
+        nearest = np.partition(products, -k, axis=1)[:, -k]
+        lengths = np.sqrt((self.vectors[some] ** 2).sum(axis=1))
+        far = np.sqrt(np.maximum(2 - 2 * nearest / (self.length * lengths), 0))
+        far = np.quantile(far, QUANTILES)
+        return np.unique(np.concatenate((far * REACH, far * FAR_REACH)))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the ids and inner products of its k nearest found."""
+        return [(ids, score) for ids, score, _ in self.search_counted(query_ids, queries, k)]
+
+    def search_counted(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+        """``search`` with the number of vectors that were verified."""
         lengths = np.sqrt((queries ** 2).sum(axis=1))
-        centre = (queries / lengths[:, None]) @ self.axes[:-1]
-        widths = FIRST_WIDTH * GROWTH ** np.arange(LEVELS)
-        low = np.stack([np.stack([np.searchsorted(s, c - w) for s, c in zip(self.sorted, centre.T)]) for w in widths])
-        high = np.stack([np.stack([np.searchsorted(s, c + w, "right") for s, c in zip(self.sorted, centre.T)])
-                         for w in widths])
-        return [self._one(query_ids[i], queries[i], lengths[i], low[:, :, i], high[:, :, i], widths, k)
-                for i in range(len(query_ids))]
-
-    def _one(self, query_id, query, length, low, high, widths, k):
+        centre = ((queries / lengths[:, None]) @ self.axes[:-1]).T
+        state = [self._open(q) for q in query_ids]
+        todo = np.arange(len(query_ids))
+        for width in self.widths(k):
+            low = np.stack([np.searchsorted(s, c - width) for s, c in zip(self.sorted, centre[:, todo])])
+            high = np.stack([np.searchsorted(s, c + width, "right") for s, c in zip(self.sorted, centre[:, todo])])
+            more = [self._widen(state[q], queries[q], lengths[q], low[:, i], high[:, i], width, k)
+                    for i, q in enumerate(todo)]
+            todo = todo[np.array(more, bool)]
+            if not len(todo):
+                break
+        for q in todo:  # the k-th is farther than any window reaches
+            s = state[q]
+            s.at, s.score = self._verify(np.flatnonzero(s.open), queries[q], s.at, s.score, k)
+            s.open[:] = False
+        return [(self.ids[s.at], s.score, len(self.ids) - 1 - np.count_nonzero(s.open)) for s in state]
+
+    def _open(self, query_id: int) -> _Search:
         n = len(self.ids)
-        need = int(np.ceil(THRESHOLD * len(self.order)))
-        hits = np.zeros(n, np.int64)
-        own = self.ids == query_id
-        open_ = ~own
-        at, score = np.zeros(0, np.int64), np.zeros(0)
-        before_low = before_high = low[0]
-        for level, width in enumerate(widths):
-            ends = (high[level] - low[level]).sum() - (before_high - before_low).sum()
-            if ends * COUNTING > np.count_nonzero(open_) * self.vectors.shape[1]:
-                break  # verifying all of the block is less work than counting
-            ends = [o[a:b] for o, a, b in zip(self.order, low[level], before_low)]
-            ends += [o[a:b] for o, a, b in zip(self.order, before_high, high[level])]
-            hits += np.bincount(np.concatenate(ends), minlength=n)
-            before_low, before_high = low[level], high[level]
-            at, score = self._verify(np.flatnonzero(open_ & (hits >= need)), query, at, score, k)
-            open_ &= hits < need
-            if len(at) == k:
-                distance = np.sqrt(max(0.0, 2 - 2 * score[-1] / (self.length * length)))
-                if distance <= width * SURE:
-                    return self.ids[at], score
-        at, score = self._verify(np.flatnonzero(open_), query, at, score, k)
-        return self.ids[at], score
+        start = np.zeros(len(self.order), np.int64)
+        return _Search(np.zeros(n, np.int64), self.ids != query_id, start, start, np.zeros(0, np.int64), np.zeros(0))
+
+    def _widen(self, s: _Search, query, length, low, high, width, k) -> bool:
+        """Count what the windows newly take in, verify what has collided often
+        enough; whether the query goes on."""
+        n, count = len(self.ids), len(self.order)
+        need = int(np.ceil(THRESHOLD * count))
+        taken = (high - low).sum()
+        known = (s.high - s.low).sum()
+        if not known:
+            s.low = s.high = low
+        if taken - known <= count * n - taken:
+            s.hits += self._count(low, s.low) + self._count(s.high, high)
+        else:
+            s.hits = count - self._count(np.zeros_like(low), low) - self._count(high, np.full_like(high, n))
+        s.low, s.high = low, high
+        s.at, s.score = self._verify(np.flatnonzero(s.open & (s.hits >= need)), query, s.at, s.score, k)
+        s.open &= s.hits < need
+        if len(s.at) < k:
+            return True
+        distance = np.sqrt(max(0.0, 2 - 2 * s.score[-1] / (self.length * length)))
+        few = n - np.count_nonzero(s.open) <= FEW * n
+        return bool(distance * (FAR_REACH if few else REACH) > width)
+
+    def _count(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """How often each vector stands between ``start`` and ``end`` of the arrays."""
+        parts = [o[a:b] for o, a, b in zip(self.order, start.tolist(), end.tolist()) if a < b]
+        return np.bincount(np.concatenate(parts), minlength=len(self.ids)) if parts else np.zeros(len(self.ids), np.int64)
 
     def _verify(self, new, query, at, score, k):
         """The k best of what was verified before and the new vectors; rows are
