@@ -6,9 +6,15 @@ set.  Pass 2 tests every row against those repeated bits: a row with a bit
 that nobody else set has no copy and passes straight through; only the
 possible repeats are shuffled, grouped by SHA-256 and decided exactly.
 
-The filter is broadcast, and so has a fixed ceiling (``max_filter_bits``,
-default 2^26 bits, 16 MB): it gets 16 bits a row up to there.  Beyond, false
-positives grow and more digests (never texts) shuffle; results stay exact.
+What shuffles of a possible repeat is its digest and id (``exact_dedup``), or
+its digest, id and other small columns (``drop_copies``).  Whole texts move
+only if more than ``MAX_BROADCAST_GROUPS`` texts are repeated: then possible
+repeats meet the decision on their text by a shuffle.
+
+The filter is broadcast, and so has a ceiling (``max_filter_bits``, default
+2^30 bits): it gets 16 bits a row up to there, 64 million rows.  Beyond, more
+unique rows are taken for possible repeats (5% at 100 million rows, half of
+them at 600 million); results stay exact.
 """
 
 from __future__ import annotations
@@ -19,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import lookup_groups, materialise, positional
 
 BITS_PER_ROW = 16
-MAX_FILTER_BITS = 1 << 26
+MAX_FILTER_BITS = 1 << 30
+#: Repeated texts whose decisions (some 100 bytes each) are broadcast.
+MAX_BROADCAST_GROUPS = 1 << 17
 
 
 def text_digest(text: str) -> Column:
@@ -67,7 +75,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """One row per row of ``docs``: (id, keep_id, group_size, kept, text_sha256).
 
-    Of equal texts the row with the largest id stays.  A null text equals the
+    Of equal texts the row with the largest id stays.  Whole texts of any length
+    are compared.  A null text equals the
     empty one.  Null ids are smaller than any other (keep_id is null if a
     group has no other).  Repeated rows of one id and text each get a row; one
     of them is kept.  An empty table gives an empty result; other columns of
@@ -97,17 +106,27 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """``docs`` without exact copies, all columns kept.
 
-    Rows that surely have no copy pass through unshuffled.  The possible
-    repeats are reduced to one row per text, in each task before they shuffle:
-    the largest id stays, among repeated rows of that id the largest by the
-    other columns.  Nulls and empty tables as in ``exact_dedup``.
+    Rows that surely have no copy pass through unshuffled.  Of the possible
+    repeats the row to keep is decided on digest, id and the other columns
+    without the text: the largest id stays, among repeated rows of that id the
+    largest by the other columns, of rows equal in all of them one.  Texts of
+    any length are compared whole.  Nulls and empty tables as in ``exact_dedup``.
     """
     rows, (key, text) = positional(docs, id_col, text_col)
-    digests = materialise(rows.select(text_digest(text).alias("__sha")), "digests")
-    seen_twice, words, _ = _seen_twice(digests, max_filter_bits)
-    marked = mark_candidates(rows.withColumn("__sha", text_digest(text)), seen_twice, words)
     order = [c for c, kind in rows.dtypes if c not in (key, text) and "map<" not in kind]
-    kept = marked.filter("__maybe").groupBy("__sha").agg(
-        F.max_by(F.struct(*rows.columns), F.struct(key, *order)).alias("__row"))
+    keyed = rows.withColumns({"__sha": text_digest(text), "__k": F.struct(key, *order)})
+    digests = materialise(keyed.select("__sha", "__k"), "digests")
+    seen_twice, words, n = _seen_twice(digests, max_filter_bits)
+    repeats = mark_candidates(digests, seen_twice, words).filter("__maybe")
+    # copies are counted before they shuffle: a hot text is one row per task and id
+    pairs = materialise(repeats.groupBy("__sha", "__k").agg(F.count("*").alias("__n")), "candidates", n)
+    best = materialise(pairs.groupBy("__sha").agg(
+        F.max("__k").alias("__keep"), F.max_by("__n", "__k").alias("__equal"), F.sum("__n").alias("__size")), "best", n)
+    marked = mark_candidates(keyed, seen_twice, words)
     alone = marked.filter(~F.col("__maybe")).select(*rows.columns)
-    return alone.unionByName(kept.select("__row.*")).toDF(*docs.columns)
+    met = lookup_groups(marked.filter("__maybe").select(*rows.columns, "__sha", "__k"), best, "__sha", "__size", n,
+                        F.xxhash64("__k"), MAX_BROADCAST_GROUPS).filter(F.col("__k").eqNullSafe(F.col("__keep")))
+    kept = met.filter("__equal = 1").select(*rows.columns)
+    # rows equal in everything that is compared: each task keeps one before they meet
+    one = met.filter("__equal > 1").groupBy("__sha").agg(F.first(F.struct(*rows.columns)).alias("__row"))
+    return alone.unionByName(kept).unionByName(one.select("__row.*")).toDF(*docs.columns)
