@@ -139,7 +139,8 @@ def _hash(id_col: str):
 
 
 def _copies():
-    return F.col("__whole") + (F.col("__hash") < F.col("__below")).cast("long")
+    # empty documents can lie below the threshold of a source that is taken whole already
+    return F.least(F.col("__whole") + (F.col("__hash") < F.col("__below")).cast("long"), F.lit(MAX_REPEAT).cast("long"))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id",
@@ -147,7 +148,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
     """One row per row of ``docs``: (id, size, source_size, target, taken, copies).
 
     ``copies`` (0 to 3) is how often the mix takes the document, ``taken`` its
-    words times that.  A null text has size 0; a null source is a source of
+    words times that.  Words are counted over whole texts; a null text has size 0; a null source is a source of
     its own, last in order; rows of one id (null ids too) share their hash and
     are taken alike.  An empty table gives an empty result; other columns are
     ignored.  The hash depends on the id alone, so reruns agree.
