@@ -12,6 +12,7 @@ or an assignment, don't.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 import re
@@ -84,8 +85,18 @@ def random_spans(text: str, enc: tiktoken.Encoding, taken: list[tuple[int, int,
                 count = i + 1
         return count
 
+    # the places taken, as ascending intervals apart from each other
+    starts, stops = [], []
+    for x, _, y in sorted(taken):
+        if stops and x <= stops[-1]:
+            stops[-1] = max(stops[-1], y)
+        else:
+            starts.append(x)
+            stops.append(y)
+
     def free(a: int, b: int) -> bool:
-        return not any(x < b and a < y for x, _, y in taken)
+        i = bisect.bisect_right(stops, a)
+        return i == len(starts) or starts[i] >= b
 
     out = []
     for m in CANDIDATE.finditer(text):
@@ -121,7 +132,7 @@ def scan_secrets(docs: DataFrame, ranks: str, max_ratio: float = MAX_RATIO, id_c
     is the digest of the patterns' spans, ``spans`` lists these and the random
     strings.  ``ranks`` is the path of a tiktoken rank file that every
     executor has.  A null text is an empty one and has no spans.  Ids are
-    passed on as they are; repeated rows each give a row; an empty table an
+    passed on as they are; texts are read whole, however long; repeated rows each give a row; an empty table an
     empty result; other columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
