@@ -275,7 +275,7 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """One row per row of ``docs``: (id, ids array<int>).
 
     ``model`` is the path of a SentencePiece file that every executor has.
-    Null and empty texts give no ids.  Row ids are passed on as they are;
+    Texts are encoded whole, however long; null and empty ones give no ids.  Row ids are passed on as they are;
     repeated rows each give a row; an empty table an empty result; other
     columns are ignored.
     """

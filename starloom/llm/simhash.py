@@ -273,8 +273,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     row's own included.  Null and empty texts, and texts of white space only,
     have fingerprint zero and link like any other.  Null ids are never the
     smallest (null where a component has no other).  Repeated rows share a
-    component.  An empty table gives an empty result; other columns are
-    ignored.
+    component.  Texts are hashed whole, however long.  An empty table gives an
+    empty result; other columns are ignored.
     """
     fps = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     n = fps.count()

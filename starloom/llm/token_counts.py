@@ -171,7 +171,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     """One row per row of ``docs``: (id, n_bytes, n_tokens, over_limit).
 
     ``vocabulary`` is the path of a byte-level BPE file that every executor
-    has.  Null and empty texts have 0 bytes and tokens.  Ids are passed on as
+    has.  Texts are counted whole, however long; null and empty ones have 0 bytes and tokens.  Ids are passed on as
     they are; repeated rows each give a row; an empty table an empty result;
     other columns are ignored.
     """

@@ -24,10 +24,12 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
 #: Terms that reject by themselves.
 STRICT = ("porn", "porno", "xxx", "hentai", "camgirls", "escorts", "sexcam", "warez", "keygen", "viagra")
 #: Terms that reject when several distinct ones occur.
-SOFT = ("adult", "bet", "betting", "bonus", "casino", "cheap", "crack", "dating", "escort", "free", "jackpot",
-        "loan", "lottery", "nude", "pharmacy", "pills", "poker", "replica", "sex", "sexy", "slots", "torrent",
-        "webcam", "xx")
+SOFT = ("adult", "bet", "bets", "betting", "bonus", "casino", "cheap", "crack", "dating", "escort", "free", "gambling",
+        "jackpot", "loan", "lottery", "nude", "pharmacy", "pills", "poker", "replica", "sex", "sexy", "slots", "torrent",
+        "webcam", "win", "xx")
 SOFT_HITS = 2
+#: Terms of a vocabulary read from a table; weight from which a term is strict.
+MAX_TERMS, STRICT_WEIGHT = 100_000, 1.0
 
 _URL = re.compile(r"://([^/?#]*)([^?#]*)", re.S)
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,9 +52,26 @@ def match_rule(host: str, path: str, rules: tuple = RULES) -> tuple[str | None,
     return verdict, rule
 
 
+def read_vocabulary(table: DataFrame, term_col: str = "term", weight_col: str = "weight",
+                    strict_weight: float = STRICT_WEIGHT) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """(strict, soft) terms of a table: a term counts with its largest weight,
+    as strict from ``strict_weight``, as soft above 0.  A-Z are lower-cased;
+    null and empty terms and null weights are left out.  More than
+    ``MAX_TERMS`` terms raise, since every task holds the automaton."""
+    term = F.translate(F.col(term_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    terms = table.select(term.alias("t"), F.col(weight_col).cast("double").alias("w")).filter(
+        "t <> '' AND w > 0").groupBy("t").agg(F.max("w").alias("w"))
+    rows = terms.orderBy("t").limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms")
+    return (tuple(r.t for r in rows if r.w >= strict_weight), tuple(r.t for r in rows if r.w < strict_weight))
+
+
 @functools.cache
 def _automaton(strict: tuple[str, ...], soft: tuple[str, ...]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
+    if not strict and not soft:
+        found.add_word("\0", ("\0", False))  # an automaton needs a word; this one is no URL's
     for word in soft:
         found.add_word(word, (word, False))
     for word in strict:
@@ -84,7 +103,7 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, strict: tuple[str, ...] =
     The rule's verdict stands where one fits; else the vocabulary decides
     (``block`` on one strict or ``soft_hits`` distinct soft terms, else
     ``allow``).  A null or empty URL, or one without ``://``, has an empty
-    host and path, and fits no rule.  Ids are passed on as they are; repeated
+    host and path, and fits no rule.  A URL of any length is read whole.  Ids are passed on as they are; repeated
     rows each give a row; an empty table an empty result; other columns are
     ignored.
     """
