@@ -9,11 +9,14 @@ replicated to every anchor within that distance, and each anchor compares the
 fingerprints at home there with all that visit: no link is lost, whichever
 code is chosen.
 
-The code is the binary Golay code (23 bits, 4,096 anchors, radius 3) and, as
-the number of distinct fingerprints grows, further blocks beside it (Hamming
-(7,4) or a second Golay code), which give more anchors with smaller groups for
-more replicas; ``choose_code`` takes the cheapest by estimate.  Per block the
-distance beyond the radius is what a visitor spends of ``max_bits``.
+The codes are perfect ones: the binary Golay code (23 bits, radius 3) and
+Hamming codes (7 or 31 bits, radius 1), alone or side by side; with several
+blocks the distance beyond the radii is what a visitor spends of ``max_bits``.
+A plan covers the whole fingerprint once, or each half of it with half of
+``max_bits``: links differ by no more than that in one of the halves, so far
+fewer anchors are within reach.  More distinct fingerprints call for more
+anchors with smaller groups, at the price of more replicas; ``choose_plan``
+takes the cheapest by estimate.
 
 Copies of a fingerprint are one class before anything is compared.  An anchor
 with many members is cut into cells of bounded size; a cell returns a spanning
@@ -35,11 +38,15 @@ from pyspark.sql import functions as F
 from .common import lookup_groups, materialise, positional, with_package
 from .components import components
 
-#: Generator polynomials of the two perfect codes (fixed values).
+#: (bits, generator polynomial, radius) of the perfect codes (fixed values).
 GOLAY = (23, 0b101011100011, 3)
 HAMMING = (7, 0b1011, 1)
-#: Codes by growing number of anchors.
+LONG_HAMMING = (31, 0b100101, 1)
+#: Codes over the low bits of a fingerprint.
 CODES = ((GOLAY,), (GOLAY, HAMMING), (GOLAY, HAMMING, HAMMING), (GOLAY, GOLAY))
+#: Plans: (first bit, code) of each part that is looked at.
+PLANS = tuple(((0, code),) for code in CODES) + tuple(
+    ((0, code), (32, code)) for code in ((GOLAY,), (GOLAY, HAMMING), (LONG_HAMMING,)))
 #: Most homes and most visitors that one task compares at once.
 CELL_HOMES, CELL_VISITORS = 1 << 13, 1 << 15
 #: Fingerprints that one task replicates.
@@ -86,26 +93,23 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> D
 
 
 @functools.cache
-def _coset_table(code: tuple[int, int, int]) -> list[list[np.ndarray]]:
+def _coset_table(code: tuple[int, int, int], most: int) -> list[list[np.ndarray]]:
     """For a perfect code, table[syndrome][cost]: the difference vectors from a
-    point of that syndrome to all codewords, by their weight beyond the radius."""
+    point of that syndrome to the codewords, by their weight beyond the radius
+    (``most`` at most)."""
     n, gen, radius = code
     redundancy = gen.bit_length() - 1
-    words = np.arange(1 << (n - redundancy), dtype=np.uint64)
-    codewords = np.zeros(len(words), np.uint64)
-    for i in range(n - redundancy):
-        codewords ^= np.where((words >> np.uint64(i)) & np.uint64(1), np.uint64(gen << i), np.uint64(0))
-    leaders = {}
-    for weight in range(radius + 1):
-        for bits in itertools.combinations(range(n), weight):
-            v = sum(1 << b for b in bits)
-            leaders[int(_syndrome(np.array([v], np.uint64), code)[0])] = v
-    table = []
-    for s in range(1 << redundancy):
-        diff = codewords ^ np.uint64(leaders[s])
-        cost = np.maximum(np.bitwise_count(diff).astype(np.int64) - radius, 0)
-        table.append([diff[cost == c] for c in range(n - radius + 1)])
-    return table
+    table = [[[] for _ in range(most + 1)] for _ in range(1 << redundancy)]
+    for weight in range(min(n, radius + most) + 1):
+        some = list(itertools.combinations(range(n), weight))
+        places = np.array(some, np.uint64).reshape(len(some), weight)
+        diff = (np.uint64(1) << places).sum(axis=1, dtype=np.uint64)
+        syndrome = _syndrome(diff, code).astype(np.int64)
+        order = np.argsort(syndrome, kind="stable")
+        ends = np.cumsum(np.bincount(syndrome, minlength=len(table)))
+        for s, some in enumerate(np.split(diff[order], ends[:-1])):
+            table[s][max(weight - radius, 0)].append(some)
+    return [[np.concatenate(c) if c else np.zeros(0, np.uint64) for c in row] for row in table]
 
 
 def _syndrome(v: np.ndarray, code: tuple[int, int, int]) -> np.ndarray:
@@ -126,7 +130,7 @@ def replicas(fp: np.ndarray, blocks: tuple, max_bits: int) -> tuple[np.ndarray,
         n = code[0]
         part = (fp >> np.uint64(shift)) & np.uint64((1 << n) - 1)
         syn = _syndrome(part, code).astype(np.int64)
-        table = _coset_table(code)
+        table = _coset_table(code, max_bits)
         nxt = []
         # rows of one syndrome and cost so far get the same differences
         group = syn[at] * (max_bits + 1) + cost
@@ -147,20 +151,30 @@ def replicas(fp: np.ndarray, blocks: tuple, max_bits: int) -> tuple[np.ndarray,
     return at, anchor, cost == 0
 
 
+def plan_replicas(fp: np.ndarray, plan: tuple, max_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``replicas`` of every part of a plan; anchors tell the parts apart."""
+    found = []
+    for part, (shift, code) in enumerate(plan):
+        at, anchor, home = replicas(fp >> np.uint64(shift), code, max_bits // len(plan))
+        found.append((at, anchor | np.uint64(part << 60), home))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 @functools.cache
-def reach(blocks: tuple, max_bits: int) -> tuple[float, int]:
-    """(anchors that a random fingerprint goes to, anchors in all)."""
+def reach(plan: tuple, max_bits: int) -> tuple[tuple[float, int], ...]:
+    """For each part of a plan (anchors that a random fingerprint goes to, anchors in all)."""
     sample = np.random.default_rng(1).integers(0, 1 << 63, 64, dtype=np.uint64)
-    return len(replicas(sample, blocks, max_bits)[0]) / 64, 2 ** sum(n - g.bit_length() + 1 for n, g, _ in blocks)
+    return tuple((len(replicas(sample, code, max_bits // len(plan))[0]) / 64,
+                  2 ** sum(n - g.bit_length() + 1 for n, g, _ in code)) for _, code in plan)
 
 
-def choose_code(distinct: int, max_bits: int) -> tuple:
-    """The code of least estimated work in comparisons: a replica costs about
+def choose_plan(distinct: int, max_bits: int) -> tuple:
+    """The plan of least estimated work in comparisons: a replica costs about
     100, an anchor in use 300,000.  Results are the same with any of them."""
-    def work(blocks):
-        visits, anchors = reach(blocks, max_bits)
-        return distinct * visits * 100 + distinct * distinct * visits / anchors + min(anchors, distinct) * 3e5
-    return min(CODES, key=work)
+    def work(plan):
+        return sum(distinct * visits * 100 + distinct * distinct * visits / anchors + min(anchors, distinct) * 3e5
+                   for visits, anchors in reach(plan, max_bits))
+    return min(PLANS, key=work)
 
 
 def spanning_forest(homes: np.ndarray, visitors: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,17 +215,17 @@ def _merge(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
             label[:] = root
 
 
-def _replicate(blocks: tuple, max_bits: int):
+def _replicate(plan: tuple, max_bits: int):
     """Fingerprints to rows (anchor, homes, visitors): packed fingerprints of
     one batch that go to one anchor, and their numbers."""
-    per = max(1, int(400_000 / reach(blocks, max_bits)[0]))
+    per = max(1, int(400_000 / sum(visits for visits, _ in reach(plan, max_bits))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             every = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(every), per):
                 fp = every[i:i + per]
-                at, anchor, home = replicas(fp, blocks, max_bits)
+                at, anchor, home = plan_replicas(fp, plan, max_bits)
                 order = np.argsort(anchor, kind="stable")
                 at, anchor, home = at[order], anchor[order], home[order]
                 first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
@@ -240,11 +254,11 @@ def _compare(max_bits: int):
 def links(classes: DataFrame, distinct: int, max_bits: int) -> DataFrame:
     """(u, v): edges that connect what fingerprints at ``max_bits`` or fewer
     differing bits connect.  ``classes`` has one row per fingerprint (__fp)."""
-    blocks = choose_code(distinct, max_bits)
+    plan = choose_plan(distinct, max_bits)
     # replicas are many and costly: spread the fingerprints over tasks first
     spread = with_package(classes).select("__fp").repartition(-(-distinct // TASK_FINGERPRINTS) or 1)
     sent = materialise(spread.mapInArrow(
-        _replicate(blocks, max_bits),
+        _replicate(plan, max_bits),
         "anchor long, homes binary, visitors binary, n_homes long, n_visitors long"), "anchors")
     counts = materialise(sent.groupBy("anchor").agg(
         F.ceil(F.sum("n_homes") / CELL_HOMES).alias("rows"), F.ceil(F.sum("n_visitors") / CELL_VISITORS).alias("cols"),
