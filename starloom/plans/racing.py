@@ -55,10 +55,11 @@ from starloom.sinks.versions import (
     current_version,
     read_current,
     read_current_or_none,
+    remove_superseded,
     replace_partitions,
     write_version,
 )
-from starloom.sources.landing import IngestResult, ingest, read_bronze
+from starloom.sources.landing import IngestResult, Rejects, ingest, read_bronze
 
 # Date layouts accepted for a driver's date of birth (the race
 # date accepts the four of DEFAULT_DATE_FORMATS).
@@ -504,7 +505,9 @@ def run_all(bronze: dict[str, DataFrame], silver: dict[str, DataFrame] | None =
 def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bronze: str,
                      silver_store: str, *, export_dir: str | None = None, load_ts=None,
                      require_measure: str | None = "best_qualifying_time_ms",
-                     race_ids: Sequence[int] | None = None) -> tuple[IngestResult, dict[str, DataFrame]]:
+                     race_ids: Sequence[int] | None = None, rejects: Rejects | None = None,
+                     allow_drift: Sequence[str] | None = None,
+                     keep_versions: int | None = None) -> tuple[IngestResult, dict[str, DataFrame]]:
     """The whole job: ingest landed files into bronze (a folder or a catalog
     database; declared schemas, ledger), load the silver star schema as new
     table versions, and export every silver table as CSV.  Returns the ingest
@@ -512,10 +515,12 @@ def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bron
     is raised before any silver table is touched.  ``race_ids`` limits the
     fact load to those races.  With bronze in a folder, a job started again
     after a failure runs only the steps that have not finished for the bronze
-    versions at hand."""
+    versions at hand.  ``rejects`` and ``allow_drift`` are those of ``ingest``;
+    ``keep_versions`` removes older versions of every table once the job is
+    done, but for those that a registered reader uses."""
     to_path = "/" in bronze or ":" in bronze
     ledger = f"{(bronze if to_path else silver_store).rstrip('/')}/_ledger"
-    res = ingest(spark, control, landing, bronze, ledger=ledger,
+    res = ingest(spark, control, landing, bronze, ledger=ledger, rejects=rejects, allow_drift=allow_drift,
                  schemas={name: source_schema(name) for name in SOURCES})
     if res.failed:
         raise SourcesFailed(res)
@@ -529,4 +534,9 @@ def run_from_landing(spark: SparkSession, control: DataFrame, landing: str, bron
     if export_dir:
         for name, df in out.items():
             export(df, f"{export_dir.rstrip('/')}/{name}")
+    if keep_versions is not None:
+        for name in out:
+            remove_superseded(spark, f"{silver_store.rstrip('/')}/{name}", keep_versions)
+        for name in SOURCES if to_path else ():
+            remove_superseded(spark, f"{bronze.rstrip('/')}/{name}", keep_versions)
     return res, out

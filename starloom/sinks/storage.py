@@ -34,6 +34,21 @@ def write_table(df: DataFrame, target: str, *, mode: str = "overwrite", fmt: str
         w.saveAsTable(target)
 
 
+def replace_table(df: DataFrame, target: str, *, fmt: str = "parquet") -> None:
+    """Replace a catalog table's data and schema: the new table is written
+    beside the old one and takes its name once it is whole.  A failed write
+    leaves the old table as it was."""
+    spark, beside = df.sparkSession, f"{target}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    try:
+        write_table(df, beside, mode="errorifexists", fmt=fmt)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {target}")
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """CREATE DATABASE IF NOT EXISTS (idempotent), in the warehouse unless a
     folder is given."""

@@ -45,7 +45,7 @@ from pyspark.sql.types import (
 
 from starloom.session import scratch_dir
 from starloom.sinks.drift import ADDED, reconcile
-from starloom.sinks.storage import ensure_database, is_missing, write_table
+from starloom.sinks.storage import ensure_database, is_missing, replace_table, write_table
 from starloom.sinks.versions import commit_folder, drop_folder, new_folder, read_current_or_none, write_version
 
 CONTROL_SCHEMA = StructType([
@@ -263,11 +263,7 @@ def _load_strict(spark: SparkSession, df: DataFrame, target: str, bronze: str, t
     if to_path:
         write_version(counted, f"{bronze.rstrip('/')}/{target}", fmt=fmt)
     else:
-        # parsed whole to a staging folder first: a bad file never reaches the table
-        staged = f"{scratch_dir(spark, 'bronze')}/{target}"
-        write_table(counted, staged)
-        write_table(spark.read.schema(df.schema).parquet(staged), f"{bronze}.{target}", fmt=fmt)
-        drop_folder(spark, staged)
+        replace_table(counted, f"{bronze}.{target}", fmt=fmt)
     return int(obs.get["rows"])
 
 
@@ -305,7 +301,7 @@ def _load_tolerant(spark: SparkSession, df: DataFrame, target: str, bronze: str,
         commit_folder(spark, base, good, good_schema, fmt)
     else:
         rows = reader.schema(good_schema).load(good) if good else spark.createDataFrame([], good_schema)
-        write_table(rows, f"{bronze}.{target}", fmt=fmt)
+        replace_table(rows, f"{bronze}.{target}", fmt=fmt)
         drop_folder(spark, folder)
     return lines - n_bad, n_bad, len(names)
 

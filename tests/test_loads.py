@@ -206,6 +206,36 @@ def test_bad_lines_go_to_the_reject_table(spark, tmp_dir, bronze_kind):
     assert read_bronze(spark, target, "t").count() == 0
 
 
+def test_a_catalog_table_is_replaced_whole_or_not_at_all(spark):
+    from starloom.sinks.storage import ensure_database, replace_table
+    ensure_database(spark, "replace_test")
+    replace_table(spark.createDataFrame([(1,)], "a int"), "replace_test.t")
+    replace_table(spark.table("replace_test.t").selectExpr("a + 1 AS a", "'x' AS b"), "replace_test.t")  # reads itself
+    assert [tuple(r) for r in spark.table("replace_test.t").collect()] == [(2, "x")]
+    with pytest.raises(Exception):
+        replace_table(spark.range(3).select(F.raise_error(F.lit("no")).cast("int").alias("a")), "replace_test.t")
+    assert spark.table("replace_test.t").count() == 1 and not spark.catalog.tableExists("replace_test.t__next")
+
+
+def test_the_job_with_rejects_and_retention(spark, bronze, tmp_dir):  # noqa: F811
+    from starloom.sinks.storage import export
+    for name, df in bronze.items():
+        export(df, f"{tmp_dir}/landing/{name}.csv")
+    _write(f"{tmp_dir}/landing/status.csv/part-extra.csv", "statusId,status\nx,Broken\n")
+    control = spark.createDataFrame([(n, "csv", n, ",") for n in bronze], CONTROL_SCHEMA)
+    rejects = Rejects(f"{tmp_dir}/rejects", max_rows=1)
+    args = (control, f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/silver")
+    res, out = racing.run_from_landing(spark, *args, load_ts=TS, rejects=rejects, allow_drift=("added",), keep_versions=1)
+    assert not res.failed and [r.line for r in read_rejects(spark, rejects).collect()] == ["x,Broken"]
+    assert set(by(out["fact_race_result"], "src_result_id")) == {1, 2, 3}
+    # without a reject table that line stops the job before silver
+    before = current_version(spark, f"{tmp_dir}/silver/dim_driver")
+    _write(f"{tmp_dir}/landing/status.csv/part-extra.csv", "statusId,status\ny,Broken\n")
+    with pytest.raises(racing.SourcesFailed):
+        racing.run_from_landing(spark, *args, load_ts=TS)
+    assert current_version(spark, f"{tmp_dir}/silver/dim_driver") == before
+
+
 # -- drift
 
 
