@@ -22,8 +22,9 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -43,6 +44,22 @@ WINDOW = 32
 START, OTHER = -2, -1
 
 
+class _Remembered(dict):
+    """Ids of segments, as bytes, made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.make(segment)
+        if len(segment) <= 64:
+            if len(self) >= CACHE_ROWS:
+                self.clear()
+            self[segment] = ids
+        return ids
+
+
 class Pieces:
     """Encoder and decoder for a SentencePiece model file."""
 
@@ -66,6 +83,13 @@ class Pieces:
         #: every ending of a piece: its id if it is a piece that merges make, else -1
         self.endings = {p[i:]: -1 for p in self.ids for i in range(len(p))} if self.kind == BPE else {}
         self.endings.update((p, i) for p, i in self.ids.items() if p in self.endings and self.merged(p) == [p])
+        #: finds the pieces of two characters or more that merges make, longest first at each end
+        self.finder = ahocorasick.Automaton()
+        for p, i in self.endings.items():
+            if i >= 0 and len(p) > 1:
+                self.finder.add_word(p, (len(p), i))
+        if len(self.finder):
+            self.finder.make_automaton()
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         line = any("\n" in p for p in self.ids)
@@ -73,7 +97,8 @@ class Pieces:
             self.segments = re.compile(r".+", re.S)
         else:
             self.segments = re.compile(" +[^ \n]*|[^ \n]+|\n+")
-        self.known: dict[str, bytes] = {}
+        self.single = {p: i for p, i in self.ids.items() if len(p) == 1}
+        self.known = _Remembered(self._segment)
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.text_of = ["" if p.type == kinds.CONTROL else chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128
                         else " ⁇ " if i == self.unknown else p.piece for i, p in enumerate(model.pieces)]
@@ -91,35 +116,63 @@ class Pieces:
         # plain spaces for now (the mark itself counts as one): smaller strings to remember
         text = (" " if self.prefix else "") + text.replace(SPACE, " ")
         if len(text) <= BLOCK:
-            out = b"".join(map(self._segment, self.segments.findall(text)))
+            out = b"".join(map(self.known.__getitem__, self.segments.findall(text)))
         else:
             found = (m.group() for m in self.segments.finditer(text))
             parts = []
             while block := list(islice(found, BLOCK)):
-                parts.append(b"".join(map(self._segment, block)))
+                parts.append(b"".join(map(self.known.__getitem__, block)))
             out = b"".join(parts)
         return np.frombuffer(out, np.int32)
 
     def _segment(self, segment: str) -> bytes:
-        known = self.known.get(segment)
-        if known is None:
-            text = segment.replace(" ", SPACE)
-            ids = self._short(text) if len(text) <= WINDOW else self.viterbi(text)
-            known = array("i", ids).tobytes()
-            if len(segment) <= 64:
-                if len(self.known) >= CACHE_ROWS:
-                    self.known.clear()
-                self.known[segment] = known
-        return known
+        text = segment.replace(" ", SPACE)
+        return array("i", self._short(text) if len(text) <= WINDOW else self.viterbi(text)).tobytes()
 
     def _short(self, text: str) -> list[int]:
         """As ``viterbi``, for a text that one window holds."""
-        back, state = [-1], [START if self.kind == BPE else 0.0]
-        last_piece = self._last_piece if self.kind == BPE else self._best_piece
+        if self.kind == BPE:
+            return self._short_bpe(text)
+        back, state = [-1], [0.0]
         for end in range(1, len(text) + 1):
-            back.append(last_piece(text, end, 0, back, state))
+            back.append(self._best_piece(text, end, 0, back, state))
         return self._path(text, back, 0, len(text))
 
+    def _short_bpe(self, text: str) -> list[int]:
+        """All edges of the lattice come from one pass of ``finder``."""
+        back = list(range(-1, len(text)))  # a single character, unless a piece fits
+        last = [START, *map(self.single.get, text, repeat(OTHER))]
+        pairs, known, settled = self.pairs, self.pairs.get, 0
+        for at, (length, piece) in self.finder.iter(text) if len(self.finder) else ():
+            end = at + 1
+            if end == settled:  # by a longer piece
+                continue
+            start = end - length
+            left = last[start]
+            if left >= 0:
+                key = left << 24 | piece
+                fits = known(key)
+                if fits is None:
+                    if len(pairs) >= PAIR_ROWS:
+                        pairs.clear()
+                    fits = pairs[key] = self._joins(text[back[start]:start], text[start:end])
+            else:
+                fits = left == START or self._joins(text[back[start]:start], text[start:end])
+            if fits:
+                back[end], last[end], settled = start, piece, end
+        out, end = [], len(text)
+        while end:
+            piece, before = last[end], back[end]
+            if piece >= 0:
+                out.append(piece)
+            elif self.bytes:
+                out.extend(self.bytes[b] for b in reversed(text[before:end].encode()))
+            else:
+                out.append(self.unknown)
+            end = before
+        out.reverse()
+        return out
+
     def viterbi(self, text: str) -> Iterator[int]:
         """Ids of the surviving path, given out as soon as they are certain."""
         # of the retained nodes, the first at position done: the backpointer,
