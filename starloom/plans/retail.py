@@ -40,6 +40,7 @@ from starloom.operators import (
     lookup_keys,
     max_key,
     mean_by_bucket,
+    one_row_per_key,
     period_leaders,
     quarantine,
     replace_keys,
@@ -68,25 +69,31 @@ def _ts(s: str) -> Column:
 # dimensions
 # --------------------------------------------------------------------------
 
-def dim_region(spark: SparkSession, d: str) -> DataFrame:
+def natural_key(df: DataFrame, keys: list[str], key_name: str) -> DataFrame:
+    """In place of ``assign_surrogate_keys`` where only matters whether a key
+    resolves: the natural key itself, which must be there once too."""
+    return one_row_per_key(df, keys, "rows to be keyed").withColumn(key_name, F.col(keys[0]))
+
+
+def dim_region(spark: SparkSession, d: str, keyed=assign_surrogate_keys) -> DataFrame:
     r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
-    return assign_surrogate_keys(r, ["r_regionkey"], "region_key")
+    return keyed(r, ["r_regionkey"], "region_key")
 
 
-def dim_nation(spark: SparkSession, d: str, regions: DataFrame) -> DataFrame:
+def dim_nation(spark: SparkSession, d: str, regions: DataFrame, keyed=assign_surrogate_keys) -> DataFrame:
     """Nation dimension; its region key is looked up at load time (as a
     race row gets its circuit key)."""
     n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    n = assign_surrogate_keys(n, ["n_nationkey"], "nation_key")
+    n = keyed(n, ["n_nationkey"], "nation_key")
     return lookup_keys(n, [Lookup(regions, {"n_regionkey": "r_regionkey"},
                                   {"region_key": "region_key"}, unique=True)])
 
 
 def dim_customer(spark: SparkSession, d: str, nations: DataFrame,
-                 customers: DataFrame | None = None) -> DataFrame:
+                 customers: DataFrame | None = None, keyed=assign_surrogate_keys) -> DataFrame:
     c = customers if customers is not None else read_table(
         spark, d, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    c = assign_surrogate_keys(c, ["c_custkey"], "cust_key")
+    c = keyed(c, ["c_custkey"], "cust_key")
     return lookup_keys(c, [Lookup(nations, {"c_nationkey": "n_nationkey"},
                                   {"nation_key": "nation_key"}, unique=True)])
 
@@ -124,14 +131,15 @@ def _orders_base(spark: SparkSession, d: str) -> DataFrame:
                     F.col("o_orderdate").cast("date").alias("order_date"))
 
 
-def retail_dims(spark: SparkSession, d: str, customers: DataFrame | None = None) -> dict:
+def retail_dims(spark: SparkSession, d: str, customers: DataFrame | None = None,
+                keyed=assign_surrogate_keys) -> dict:
     """Region, nation, customer and order-date dimensions."""
-    regions = dim_region(spark, d)
-    nations = dim_nation(spark, d, regions)
+    regions = dim_region(spark, d, keyed)
+    nations = dim_nation(spark, d, regions, keyed)
     return {
         "region": regions,
         "nation": nations,
-        "customer": dim_customer(spark, d, nations, customers),
+        "customer": dim_customer(spark, d, nations, customers, keyed),
         "date": dim_order_date(read_table(spark, d, "orders", ["o_orderdate"])),
     }
 
@@ -228,7 +236,7 @@ def fact_quarantine(spark: SparkSession, d: str) -> DataFrame:
     partial = (read_table(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey",
                                                  "c_mktsegment", "c_acctbal"])
                .where(F.col("c_acctbal") >= 0).drop("c_acctbal"))
-    fact = _build_fact(spark, d, retail_dims(spark, d, partial), keep_natural=True)
+    fact = _build_fact(spark, d, retail_dims(spark, d, partial, natural_key), with_lines=False, keep_natural=True)
     _, bad = quarantine(fact, FACT_KEYS)
     return bad.select("o_orderkey", "o_custkey", "unresolved")
 
@@ -295,11 +303,12 @@ def race_style_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Rows keyed like a race load: customer key by natural key, date key by
     joining the calendar on the date parsed from text (parsed once, used as
     both the stored date and the join key)."""
-    dims = retail_dims(spark, d)
+    customers = assign_surrogate_keys(read_table(spark, d, "customer", ["c_custkey"]), ["c_custkey"], "cust_key")
+    dates = dim_order_date(read_table(spark, d, "orders", ["o_orderdate"]))
     r = _rendered_dates(spark, d).withColumn("order_date", parse_date_any("date_text"))
     out = assemble_fact(r, lookups=[
-        Lookup(dims["customer"], {"o_custkey": "c_custkey"}, {"cust_key": "cust_key"}, unique=True),
-        Lookup(dims["date"], {"order_date": "full_date"}, {"date_key": "date_key"}, unique=True),
+        Lookup(customers, {"o_custkey": "c_custkey"}, {"cust_key": "cust_key"}, unique=True),
+        Lookup(dates, {"order_date": "full_date"}, {"date_key": "date_key"}, unique=True),
     ])
     return out.select("o_orderkey", "cust_key", "order_date", "date_key")
 
