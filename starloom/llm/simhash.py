@@ -221,24 +221,34 @@ def _replicate(plan: tuple, max_bits: int):
     per = max(1, int(400_000 / sum(visits for visits, _ in reach(plan, max_bits))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # as many fingerprints at once as memory allows: fewer and larger pieces
+        held, n = [], 0
         for b in batches:
-            every = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(every), per):
-                fp = every[i:i + per]
-                at, anchor, home = plan_replicas(fp, plan, max_bits)
-                order = np.argsort(anchor, kind="stable")
-                at, anchor, home = at[order], anchor[order], home[order]
-                first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-                ends = np.append(first[1:], len(anchor))
-                visitors, n_home = fp[at], np.add.reduceat(home, first)
-                homes, h_end = visitors[home], np.cumsum(n_home)
-                v_bytes, h_bytes = visitors.tobytes(), homes.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(anchor[first].view(np.int64)),
-                    pa.array([h_bytes[8 * (e - n):8 * e] for n, e in zip(n_home.tolist(), h_end.tolist())], pa.binary()),
-                    pa.array([v_bytes[8 * s:8 * e] for s, e in zip(first.tolist(), ends.tolist())], pa.binary()),
-                    pa.array(n_home.astype(np.int64)), pa.array((ends - first).astype(np.int64))],
-                    ["anchor", "homes", "visitors", "n_homes", "n_visitors"])
+            held.append(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            n += b.num_rows
+            if n >= per:
+                yield from pieces(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield from pieces(np.concatenate(held))
+
+    def pieces(every: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(every), per):
+            fp = every[i:i + per]
+            at, anchor, home = plan_replicas(fp, plan, max_bits)
+            order = np.argsort(anchor, kind="stable")
+            at, anchor, home = at[order], anchor[order], home[order]
+            first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+            ends = np.append(first[1:], len(anchor))
+            visitors, n_home = fp[at], np.add.reduceat(home, first)
+            homes, h_end = visitors[home], np.cumsum(n_home)
+            v_bytes, h_bytes = visitors.tobytes(), homes.tobytes()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(anchor[first].view(np.int64)),
+                pa.array([h_bytes[8 * (e - n):8 * e] for n, e in zip(n_home.tolist(), h_end.tolist())], pa.binary()),
+                pa.array([v_bytes[8 * s:8 * e] for s, e in zip(first.tolist(), ends.tolist())], pa.binary()),
+                pa.array(n_home.astype(np.int64)), pa.array((ends - first).astype(np.int64))],
+                ["anchor", "homes", "visitors", "n_homes", "n_visitors"])
     return run
 
 
