@@ -14,7 +14,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from starloom.plans import retail  # noqa: E402
+from starloom.plans import loads, retail  # noqa: E402
 from starloom.session import build_session  # noqa: E402
 
 
@@ -30,7 +30,7 @@ def plan_text(df) -> str:
 
 def table(spark, sf: str) -> list[str]:
     rows = []
-    for name, fn in retail.QUERIES.items():
+    for name, fn in {**retail.QUERIES, **loads.QUERIES}.items():
         plan = plan_text(fn(spark, sf))
         shuffles = len(re.findall(r"Arguments: (hashpartitioning|rangepartitioning)", plan))
         bcast = len(re.findall(r"BroadcastExchange \(\d+\)", plan))
