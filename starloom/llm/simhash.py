@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .common import lookup_groups, materialise, positional, with_package
 from .components import components
@@ -49,6 +50,8 @@ PLANS = tuple(((0, code),) for code in CODES) + tuple(
     ((0, code), (32, code)) for code in ((GOLAY,), (GOLAY, HAMMING), (LONG_HAMMING,)))
 #: Most homes and most visitors that one task compares at once.
 CELL_HOMES, CELL_VISITORS = 1 << 13, 1 << 15
+#: Rows to drop, known by two numbers each, that are broadcast.
+MAX_BROADCAST_DROPS = 1 << 18
 #: Fingerprints that one task replicates.
 TASK_FINGERPRINTS = 1 << 14
 
@@ -332,7 +335,9 @@ def keep_one_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     known = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), digest.alias("text"))
     groups = simhash_groups(rows.select(known.alias("known"), F.col(text).alias("text")), shingle, max_bits, "known", "text")
-    drop = groups.filter(F.col("known") != F.col("component_id")).select(
-        F.col("known.id").alias("__drop"), F.col("known.text").alias("__digest")).distinct()
+    drop = materialise(groups.filter(F.col("known") != F.col("component_id")).select(
+        F.col("known.id").alias("__drop"), F.col("known.text").alias("__digest")).distinct(), "drop")
+    if isinstance(drop.schema["__drop"].dataType, NumericType) and drop.count() <= MAX_BROADCAST_DROPS:
+        drop = F.broadcast(drop)  # two numbers a row: no text has to move
     return rows.join(drop, (digest == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__drop")),
                      "left_anti").toDF(*docs.columns)

@@ -53,3 +53,11 @@ def test_replicas_stay_few_as_fingerprints_grow():
     for distinct, most in ((10**5, 400), (14 * 10**6, 1500), (10**8, 1500), (10**9, 3000)):
         plan = simhash.choose_plan(distinct, 4)
         assert 8 * sum(visits for visits, _ in simhash.reach(plan, 4)) <= most
+
+
+@pytest.mark.parametrize("most", [1 << 18, 0])
+def test_few_and_many_drops_leave_the_same_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "MAX_BROADCAST_DROPS", most)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    smallest = {r.component_id for r in simhash.simhash_groups(docs).collect()}
+    assert sorted(r.doc_id for r in simhash.keep_one_each(docs).collect()) == sorted(smallest)
