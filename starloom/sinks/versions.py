@@ -268,10 +268,13 @@ def _versions_in_use(spark: SparkSession, base: str) -> set[int]:
         raise
 
 
-def remove_superseded(spark: SparkSession, base: str, keep: int = 2, older_than_seconds: int = 0) -> list[str]:
+def remove_superseded(spark: SparkSession, base: str, keep: int = 2, older_than_seconds: int = 0,
+                      unlogged_after_seconds: int | None = None) -> list[str]:
     """Delete the folders that neither the newest ``keep`` versions nor a
     version in use refer to, if written ``older_than_seconds`` ago or before.
-    Folders that kept versions took over stay.  Returns the deleted folders."""
+    Folders that kept versions took over stay.  With ``unlogged_after_seconds``
+    also those of failed writes, which no version names, if nothing was written
+    for so long; choose more than any write takes.  Returns the deleted folders."""
     if keep < 1:
         raise ValueError("the current version is always kept")
     log = _log_or_none(spark, base)
@@ -288,9 +291,24 @@ def remove_superseded(spark: SparkSession, base: str, keep: int = 2, older_than_
         where = sc._jvm.org.apache.hadoop.fs.Path(row["path"])
         if where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True):
             gone.append(row["path"])
+    if unlogged_after_seconds is not None:
+        gone += _remove_unlogged(spark, base, log, unlogged_after_seconds)
     return sorted(gone)
 
 
+def _remove_unlogged(spark: SparkSession, base: str, log: DataFrame, seconds: int) -> list[str]:
+    name = F.regexp_extract("path", rf"/({_VERSION_DIR}=[^/]+)", 1)
+    logged = {r[0] for r in log.where("path IS NOT NULL").select(name).distinct().collect()}
+    sc, gone = spark.sparkContext, []
+    data = sc._jvm.org.apache.hadoop.fs.Path(f"{_root(base)}/data")
+    fs = data.getFileSystem(sc._jsc.hadoopConfiguration())
+    for found in fs.listStatus(data) if fs.exists(data) else ():
+        where, age = found.getPath(), time.time() - found.getModificationTime() / 1000
+        if where.getName() not in logged and age >= seconds and fs.delete(where, True):
+            gone.append(where.toString())
+    return gone
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch copy that nothing reads any more."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

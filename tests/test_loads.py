@@ -115,6 +115,18 @@ def test_retention_spares_readers_and_shared_folders(spark, tmp_dir):
         remove_superseded(spark, base, keep=0)
 
 
+def test_folders_of_failed_writes_go(spark, tmp_dir):
+    base = f"{tmp_dir}/t"
+    write_version(spark.createDataFrame([(1, "a")], "p int, v string"), base, partition_by="p")
+    bad = spark.createDataFrame([(9, "x")], "p int, v string")
+    with pytest.raises(Exception, match="not replaced"):
+        replace_partitions(bad, base, "p", spark.createDataFrame([(1,)], "p int"))
+    write_version(bad, f"{base}/data/_version=99-lost")  # what a writer that died leaves
+    assert remove_superseded(spark, base, keep=1, unlogged_after_seconds=3600) == []
+    gone = remove_superseded(spark, base, keep=1, unlogged_after_seconds=0)
+    assert any("99-lost" in g for g in gone) and read_current(spark, base).count() == 1
+
+
 # -- the racing job
 
 
