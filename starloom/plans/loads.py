@@ -20,7 +20,7 @@ from starloom.operators.profile import merge_profiles, profiled_write, read_prof
 from starloom.operators.rollup_state import apply_delta, read_rollup, rollup_state
 from starloom.plans import retail
 from starloom.session import scratch_dir
-from starloom.sinks.buckets import write_bucketed
+from starloom.sinks.buckets import bucket_count, write_bucketed
 from starloom.sinks.run_ledger import RunLedger
 from starloom.sinks.storage import append_rows, create_table, ensure_database, export, truncate, write_table
 from starloom.sinks.versions import (
@@ -226,24 +226,28 @@ def rollup_incremental(spark: SparkSession, d: str) -> DataFrame:
 # bucketed joins, hot-key lookups
 # --------------------------------------------------------------------------
 
-BUCKETS = 16
+# The least number of buckets; bytes of a line's six columns, and of a bucket's
+# lines.  The sorts and roll-ups of a task hold one bucket.
+BUCKETS, LINE_BYTES, BUCKET_BYTES = 16, 64, 64 << 20
 
 
 def bucketed_enrichment(spark: SparkSession, d: str) -> DataFrame:
     """Every line beside two roll-ups on (order, supplier): of the lines kept,
     and of the discounted ones.  Lines and roll-ups are bucketed by that key,
-    so the joins, and the roll-ups of bucketed lines, need no exchange."""
+    so the joins, and the roll-ups of bucketed lines, need no exchange.  The
+    number of buckets follows that of the lines, so that a task's stays."""
     tag = uuid.uuid4().hex[:8]
     keys = ["l_orderkey", "l_suppkey"]
-    li = write_bucketed(read_table(spark, d, "lineitem", ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag",
-                                                          "l_quantity", "l_discount"]),
-                        f"lines_{tag}", keys, BUCKETS)
+    lines = read_table(spark, d, "lineitem", ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag",
+                                              "l_quantity", "l_discount"])
+    buckets = max(BUCKETS, bucket_count(spark, lines.count() * LINE_BYTES, BUCKET_BYTES))
+    li = write_bucketed(lines, f"lines_{tag}", keys, buckets)
     qty = F.floor("l_quantity").cast("int")
     kept = rollup_children(li.where(F.col("l_returnflag") != "R"), keys, qty, count_name="kept_lines",
                            sum_name="kept_qty", sum_type="bigint", avg_name=None)
     cut = rollup_children(li.where(F.col("l_discount") >= 0.05), keys, qty, count_name="cut_lines",
                           sum_name="cut_qty", sum_type="bigint", avg_name=None)
-    tables = [write_bucketed(t, f"{n}_{tag}", keys, BUCKETS) for n, t in (("kept", kept), ("cut", cut))]
+    tables = [write_bucketed(t, f"{n}_{tag}", keys, buckets) for n, t in (("kept", kept), ("cut", cut))]
     on = {k: k for k in keys}
     out = enrich(li, [
         Enrichment(tables[0], on, {"kept_lines": "kept_lines", "kept_qty": "kept_qty"}, {"kept_lines": 0}),

@@ -30,6 +30,8 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
 
 def bucket_count(spark: SparkSession, table_bytes: int, bucket_bytes: int = 256 << 20) -> int:
     """Buckets for a table of that size: a power of two, so that tables of
-    other sizes can share it, and no fewer than the session's shuffle tasks."""
+    other sizes can share it, and no fewer than the session's shuffle tasks.
+    Never more than the session allows a table; from there on buckets grow."""
     least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table_bytes // bucket_bytes), 1)
-    return 1 << (least - 1).bit_length()
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return 1 << min((least - 1).bit_length(), most.bit_length() - 1)

@@ -2,6 +2,7 @@
 bucketed joins, hot keys, profiles, restart and retention."""
 import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -368,6 +369,32 @@ def test_bucketed_tables_have_a_file_per_bucket(spark, tmp_dir):
     assert bucket_count(spark, 0) == 8 and bucket_count(spark, 100 << 30) == 512
 
 
+def test_buckets_follow_the_number_of_lines(spark, tmp_dir, distributed_paths, monkeypatch):
+    monkeypatch.setattr(loads, "BUCKET_BYTES", 100 * 64, raising=False)  # a hundred lines
+    for n in (1000, 10000):
+        (spark.range(n).selectExpr("id div 4 AS l_orderkey", "id % 3 AS l_suppkey", "int(id % 4) AS l_linenumber",
+                                   "if(id % 5 = 0, 'R', 'N') AS l_returnflag", "double(id % 50) AS l_quantity",
+                                   "id % 10 / 100 AS l_discount").write.parquet(f"{tmp_dir}/{n}/lineitem.parquet"))
+        got = loads.bucketed_enrichment(spark, f"{tmp_dir}/{n}")
+        # each join, sort and roll-up of a task holds one bucket
+        tasks = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum("kept_lines").alias("kept"),
+                                                        F.sum("cut_lines").alias("cut"))
+        most, *sums = tasks.agg(F.max("n"), F.sum("n"), F.sum("kept"), F.sum("cut")).first()
+        supplier = [(i // 4, i % 3) for i in range(n)]
+        kept = Counter(k for i, k in enumerate(supplier) if i % 5)
+        cut = Counter(k for i, k in enumerate(supplier) if i % 10 >= 5)
+        assert most < 200 and sums == [n, sum(kept[k] for k in supplier), sum(cut[k] for k in supplier)]
+
+
+def test_a_table_has_no_more_buckets_than_the_session_allows(spark):
+    assert bucket_count(spark, 100 << 40) == 65536
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "100")
+    try:
+        assert bucket_count(spark, 100 << 30) == 64
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+
+
 # -- hot keys
 
 
